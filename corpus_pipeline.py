@@ -1,10 +1,57 @@
-"""Placeholder of the corpus pipeline's stages; filled in with its operators."""
+"""A training corpus from documents: five stages, each over all that the one before kept."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from annoforge.llm import byte_bpe, line_dedup, mixing, near_dup, toxicity
+from annoforge.llm.shared import cut, table
+from annoforge.llm.vocabularies import vocabulary
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity scores below the production threshold."""
+    return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels").where(~toxicity.held_out()))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that occur earlier; n_chars follows. Emptied documents go."""
+    out = line_dedup.dedup_lines(docs)
+    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
+
+
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the least id."""
+    return near_dup.keep_one(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the budgets of their sources take them."""
+    return mixing.mix(docs).drop("mix_epoch")
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, checked by decoding them."""
+    rows = byte_bpe.encode_documents(docs, vocabulary("byte_bpe_multi_50k.tiktoken"))
+    return rows.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line dedup", line_stage),
+    ("near duplicates", near_dup_stage),
+    ("mixing", mixing_stage),
+    ("byte-level BPE", encoding_stage),
+]
+
+#: Two stages learn or hash in ways that SQL cannot express; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each stage's rows are written and read again before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from annoforge.plans import detector
+
+_parts = [detector]
+
+QUERIES: dict = {name: query for part in _parts for name, query in part.QUERIES.items()}
+ORACLES: dict[str, str] = {name: sql for part in _parts for name, sql in part.ORACLES.items()}

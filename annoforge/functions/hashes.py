@@ -44,5 +44,5 @@ def aspect_difference(a: Column, b: Column) -> Column:
 
 def sign_hash(vector: Column) -> Column:
     """Bit i is set where component i is positive."""
-    bits = F.transform(F.slice(vector, 1, 64), lambda x, i: F.when(x > 0, F.shiftleft(F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
+    bits = F.transform(F.slice(vector, 1, 64), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))

@@ -257,7 +257,7 @@ def search(rows: DataFrame, query: str, columns: list[str]) -> DataFrame:
     return rows.where(F.contains(F.lower(F.concat_ws(" ", *columns)), F.lit(query.lower())))
 
 
-#: Outcome, error disposition, status, annotation quality, action, priority.
+#: Outcome, error disposition, status.
 OUTCOMES = [
     ("model_miss", "confirmed_model_error", "reviewed"),
     ("model_false_positive", "confirmed_model_error", "reviewed"),
@@ -265,8 +265,8 @@ OUTCOMES = [
     ("duplicate_prediction", "confirmed_model_error", "reviewed"),
     ("annotation_issue", "annotation_issue", "reviewed"),
     ("threshold_tradeoff", "expected_threshold_tradeoff", "reviewed"),
-    ("invalid_image", "invalid_image", "reviewed"),
-    ("ambiguous", "ambiguous", "needs_adjudication"),
+    ("invalid_image", "invalid_review_case", "reviewed"),
+    ("ambiguous", "ambiguous_case", "needs_adjudication"),
 ]
 
 

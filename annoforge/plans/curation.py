@@ -587,7 +587,7 @@ SELECT o_custkey, o_orderkey, i AS case_index, greatest(i - 1, 1) AS previous_in
     "record_search": "SELECT p_partkey, p_name, p_type FROM part WHERE contains(lower(p_name || ' ' || p_type), 'cold wid')",
     "canonical_review": """WITH r AS (SELECT p_partkey AS k, ['model_miss','model_false_positive','localization_error','duplicate_prediction','annotation_issue','threshold_tradeoff','invalid_image','ambiguous','bogus'][p_partkey % 9 + 1] AS outcome FROM part),
 s AS (SELECT *, k % 5 = 0 AS other, k % 4 = 0 AS defect, CASE WHEN k % 4 = 0 AND k % 3 <> 0 THEN 'missing_bbox' ELSE 'none' END AS dt, k % 8 = 0 AS prop, k % 6 = 0 AS hi, k % 2 = 1 AS nonote, outcome = 'annotation_issue' AS issue FROM r)
-SELECT k AS p_partkey, outcome, CASE WHEN outcome IN ('model_miss','model_false_positive','localization_error','duplicate_prediction') THEN 'confirmed_model_error' WHEN outcome = 'threshold_tradeoff' THEN 'expected_threshold_tradeoff' WHEN outcome <> 'bogus' THEN outcome END AS error_disposition,
+SELECT k AS p_partkey, outcome, CASE WHEN outcome IN ('model_miss','model_false_positive','localization_error','duplicate_prediction') THEN 'confirmed_model_error' WHEN outcome = 'threshold_tradeoff' THEN 'expected_threshold_tradeoff' WHEN outcome = 'invalid_image' THEN 'invalid_review_case' WHEN outcome = 'ambiguous' THEN 'ambiguous_case' WHEN outcome <> 'bogus' THEN outcome END AS error_disposition,
   CASE WHEN outcome = 'ambiguous' THEN 'needs_adjudication' WHEN outcome <> 'bogus' THEN 'reviewed' END AS review_status, CASE WHEN defect THEN 'yes' ELSE 'no' END AS correction_proposal_required,
   CASE WHEN outcome = 'bogus' THEN 'unknown_outcome' WHEN k % 7 = 0 THEN 'blank_reviewer' WHEN hi AND nonote THEN 'high_priority_needs_notes' WHEN outcome = 'ambiguous' AND nonote THEN 'ambiguous_needs_notes' WHEN issue AND NOT defect THEN 'issue_needs_defect'
     WHEN defect AND NOT issue THEN 'defect_needs_issue' WHEN defect AND dt = 'none' THEN 'defect_needs_type' WHEN defect AND nonote THEN 'defect_needs_notes' WHEN defect AND NOT prop THEN 'defect_needs_proposal' WHEN NOT defect AND dt <> 'none' THEN 'type_without_defect'

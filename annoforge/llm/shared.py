@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,15 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Let Arrow batches end at BATCH_BYTES, so that a worker's memory follows bytes and not rows."""
+    """Make the session fit for Python workers.
+
+    Arrow batches end at BATCH_BYTES, so that a worker's memory follows bytes and not rows. Workers look for
+    this package where the driver found it; a cluster that lacks that path gets it by --py-files, as usual."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    workers = spark.sparkContext.environment
+    if home not in workers.get("PYTHONPATH", "").split(os.pathsep):
+        workers["PYTHONPATH"] = os.pathsep.join(filter(None, [home, workers.get("PYTHONPATH")]))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -184,7 +184,7 @@ def fit_field(texts: list[str | None], toxic: np.ndarray, share: float) -> Field
         b = np.bincount(had % BUCKETS, weights=1 - in_toxic, minlength=BUCKETS)
         ratio = np.log((a + 0.5) / (toxic.sum() + 1)) - np.log((b + 0.5) / ((1 - toxic).sum() + 1))
         odds[:, k], support[:, k] = ratio[buckets[:, k]], a[buckets[:, k]]
-    marked = ((odds >= 3.0) & (support >= max(4, 0.01 * toxic.sum()))).any(axis=1)
+    marked = ((odds >= 3.0) & (support >= max(5, 0.02 * toxic.sum()))).any(axis=1)
     truth = (marked[codes] & (toxic[doc] == 1)).astype(np.int64)
     field.fit(buckets, codes, bounds, truth)
     p = field.marginals(buckets, codes, bounds)[0]
@@ -215,8 +215,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     spark = docs.sparkSession
     picked = spark.createDataFrame(list(ids.items()), f"`{id_col}` bigint, toxic int")
     rows = docs.select(id_col, text_col).join(F.broadcast(picked), id_col).where(F.octet_length(text_col) <= MAX_BYTES)
-    rows = sorted((r[0], r[2], r[1] or "") for r in rows.dropDuplicates([id_col]).collect())
-    return fit_field([r[2] for r in rows], np.array([r[1] for r in rows], np.int64), counts.get(1, 0) / n if n else 0.0)
+    seen: dict[str, tuple] = {}  # copies of a text would make its rare words look like signs of its label
+    for row in sorted(tuple(r) for r in rows.dropDuplicates([id_col]).where(F.col(text_col).isNotNull()).collect()):
+        seen.setdefault(row[1], row)
+    rows = sorted(seen.values())
+    return fit_field([r[1] for r in rows], np.array([r[2] for r in rows], np.int64), counts.get(1, 0) / n if n else 0.0)
 
 
 def tag(docs: DataFrame, field: Field, span_at: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ in the order of what they lose; two vectors meet where one stands and the other
 
 Buckets of any size are cut into blocks, and pairs of blocks are compared as matrices in double precision. A
 pair that meets in several tables or buckets counts in the first only. Each pair of blocks returns a count
-per vector and a spanning forest of its links, never the pairs themselves. Vectors that are equal go on as
+per vector and its components, a row per vector, never the pairs themselves. Vectors that are equal go on as
 one with a weight.
 
 Results: vectors that are null, zero, empty, or hold null or non-finite components link with nothing: 0
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from annoforge.llm.shared import bounded_batches, components, cut, table
 
 #: Production parameters; tests measure their recall at the threshold itself.
-TABLES, HASHES, PROBES, BLOCK = 10, 2, 6, 512
+TABLES, HASHES, PROBES, BLOCK, CELL = 8, 3, 6, 4096, 512
 SEED = 20
 
 
@@ -106,7 +106,7 @@ def _meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[..., :1] == b).any(-1) | (b[..., :1] == a).any(-1)
 
 
-def compare(t: int, bucket: int, ids_a, x_a, c_a, ids_b, x_b, c_b, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+def compare(t: int, bucket: int, x_a, c_a, x_b, c_b, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of two blocks that link and count here; c: buckets (vectors, tables, 1 + probes)."""
     i, j = np.nonzero(x_a @ x_b.T >= least)
     if same:
@@ -116,8 +116,9 @@ def compare(t: int, bucket: int, ids_a, x_a, c_a, ids_b, x_b, c_b, least: float,
         return i, j
     stands = (c_a[i, t, 0] == bucket) | (c_b[j, t, 0] == bucket)
     a, b = c_a[i, t], c_b[j, t]
-    # of the buckets of this table where the pair meets, the first: the own bucket of a if b is there, else of b
-    here = np.where((a[:, :1] == b).any(1), a[:, 0], b[:, 0])
+    # of the buckets of this table where the pair meets, the lesser: own ones where the other is too
+    far = np.iinfo(np.int64).max
+    here = np.minimum(np.where((a[:, :1] == b).any(1), a[:, 0], far), np.where((b[:, :1] == a).any(1), b[:, 0], far))
     counts = stands & (here == bucket)
     i, j = i[counts], j[counts]
     if t and len(i):
@@ -129,23 +130,20 @@ def compare(t: int, bucket: int, ids_a, x_a, c_a, ids_b, x_b, c_b, least: float,
     return i, j
 
 
-def spanning(n: int, i: list[int], j: list[int]) -> list[tuple[int, int]]:
-    """Pairs that keep the components of n items and have no cycle."""
-    up = list(range(n))
-
-    def root(k: int) -> int:
-        while up[k] != k:
-            up[k] = up[up[k]]
-            k = up[k]
-        return k
-
-    out = []
-    for a, b in zip(i, j, strict=True):
-        x, y = root(a), root(b)
-        if x != y:
-            up[max(x, y)] = min(x, y)
-            out.append((a, b))
-    return out
+def stars(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the components that the pairs make of n items: every item but the least, and its component's least."""
+    low = np.arange(n)
+    while len(i):
+        least = np.minimum(low[i], low[j])
+        moved = (low[i] != least) | (low[j] != least)
+        if not moved.any():
+            break
+        np.minimum.at(low, low[i], least)
+        np.minimum.at(low, low[j], least)
+        while (low[low] != low).any():
+            low = low[low]
+    rest = np.flatnonzero(low != np.arange(n))
+    return rest, low[rest]
 
 
 def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -225,14 +223,23 @@ def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, has
             codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), np.int64).reshape(-1, tables, probes + 1)
             a = np.arange(len(node)) if p == q else np.flatnonzero(first)
             b = a if p == q else np.flatnonzero(~first)
-            i, j = compare(int(t), int(bucket), node[a], x[a], codes[a], node[b], x[b], codes[b], least, p == q)
-            if not len(i):
+            mine, up, down = np.zeros(len(node)), [], []
+            for lo in range(0, len(a), CELL):
+                for hi in range(lo if p == q else 0, len(b), CELL):
+                    c, d = a[lo : lo + CELL], b[hi : hi + CELL]
+                    i, j = compare(int(t), int(bucket), x[c], codes[c], x[d], codes[d], least, p == q and lo == hi)
+                    if len(i):
+                        i, j = c[i], d[j]
+                        mine += np.bincount(i, weights=m[j], minlength=len(node)) + np.bincount(j, weights=m[i], minlength=len(node))
+                        some, low = stars(len(node), i, j)
+                        up.append(some)
+                        down.append(low)
+            if not up:
                 continue
-            i, j = a[i], b[j]
-            mine = np.bincount(i, weights=m[j], minlength=len(node)) + np.bincount(j, weights=m[i], minlength=len(node))
             for k in np.flatnonzero(mine).tolist():
                 counts[int(node[k])] = counts.get(int(node[k]), 0) + int(mine[k])
-            pairs += [(int(node[u]), int(node[v])) for u, v in spanning(len(node), i.tolist(), j.tolist())]
+            some, low = stars(len(node), np.concatenate(up), np.concatenate(down))
+            pairs += zip(node[some].tolist(), node[low].tolist(), strict=True)
             if len(counts) + len(pairs) > 100_000:
                 yield flush()
         yield flush()

@@ -1,19 +1,24 @@
 """Near-duplicate documents by bottom-k sketches, inverted lists, union-sketch estimates and exact Jaccard.
 
-A document's set is its distinct five-word shingles, each hashed once to 63 bits; the sketch is the K least
-hashes. Documents of equal sets share a digest and go on as one node. Inverted lists hold retained values:
-
-* Only values in two or more sketches matter. Two sets of the wanted similarity share at least `overlap`
-  retained values (all but about 1e-7 of pairs do at K = 64; sets of at most 3K/4 shingles always do), so
-  that in each sketch, ordered by rarity, the last overlap - 1 values need no list. A passage that many
-  documents hold therefore makes no list, unless it is a good part of a document.
+A document's set is its distinct five-word shingles, each hashed once to 63 bits. What is retained are the
+least hashes: all of a set of at most FULL, else the least K. Documents of equal sets share a digest and go on
+as one node. Inverted lists hold retained values, of short documents (sets of at most FULL) and of long ones
+(sets above FULL * 3/4) apart, so that every similar pair is short, or long, or both:
+
+* Two similar short sets share at least 3/4 of either; two similar long ones share at least OVERLAP of their
+  K least hashes (all but about 1e-7 of pairs do). With a document's values ordered by rarity, the last
+  overlap - 1 of them need no list, and values of one document only need none either. A passage that many
+  documents hold makes no list where it is less than that part of a document.
 * First round: each node meets the least node of its lists, the one that most of them propose.
-* Later rounds: lists whose nodes lie in several components so far. Nodes outside a list's largest component
-  meet that component's least node, and at last every node of other components in their lists. Nodes of one
-  component need no link between them, so that a group of n copies costs about n comparisons, not n * n.
+* Star round: in lists whose nodes lie in several groups so far, nodes outside the largest group meet one
+  node of it. Nodes of one component need no link between them, so that a group of n copies costs about n
+  comparisons, not n * n.
+* Last round: what is left meets every node of other components in its lists, each pair in the first of the
+  lists that it shares, and only if what stands behind that value in both documents is enough for a link.
 
-A pair is compared by the K least hashes of the union of both sketches, which estimate the similarity; what
-is not far below the threshold is confirmed on the full sets, made again from the texts.
+A pair of short documents is decided on its retained values, which are the full sets. Any other pair is
+estimated by the K least hashes of the union of both sketches, and what is not far below the threshold is
+confirmed on the full sets, made again from the texts.
 
 Results: a null or empty text, and one without a word, has no shingle and links with nothing; with fewer
 than five words the whole sequence is one shingle. Rows of one id count each by its own text; component_id
@@ -24,7 +29,6 @@ component's id; such rows are kept only if nothing else is in their component.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from annoforge.llm import pieces
 from annoforge.llm.shared import bounded_batches, components, cut, forget, table
 
-K, OVERLAP = 64, 30
+K, OVERLAP, FULL = 64, 30, 256
 #: Estimates below this are taken as no link: the threshold less five standard deviations at K = 64.
 LEAST_ESTIMATE = 0.48
 #: Ids up to which a semi-join of the texts broadcasts them; beyond, it shuffles.
@@ -83,7 +87,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
 
 
-def sketches(docs: DataFrame, k: int, size: int, id_col: str, text_col: str) -> DataFrame:
+def sketches(docs: DataFrame, k: int, full: int, size: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n, node, sketch) of every row; without shingles node is null."""
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -95,7 +99,7 @@ def sketches(docs: DataFrame, k: int, size: int, id_col: str, text_col: str) ->
             for own in shingle_sets(batch.column(1), size):
                 n.append(len(own))
                 nodes.append(_node(own) if len(own) else None)
-                least.append(own[:k])
+                least.append(own if len(own) <= full else own[:k])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), _lists(least)], ["id", "n", "node", "sketch"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n bigint, node bigint, sketch array<bigint>")
@@ -121,17 +125,26 @@ def full_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int, id_
 class Linker:
     """The rounds over one set of nodes; reps: (node, id, n, sketch), one row per node."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, percent: int, k: int, overlap: int, size: int, id_col: str, text_col: str):
-        self.docs, self.reps, self.percent, self.k, self.size, self.id_col, self.text_col = docs, reps, percent, k, size, id_col, text_col
+    def __init__(self, docs: DataFrame, reps: DataFrame, percent: int, k: int, overlap: int, full: int, size: int, id_col: str, text_col: str):
+        self.docs, self.reps, self.percent, self.k, self.overlap, self.full, self.size, self.id_col, self.text_col = docs, reps, percent, k, overlap, full, size, id_col, text_col
         self.links: list[DataFrame] = []
         self.tested: list[DataFrame] = []
-        values = reps.select("node", F.explode("sketch").alias("v"))
+        # lists of long documents are told from those of short ones by the sign of the value
+        short = F.when(F.col("n") <= full, F.col("sketch")).otherwise(F.array().cast("array<bigint>"))
+        long = F.when(F.col("n") * 100 > full * percent, F.transform(F.slice("sketch", 1, k), lambda v: -1 - v)).otherwise(F.array().cast("array<bigint>"))
+        values = reps.select("node", F.explode(F.concat(short, long)).alias("v"))
         counts = values.groupBy("v").agg(F.count("*").alias("f")).where("f > 1")
         shared = values.join(counts, "v").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("s"))
-        small = math.floor(k * percent / 100)
-        need = F.when(F.col("n") <= small, F.ceil(F.col("n") * percent / 100)).otherwise(F.lit(overlap))
-        listed = shared.join(reps.select("node", "n"), "node").withColumn("s", F.slice("s", 1, F.greatest(F.lit(0), F.size("s") - need.cast("int") + 1)))
-        self.index = cut(listed.select("node", "n", F.explode("s.v").alias("v")), "dup-index")
+        need = {1: F.ceil(F.col("n") * percent / 100).cast("int"), -1: F.lit(overlap)}
+
+        def prefix(sign: int):
+            """The values that need a list, with their place among all m shared values of the document's, and each other."""
+            own = F.filter("s", lambda x: (x["v"] >= 0) if sign > 0 else (x["v"] < 0))
+            kept = F.slice(own, 1, F.greatest(F.lit(0), F.size(own) - need[sign] + 1))
+            return F.transform(kept, lambda x, i: F.struct(x["v"].alias("v"), i.alias("i"), F.size(own).alias("m")))
+
+        listed = shared.join(reps.select("node", "n"), "node").select("node", "n", F.concat(prefix(1), prefix(-1)).alias("p"))
+        self.index = cut(listed.select("node", "n", F.col("p.v").alias("p"), F.inline("p")), "dup-index")
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (a, b) whose full sets are similar enough."""
@@ -139,15 +152,18 @@ class Linker:
         left = own.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         right = own.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
         both = pairs.join(left, "a").join(right, "b").where(F.lit(100) * F.least("na", "nb") >= F.lit(self.percent) * F.greatest("na", "nb"))
-        union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, self.k)
-        both = both.select("a", "b", "na", "nb", union.alias("u"), F.array_intersect("sa", "sb").alias("c"))
-        likely = cut(both.where(F.size(F.array_intersect("u", "c")) >= F.lit(LEAST_ESTIMATE * self.percent / 75) * F.size("u")).select("a", "b", "na", "nb"), "dup-likely")
-        nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = cut(full_sets(self.docs, nodes, self.reps, self.size, self.id_col, self.text_col), "dup-sets")
-        met = likely.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-        common = F.size(F.array_intersect("x", "y")).cast("long")
-        met = met.select("a", "b", "na", "nb", common.alias("i")).where(F.lit(100) * F.col("i") >= F.lit(self.percent) * (F.col("na") + F.col("nb") - F.col("i")))
-        out = cut(met.select("a", "b").distinct(), "dup-links")
+        whole = (F.col("na") <= self.full) & (F.col("nb") <= self.full)
+        both = both.withColumn("whole", whole).withColumn("c", F.array_intersect("sa", "sb"))
+        union = F.slice(F.array_sort(F.array_union(F.slice("sa", 1, self.k), F.slice("sb", 1, self.k))), 1, self.k)
+        both = both.select("a", "b", "na", "nb", "whole", F.size("c").cast("long").alias("i"), F.when(~F.col("whole"), F.col("c")).alias("c"), F.when(~F.col("whole"), union).alias("u"))
+        maybe = F.size(F.array_intersect("u", "c")) >= F.lit(LEAST_ESTIMATE * self.percent / 75) * F.size("u")
+        similar = F.lit(100) * F.col("i") >= F.lit(self.percent) * (F.col("na") + F.col("nb") - F.col("i"))
+        likely = cut(both.where(F.when(F.col("whole"), similar).otherwise(maybe)).select("a", "b", "na", "nb", "whole"), "dup-likely")
+        open_ = likely.where("not whole")
+        sets = cut(full_sets(self.docs, open_.select(F.explode(F.array("a", "b")).alias("node")).distinct(), self.reps, self.size, self.id_col, self.text_col), "dup-sets")
+        met = open_.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+        met = met.select("a", "b", "na", "nb", F.size(F.array_intersect("x", "y")).cast("long").alias("i")).where(similar)
+        out = cut(met.select("a", "b").unionByName(likely.where("whole").select("a", "b")).distinct(), "dup-links")
         forget(sets)
         forget(likely)
         return out
@@ -155,7 +171,10 @@ class Linker:
     def test(self, pairs: DataFrame, name: str) -> int:
         """Confirm the pairs that were not tested before; how many linked."""
         fresh = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        for done in self.tested:
+        if self.tested:
+            done = self.tested[0]
+            for more in self.tested[1:]:
+                done = done.unionByName(more)
             fresh = fresh.join(done, ["a", "b"], "left_anti")
         fresh = cut(fresh, name)
         if fresh.isEmpty():
@@ -166,67 +185,89 @@ class Linker:
 
     def first_round(self) -> int:
         least = self.index.groupBy("v").agg(F.min("node").alias("p"))
-        votes = self.index.join(least, "v").where("node != p").groupBy("node", "p").agg(F.count("*").alias("c"))
+        votes = self.index.select("node", "v").join(least, "v").where("node != p").groupBy("node", "p").agg(F.count("*").alias("c"))
         best = votes.groupBy("node").agg(F.max_by("p", F.struct("c", "p")).alias("p"))
         return self.test(best.select(F.col("p").alias("a"), F.col("node").alias("b")), "dup-first")
 
-    def so_far(self) -> DataFrame:
+    def quick_groups(self) -> DataFrame:
+        """(node, c): the least node of the one or two links that lead on from a node; not yet whole components."""
+        up = self.links[0].groupBy(F.col("b").alias("node")).agg(F.min("a").alias("c"))
+        upper = up.select(F.col("node").alias("c"), F.col("c").alias("cc"))
+        low = up.join(upper, "c", "left").select("node", F.coalesce("cc", "c").alias("c"))
+        return low.unionByName(low.select(F.col("c").alias("node"), "c")).groupBy("node").agg(F.min("c").alias("c"))
+
+    def groups(self) -> DataFrame:
         """(node, c): components by the links so far, of nodes with a link."""
         links = self.links[0]
         for more in self.links[1:]:
             links = links.unionByName(more)
         return components(links).select("node", F.col("component").alias("c"))
 
-    def mixed(self) -> DataFrame:
-        """Rows (v, node, n, c, top) of lists over several components; top: the largest component's id."""
-        known = self.so_far()
+    def merged(self, known: DataFrame) -> DataFrame:
+        """Components after the last links, from those before: only the groups that they join are looked at."""
+        last = self.links[-1].join(known.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a", "left").join(known.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b", "left")
+        ends = cut(last.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")), "dup-ends")
+        joined = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("node").alias("c"), F.col("component").alias("d"))
+        every = known.unionByName(ends.select(F.col("a").alias("node"), F.col("ca").alias("c"))).unionByName(ends.select(F.col("b").alias("node"), F.col("cb").alias("c"))).distinct()
+        return every.join(joined, "c", "left").select("node", F.coalesce("d", "c").alias("c"))
+
+    def mixed(self, known: DataFrame) -> DataFrame:
+        """Rows (v, node, n, p, i, m, c, top, star) of lists over several groups: top is the largest, star a node of it."""
         rows = self.index.join(known, "node", "left").withColumn("c", F.coalesce("c", "node"))
-        parts = rows.groupBy("v", "c").agg(F.count("*").alias("m"), F.min("node").alias("low"))
-        lists = parts.groupBy("v").agg(F.count("*").alias("parts"), F.max(F.struct("m", "c", "low")).alias("t")).where("parts > 1")
-        return cut(rows.join(lists.select("v", F.col("t.c").alias("top"), F.col("t.low").alias("low")), "v"), "dup-mixed")
+        parts = rows.groupBy("v", "c").agg(F.count("*").alias("m_"), F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("s"))
+        lists = parts.groupBy("v").agg(F.count("*").alias("parts"), F.max(F.struct("m_", "c", "s")).alias("t")).where("parts > 1")
+        return cut(rows.join(lists.select("v", F.col("t.c").alias("top"), F.col("t.s.node").alias("star")), "v"), "dup-mixed")
 
     def star_round(self) -> int:
-        rows = self.mixed()
-        near = rows.where("c != top").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-        return self.test(near, "dup-star")
-
-    def last_round(self) -> int:
-        rows = self.mixed()
-        x = rows.where("c != top").select("v", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-        y = rows.select("v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), (F.col("c") != F.col("top")).alias("minor"))
+        rows = self.mixed(self.quick_groups())
+        near = rows.where("c != top").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
+        linked = self.test(near, "dup-star")
+        forget(rows)
+        return linked
+
+    def last_round(self, known: DataFrame) -> int:
+        rows = self.mixed(known)
+        x = rows.where("c != top").select(*[F.col(c).alias(f"{c}a") for c in ("v", "node", "n", "p", "i", "m", "c")])
+        y = rows.select(*[F.col(c).alias(f"{c}b") for c in ("v", "node", "n", "p", "i", "m", "c")], (F.col("c") != F.col("top")).alias("minor"))
         size = F.lit(100) * F.least("na", "nb") >= F.lit(self.percent) * F.greatest("na", "nb")
-        pairs = x.join(y, "v").where((F.col("ca") != F.col("cb")) & (~F.col("minor") | (F.col("a") < F.col("b"))) & size)
-        return self.test(pairs.select("a", "b"), "dup-last")
+        # all that the two can share stands at or behind their first common value
+        room = F.least(F.col("ma") - F.col("ia"), F.col("mb") - F.col("ib")).cast("long")
+        enough = F.when(F.col("va") >= 0, room * (100 + self.percent) >= F.lit(self.percent) * (F.col("na") + F.col("nb"))).otherwise(room >= self.overlap)
+        once = F.get(F.array_intersect("pa", "pb"), F.lit(0)) == F.col("va")
+        meet = (F.col("va") == F.col("vb")) & (F.col("ca") != F.col("cb")) & (~F.col("minor") | (F.col("nodea") < F.col("nodeb"))) & size & enough & once
+        linked = self.test(x.join(y, meet).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")), "dup-last")
+        forget(rows)
+        return linked
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, k: int = K, overlap: int = OVERLAP, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, k: int = K, overlap: int = OVERLAP, full: int = FULL, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: the id, n_shingles, component_id, kept."""
     bounded_batches(docs.sparkSession)
-    rows = cut(sketches(docs, k, size, id_col, text_col), "dup-sketches")
-    reps = cut(rows.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "dup-reps")
-    linker = Linker(docs, reps, percent, k, overlap, size, id_col, text_col)
-    if linker.first_round():
-        linker.star_round()
-        linker.last_round()
-    elif linker.links:
-        linker.last_round()
-    out = rows.select("id", "n", "node")
+    made = cut(sketches(docs, k, full, size, id_col, text_col), "dup-sketches")
+    rows = cut(made.select("id", "n", "node"), "dup-rows")
+    reps = cut(made.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "dup-reps")
+    forget(made)
+    linker = Linker(docs, reps, percent, k, overlap, full, size, id_col, text_col)
+    linker.first_round()
     if linker.links:
-        joined = linker.so_far()
+        linker.star_round()
+        joined = cut(linker.groups(), "dup-groups")
+        if linker.last_round(joined):
+            joined = cut(linker.merged(joined), "dup-groups")
         least = joined.join(reps.select("node", "id"), "node").groupBy("c").agg(F.min("id").alias("low"))
-        named = cut(joined.join(least, "c").select("node", "low"), "dup-named")
+        named = joined.join(least, "c").select("node", "low")
         named = reps.select("node", "id").join(named, "node", "left").select("node", F.coalesce("low", "id").alias("component_id"))
     else:
         named = reps.select("node", F.col("id").alias("component_id"))
     named = cut(named, "dup-components")
-    out = out.join(named, "node", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    out = rows.join(named, "node", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """The rows of docs, all columns, whose id is that of their component; repeated rows of an id stay."""
-    gone = near_duplicates(docs, id_col=id_col, text_col=text_col, **more).where(~F.col("kept")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    gone = cut(near_duplicates(docs, id_col=id_col, text_col=text_col, **more).where(~F.col("kept")).select(id_col).distinct(), "dup-gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, id_col, "left_anti")
 
 
 def op2_near_dup(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ as one node. Inverted lists hold retained values, of short documents (sets of at
   node of it. Nodes of one component need no link between them, so that a group of n copies costs about n
   comparisons, not n * n.
 * Last round: what is left meets every node of other components in its lists, each pair in the first of the
-  lists that it shares, and only if what stands behind that value in both documents is enough for a link.
+  lists that it shares, and only if what stands behind that value in both documents, and the lists that they
+  share, are enough for a link.
 
 A pair of short documents is decided on its retained values, which are the full sets. Any other pair is
 estimated by the K least hashes of the union of both sketches, and what is not far below the threshold is
@@ -143,8 +144,9 @@ class Linker:
             kept = F.slice(own, 1, F.greatest(F.lit(0), F.size(own) - need[sign] + 1))
             return F.transform(kept, lambda x, i: F.struct(x["v"].alias("v"), i.alias("i"), F.size(own).alias("m")))
 
-        listed = shared.join(reps.select("node", "n"), "node").select("node", "n", F.concat(prefix(1), prefix(-1)).alias("p"))
-        self.index = cut(listed.select("node", "n", F.col("p.v").alias("p"), F.inline("p")), "dup-index")
+        listed = shared.join(reps.select("node", "n"), "node").select("node", "n", prefix(1).alias("short"), prefix(-1).alias("long"))
+        parts = [listed.select("node", "n", F.col(f"{c}.v").alias("p"), F.inline(c)) for c in ("short", "long")]
+        self.index = cut(parts[0].unionByName(parts[1]), "dup-index")
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (a, b) whose full sets are similar enough."""
@@ -232,7 +234,10 @@ class Linker:
         size = F.lit(100) * F.least("na", "nb") >= F.lit(self.percent) * F.greatest("na", "nb")
         # all that the two can share stands at or behind their first common value
         room = F.least(F.col("ma") - F.col("ia"), F.col("mb") - F.col("ib")).cast("long")
-        enough = F.when(F.col("va") >= 0, room * (100 + self.percent) >= F.lit(self.percent) * (F.col("na") + F.col("nb"))).otherwise(room >= self.overlap)
+        shared = F.ceil(F.lit(self.percent) * (F.col("na") + F.col("nb")) / F.lit(100 + self.percent))
+        # of short documents' common values, fewer than either one's overlap have no list in it
+        listed = F.size(F.array_intersect("pa", "pb")) > shared - F.ceil(F.greatest("na", "nb") * self.percent / 100)
+        enough = F.when(F.col("va") >= 0, (room >= shared) & listed).otherwise(room >= self.overlap)
         once = F.get(F.array_intersect("pa", "pb"), F.lit(0)) == F.col("va")
         meet = (F.col("va") == F.col("vb")) & (F.col("ca") != F.col("cb")) & (~F.col("minor") | (F.col("nodea") < F.col("nodeb"))) & size & enough & once
         linked = self.test(x.join(y, meet).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")), "dup-last")

@@ -11,7 +11,8 @@ long partner may have as a segment. Equal hashes give candidates; a banded bit-p
 verifies them on whole texts.
 
 Frequent segments: as a text only needs one earlier similar text, every list of a hash first proposes its
-earliest text to all others. Only texts that this leaves, as later ones, meet the rest of their lists.
+earliest text to all others. Only texts that this leaves, as later ones, meet the rest of their lists, and
+only where the parities of their characters' counts (64 bits) differ in at most two bits for each edit.
 
 Results: null texts have no line and stay null. Documents that lose every line go; documents that had
 nothing to lose stay as they are, empty ones too. Rows that share an id are one document: what goes from
@@ -32,6 +33,10 @@ from annoforge.llm.shared import bounded_batches, cut, forget, table
 
 #: Production parameters.
 MAX_EDITS, MIN_CHARS = 1, 24
+#: Keys of lists up to which they are broadcast; beyond, the join shuffles.
+BROADCAST_KEYS = 1_000_000
+#: Documents that lose lines up to which their line numbers are broadcast, so that no text is shuffled.
+BROADCAST_DOCS = 500_000
 
 
 def segments(length: int, n: int) -> list[tuple[int, int]]:
@@ -115,8 +120,14 @@ def _key(length: int, number: int, part: str) -> int:
     return xxhash.xxh3_64_intdigest(part.encode(), seed=length << 8 | number) >> 1
 
 
+def parities(text: str) -> int:
+    """Bit i: whether the characters whose code leaves i by 64 are odd in number. An edit changes two bits at most."""
+    counts = np.bincount(np.frombuffer(text.encode("utf-32-le"), np.uint32) & 63, minlength=64) & 1
+    return int(np.packbits(counts.astype(np.uint8)).view(np.int64)[0])
+
+
 def occurrences(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """(h, id, line, n, index, probe) of every line that takes part: its hash, place, length, join keys."""
+    """(h, id, line, sig, index, probe) of every line that takes part: its hash, place, parities, join keys."""
     kind = docs.schema[id_col].dataType.simpleString()
     spots: dict[int, tuple[list, list]] = {}
 
@@ -138,20 +149,21 @@ def occurrences(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, te
                     own, probe = spot
                     index = [_key(n, i, line[a:b]) for i, a, b in own]
                     asked = [_key(p, i, line[a:b]) for p, i, a, b in probe if p != n or line[a:b] != line[own[i][1] : own[i][2]]]
-                    rows.append((_hash(line), key, number, index, asked))
+                    rows.append((_hash(line), key, number, parities(line), index, asked))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], batch.column(0).type), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.list_(pa.int64())), pa.array([r[4] for r in rows], pa.list_(pa.int64()))],
-                    ["h", "id", "line", "index", "probe"],
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], batch.column(0).type), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.list_(pa.int64())), pa.array([r[5] for r in rows], pa.list_(pa.int64()))],
+                    ["h", "id", "line", "sig", "index", "probe"],
                 )
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"h bigint, id {kind}, line int, index array<bigint>, probe array<bigint>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"h bigint, id {kind}, line int, sig bigint, index array<bigint>, probe array<bigint>")
 
 
 def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """Those (x, y) of hashes whose texts are within max_edits; the texts come from their first occurrences."""
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("h")).distinct()
-    places = firsts.join(wanted, "h").groupBy("id").agg(F.collect_set("line").alias("lines"))
+    wanted = pairs.select(F.col("x").alias("h")).unionByName(pairs.select(F.col("y").alias("h"))).distinct()
+    places = cut(firsts.join(wanted, "h").groupBy("id").agg(F.collect_set("line").alias("lines")), "line-wanted")
+    places = F.broadcast(places) if places.count() <= BROADCAST_KEYS else places
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(places, "id")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,31 +190,33 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, max_edits: in
 
 def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """(x): hashes of texts with a similar text that first occurs earlier."""
-    place = F.struct("id", "line")
-    index = firsts.select(F.explode("index").alias("key"), "h", place.alias("at"), F.lit(True).alias("own"))
-    probe = firsts.select(F.explode("probe").alias("key"), "h", place.alias("at"), F.lit(False).alias("own"))
-    rows = index.unionByName(probe)
-    lists = rows.groupBy("key").agg(
-        F.count("*").alias("n"), F.max("own").alias("any_own"), F.min(F.struct("at", "h", "own")).alias("first"), F.min(F.when(F.col("own"), F.struct("at", "h"))).alias("first_own")
-    )
+    def keys(column: str, own: bool) -> DataFrame:
+        return firsts.select(F.explode(column).alias("key"), "h", "sig", F.struct("id", "line").alias("at"), F.lit(own).alias("own"))
+
+    rows = keys("index", True).unionByName(keys("probe", False))
     # a list matters if an index row meets another row
-    live = cut(rows.join(lists.where((F.col("n") > 1) & F.col("any_own")), "key"), "line-lists")
-    ahead = F.when(F.col("own"), F.struct(F.col("first.at").alias("at"), F.col("first.h").alias("h"))).otherwise(F.col("first_own"))
-    star = live.select(F.col("h").alias("x"), "at", ahead.alias("y")).where(F.col("y.at") < F.col("at")).select("x", F.col("y.h").alias("y")).where("x != y").distinct()
+    sizes = rows.select("key", "own").groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("some")).where("n > 1 and some")
+    alive = cut(sizes.select("key", "n"), "line-alive")
+    live = cut(rows.join(F.broadcast(alive) if alive.count() <= BROADCAST_KEYS else alive, "key"), "line-lists")
+    lists = live.groupBy("key").agg(F.min(F.struct("at", "h", "sig")).alias("first"), F.min(F.when(F.col("own"), F.struct("at", "h", "sig"))).alias("first_own"))
+
+    def like(a, b):
+        return F.bit_count(a.bitwiseXOR(b)) <= 2 * max_edits
+
+    # index rows meet the earliest row, probe rows the earliest index row
+    led = cut(live.join(lists, "key").withColumn("y", F.when(F.col("own"), F.col("first")).otherwise(F.col("first_own"))).drop("first", "first_own"), "line-led")
+    star = led.where((F.col("y.at") < F.col("at")) & like(F.col("sig"), F.col("y.sig"))).select(F.col("h").alias("x"), F.col("y.h").alias("y")).where("x != y").distinct()
     found = cut(verified(star, firsts, docs, max_edits, min_chars, id_col, text_col).select("x").distinct(), "line-found")
-    left = live.where("n > 2").join(found.select(F.col("x").alias("h")), "h", "left_anti")
-    other = live.where("n > 2").select("key", F.col("h").alias("y"), F.col("at").alias("y_at"), F.col("own").alias("y_own"))
-    rest = (
-        left.select("key", F.col("h").alias("x"), "at", "own", F.col("first.h").alias("f"), F.col("first_own.h").alias("g"))
-        .join(other, "key")
-        .where((F.col("own") | F.col("y_own")) & (F.col("y_at") < F.col("at")) & (F.col("x") != F.col("y")))
-        .where(F.when(F.col("own"), F.col("y") != F.col("f")).otherwise(F.col("y") != F.col("g")))
-        .select("x", "y")
-        .distinct()
-    )
-    rest = cut(rest, "line-rest")
+    left = led.where("n > 2").join(found.select(F.col("x").alias("h")), "h", "left_anti")
+    left = left.select("key", F.col("h").alias("x"), "at", "own", "sig", F.col("y.h").alias("seen"))
+    other = live.where("n > 2").select(F.col("key").alias("y_key"), F.col("h").alias("y"), F.col("at").alias("y_at"), F.col("own").alias("y_own"), F.col("sig").alias("y_sig"))
+    earlier = (F.col("key") == F.col("y_key")) & (F.col("own") | F.col("y_own")) & (F.col("y_at") < F.col("at")) & (F.col("x") != F.col("y")) & (F.col("y") != F.col("seen"))
+    rest = cut(left.join(other, earlier & like(F.col("sig"), F.col("y_sig"))).select("x", "y").distinct(), "line-rest")
     more = verified(rest, firsts, docs, max_edits, min_chars, id_col, text_col).select("x")
-    return found.unionByName(more).distinct()
+    out = cut(found.unionByName(more).distinct(), "line-late")
+    for used in (alive, live, led, found, rest):
+        forget(used)
+    return out
 
 
 def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,9 +225,9 @@ def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
     if max_edits >= min_chars:
         raise ValueError("a line that takes part must have more characters than edits")
     found = occurrences(docs, max_edits, min_chars, id_col, text_col)
-    places = cut(found.select("h", "id", "line", "index", "probe"), "line-places")
-    firsts = cut(places.groupBy("h").agg(F.min(F.struct("id", "line", "index", "probe")).alias("f")).select("h", "f.*"), "line-firsts")
-    late = cut(similar_earlier(firsts, docs, max_edits, min_chars, id_col, text_col), "line-late")
+    places = cut(found, "line-places")
+    firsts = cut(places.groupBy("h").agg(F.min(F.struct("id", "line", "sig", "index", "probe")).alias("f")).select("h", "f.*"), "line-firsts")
+    late = similar_earlier(firsts, docs, max_edits, min_chars, id_col, text_col)
     copies = places.join(firsts.select("h", F.col("id").alias("f_id"), F.col("line").alias("f_line")), "h").where((F.col("id") != F.col("f_id")) | (F.col("line") != F.col("f_line"))).select("id", "line")
     similar = firsts.join(late.select(F.col("x").alias("h")), "h", "left_semi").select("id", "line")
     out = cut(copies.unionByName(similar).groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("lines")), "line-removals")
@@ -225,6 +239,7 @@ def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
 def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = True, count: str | None = None) -> DataFrame:
     """docs with all their columns, texts without the lines that go; `count` names a column for how many went."""
     gone = removals(docs, max_edits, min_chars, id_col, text_col).withColumnRenamed("id", "_line_id")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_DOCS else gone
     rows = docs.join(gone, F.col(id_col) == F.col("_line_id"), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size("_line_all") - 1), F.col("lines"))

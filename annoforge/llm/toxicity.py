@@ -20,6 +20,7 @@ repeat: one output row per input row.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, held_out, table
+from annoforge.llm.shared import bounded_batches, held_out, table, tidy
 
 BUCKETS = 1 << 18
 #: Documented bounds of the labelled rows that the model is fitted to.
-SAMPLE, MAX_BYTES = 3000, 200_000
+SAMPLE, MAX_BYTES = 2000, 100_000
 KINDS = 5
 
 
@@ -134,9 +135,9 @@ class Field:
             grad[-6] = miss.sum()
             a, b = u[inner - 1], emit[inner] * v[inner]
             t = np.exp(self.trans)
-            joint = np.stack([t[0, 0] * np.ones_like(a), t[0, 1] * b, t[1, 0] * a, t[1, 1] * a * b])
-            joint /= joint.sum(axis=0)
-            grad[-5:-1] = pairs.ravel() - joint.sum(axis=1)
+            whole = t[0, 0] + t[0, 1] * b + t[1, 0] * a + t[1, 1] * a * b
+            joint = np.array([(t[0, 0] / whole).sum(), (t[0, 1] * b / whole).sum(), (t[1, 0] * a / whole).sum(), (t[1, 1] * a * b / whole).sum()])
+            grad[-5:-1] = pairs.ravel() - joint
             grad[-1] = truth[first].sum() - p[first].sum()
             grad = grad / n - ridge * flat
             mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad * grad
@@ -174,16 +175,19 @@ def fit_field(texts: list[str | None], toxic: np.ndarray, share: float) -> Field
         return field
     buckets = features(distinct)
     doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    held = np.unique(np.stack([doc, codes]), axis=1)
+    held = np.unique(doc * len(distinct) + codes)  # (document, token) pairs, each once
+    held_doc, held_code = held // len(distinct), held % len(distinct)
+    del held
     odds = np.zeros((len(distinct), KINDS))
     support = np.zeros((len(distinct), KINDS))
     for k in range(KINDS - 1):
-        had = np.unique(held[0] * BUCKETS + buckets[held[1], k])
-        in_toxic = toxic[had // BUCKETS]
-        a = np.bincount(had % BUCKETS, weights=in_toxic, minlength=BUCKETS)
-        b = np.bincount(had % BUCKETS, weights=1 - in_toxic, minlength=BUCKETS)
+        had = np.unique(held_doc * BUCKETS + buckets[held_code, k])
+        in_toxic, had = toxic[had // BUCKETS], had % BUCKETS
+        a = np.bincount(had, weights=in_toxic, minlength=BUCKETS)
+        b = np.bincount(had, minlength=BUCKETS) - a
         ratio = np.log((a + 0.5) / (toxic.sum() + 1)) - np.log((b + 0.5) / ((1 - toxic).sum() + 1))
         odds[:, k], support[:, k] = ratio[buckets[:, k]], a[buckets[:, k]]
+    del held_doc, held_code
     marked = ((odds >= 3.0) & (support >= max(5, 0.02 * toxic.sum()))).any(axis=1)
     truth = (marked[codes] & (toxic[doc] == 1)).astype(np.int64)
     field.fit(buckets, codes, bounds, truth)
@@ -203,6 +207,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     """Fit to documents joined with (id, toxic); rows without a label or with a null one are left out.
 
     A document with several labels is toxic if one of them says so."""
+    bounded_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     counts = {int(r[0] > 0): r[1] for r in known.groupBy(F.col("toxic") > 0).count().collect()}
     n = sum(counts.values())
@@ -215,11 +220,22 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     spark = docs.sparkSession
     picked = spark.createDataFrame(list(ids.items()), f"`{id_col}` bigint, toxic int")
     rows = docs.select(id_col, text_col).join(F.broadcast(picked), id_col).where(F.octet_length(text_col) <= MAX_BYTES)
-    seen: dict[str, tuple] = {}  # copies of a text would make its rare words look like signs of its label
-    for row in sorted(tuple(r) for r in rows.dropDuplicates([id_col]).where(F.col(text_col).isNotNull()).collect()):
-        seen.setdefault(row[1], row)
-    rows = sorted(seen.values())
-    return fit_field([r[1] for r in rows], np.array([r[2] for r in rows], np.int64), counts.get(1, 0) / n if n else 0.0)
+    rows = rows.dropDuplicates([id_col]).select(F.col(text_col).alias("text"), "toxic")
+    share = counts.get(1, 0) / n if n else 0.0
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}  # copies of a text would make its rare words look like signs of its label
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seen[text] = max(toxic, seen.get(text, 0))
+        texts = sorted(seen)
+        field = fit_field(texts, np.array([seen[t] for t in texts], np.int64), share)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(field)], pa.binary())], ["field"])
+        tidy()
+
+    # one task fits, over at most `sample` rows, so that the driver's memory holds nothing but the field
+    made = rows.repartition(1).mapInArrow(fitted, "field binary").collect()
+    return pickle.loads(bytes(made[0][0])) if made else fit_field([], np.zeros(0, np.int64), share)
 
 
 def tag(docs: DataFrame, field: Field, span_at: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,6 +265,7 @@ def tag(docs: DataFrame, field: Field, span_at: float = 0.5, id_col: str = "doc_
                     for d, a, b, q in zip(of.tolist(), lo.tolist(), hi.tolist(), p[hit].tolist(), strict=True):
                         spans[d].append({"start": a, "end": b, "p": q})
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(field.scores(p, bounds)), pa.array(spans, span)], [id_col, "score", "spans"])
+            tidy()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, spans array<struct<start:bigint,end:bigint,p:double>>")
 
@@ -281,5 +298,6 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sam
             codes, distinct, bounds, _, _ = _tokens(batch.column(at))
             p = field.marginals(features(distinct), codes, bounds)[0] if len(codes) else np.zeros(0)
             yield batch.filter(pa.array(field.scores(p, bounds) < threshold))
+            tidy()
 
     return docs.mapInArrow(run, docs.schema)

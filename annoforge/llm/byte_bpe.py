@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches
+from annoforge.llm.shared import bounded_batches, tidy
 
 #: Pre-tokens that one worker remembers; beyond, the oldest generation goes.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 120_000
+#: Pairs of symbols whose rank one worker remembers.
+CACHE_PAIRS = 150_000
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -119,7 +121,7 @@ class ByteBpe:
             queue.fill(int(pair[group[0]]), group.tolist())
         after, before, pair, alive = after.tolist(), before.tolist(), pair.tolist(), bytearray(b"\x01") * n
         pairs, ranks, names = self.pairs, self.ranks, self.tokens
-        if len(pairs) > 2_000_000:
+        if len(pairs) > CACHE_PAIRS:
             pairs.clear()
         while queue.top:
             rank, positions = queue.pop()
@@ -245,6 +247,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
             if decoded:
                 out.append(bpe.decode(ids).cast(pa.binary()))
             yield pa.RecordBatch.from_arrays(out, [id_col, "n_tokens", "ids", "decoded"][: len(out)])
+            del ids, out
+            tidy()
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 

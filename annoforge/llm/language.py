@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, held_out, table
+from annoforge.llm.shared import bounded_batches, held_out, table, tidy
 
 BUCKETS = 1 << 15
 #: Documented bound of the sample of labelled rows that the trigram counts come from.
@@ -158,6 +158,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: floa
             found = [{k: float(s) for k, s in zip(langs, row, strict=True) if s > 0} if ok else {} for row, ok in zip(shares, lettered, strict=True)]
             out = [batch.column(0), pa.array(names, pa.string()), pa.array(score), pa.array([list(f.items()) for f in found], pa.map_(pa.string(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(out, [id_col, "lang_pred", "score", "proportions"])
+            tidy()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, proportions map<string,double>")
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, components, cut, forget, table
+from annoforge.llm.shared import bounded_batches, components, cut, forget, table, tidy
 
 K, OVERLAP, FULL = 64, 30, 256
 #: Estimates below this are taken as no link: the threshold less five standard deviations at K = 64.
@@ -102,6 +102,8 @@ def sketches(docs: DataFrame, k: int, full: int, size: int, id_col: str, text_co
                 nodes.append(_node(own) if len(own) else None)
                 least.append(own if len(own) <= full else own[:k])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), _lists(least)], ["id", "n", "node", "sketch"])
+            del least
+            tidy()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n bigint, node bigint, sketch array<bigint>")
 
@@ -117,6 +119,8 @@ def full_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int, id_
         for batch in batches:
             own = list(shingle_sets(batch.column(1), size))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_node(x) if len(x) else None for x in own], pa.int64()), _lists(own)], ["id", "node", "set"])
+            del own
+            tidy()
 
     kind = docs.schema[id_col].dataType.simpleString()
     made = rows.select("id", "text").mapInArrow(run, f"id {kind}, node bigint, set array<bigint>")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one Arrow batch brings to a Python worker, a single longer text aside.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 20
 #: Used only where the session names no spark.checkpoint.dir, as in tests.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
@@ -26,6 +27,17 @@ def bounded_batches(spark: SparkSession) -> None:
         workers["PYTHONPATH"] = os.pathsep.join(filter(None, [home, workers.get("PYTHONPATH")]))
 
 
+def tidy() -> None:
+    """Give memory that a batch has freed back to the system: workers live on, and several share an executor."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not every C library has it
+        pass
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -81,7 +93,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = (
-            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (

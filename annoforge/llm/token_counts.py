@@ -21,10 +21,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, table
+from annoforge.llm.shared import bounded_batches, table, tidy
 from annoforge.llm.vocabularies import vocabulary
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 #: Below this code point composed forms stay as they are and lower case goes by single characters.
 PLAIN = 0x300
 
@@ -157,6 +157,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, frequent: tuple[list[str]
             if batch.num_rows:
                 n_bytes, n_tokens = _counters[key].count(batch.column(1))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes.astype(np.int64)), pa.array(n_tokens.astype(np.int64))], [id_col, "n_bytes", "n_tokens"])
+                tidy()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")
 

@@ -80,7 +80,8 @@ def number_or_zero(c: Column) -> Column:
 
 
 def fixed(c: Column, digits: int = 6) -> Column:
-    return F.format_string(f"%.{digits}f", number_or_zero(c))
+    """Fixed digits, ties to even; format_string alone rounds them up."""
+    return F.format_string(f"%.{digits}f", F.bround(number_or_zero(c), digits))
 
 
 def instant(c: Column, offset: str = "optional") -> Column:

@@ -202,14 +202,14 @@ def max_overlap(predictions: DataFrame, truth: DataFrame) -> DataFrame:
 
 def case_assembly(worklist: DataFrame, predictions: DataFrame, truth: DataFrame, threshold: float) -> DataFrame:
     """Per worklist image: boxes, active predictions, top confidence of all and best overlap of active ones, ids."""
-    from annoforge.functions.text import row_payload, sha256_hex
+    from annoforge.functions.text import fixed, row_payload, sha256_hex
 
     active = predictions.where(F.col("confidence") >= threshold)
     g = truth.groupBy("image_id").agg(F.count("*").alias("gt_count"))
     p = predictions.groupBy("image_id").agg(F.count_if(F.col("confidence") >= threshold).alias("prediction_count"), F.max("confidence").alias("max_confidence"))
     rows = worklist.select("image_id").distinct().join(g, "image_id", "left").join(p, "image_id", "left").join(max_overlap(active, truth), "image_id", "left")
     rows = rows.na.fill(0, ["gt_count", "prediction_count"]).na.fill(0.0, ["max_confidence", "max_iou"])
-    shown = [F.col("image_id"), F.col("gt_count"), F.col("prediction_count"), F.format_string("%.6f", "max_confidence"), F.format_string("%.6f", "max_iou"), F.lit("pending")]
+    shown = [F.col("image_id"), F.col("gt_count"), F.col("prediction_count"), fixed(F.col("max_confidence")), fixed(F.col("max_iou")), F.lit("pending")]
     provisional = sha256_hex(row_payload(*shown))
     rows = rows.withColumn("review_case_id", F.concat(F.lit("l_"), F.substring(F.sha2(F.encode(F.concat(F.col("image_id").cast("string"), provisional), "UTF-8"), 256), 1, 16)))
     return rows.withColumn("source_fingerprint", sha256_hex(row_payload(F.col("review_case_id"), *shown)))

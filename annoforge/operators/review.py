@@ -129,8 +129,8 @@ def merge_suggestions(labels: DataFrame, suggestions: DataFrame, floors: dict[st
     exterior = F.when(F.col("_type") == "exterior", "1").otherwise("0")
     parts = F.array_compact(
         F.array(
-            F.when(take_type, F.concat(F.lit("auto_photo_type="), "_type", F.lit(":"), F.format_string("%.3f", "_type_c"))),
-            F.when(take_angle, F.concat(F.lit("auto_angle="), "_angle", F.lit(":"), F.format_string("%.3f", "_angle_c"))),
+            F.when(take_type, F.concat(F.lit("auto_photo_type="), "_type", F.lit(":"), T.fixed(F.col("_type_c"), 3))),
+            F.when(take_angle, F.concat(F.lit("auto_angle="), "_angle", F.lit(":"), T.fixed(F.col("_angle_c"), 3))),
             F.when(open_ & (F.col("_note") != ""), F.col("_note")),
         )
     )

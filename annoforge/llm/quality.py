@@ -5,11 +5,12 @@ without exploding it. Transformed statistic vectors are kept in fixed point (1/S
 and of their products are exact and do not depend on the order of rows. Per group the minimum covariance
 determinant is approached by concentration steps: distances from the current centre and scatter, the
 `share` of rows of least distance, their mean and covariance as the next ones. Quantiles of medians and
-distances are read off counts by bins of fixed width, so that no group's values are ever gathered.
+distances are read off counts by bins of fixed width, so that no group's values are ever gathered. The
+covariance of the nearest rows is made consistent with normal rows (`consistency`) before it is used.
 
 Groups below `least` rows are pooled into one; if even that is smaller, the base rule alone decides.
-Scatter has a floor per coordinate (FLOORS), so that a group in which most documents agree exactly in one
-statistic does not reject small deviations from it.
+A coordinate's deviation, given those before it, is the estimated one or its floor (FLOORS), whichever is
+larger: a group in which most documents agree exactly in one statistic does not reject tiny deviations from it.
 
 Results: null text counts as empty: all statistics 0, base_failed. Null lang or source are values of their
 own. Ids may be null or repeat: every row is a row of its own. Windows of five words are compared by a
@@ -18,6 +19,8 @@ own. Ids may be null or repeat: every row is a row of its own. Windows of five w
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,10 +30,12 @@ from annoforge.llm.shared import cut, forget, table
 SCALE = 4096
 DIMS = 5
 #: Standard deviations of the coordinates, in their units, never go below these.
-FLOORS = (0.25, 0.15, 0.1, 0.2, 0.12)
+FLOORS = (0.05, 0.02, 0.02, 0.08, 0.08)
+#: Deviations that the first distances, from the medians, are measured in.
+START = (0.5, 0.3, 0.2, 0.4, 0.24)
 SHARE, STEPS, LEAST = 0.75, 4, 50
-#: Quantiles of chi squared with five degrees of freedom at 0.5 and 0.99999.
-CHI2_HALF, CUTOFF = 4.351460, 30.856190
+#: Fixed value: quantile of chi squared with five degrees of freedom at 0.999.
+CUTOFF = 20.515006
 #: Groups up to which their estimates are broadcast; beyond, they are joined by a salted shuffle.
 BROADCAST_GROUPS, SALTS = 100_000, 32
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -106,8 +111,28 @@ def quantile(rows: DataFrame, keys: list[str], value: str, share: float, name: s
     return run.where(F.col("_below") >= F.lit(share) * F.col("_all")).groupBy(*keys).agg(F.min(value).alias(name))
 
 
-def scatter(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group the mean m0.. and the Cholesky factor l00.. of the covariance with its floor, in units of 1/SCALE."""
+def chi2_below(x: float, dims: int) -> float:
+    """The share of chi squared with an odd number of degrees of freedom that lies below x."""
+    term, below = math.sqrt(2 * x / math.pi) * math.exp(-x / 2), math.erf(math.sqrt(x / 2))
+    for k in range(1, dims, 2):
+        below -= term
+        term *= x / (k + 2)
+    return below
+
+
+def consistency(share: float) -> float:
+    """What the covariance of the nearest share of normal rows is to be multiplied by to be that of all."""
+    if share >= 1:
+        return 1.0
+    lo, hi = 0.0, 200.0
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if chi2_below(mid, DIMS) < share else (lo, mid)
+    return share / chi2_below(lo, DIMS + 2)
+
+
+def scatter(rows: DataFrame, keys: list[str], factor: float = 1.0) -> DataFrame:
+    """Per group the mean m0.. and the Cholesky factor l00.. of factor times the covariance, floored, in units of 1/SCALE."""
     exact = {f"x{i}": F.col(f"x{i}").cast("decimal(20,0)") for i in range(DIMS)}
     sums = [F.sum(exact[f"x{i}"]).alias(f"s{i}") for i in range(DIMS)]
     products = [F.sum(exact[f"x{i}"] * F.col(f"x{j}").cast("decimal(10,0)")).alias(f"p{i}{j}") for i in range(DIMS) for j in range(i + 1)]
@@ -116,10 +141,10 @@ def scatter(rows: DataFrame, keys: list[str]) -> DataFrame:
     floor = [(f * SCALE) ** 2 for f in FLOORS]
     for i in range(DIMS):
         for j in range(i + 1):
-            c = F.col(f"p{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") + (floor[i] if i == j else 0.0)
+            c = F.lit(factor) * (F.col(f"p{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
             for k in range(j):
                 c = c - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            g = g.withColumn(f"l{i}{j}", F.sqrt(F.greatest(c, F.lit(floor[i] * 0.01))) if i == j else c / F.col(f"l{j}{j}"))
+            g = g.withColumn(f"l{i}{j}", F.sqrt(F.greatest(c, F.lit(floor[i]))) if i == j else c / F.col(f"l{j}{j}"))
     return g.select(*keys, *[f"m{i}" for i in range(DIMS)], *[f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)])
 
 
@@ -135,7 +160,7 @@ def distance(rows: DataFrame, name: str = "d2") -> DataFrame:
 
 
 def robust_scatter(rows: DataFrame, keys: list[str], share: float = SHARE, steps: int = STEPS) -> tuple[DataFrame, int]:
-    """Per group centre, factor and scale of the minimum covariance determinant; how many groups."""
+    """Per group centre and factor of the minimum covariance determinant; how many groups."""
     spread = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.floor(F.col(f"x{i}") / 64).alias("b")) for i in range(DIMS)])).alias("v")).select(*keys, "v.d", "v.b")
     middle = cut(quantile(spread, [*keys, "d"], "b", 0.5, "mid"), "middle")
     n = middle.select(*keys).distinct().count()
@@ -144,22 +169,17 @@ def robust_scatter(rows: DataFrame, keys: list[str], share: float = SHARE, steps
     diagonal = centre.select(
         *keys,
         *[(F.col(f"c{i}") * 64.0 + 32).alias(f"m{i}") for i in range(DIMS)],
-        *[F.lit(FLOORS[i] * SCALE * 2 if i == j else 0.0).alias(f"l{i}{j}") for i in range(DIMS) for j in range(i + 1)],
+        *[F.lit(START[i] * SCALE if i == j else 0.0).alias(f"l{i}{j}") for i in range(DIMS) for j in range(i + 1)],
     )
     now = cut(diagonal, "scatter")
     forget(middle)
     for _ in range(steps):
         binned = distance(attach(rows, now, keys, n)).withColumn("_b", F.floor(F.log2(F.col("d2") + 1) * 64))
         near = attach(binned, quantile(binned, keys, "_b", share, "_cut"), keys, n).where("_b <= _cut")
-        after = cut(scatter(near, keys), "scatter")
+        after = cut(scatter(near, keys, consistency(share)), "scatter")
         forget(now)
         now = after
-    binned = distance(attach(rows, now, keys, n)).withColumn("_b", F.floor(F.log2(F.col("d2") + 1) * 64))
-    half = quantile(binned, keys, "_b", 0.5, "_half")
-    scale = F.greatest(F.pow(F.lit(2.0), (F.col("_half") + 0.5) / 64) - 1, F.lit(0.1)) / CHI2_HALF
-    out = cut(now.join(half, keys).withColumn("_scale", F.greatest(scale, F.lit(1.0))).drop("_half"), "scatter")
-    forget(now)
-    return out, n
+    return now, n
 
 
 def quality(docs: DataFrame, by: tuple[str, ...] = ("lang", "source"), text_col: str = "text", share: float = SHARE, steps: int = STEPS, least: int = LEAST, cutoff: float = CUTOFF) -> DataFrame:
@@ -189,10 +209,9 @@ def quality(docs: DataFrame, by: tuple[str, ...] = ("lang", "source"), text_col:
         salt = F.pmod(F.xxhash64(*[f"x{i}" for i in range(DIMS)]), F.lit(SALTS))
         every = fitted.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         joined = marked.withColumn("_salt", salt).join(every, [*pooled, "_salt"], "left").drop("_salt")
-    out = distance(joined)
-    far = F.col("d2") / F.col("_scale")
-    out = out.withColumn("distance", far).withColumn("kept", ~F.col("base_failed") & F.coalesce(far <= cutoff, F.lit(True)))
-    return out.drop("d2", "_scale", *pooled, *[f"x{i}" for i in range(DIMS)])
+    out = distance(joined, "distance")
+    out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))
+    return out.drop(*pooled, *[f"x{i}" for i in range(DIMS)])
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:

@@ -249,6 +249,25 @@ def test_robust_scatter_ignores_outliers_and_quality_rejects_them(spark):
     assert {r["doc_id"] for r in got if r["base_failed"]} == {999}
 
 
+def test_one_odd_statistic_is_enough_to_be_rejected(spark):
+    rng = random.Random(18)
+
+    def line(n):
+        return " ".join(rng.choice("abcdefgh") * rng.randint(3, 7) + str(rng.randint(0, 9999)) for _ in range(n))
+
+    rows = [(i, "\n".join(line(10) for _ in range(rng.randint(6, 12))), "en", "s") for i in range(300)]
+    twice = line(4)
+    rows += [
+        (1000, line(80).replace(" ", " | "), "en", "s"),
+        (1001, "\n".join(x for _ in range(4) for x in (twice, line(16))), "en", "s"),
+        (1002, "\n".join([line(20) + " " + (again := line(8)), line(30) + " " + again, *[line(10) for _ in range(3)]]), "en", "s"),
+    ]
+    got = quality.quality(frame(spark, rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if not r["kept"]} == {1000, 1001, 1002}
+    assert abs(quality.consistency(0.75) - 1.4124) < 1e-3 and abs(quality.chi2_below(quality.CUTOFF, quality.DIMS) - 0.999) < 1e-7
+
+
 def test_concentration_steps_lower_the_determinant(spark):
     rng = np.random.default_rng(9)
     x = np.concatenate([rng.normal(0, 3000, (400, 5)), rng.normal(40_000, 500, (60, 5))]).round().astype(int)

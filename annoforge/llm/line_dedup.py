@@ -1,10 +1,12 @@
 """Removal of repeated lines: exact copies, and lines within a few edits, by a segment-partition join.
 
-A line takes part if it has at least `min_chars` code points. An occurrence goes if an equal or similar line
-(edit distance at most `max_edits`) occurs earlier, in the order of document id and line number. The first
-occurrence of each text stands for the text.
+A line takes part if it has at least `min_chars` code points and holds a word (or is long). An occurrence goes
+if an equal or similar line occurs earlier, in the order of document id and line number. Similar: the edit
+distance is at most what the shorter line's length allows, one for each CHARS_PER_EDIT code points up to
+MOST_EDITS, or `max_edits` where given. The first occurrence of each text stands for the text. Lines that
+allow no edit take part by their hash alone.
 
-The join: a text of length l is cut into max_edits + 1 segments, so that a similar text holds one of them
+The join: a text of length l that allows k edits is cut into k + 1 segments, so that a similar text holds one of them
 unchanged, and at a place that the lengths and the segment's number bound. Index rows carry a hash of
 (length, segment number, segment); probe rows carry the hashes of those substrings that a shorter or equally
 long partner may have as a segment. Equal hashes give candidates; a banded bit-parallel edit distance
@@ -21,7 +23,8 @@ one goes from all, and repeated rows do not make each other's lines go. Null ids
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +35,21 @@ from pyspark.sql import functions as F
 from annoforge.llm.shared import bounded_batches, cut, forget, table
 
 #: Production parameters.
-MAX_EDITS, MIN_CHARS = 1, 24
+MOST_EDITS, CHARS_PER_EDIT, MIN_CHARS = 1, 24, 1
+WORD = re.compile(r"\w")
 #: Keys of lists up to which they are broadcast; beyond, the join shuffles.
 BROADCAST_KEYS = 1_000_000
 #: Documents that lose lines up to which their line numbers are broadcast, so that no text is shuffled.
 BROADCAST_DOCS = 500_000
 
 
+def allowed(max_edits: int | None = None) -> Callable[[int], int]:
+    """The edits that a length allows; a text has more characters than edits, so that no segment is empty."""
+    if max_edits is None:
+        return lambda n: min(MOST_EDITS, n // CHARS_PER_EDIT)
+    return lambda n: max_edits if n > max_edits else 0
+
+
 def segments(length: int, n: int) -> list[tuple[int, int]]:
     """(start, size) of n segments of a text; the last ones are longer by one where it does not divide."""
     size, longer = divmod(length, n)
@@ -50,14 +61,17 @@ def segments(length: int, n: int) -> list[tuple[int, int]]:
     return out
 
 
-def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
+def probes(length: int, edits: int | Callable[[int], int]) -> list[tuple[int, int, int, int]]:
     """(partner length, segment number, start, size) of the substrings that a text of this length probes.
 
     With d the difference in length, segment i of the partner can start in the text only where at most i
     edits come before it and at most edits - i after it."""
     out = []
-    for partner in range(max(1, length - edits), length + 1):
-        d = length - partner
+    edits_of = edits if callable(edits) else lambda n: edits
+    for partner in range(max(1, length - edits_of(length)), length + 1):
+        d, edits = length - partner, edits_of(partner)
+        if d > edits or not edits:
+            continue
         for i, (at, size) in enumerate(segments(partner, edits + 1)):
             lo = max(at - i, at + d - (edits - i), 0)
             hi = min(at + i, at + d + (edits - i), length - size)
@@ -126,9 +140,10 @@ def parities(text: str) -> int:
     return int(np.packbits(counts.astype(np.uint8)).view(np.int64)[0])
 
 
-def occurrences(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """(h, id, line, sig, index, probe) of every line that takes part: its hash, place, parities, join keys."""
+def occurrences(docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """(h, id, line, sig, k, index, probe) of every line that takes part: its hash, place, parities, edits, join keys."""
     kind = docs.schema[id_col].dataType.simpleString()
+    edits = allowed(max_edits)
     spots: dict[int, tuple[list, list]] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,28 +154,31 @@ def occurrences(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, te
                     continue
                 for number, line in enumerate(text.split("\n")):
                     n = len(line)
-                    if n < min_chars:
+                    if n < min_chars or (n < CHARS_PER_EDIT and not WORD.search(line)):
+                        continue
+                    if not edits(n):
+                        rows.append((_hash(line), key, number, 0, 0, [], []))
                         continue
                     spot = spots.get(n)
                     if spot is None:
                         if len(spots) > 4096:
                             spots.clear()
-                        spot = spots[n] = ([(i, a, a + s) for i, (a, s) in enumerate(segments(n, max_edits + 1))], [(p, i, a, a + s) for p, i, a, s in probes(n, max_edits)])
+                        spot = spots[n] = ([(i, a, a + s) for i, (a, s) in enumerate(segments(n, edits(n) + 1))], [(p, i, a, a + s) for p, i, a, s in probes(n, edits)])
                     own, probe = spot
                     index = [_key(n, i, line[a:b]) for i, a, b in own]
                     asked = [_key(p, i, line[a:b]) for p, i, a, b in probe if p != n or line[a:b] != line[own[i][1] : own[i][2]]]
-                    rows.append((_hash(line), key, number, parities(line), index, asked))
+                    rows.append((_hash(line), key, number, parities(line), edits(n), index, asked))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], batch.column(0).type), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.list_(pa.int64())), pa.array([r[5] for r in rows], pa.list_(pa.int64()))],
-                    ["h", "id", "line", "sig", "index", "probe"],
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], batch.column(0).type), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int32()), pa.array([r[5] for r in rows], pa.list_(pa.int64())), pa.array([r[6] for r in rows], pa.list_(pa.int64()))],
+                    ["h", "id", "line", "sig", "k", "index", "probe"],
                 )
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"h bigint, id {kind}, line int, sig bigint, index array<bigint>, probe array<bigint>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"h bigint, id {kind}, line int, sig bigint, k int, index array<bigint>, probe array<bigint>")
 
 
-def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """Those (x, y) of hashes whose texts are within max_edits; the texts come from their first occurrences."""
+def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """Those (x, y) of hashes whose texts are within the edits they allow; the texts come from their first occurrences."""
     wanted = pairs.select(F.col("x").alias("h")).unionByName(pairs.select(F.col("y").alias("h"))).distinct()
     places = cut(firsts.join(wanted, "h").groupBy("id").agg(F.collect_set("line").alias("lines")), "line-wanted")
     places = F.broadcast(places) if places.count() <= BROADCAST_KEYS else places
@@ -180,38 +198,40 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, max_edits: in
     texts = rows.select("text", "lines").mapInArrow(read, "h bigint, text string").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
     both = pairs.join(texts.select(F.col("h").alias("x"), F.col("text").alias("a")), "x").join(texts.select(F.col("h").alias("y"), F.col("text").alias("b")), "y")
 
+    edits = allowed(max_edits)
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [within(a, b, max_edits) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            good = [within(a, b, edits(min(len(a), len(b)))) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
 
     return both.select("x", "y", "a", "b").mapInArrow(check, "x bigint, y bigint")
 
 
-def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """(x): hashes of texts with a similar text that first occurs earlier."""
     def keys(column: str, own: bool) -> DataFrame:
-        return firsts.select(F.explode(column).alias("key"), "h", "sig", F.struct("id", "line").alias("at"), F.lit(own).alias("own"))
+        return firsts.select(F.explode(column).alias("key"), "h", "sig", "k", F.struct("id", "line").alias("at"), F.lit(own).alias("own"))
 
     rows = keys("index", True).unionByName(keys("probe", False))
     # a list matters if an index row meets another row
     sizes = rows.select("key", "own").groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("some")).where("n > 1 and some")
     alive = cut(sizes.select("key", "n"), "line-alive")
     live = cut(rows.join(F.broadcast(alive) if alive.count() <= BROADCAST_KEYS else alive, "key"), "line-lists")
-    lists = live.groupBy("key").agg(F.min(F.struct("at", "h", "sig")).alias("first"), F.min(F.when(F.col("own"), F.struct("at", "h", "sig"))).alias("first_own"))
+    lists = live.groupBy("key").agg(F.min(F.struct("at", "h", "sig", "k")).alias("first"), F.min(F.when(F.col("own"), F.struct("at", "h", "sig", "k"))).alias("first_own"))
 
-    def like(a, b):
-        return F.bit_count(a.bitwiseXOR(b)) <= 2 * max_edits
+    def like(a, b, k, y_k):
+        return F.bit_count(a.bitwiseXOR(b)) <= 2 * F.least(k, y_k)
 
     # index rows meet the earliest row, probe rows the earliest index row
     led = cut(live.join(lists, "key").withColumn("y", F.when(F.col("own"), F.col("first")).otherwise(F.col("first_own"))).drop("first", "first_own"), "line-led")
-    star = led.where((F.col("y.at") < F.col("at")) & like(F.col("sig"), F.col("y.sig"))).select(F.col("h").alias("x"), F.col("y.h").alias("y")).where("x != y").distinct()
+    star = led.where((F.col("y.at") < F.col("at")) & like(F.col("sig"), F.col("y.sig"), F.col("k"), F.col("y.k"))).select(F.col("h").alias("x"), F.col("y.h").alias("y")).where("x != y").distinct()
     found = cut(verified(star, firsts, docs, max_edits, min_chars, id_col, text_col).select("x").distinct(), "line-found")
     left = led.where("n > 2").join(found.select(F.col("x").alias("h")), "h", "left_anti")
-    left = left.select("key", F.col("h").alias("x"), "at", "own", "sig", F.col("y.h").alias("seen"))
-    other = live.where("n > 2").select(F.col("key").alias("y_key"), F.col("h").alias("y"), F.col("at").alias("y_at"), F.col("own").alias("y_own"), F.col("sig").alias("y_sig"))
+    left = left.select("key", F.col("h").alias("x"), "at", "own", "sig", "k", F.col("y.h").alias("seen"))
+    other = live.where("n > 2").select(F.col("key").alias("y_key"), F.col("h").alias("y"), F.col("at").alias("y_at"), F.col("own").alias("y_own"), F.col("sig").alias("y_sig"), F.col("k").alias("y_k"))
     earlier = (F.col("key") == F.col("y_key")) & (F.col("own") | F.col("y_own")) & (F.col("y_at") < F.col("at")) & (F.col("x") != F.col("y")) & (F.col("y") != F.col("seen"))
-    rest = cut(left.join(other, earlier & like(F.col("sig"), F.col("y_sig"))).select("x", "y").distinct(), "line-rest")
+    rest = cut(left.join(other, earlier & like(F.col("sig"), F.col("y_sig"), F.col("k"), F.col("y_k"))).select("x", "y").distinct(), "line-rest")
     more = verified(rest, firsts, docs, max_edits, min_chars, id_col, text_col).select("x")
     out = cut(found.unionByName(more).distinct(), "line-late")
     for used in (alive, live, led, found, rest):
@@ -219,14 +239,12 @@ def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int, min_char
     return out
 
 
-def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lines): numbers of the lines that go from each document that loses any."""
     bounded_batches(docs.sparkSession)
-    if max_edits >= min_chars:
-        raise ValueError("a line that takes part must have more characters than edits")
     found = occurrences(docs, max_edits, min_chars, id_col, text_col)
     places = cut(found, "line-places")
-    firsts = cut(places.groupBy("h").agg(F.min(F.struct("id", "line", "sig", "index", "probe")).alias("f")).select("h", "f.*"), "line-firsts")
+    firsts = cut(places.groupBy("h").agg(F.min(F.struct("id", "line", "sig", "k", "index", "probe")).alias("f")).select("h", "f.*"), "line-firsts")
     late = similar_earlier(firsts, docs, max_edits, min_chars, id_col, text_col)
     copies = places.join(firsts.select("h", F.col("id").alias("f_id"), F.col("line").alias("f_line")), "h").where((F.col("id") != F.col("f_id")) | (F.col("line") != F.col("f_line"))).select("id", "line")
     similar = firsts.join(late.select(F.col("x").alias("h")), "h", "left_semi").select("id", "line")
@@ -236,7 +254,7 @@ def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
     return out
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = True, count: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = True, count: str | None = None) -> DataFrame:
     """docs with all their columns, texts without the lines that go; `count` names a column for how many went."""
     gone = removals(docs, max_edits, min_chars, id_col, text_col).withColumnRenamed("id", "_line_id")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_DOCS else gone

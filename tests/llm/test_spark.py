@@ -187,6 +187,12 @@ def test_line_dedup_equals_brute_force(spark, edits):
     assert 52 not in {r["doc_id"] for r in line_dedup.dedup_lines(frame(spark, docs), edits, 10).collect()}
 
 
+def test_copies_of_short_lines_go_and_similar_short_lines_stay(spark):
+    docs = [(1, "Home\n\n--\nPage 1\nAll rights reserved."), (2, "Home\n\n--\nPage 2\nAll rights reserved."), (3, "über uns\nHome")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame(spark, docs)).collect()}
+    assert got == {1: docs[0][1], 2: "\n--\nPage 2", 3: "über uns"}
+
+
 def made_vectors(seed, n=150, dim=24):
     rng = np.random.default_rng(seed)
     out = list(rng.normal(size=(n, dim)))

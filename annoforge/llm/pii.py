@@ -109,9 +109,11 @@ SPELLED = re.compile(rf"(?:\b(?:{_plus})\b\s*|\+\s*)?{_digit}(?:(?:[\s(),.-]|\b(
 TOKEN = re.compile(rf"\b(?P<digit>{_words})\b|\s*\b(?P<dot>{_dot})\b\s*|\b(?P<plus>{_plus})\b\s*", re.I)
 MAIL_WORDS = re.compile(rf"[\w.%+-]+(?P<at>\s+(?:{_at})\s+|\s*@\s*)[\w-]+(?:(?:\s+(?:{_dot})\s+|\s*\.\s*)[\w-]+)*?(?:\s+(?:{_dot})\s+|\s*\.\s*)(?:{_last})\b", re.I)
 MAIL_TOKEN = re.compile(rf"\s+(?P<at>{_at})\s+|\s+(?P<dot>{_dot})\s+", re.I)
-HINTS_MAIL = [f" {w} " for w in DOT_WORDS.split()]
+#: What a text must hold for a transducer to change it: MAIL_WORDS after the last character of a local part, a spelled token beside a digit.
+HINTS_MAIL = re.compile(r"(?<=[\w.%+-])" + MAIL_WORDS.pattern.removeprefix(r"[\w.%+-]+"), re.I)
 HINTS_BRACKET = re.compile(rf"{_open}(?:{_at}|{_dot}|@|\.|dash|minus){_close}", re.I)
-HINTS_DIGIT = re.compile(rf"\b(?:{_words})\b[\s(),.-]+(?:(?:{_dot})\s+)?(?:{_words})\b", re.I)
+_between = rf"(?:[\s(),.-]|\b(?:{_dot})\b)*"
+HINTS_DIGIT = re.compile(rf"\b(?:{_words}|{_plus}|{_dot})\b{_between}{_digit}|[0-9]{_between}\b(?:{_words})\b", re.I)
 
 
 class Rewritten:
@@ -169,19 +171,17 @@ def disguised(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, i
     if odd:
         look_alikes(r := Rewritten(text))
     now = r.text if r else text
-    low = now.lower()
-    steps = []
+    # each step may write what the next one reads
     if HINTS_BRACKET.search(now):
-        steps.append(bracketed)
+        bracketed(r := r or Rewritten(text))
+        now = r.text
     if HINTS_DIGIT.search(now):
-        steps.append(spelled_digits)
-    if any(h in low for h in HINTS_MAIL):
-        steps.append(spelled_mail)
-    if not steps and r is None:
+        spelled_digits(r := r or Rewritten(text))
+        now = r.text
+    if MAIL_TOKEN.search(now) and HINTS_MAIL.search(now):
+        spelled_mail(r := r or Rewritten(text))
+    if r is None:
         return []
-    r = r or Rewritten(text)
-    for step in steps:
-        step(r)
     out = []
     for a, kind, b in detect(r.text):
         if any(r.new[a:b]) or r.hi[b - 1] - r.lo[a] != b - a:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from annoforge.llm.shared import bounded_batches, cut, forget, table
 
 #: Production parameters.
-MOST_EDITS, CHARS_PER_EDIT, MIN_CHARS = 1, 24, 1
+MOST_EDITS, CHARS_PER_EDIT, MIN_CHARS = 6, 24, 1
 WORD = re.compile(r"\w")
 #: Keys of lists up to which they are broadcast; beyond, the join shuffles.
 BROADCAST_KEYS = 1_000_000

@@ -193,6 +193,15 @@ def test_copies_of_short_lines_go_and_similar_short_lines_stay(spark):
     assert got == {1: docs[0][1], 2: "\n--\nPage 2", 3: "über uns"}
 
 
+def test_longer_lines_may_differ_by_more_edits(spark):
+    long = " ".join(f"{w}{i}" for i, w in enumerate(["harbour", "letter", "garden", "window", "marble", "candle"] * 4))
+    near, far = long.replace("garden8", "gxxxen8"), long.replace("garden8", "meadows of 99")
+    short = "the ferry leaves at ten sharp"
+    docs = [(1, long), (2, near), (3, far), (4, short), (5, short.replace("ten", "six")), (6, short.replace("ten", "tin"))]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame(spark, docs)).collect()}
+    assert got == {1: long, 3: far, 4: short, 5: docs[4][1]}
+
+
 def made_vectors(seed, n=150, dim=24):
     rng = np.random.default_rng(seed)
     out = list(rng.normal(size=(n, dim)))

@@ -13,9 +13,9 @@ def side(lo: Column, hi: Column) -> Column:
     return F.greatest(F.lit(0.0), hi - lo)
 
 
-def iou(a: str, b: str) -> Column:
+def iou(a: str | Column, b: str | Column) -> Column:
     """Intersection over union of two corner boxes held as structs x1, y1, x2, y2; 0 for an empty box."""
-    p, q = F.col(a), F.col(b)
+    p, q = (F.col(x) if isinstance(x, str) else x for x in (a, b))
     area_p = side(p["x1"], p["x2"]) * side(p["y1"], p["y2"])
     area_q = side(q["x1"], q["x2"]) * side(q["y1"], q["y2"])
     inner = side(F.greatest(p["x1"], q["x1"]), F.least(p["x2"], q["x2"])) * side(F.greatest(p["y1"], q["y1"]), F.least(p["y2"], q["y2"]))

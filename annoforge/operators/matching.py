@@ -1,8 +1,12 @@
 """Detections against ground truth: one-to-one matching, threshold sweeps, error summaries.
 
 Predictions: image_id, prediction_id, class_id, confidence, box. Ground truth: image_id, gt_id, class_id,
-box. Boxes are structs of corners. Overlaps are computed once per pair of one image and class; thresholds
-come in afterwards, and only predictions that reach the matching overlap with some box compete in a fold.
+box. Boxes are structs of corners.
+
+Both sides meet in one shuffle by image. Predictions go by falling confidence, and a box once taken stays
+taken, so that the outcome of a prediction does not depend on those after it: one fold at the least threshold
+gives the outcomes at all thresholds, which come in afterwards, and a sweep is sums over those outcomes. A
+prediction whose confidence is null or not a number is active at no threshold.
 """
 
 from __future__ import annotations
@@ -14,110 +18,157 @@ from pyspark.sql.window import Window
 from annoforge.functions.boxes import iou
 
 MATCH_IOU, LOCAL_IOU = 0.5, 0.1
-_HIT = "array<struct<n:double,g:string>>"
+#: What an operating point and a priority are taken from.
+POINT_STATUS, EVIDENCE = "VALIDATION_THRESHOLD_CANDIDATE", "validation_error_cases"
 
 
-def overlaps(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """(image_id, prediction_id, gt_id, confidence, iou) of all pairs of one image and class."""
-    p = predictions.select("image_id", "class_id", "prediction_id", "confidence", F.col("box").alias("pb"))
-    g = truth.select("image_id", "class_id", "gt_id", F.col("box").alias("gb"))
-    return p.join(g, ["image_id", "class_id"]).select("image_id", "prediction_id", "gt_id", "confidence", iou("pb", "gb").alias("iou"))
+def gathered(predictions: DataFrame, truth: DataFrame) -> DataFrame:
+    """(image_id, ps, gs): predictions and boxes of every image that has either, in one shuffle."""
+    p = predictions.select("image_id", F.struct("prediction_id", "class_id", "confidence", "box").alias("p"))
+    g = truth.select("image_id", F.struct("gt_id", "class_id", "box").alias("g"))
+    rows = p.unionByName(g, allowMissingColumns=True)
+    return rows.groupBy("image_id").agg(F.collect_list("p").alias("ps"), F.collect_list("g").alias("gs"))
 
 
-def ranked_predictions(predictions: DataFrame, truth: DataFrame, match_iou: float = MATCH_IOU) -> DataFrame:
-    """Each prediction with its best overlap and the boxes it may match, best first."""
-    pairs = overlaps(predictions, truth)
-    order = F.struct((-F.col("iou")).alias("n"), F.col("gt_id").alias("g"))
-    best = pairs.groupBy("image_id", "prediction_id").agg(F.min(order).alias("best"), F.sort_array(F.collect_list(F.when(F.col("iou") >= match_iou, order))).alias("hits"))
-    kept = predictions.select("image_id", "prediction_id", "class_id", "confidence")
-    return kept.join(best, ["image_id", "prediction_id"], "left").withColumn("hits", F.coalesce("hits", F.array().cast(_HIT)))
+def folded(predictions: DataFrame, truth: DataFrame, least: float, match_iou: float = MATCH_IOU) -> DataFrame:
+    """(image_id, ps, gs) with outcomes.
 
+    ps: predictions with `best` (overlap n, box g) and, if active at `least`, `got` (n, g) of the box they take.
+    gs: boxes with `raw` (n, c, p: best prediction of any confidence) and `hit` (n, c, p: that which takes it)."""
 
-def match(predictions: DataFrame, truth: DataFrame, thresholds: list[float], match_iou: float = MATCH_IOU, local_iou: float = LOCAL_IOU) -> DataFrame:
-    """Outcome of every active prediction at every threshold.
+    def meets(p: Column) -> Column:
+        same = F.filter("gs", lambda g: g["class_id"] == p["class_id"])
+        return F.transform(same, lambda g: F.struct((-iou(p["box"], g["box"])).alias("n"), g["gt_id"].alias("g")))
 
-    Predictions go by falling confidence, then id; each takes the free box of highest overlap."""
-    spark = predictions.sparkSession
-    levels = spark.createDataFrame([(float(t),) for t in sorted(set(thresholds))], "threshold double")
-    ranked = ranked_predictions(predictions, truth, match_iou)
-    active = ranked.join(F.broadcast(levels), F.col("confidence") >= F.col("threshold"))
-    rivals = active.where(F.size("hits") > 0).groupBy("threshold", "image_id")
-    item = F.struct((-F.col("confidence")).alias("c"), F.col("prediction_id").alias("p"), F.col("hits").alias("h"))
-    queue = rivals.agg(F.sort_array(F.collect_list(item)).alias("queue"))
-    start = F.struct(F.array().cast("array<string>").alias("used"), F.array().cast("array<struct<p:string,n:double,g:string>>").alias("won"))
-
-    def take(state: Column, one: Column) -> Column:
-        free = F.get(F.filter(one["h"], lambda h: ~F.array_contains(state["used"], h["g"])), F.lit(0))
-        got = F.struct(one["p"].alias("p"), free["n"].alias("n"), free["g"].alias("g"))
-        return F.when(free.isNull(), state).otherwise(F.struct(F.array_append(state["used"], free["g"]).alias("used"), F.array_append(state["won"], got).alias("won")))
-
-    won = queue.select("threshold", "image_id", F.explode(F.aggregate("queue", start, take)["won"]).alias("w"))
-    won = won.select("threshold", "image_id", F.col("w.p").alias("prediction_id"), F.col("w.g").alias("matched_gt_id"), (-F.col("w.n")).alias("matched_iou"))
-    out = active.join(won, ["threshold", "image_id", "prediction_id"], "left")
-    best = F.coalesce(-F.col("best.n"), F.lit(0.0))
-    matched = F.col("matched_gt_id").isNotNull()
+    def ranked(p: Column, all_: Column) -> Column:
+        hits = F.array_sort(F.filter(all_, lambda x: x["n"] <= -match_iou))
+        return F.struct((-p["confidence"]).alias("c"), p["prediction_id"].alias("p"), p["class_id"].alias("k"), F.array_min(all_).alias("best"), hits.alias("h"))
+
+    met = gathered(predictions, truth).withColumn("met", F.transform("ps", meets))
+    queue = F.array_sort(F.zip_with("ps", "met", ranked))
+    rows = met.select("image_id", "ps", "gs", queue.alias("queue"))
+    nothing = F.lit(None).cast("struct<n:double,g:string>")
+
+    def take(got: Column, one: Column) -> Column:
+        free = F.get(F.filter(one["h"], lambda h: ~F.exists(got, lambda w: w["g"].eqNullSafe(h["g"]))), F.lit(0))
+        return F.array_append(got, F.when((one["c"] <= -least) & ~F.isnan(one["c"]), free).otherwise(nothing))
+
+    rows = rows.withColumn("got", F.aggregate("queue", F.array().cast("array<struct<n:double,g:string>>"), take))
+
+    def outcome(one: Column, got: Column) -> Column:
+        return F.struct(one["p"].alias("prediction_id"), one["k"].alias("class_id"), (-one["c"]).alias("confidence"), one["best"].alias("best"), got.alias("got"))
+
+    def box(g: Column) -> Column:
+        same = F.filter("ps", lambda p: p["class_id"] == g["class_id"])
+        raw = F.array_min(F.transform(same, lambda p: F.struct((-iou(p["box"], g["box"])).alias("n"), (-p["confidence"]).alias("c"), p["prediction_id"].alias("p"))))
+        own = F.get(F.filter("done", lambda o: o["got"]["g"] == g["gt_id"]), F.lit(0))
+        hit = F.when(own.isNotNull(), F.struct(own["got"]["n"].alias("n"), own["confidence"].alias("c"), own["prediction_id"].alias("p")))
+        return F.struct(g["gt_id"].alias("gt_id"), g["class_id"].alias("class_id"), raw.alias("raw"), hit.alias("hit"))
+
+    done = rows.select("image_id", "ps", "gs", F.zip_with("queue", "got", outcome).alias("done"))
+    return done.select("image_id", "done", F.transform("gs", box).alias("boxes")).toDF("image_id", "ps", "gs")
+
+
+def levels(df: DataFrame, thresholds: list[float]) -> DataFrame:
+    return F.broadcast(df.sparkSession.createDataFrame([(float(t),) for t in sorted(set(thresholds))], "threshold double"))
+
+
+def prediction_outcome(p: Column, match_iou: float, local_iou: float) -> dict[str, Column]:
+    got, best = p["got"], F.coalesce(-p["best"]["n"], F.lit(0.0))
+    matched = got.isNotNull()
     kind = F.when(matched, "true_positive").when(best >= match_iou, "duplicate_prediction").when(best >= local_iou, "localization_error").otherwise("background_false_positive")
-    return out.select(
-        "threshold",
-        "image_id",
-        "prediction_id",
-        "class_id",
-        "confidence",
-        F.coalesce("matched_gt_id", F.lit("")).alias("matched_gt_id"),
-        F.when(matched, F.col("matched_gt_id")).otherwise(F.coalesce("best.g", F.lit(""))).alias("best_gt_id"),
-        F.when(matched, F.col("matched_iou")).otherwise(best).alias("best_iou"),
-        F.when(matched, "matched").otherwise("unmatched").alias("match_status"),
-        kind.alias("error_type"),
-    )
+    return {
+        "prediction_id": p["prediction_id"],
+        "class_id": p["class_id"],
+        "confidence": p["confidence"],
+        "matched_gt_id": F.coalesce(got["g"], F.lit("")),
+        "best_gt_id": F.coalesce(got["g"], p["best"]["g"], F.lit("")),
+        "best_iou": F.when(matched, -got["n"]).otherwise(best),
+        "match_status": F.when(matched, "matched").otherwise("unmatched"),
+        "error_type": kind,
+    }
+
+
+def box_outcome(g: Column, threshold: Column, match_iou: float, local_iou: float) -> dict[str, Column]:
+    raw, hit = g["raw"], g["hit"]
+    found = F.coalesce(hit["c"] >= threshold, F.lit(False))
+    raw_iou, raw_confidence = F.coalesce(-raw["n"], F.lit(0.0)), -raw["c"]
+    low = raw_confidence.isNull() | F.isnan(raw_confidence) | (raw_confidence < threshold)
+    kind = F.when(found, "true_positive").when((raw_iou >= match_iou) & low, "low_confidence_miss").when(raw_iou >= local_iou, "localization_miss").otherwise("no_detection")
+    return {
+        "gt_id": g["gt_id"],
+        "class_id": g["class_id"],
+        "matched_prediction_id": F.when(found, hit["p"]).otherwise(F.lit("")),
+        "best_raw_prediction_id": F.when(found, hit["p"]).otherwise(F.coalesce(raw["p"], F.lit(""))),
+        "best_iou": F.when(found, -hit["n"]).otherwise(raw_iou),
+        "best_raw_confidence": F.when(found, hit["c"]).otherwise(raw_confidence),
+        "match_status": F.when(found, "matched").otherwise("unmatched"),
+        "error_type": kind,
+    }
 
 
-def best_raw(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """Best prediction of every box, whatever its confidence: by overlap, confidence, id."""
-    pairs = overlaps(predictions, truth)
-    order = F.struct((-F.col("iou")).alias("n"), (-F.col("confidence")).alias("c"), F.col("prediction_id").alias("p"))
-    best = pairs.groupBy("image_id", "gt_id").agg(F.min(order).alias("b"))
-    kept = truth.select("image_id", "gt_id", "class_id").join(best, ["image_id", "gt_id"], "left")
-    return kept.select("image_id", "gt_id", "class_id", F.coalesce("b.p", F.lit("")).alias("raw_prediction_id"), F.coalesce(-F.col("b.n"), F.lit(0.0)).alias("raw_iou"), (-F.col("b.c")).alias("raw_confidence"))
+def match(predictions: DataFrame, truth: DataFrame, thresholds: list[float], match_iou: float = MATCH_IOU, local_iou: float = LOCAL_IOU) -> DataFrame:
+    """Outcome of every active prediction at every threshold.
+
+    Predictions go by falling confidence, then id; each takes the free box of highest overlap."""
+    rows = folded(predictions, truth, min(thresholds), match_iou).select("image_id", F.explode("ps").alias("p"))
+    active = rows.join(levels(predictions, thresholds), (F.col("p.confidence") >= F.col("threshold")) & ~F.isnan("p.confidence"))
+    return active.select("threshold", "image_id", *[c.alias(n) for n, c in prediction_outcome(F.col("p"), match_iou, local_iou).items()])
 
 
-def misses(predictions: DataFrame, truth: DataFrame, thresholds: list[float], match_iou: float = MATCH_IOU, local_iou: float = LOCAL_IOU, matched: DataFrame | None = None) -> DataFrame:
+def misses(predictions: DataFrame, truth: DataFrame, thresholds: list[float], match_iou: float = MATCH_IOU, local_iou: float = LOCAL_IOU) -> DataFrame:
     """Outcome of every ground-truth box at every threshold."""
-    spark = predictions.sparkSession
-    matched = match(predictions, truth, thresholds, match_iou, local_iou) if matched is None else matched
-    levels = spark.createDataFrame([(float(t),) for t in sorted(set(thresholds))], "threshold double")
-    hits = matched.where("match_status = 'matched'").select("threshold", "image_id", F.col("matched_gt_id").alias("gt_id"), "prediction_id", F.col("best_iou").alias("matched_iou"), F.col("confidence").alias("matched_confidence"))
-    rows = best_raw(predictions, truth).crossJoin(F.broadcast(levels)).join(hits, ["threshold", "image_id", "gt_id"], "left")
-    found = F.col("prediction_id").isNotNull()
-    low = F.col("raw_confidence").isNull() | F.isnan("raw_confidence") | (F.col("raw_confidence") < F.col("threshold"))
-    kind = F.when(found, "true_positive").when((F.col("raw_iou") >= match_iou) & low, "low_confidence_miss").when(F.col("raw_iou") >= local_iou, "localization_miss").otherwise("no_detection")
-    return rows.select(
-        "threshold",
-        "image_id",
-        "gt_id",
-        "class_id",
-        F.coalesce("prediction_id", F.lit("")).alias("matched_prediction_id"),
-        F.when(found, F.col("prediction_id")).otherwise(F.col("raw_prediction_id")).alias("best_raw_prediction_id"),
-        F.when(found, F.col("matched_iou")).otherwise(F.col("raw_iou")).alias("best_iou"),
-        F.when(found, F.col("matched_confidence")).otherwise(F.col("raw_confidence")).alias("best_raw_confidence"),
-        F.when(found, "matched").otherwise("unmatched").alias("match_status"),
-        kind.alias("error_type"),
-    )
+    rows = folded(predictions, truth, min(thresholds), match_iou).select("image_id", F.explode("gs").alias("g")).crossJoin(levels(predictions, thresholds))
+    return rows.select("threshold", "image_id", *[c.alias(n) for n, c in box_outcome(F.col("g"), F.col("threshold"), match_iou, local_iou).items()])
 
 
 def sweep(predictions: DataFrame, truth: DataFrame, thresholds: list[float], match_iou: float = MATCH_IOU, local_iou: float = LOCAL_IOU) -> DataFrame:
-    """Counts, precision, recall and F1 at every threshold."""
-    spark = predictions.sparkSession
-    matched = match(predictions, truth, thresholds, match_iou, local_iou)
-    levels = spark.createDataFrame([(float(t),) for t in sorted(set(thresholds))], "threshold double")
-    tp = F.col("error_type") == "true_positive"
-    p = matched.groupBy("threshold").agg(F.count("*").alias("predictions_count"), F.count_if(tp).alias("tp"), F.count_distinct(F.when(~tp, F.col("image_id"))).alias("images_with_fp"))
-    # a box is found or not; the kind of a miss does not matter here
-    found = matched.where("match_status = 'matched'").select("threshold", "image_id", F.col("matched_gt_id").alias("gt_id"))
-    boxes = truth.select("image_id", "gt_id").crossJoin(F.broadcast(levels)).join(found.withColumn("_hit", F.lit(True)), ["threshold", "image_id", "gt_id"], "left")
-    g = boxes.groupBy("threshold").agg(F.count("*").alias("ground_truth_count"), F.count_if(F.col("_hit").isNull()).alias("fn"), F.count_distinct(F.when(F.col("_hit").isNull(), F.col("image_id"))).alias("images_with_fn"))
-    rows = levels.join(p, "threshold", "left").join(g, "threshold", "left")
-    rows = rows.na.fill(0, ["predictions_count", "tp", "images_with_fp", "ground_truth_count", "fn", "images_with_fn"])
-    return scores(rows.withColumn("fp", F.col("predictions_count") - F.col("tp")))
+    """Counts, precision, recall and F1 at every threshold.
+
+    An image gives how many predictions and matches lie at each level (the thresholds that they reach), its
+    highest level with a false one, and the highest level up to which all its boxes are found; sums of these
+    over images are the counts, so that nothing is repeated by threshold."""
+    cut = sorted({float(t) for t in thresholds})
+    steps = F.array(*map(F.lit, cut))
+    rows = folded(predictions, truth, cut[0], match_iou)
+
+    def level(c: Column) -> Column:
+        return F.when(c.isNull() | F.isnan(c), 0).otherwise(F.size(F.filter(steps, lambda t: t <= c)))
+
+    def entry(kind: str, at: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), at.alias("level"))
+
+    reached = F.transform("ps", lambda p: F.struct(level(p["confidence"]).alias("level"), p["got"].isNotNull().alias("hit")))
+    rows = rows.select(F.filter(reached, lambda p: p["level"] > 0).alias("active"), F.size("gs").alias("boxes")).withColumnRenamed("active", "ps")
+    hits, rest = F.filter("ps", lambda p: p["hit"]), F.filter("ps", lambda p: ~p["hit"])
+    rows = rows.select("boxes", F.transform("ps", lambda p: p["level"]).alias("every"), F.transform(hits, lambda p: p["level"]).alias("hits"), F.transform(rest, lambda p: p["level"]).alias("rest"))
+    complete = F.when(F.size("hits") == F.col("boxes"), F.coalesce(F.array_min("hits"), F.lit(0))).otherwise(0)
+    one = F.concat(
+        F.transform("every", lambda x: entry("predictions", x)),
+        F.transform("hits", lambda x: entry("tp", x)),
+        F.array(entry("image_fp", F.coalesce(F.array_max("rest"), F.lit(0)))),
+        F.when(F.col("boxes") > 0, F.concat(F.array(entry("image_gt", F.lit(len(cut))), entry("image_whole", complete)), F.transform(F.sequence(F.lit(1), F.col("boxes")), lambda _: entry("gt", F.lit(len(cut)))))).otherwise(F.array().cast("array<struct<kind:string,level:int>>")),
+    )
+    counts = rows.select(F.explode(one).alias("e")).groupBy("e.kind", "e.level").agg(F.count("*").alias("n"))
+    at = F.broadcast(predictions.sparkSession.createDataFrame([(i + 1, t) for i, t in enumerate(cut)], "at int, threshold double"))
+    # every kind counts at the thresholds up to its level
+
+    def total(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("kind") == kind) & (F.col("level") >= F.col("at")), F.col("n"))), F.lit(0))
+
+    sums = at.join(counts, F.lit(True), "left").groupBy("threshold").agg(*[total(k).alias(k) for k in ("predictions", "tp", "image_fp", "gt", "image_gt", "image_whole")])
+    return scores(
+        sums.select(
+            "threshold",
+            F.col("predictions").alias("predictions_count"),
+            "tp",
+            F.col("image_fp").alias("images_with_fp"),
+            F.col("gt").alias("ground_truth_count"),
+            (F.col("gt") - F.col("tp")).alias("fn"),
+            (F.col("image_gt") - F.col("image_whole")).alias("images_with_fn"),
+            (F.col("predictions") - F.col("tp")).alias("fp"),
+        )
+    )
 
 
 def scores(counts: DataFrame) -> DataFrame:
@@ -135,18 +186,20 @@ def operating_points(swept: DataFrame, recall_share: float = 0.95, precision_sha
     for share in (recall_share, precision_share):
         if not 0 < share <= 1:
             raise ValueError("a share of the maximum must be in (0, 1]")
-    top = swept.agg(F.max("recall").alias("_r"), F.max("precision").alias("_p"))
-    rows = swept.crossJoin(F.broadcast(top))
+    columns = F.struct(*swept.columns)
+    rows = swept.agg(F.max("recall").alias("r"), F.max("precision").alias("p"), F.collect_list(columns).alias("rows"))  # a row per threshold
     picks = [
-        ("high_recall", F.col("recall") >= F.col("_r") * recall_share, ["precision", "recall", "threshold"]),
-        ("balanced", F.lit(True), ["f1", "precision", "recall", "threshold"]),
-        ("high_precision", F.col("precision") >= F.col("_p") * precision_share, ["recall", "precision", "threshold"]),
+        ("high_recall", lambda x: x["recall"] >= F.col("r") * recall_share, ["precision", "recall", "threshold"]),
+        ("balanced", lambda x: F.lit(True), ["f1", "precision", "recall", "threshold"]),
+        ("high_precision", lambda x: x["precision"] >= F.col("p") * precision_share, ["recall", "precision", "threshold"]),
     ]
-    out = None
-    for name, keep, order in picks:
-        one = rows.where(keep).orderBy(*[F.desc(c) for c in order]).limit(1).select(F.lit(name).alias("operating_point"), F.lit("VALIDATION_THRESHOLD_CANDIDATE").alias("status"), *swept.columns)
-        out = one if out is None else out.unionByName(one)
-    return out
+
+    def best(keep, order):
+        return F.array_max(F.transform(F.filter("rows", keep), lambda x: F.struct(*[x[c].alias(f"o{i}") for i, c in enumerate(order)], x.alias("row"))))["row"]
+
+    named = F.array(*[F.struct(F.lit(name).alias("operating_point"), best(keep, order).alias("row")) for name, keep, order in picks])
+    out = rows.select(F.explode(named).alias("o")).where(F.col("o.row").isNotNull())
+    return out.select("o.operating_point", F.lit(POINT_STATUS).alias("status"), "o.row.*")
 
 
 def cases(matched: DataFrame, missed: DataFrame) -> DataFrame:
@@ -156,6 +209,19 @@ def cases(matched: DataFrame, missed: DataFrame) -> DataFrame:
     return p.unionByName(g)
 
 
+def error_cases(predictions: DataFrame, truth: DataFrame, thresholds: list[float], match_iou: float = MATCH_IOU, local_iou: float = LOCAL_IOU) -> DataFrame:
+    """cases() of match() and misses(), from one fold."""
+    rows = folded(predictions, truth, min(thresholds), match_iou).crossJoin(levels(predictions, thresholds))
+
+    def row(side: str, key: str, o: dict[str, Column]) -> Column:
+        return F.struct(F.lit(side).alias("source_type"), o[key].alias("object_id"), o["error_type"].alias("error_type"), o["best_iou"].alias("best_iou"))
+
+    active = F.filter("ps", lambda p: (p["confidence"] >= F.col("threshold")) & ~F.isnan(p["confidence"]))
+    p = F.transform(active, lambda p: row("prediction", "prediction_id", prediction_outcome(p, match_iou, local_iou)))
+    g = F.transform("gs", lambda g: row("ground_truth", "gt_id", box_outcome(g, F.col("threshold"), match_iou, local_iou)))
+    return rows.select("threshold", "image_id", F.explode(F.filter(F.concat(p, g), lambda x: x["error_type"] != "true_positive")).alias("c")).select("threshold", "c.source_type", "image_id", "c.object_id", "c.error_type", "c.best_iou")
+
+
 def summary(rows: DataFrame, *by: str) -> DataFrame:
     """Cases and distinct images by the given columns."""
     return rows.groupBy(*by).agg(F.count("*").alias("case_count"), F.count_distinct("image_id").alias("image_count"))
@@ -188,26 +254,34 @@ def priorities(rows: DataFrame) -> DataFrame:
     return out.select(
         rank.cast("bigint").alias("priority_rank"), "priority_band", "issue_category", "affected_case_count", "affected_image_count",
         (F.col("affected_case_count").cast("double") / total).alias("estimated_error_share"), "recommended_action", "expected_benefit", "implementation_effort",
-        risk.alias("annotation_risk"), F.lit("validation_error_cases").alias("evidence_source"),
+        risk.alias("annotation_risk"), F.lit(EVIDENCE).alias("evidence_source"),
     )
 
 
+def largest(ps: Column | str) -> Column:
+    """Largest overlap of any of these predictions with any box of `gs`, whatever their classes; 0 where one side is empty."""
+    each = F.transform(ps, lambda p: F.array_max(F.transform("gs", lambda g: iou(p["box"], g["box"]))))
+    return F.coalesce(F.array_max(each), F.lit(0.0))
+
+
 def max_overlap(predictions: DataFrame, truth: DataFrame) -> DataFrame:
     """Largest overlap of any prediction and box in each image; 0 where one side is empty."""
-    images = predictions.select("image_id").unionByName(truth.select("image_id")).distinct()
-    p, g = predictions.select("image_id", F.col("box").alias("pb")), truth.select("image_id", F.col("box").alias("gb"))
-    best = p.join(g, "image_id").groupBy("image_id").agg(F.max(iou("pb", "gb")).alias("max_iou"))
-    return images.join(best, "image_id", "left").select("image_id", F.coalesce("max_iou", F.lit(0.0)).alias("max_iou"))
+    return gathered(predictions, truth).select("image_id", largest("ps").alias("max_iou"))
 
 
 def case_assembly(worklist: DataFrame, predictions: DataFrame, truth: DataFrame, threshold: float) -> DataFrame:
     """Per worklist image: boxes, active predictions, top confidence of all and best overlap of active ones, ids."""
     from annoforge.functions.text import fixed, row_payload, sha256_hex
 
-    active = predictions.where(F.col("confidence") >= threshold)
-    g = truth.groupBy("image_id").agg(F.count("*").alias("gt_count"))
-    p = predictions.groupBy("image_id").agg(F.count_if(F.col("confidence") >= threshold).alias("prediction_count"), F.max("confidence").alias("max_confidence"))
-    rows = worklist.select("image_id").distinct().join(g, "image_id", "left").join(p, "image_id", "left").join(max_overlap(active, truth), "image_id", "left")
+    active = F.filter("ps", lambda p: p["confidence"] >= threshold)
+    facts = gathered(predictions, truth).select(
+        "image_id",
+        F.size("gs").cast("bigint").alias("gt_count"),
+        F.size(active).cast("bigint").alias("prediction_count"),
+        F.array_max(F.transform("ps", lambda p: p["confidence"])).alias("max_confidence"),
+        largest(active).alias("max_iou"),
+    )
+    rows = worklist.select("image_id").distinct().join(facts, "image_id", "left")
     rows = rows.na.fill(0, ["gt_count", "prediction_count"]).na.fill(0.0, ["max_confidence", "max_iou"])
     shown = [F.col("image_id"), F.col("gt_count"), F.col("prediction_count"), fixed(F.col("max_confidence")), fixed(F.col("max_iou")), F.lit("pending")]
     provisional = sha256_hex(row_payload(*shown))

@@ -37,9 +37,7 @@ def max_pairwise_iou(spark, sf):
 
 
 def _cases(spark, sf):
-    predictions, truth = detections(spark, sf)
-    matched = M.match(predictions, truth, _AT)
-    return M.cases(matched, M.misses(predictions, truth, _AT, matched=matched))
+    return M.error_cases(*detections(spark, sf), _AT)
 
 
 def error_cases(spark, sf):

@@ -7,6 +7,7 @@ each distinct piece once, so that Python touches distinct pieces only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -24,11 +25,13 @@ def classes() -> np.ndarray:
     import regex
 
     out = np.zeros(0x110000, np.uint8)
-    every = "".join(map(chr, range(0xD800))) + "".join(map(chr, range(0xE000, 0x110000)))
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
-        for m in regex.finditer(pattern, every):
-            first, last = ord(every[m.start()]), ord(every[m.end() - 1])
-            out[first : last + 1] = kind
+    for block in range(0, 0x110000, 0x1000):  # a block at a time: the whole range as one text takes over 100 MB
+        if 0xD800 <= block < 0xE000:
+            continue
+        every = "".join(map(chr, range(block, block + 0x1000)))
+        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
+            for m in regex.finditer(pattern, every):
+                out[block + m.start() : block + m.end()] = kind
     out[0xD800:0xE000] = OTHER
     out[WHITE_SPACE] = SPACE
     return out
@@ -76,6 +79,40 @@ def contractions(points: np.ndarray, first: np.ndarray, start: np.ndarray) -> No
     start[after[after < len(start)]] = True
 
 
+def slices(data: np.ndarray, offsets: np.ndarray, most: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first text, bytes from, offsets within) of slices of about `most` bytes: whole texts, and parts of longer ones.
+
+    A long text is cut before a blank that follows a byte other than white space, where every pre-token
+    pattern ends a piece; only a text without such a place stays whole beyond `most`."""
+    n, lo = len(offsets) - 1, 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, side="right")) - 1)
+        begin, end = int(offsets[lo]), int(offsets[hi])
+        if hi > lo + 1 or end - begin <= most:
+            yield lo, begin, offsets[lo : hi + 1] - begin
+        else:
+            while begin < end:
+                stop = min(end, begin + most)
+                while stop < end:  # the next such blank at or after `stop`
+                    part = data[stop - 1 : min(end, stop + (1 << 16))]
+                    at = np.flatnonzero((part[1:] == 32) & ~_blank_bytes()[part[:-1]])
+                    if len(at):
+                        stop += int(at[0])
+                        break
+                    stop = min(end, stop + (1 << 16))
+                yield lo, begin, np.array([0, stop - begin])
+                begin = stop
+        lo = hi
+
+
+@cache
+def _blank_bytes() -> np.ndarray:
+    """Bytes that may end white space: ASCII white space, and all beyond ASCII to be safe."""
+    out = np.zeros(256, bool)
+    out[[*WORD_ENDS, *range(0x1C, 0x20), *range(0x80, 256)]] = True
+    return out
+
+
 def byte_level_starts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Marks where the matches of the byte-level pattern start; together they cover every code point."""
     n = len(points)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one Arrow batch brings to a Python worker, a single longer text aside.
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 2 << 20
 #: Used only where the session names no spark.checkpoint.dir, as in tests.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 

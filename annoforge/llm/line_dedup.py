@@ -1,24 +1,32 @@
 """Removal of repeated lines: exact copies, and lines within a few edits, by a segment-partition join.
 
 A line takes part if it has at least `min_chars` code points and holds a word (or is long). An occurrence goes
-if an equal or similar line occurs earlier, in the order of document id and line number. Similar: the edit
-distance is at most what the shorter line's length allows, one for each CHARS_PER_EDIT code points up to
-MOST_EDITS, or `max_edits` where given. The first occurrence of each text stands for the text. Lines that
-allow no edit take part by their hash alone.
-
-The join: a text of length l that allows k edits is cut into k + 1 segments, so that a similar text holds one of them
-unchanged, and at a place that the lengths and the segment's number bound. Index rows carry a hash of
-(length, segment number, segment); probe rows carry the hashes of those substrings that a shorter or equally
-long partner may have as a segment. Equal hashes give candidates; a banded bit-parallel edit distance
-verifies them on whole texts.
-
-Frequent segments: as a text only needs one earlier similar text, every list of a hash first proposes its
-earliest text to all others. Only texts that this leaves, as later ones, meet the rest of their lists, and
-only where the parities of their characters' counts (64 bits) differ in at most two bits for each edit.
+if an equal or similar line occurs earlier, in the order of document id, hash of the text and line number.
+Similar: the edit distance is at most what the shorter line's length allows, one for each CHARS_PER_EDIT code
+points up to MOST_EDITS, or `max_edits` where given. The first occurrence of each text stands for the text.
+Lines that allow no edit take part by their hash alone. Texts of lines are told apart by 128-bit hashes.
+
+The join: lines of one class of lengths (CHARS_PER_EDIT wide) that allow k edits have k + 1 segments, so that a
+similar line that is as long or longer holds one of them unchanged, at a place that the lengths and the
+segment's number bound. From each segment, and from each stretch of the longer line that may be one, comes
+one substring: that which starts where a short hash is least among the first STARTS places. An unchanged
+segment gives the same substring, and neighbouring stretches mostly share theirs, so that a line asks for some
+twenty substrings rather than for well over a hundred. Equal (class, segment, substring) give candidates;
+counts of characters by 32 kinds (modulo 4, as Gray code, so that an edit changes two bits at most) reject
+nearly all that are not similar, and a banded bit-parallel edit distance verifies the rest on whole texts.
+
+Substrings travel as hashes, packed by range of hashes; a task sorts a range at a time and keeps what several
+lines have. A range that one substring fills beyond RANGE_MOST entries is passed on as it comes.
+
+Frequent substrings: as a text only needs one earlier similar text, every list first proposes its earliest
+text to all others. Only texts that this leaves, as later ones, meet the rest of their lists, in blocks of
+LIST_BLOCK of a list's texts, so that no task gets a whole long list.
 
 Results: null texts have no line and stay null. Documents that lose every line go; documents that had
-nothing to lose stay as they are, empty ones too. Rows that share an id are one document: what goes from
-one goes from all, and repeated rows do not make each other's lines go. Null ids take no part and stay.
+nothing to lose stay as they are, empty ones too. Rows of one id and one text are one document: what goes from
+one goes from all, and they do not make each other's lines go; rows of one id with different texts are
+different documents. Null ids take no part and stay. All columns stay, whatever their names. An empty
+table gives an empty one. Ties cannot occur: two places of one document differ in line number.
 """
 
 from __future__ import annotations
@@ -32,15 +40,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annoforge.llm.shared import bounded_batches, cut, forget, table
+from annoforge.llm import pieces
+from annoforge.llm.shared import bounded_batches, cut, fresh, named, scope, small, table, tidy
 
 #: Production parameters.
 MOST_EDITS, CHARS_PER_EDIT, MIN_CHARS = 6, 24, 1
+#: Places that a substring may start at in a long enough segment, and letters of the hash that picks one.
+STARTS, GRAM, LONG_SEGMENT = 5, 4, 16
 WORD = re.compile(r"\w")
-#: Keys of lists up to which they are broadcast; beyond, the join shuffles.
-BROADCAST_KEYS = 1_000_000
-#: Documents that lose lines up to which their line numbers are broadcast, so that no text is shuffled.
-BROADCAST_DOCS = 500_000
+#: Text bytes looked at together; entries that a task packs at a time; bytes of a range; entries held of one range.
+SLICE_BYTES, PACK, RANGE_BYTES, RANGE_MOST, LIST_BLOCK = 512 << 10, 1 << 19, 24 << 20, 1 << 22, 2048
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def allowed(max_edits: int | None = None) -> Callable[[int], int]:
@@ -50,32 +61,29 @@ def allowed(max_edits: int | None = None) -> Callable[[int], int]:
     return lambda n: max_edits if n > max_edits else 0
 
 
-def segments(length: int, n: int) -> list[tuple[int, int]]:
-    """(start, size) of n segments of a text; the last ones are longer by one where it does not divide."""
-    size, longer = divmod(length, n)
-    out, at = [], 0
-    for i in range(n):
-        own = size + (i >= n - longer)
-        out.append((at, own))
-        at += own
-    return out
+def base(length: int) -> int:
+    """The least length of a length's class; short lengths are classes of their own."""
+    return length if length < CHARS_PER_EDIT else length - length % CHARS_PER_EDIT
 
 
-def probes(length: int, edits: int | Callable[[int], int]) -> list[tuple[int, int, int, int]]:
-    """(partner length, segment number, start, size) of the substrings that a text of this length probes.
+def spots(n: int, edits: Callable[[int], int]) -> list[tuple[int, int, int, int, int, int]]:
+    """(class, segment, start, segment's size, starts to choose from, own start or -1) of what a line of n characters asks for.
 
-    With d the difference in length, segment i of the partner can start in the text only where at most i
-    edits come before it and at most edits - i after it."""
+    With d the difference in length, segment i of k + 1 of the partner can start in the line only where at most
+    i edits come before it and at most k - i after it."""
+    spread: dict[int, list[int]] = {}
+    for partner in range(max(1, n - edits(n)), n + 1):
+        if n - partner <= edits(partner):
+            spread.setdefault(base(partner), []).append(n - partner)
     out = []
-    edits_of = edits if callable(edits) else lambda n: edits
-    for partner in range(max(1, length - edits_of(length)), length + 1):
-        d, edits = length - partner, edits_of(partner)
-        if d > edits or not edits:
-            continue
-        for i, (at, size) in enumerate(segments(partner, edits + 1)):
-            lo = max(at - i, at + d - (edits - i), 0)
-            hi = min(at + i, at + d + (edits - i), length - size)
-            out += [(partner, i, p, size) for p in range(lo, hi + 1)]
+    for b, ds in spread.items():
+        k = edits(b)
+        size = b // (k + 1)
+        starts = STARTS if k > 2 and size >= LONG_SEGMENT else 1
+        for i in range(k + 1 if k else 0):
+            lo, hi = max(-i, min(ds) - (k - i)), min(i, max(ds) + (k - i))
+            own = i * size if b == base(n) else -1
+            out += [(b, i, at, size, starts, own) for at in range(max(0, i * size + lo), min(n - size, i * size + hi) + 1)]
     return out
 
 
@@ -126,149 +134,326 @@ def within(a: str, b: str, k: int) -> bool:
     return score <= k
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode()) >> 1
-
-
-def _key(length: int, number: int, part: str) -> int:
-    return xxhash.xxh3_64_intdigest(part.encode(), seed=length << 8 | number) >> 1
-
-
-def parities(text: str) -> int:
-    """Bit i: whether the characters whose code leaves i by 64 are odd in number. An edit changes two bits at most."""
-    counts = np.bincount(np.frombuffer(text.encode("utf-32-le"), np.uint32) & 63, minlength=64) & 1
-    return int(np.packbits(counts.astype(np.uint8)).view(np.int64)[0])
+class Lines:
+    """The lines of an Arrow column of texts that take part, a slice of bytes at a time."""
+
+    def __init__(self, max_edits: int | None, min_chars: int):
+        self.edits, self.min_chars = allowed(max_edits), min_chars
+        self.tables: dict[int, np.ndarray] = {}
+        self.powers = np.zeros((2, 0), np.uint64)
+
+    def slices(self, column: pa.Array) -> Iterator[tuple]:
+        """(texts' numbers, line numbers, bytes, byte bounds (2, n)) of the lines, by slices of whole lines."""
+        nulls = column.is_null().to_numpy(zero_copy_only=False)
+        data, offsets = pieces.utf8(column)
+        breaks = np.flatnonzero(data == 10)
+        of = np.searchsorted(offsets, breaks, side="right") - 1
+        text = np.concatenate([np.flatnonzero(~nulls), of])
+        start = np.concatenate([offsets[:-1][~nulls], breaks + 1])
+        order = np.lexsort((start, text))
+        text, start = text[order], start[order]
+        last = np.ones(len(text), bool)
+        last[:-1] = text[1:] != text[:-1]
+        stop = np.empty(len(text), np.int64)
+        stop[:-1] = start[1:] - 1
+        stop[last] = offsets[text[last] + 1]
+        first = np.flatnonzero(np.concatenate([[True], last[:-1]])) if len(text) else np.zeros(0, np.int64)
+        number = np.arange(len(text)) - np.repeat(first, np.diff(np.concatenate([first, [len(text)]])))
+        lo = 0
+        while lo < len(text):
+            hi = max(lo + 1, int(np.searchsorted(stop, start[lo] + SLICE_BYTES, side="right")))
+            begin = int(start[lo])
+            yield text[lo:hi], number[lo:hi], data[begin : int(stop[hi - 1])], np.stack([start[lo:hi], stop[lo:hi]]) - begin
+            lo = hi
+
+    def read(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Code points, their bounds (2, n) by line, edits by line, and which lines take part."""
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        if len(points) != len(data):
+            at_ = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[at]
+        else:
+            at_ = at
+        n = at_[1] - at_[0]
+        sizes, back = np.unique(n, return_inverse=True)
+        k = np.array([self.edits(x) for x in sizes.tolist()], np.int32)[back] if len(n) else np.zeros(0, np.int32)
+        good = n >= self.min_chars
+        for i in np.flatnonzero(good & (n < CHARS_PER_EDIT)).tolist():
+            good[i] = WORD.search(data[at[0, i] : at[1, i]].tobytes().decode()) is not None
+        return points, at_, k, good
+
+    def kinds(self, points: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Counts of characters by 32 kinds, modulo 4 in Gray code, as 64 bits by line."""
+        n = at.shape[1]
+        sizes = at[1] - at[0]
+        line = np.repeat(np.arange(n), sizes)
+        counts = np.bincount(line * 32 + (points[points != 10] & 31), minlength=32 * n) & 3
+        high = counts >> 1
+        bits = np.stack([high, high ^ (counts & 1)], axis=1).astype(np.uint8)
+        return np.packbits(bits.reshape(n, 64), axis=1).view(np.int64).ravel()
+
+    def keys(self, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Line and key (lowest bit: own segment) of every substring that the lines have or ask for."""
+        size = len(points) + 1
+        if self.powers.shape[1] < size:
+            ones = np.full((2, size), _FACTOR, np.uint64)
+            ones[1], ones[:, 0] = _INVERSE, 1
+            self.powers = np.cumprod(ones, axis=1)
+        with np.errstate(over="ignore"):
+            total = np.zeros(size, np.uint64)
+            np.cumsum((points.astype(np.uint64) + np.uint64(0x1F3)) * self.powers[0, : size - 1], out=total[1:])
+            # the place of the least hash among STARTS places from each on
+            wide = np.zeros(len(points) + GRAM + STARTS, np.uint32)
+            wide[: len(points)] = points
+            least = wide[: len(points) + STARTS].copy()
+            for g in range(1, GRAM):
+                least = (least ^ (least >> np.uint32(15))) * np.uint32(0x85EBCA77) + wide[g : g + len(least)]
+            least = (least ^ (least >> np.uint32(13))) * np.uint32(0xC2B2AE3D)
+            best, value = np.arange(len(points), dtype=np.int64), least[: len(points)].copy()
+            for d in range(1, STARTS):
+                lower = least[d : d + len(points)] < value
+                best[lower] = np.flatnonzero(lower) + d
+                np.minimum(value, least[d : d + len(points)], out=value)
+            sizes, back = np.unique(at[1] - at[0], return_inverse=True)
+            if len(self.tables) > 4096:
+                self.tables.clear()
+            for n in sizes.tolist():
+                if n not in self.tables:
+                    self.tables[n] = np.array(spots(n, self.edits), np.int64).reshape(-1, 6)
+            rows = [self.tables[n] for n in sizes.tolist()]
+            count = np.array([len(r) for r in rows], np.int64)
+            begin = np.concatenate([[0], np.cumsum(count)[:-1]]) if len(rows) else np.zeros(0, np.int64)
+            own = count[back]
+            line = np.repeat(np.arange(at.shape[1]), own)
+            spot = np.arange(len(line)) - np.repeat(np.cumsum(own) - own, own) + np.repeat(begin[back], own)
+            every = np.concatenate(rows) if rows else np.zeros((0, 6), np.int64)
+            b, i, start, size_, starts, mine = every[spot].T
+            first = at[0][line]
+            chosen = starts > 1
+            place = first + start
+            place = np.where(chosen, best[np.minimum(place, len(points) - 1)], place)
+            is_own = (mine >= 0) & (place == np.where(chosen, best[np.minimum(first + np.maximum(mine, 0), len(points) - 1)], first + mine))
+            new = np.ones(len(line), bool)
+            new[1:] = (place[1:] != place[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1]) | (line[1:] != line[:-1])
+            line, place, b, i, is_own, end = line[new], place[new], b[new], i[new], is_own[new], (place + size_ - starts + 1)[new]
+            key = (total[end] - total[place]) * self.powers[1][place]
+            key ^= (b * 64 + i).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            key = (key ^ (key >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+            key = (key ^ (key >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+            key = (key ^ (key >> np.uint64(32))) & ~np.uint64(1) | is_own.astype(np.uint64)
+        return line, key
+
+
+def hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """128-bit hashes of the lines' bytes, as two longs by row."""
+    view = memoryview(np.ascontiguousarray(data))
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(at[0].tolist(), at[1].tolist(), strict=True)]), np.int64).reshape(-1, 2)
 
 
 def occurrences(docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """(h, id, line, sig, k, index, probe) of every line that takes part: its hash, place, parities, edits, join keys."""
+    """(h, g, id, t, line, n, k, sig) of every line that takes part: its hash, place, length, edits, counts of kinds."""
     kind = docs.schema[id_col].dataType.simpleString()
-    edits = allowed(max_edits)
-    spots: dict[int, tuple[list, list]] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = Lines(max_edits, min_chars)
         for batch in batches:
-            rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if key is None or text is None:
-                    continue
-                for number, line in enumerate(text.split("\n")):
-                    n = len(line)
-                    if n < min_chars or (n < CHARS_PER_EDIT and not WORD.search(line)):
-                        continue
-                    if not edits(n):
-                        rows.append((_hash(line), key, number, 0, 0, [], []))
-                        continue
-                    spot = spots.get(n)
-                    if spot is None:
-                        if len(spots) > 4096:
-                            spots.clear()
-                        spot = spots[n] = ([(i, a, a + s) for i, (a, s) in enumerate(segments(n, edits(n) + 1))], [(p, i, a, a + s) for p, i, a, s in probes(n, edits)])
-                    own, probe = spot
-                    index = [_key(n, i, line[a:b]) for i, a, b in own]
-                    asked = [_key(p, i, line[a:b]) for p, i, a, b in probe if p != n or line[a:b] != line[own[i][1] : own[i][2]]]
-                    rows.append((_hash(line), key, number, parities(line), edits(n), index, asked))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], batch.column(0).type), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int32()), pa.array([r[5] for r in rows], pa.list_(pa.int64())), pa.array([r[6] for r in rows], pa.list_(pa.int64()))],
-                    ["h", "id", "line", "sig", "k", "index", "probe"],
-                )
-
-    return docs.select(id_col, text_col).mapInArrow(run, f"h bigint, id {kind}, line int, sig bigint, k int, index array<bigint>, probe array<bigint>")
+            for text, number, data, at in lines.slices(batch.column(1)):
+                points, bounds, k, good = lines.read(data, at)
+                if good.any():
+                    sig = lines.kinds(points, bounds)[good]
+                    h = hashes(data, at[:, good])
+                    of = pa.array(text[good])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[:, 0]), pa.array(h[:, 1]), batch.column(0).take(of), batch.column(2).take(of), pa.array(number[good].astype(np.int32)), pa.array((bounds[1] - bounds[0])[good].astype(np.int32)), pa.array(k[good]), pa.array(sig)],
+                        ["h", "g", "id", "t", "line", "n", "k", "sig"],
+                    )
+            tidy()
+
+    rows = documents(docs, id_col, text_col).where("id is not null and text is not null").select("id", "text", "t")
+    return rows.mapInArrow(run, f"h bigint, g bigint, id {kind}, t bigint, line int, n int, k int, sig bigint")
+
+
+def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, t): what tells a document."""
+    return docs.select(named(id_col).alias("id"), named(text_col).alias("text"), F.xxhash64(named(text_col)).alias("t"))
+
+
+def shared_keys(docs: DataFrame, max_edits: int | None, min_chars: int, lines: int, id_col: str, text_col: str) -> DataFrame:
+    """(key, h, own) of substrings that several lines have, one of them as its own segment."""
+    bits = max(4, int(np.ceil(np.log2(max(1, lines * 20 * 16 / RANGE_BYTES)))))
+    shift = np.uint64(64 - bits)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, held, size, seen = Lines(max_edits, min_chars), [], 0, set()
+
+        def packed():
+            every = np.concatenate(held)
+            held.clear()
+            part = (every[:, 0] >> shift).astype(np.uint32)
+            order = np.argsort(part, kind="stable")
+            every, part = every[order], part[order]
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            for lo in range(0, len(cuts) - 1, 64):
+                own = cuts[lo : lo + 65]
+                yield pa.RecordBatch.from_arrays([pa.array(part[own[:-1]].astype(np.int64)), pa.array([every[a:b].tobytes() for a, b in zip(own, own[1:])], pa.binary())], ["part", "entries"])
+
+        for batch in batches:
+            for _, _, data, at in reader.slices(batch.column(0)):
+                points, bounds, k, good = reader.read(data, at)
+                use = np.flatnonzero(good & (k > 0))
+                h = hashes(data, at[:, use])[:, 0]
+                if len(seen) > 200_000:
+                    seen.clear()
+                fresh_ = [i for i, x in enumerate(h.tolist()) if not (x in seen or seen.add(x))]  # copies ask for the same
+                if fresh_:
+                    line, key = reader.keys(points, bounds[:, use[fresh_]])
+                    held.append(np.stack([key, h[fresh_].view(np.uint64)[line]], axis=1))
+                    size += len(key)
+                if size > PACK:
+                    yield from packed()
+                    size = 0
+            tidy()
+        if held:
+            yield from packed()
+
+    def several(entries: np.ndarray) -> np.ndarray:
+        """Entries (key, h) of keys that two lines have, one as its own; each line once."""
+        key = entries[:, 0] >> np.uint64(1)
+        order = np.argsort(key)
+        key = key[order]
+        twice = np.zeros(len(key), bool)
+        twice[1:] = key[1:] == key[:-1]
+        twice[:-1] |= twice[1:]
+        rows = entries[order[twice]]
+        rows = rows[np.lexsort((~rows[:, 0], rows[:, 1], rows[:, 0] >> np.uint64(1)))]
+        key = rows[:, 0] >> np.uint64(1)
+        new = np.ones(len(rows), bool)
+        new[1:] = (key[1:] != key[:-1]) | (rows[1:, 1] != rows[:-1, 1])
+        rows, key = rows[new], key[new]
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        sizes = np.diff(np.concatenate([begin, [len(key)]]))
+        some = np.add.reduceat((rows[:, 0] & np.uint64(1)).astype(np.int64), begin) > 0 if len(begin) else np.zeros(0, bool)
+        return rows[np.repeat((sizes > 1) & some, sizes)]
+
+    def out(rows: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array((rows[:, 0] >> np.uint64(1)).astype(np.int64)), pa.array(rows[:, 1].view(np.int64)), pa.array((rows[:, 0] & np.uint64(1)).astype(bool))], ["key", "h", "own"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, size, frequent = None, [], 0, np.zeros(0, np.uint64)
+        for batch in batches:
+            for now, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if now != part:
+                    if held:
+                        yield out(several(np.concatenate(held)))
+                    part, held, size, frequent = now, [], 0, np.zeros(0, np.uint64)
+                rows = np.frombuffer(raw.as_buffer(), np.uint64).reshape(-1, 2)
+                if len(frequent):  # these pass on as they come
+                    known = np.isin(rows[:, 0] >> np.uint64(1), frequent)
+                    if known.any():
+                        yield out(rows[known])
+                        rows = rows[~known]
+                held.append(np.array(rows))
+                size += len(rows)
+                if size > RANGE_MOST:
+                    rows = np.unique(np.concatenate(held), axis=0)
+                    if len(rows) > RANGE_MOST // 2:
+                        found, where, sizes = np.unique(rows[:, 0] >> np.uint64(1), return_inverse=True, return_counts=True)
+                        frequent = np.union1d(frequent, found[sizes > 4096])
+                        many = (sizes > 4096)[where]
+                        yield out(rows[many])
+                        rows = rows[~many]
+                    held, size = [rows], len(rows)
+        if held:
+            yield out(several(np.concatenate(held)))
+
+    texts = documents(docs, id_col, text_col).where("id is not null and text is not null").select("text")
+    parts = texts.mapInArrow(pack, "part bigint, entries binary").repartition(min(1 << bits, 4096), "part").sortWithinPartitions("part")
+    return parts.mapInArrow(unpack, "key bigint, h bigint, own boolean")
 
 
 def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """Those (x, y) of hashes whose texts are within the edits they allow; the texts come from their first occurrences."""
-    wanted = pairs.select(F.col("x").alias("h")).unionByName(pairs.select(F.col("y").alias("h"))).distinct()
-    places = cut(firsts.join(wanted, "h").groupBy("id").agg(F.collect_set("line").alias("lines")), "line-wanted")
-    places = F.broadcast(places) if places.count() <= BROADCAST_KEYS else places
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(places, "id")
+    """Those pairs of lines (x, y: structs h, g) whose texts are within the edits they allow; texts come from first occurrences."""
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("x")).select("x.h", "x.g").distinct()
+    places = cut(firsts.join(wanted, ["h", "g"]).groupBy("id", "t").agg(F.collect_set("line").alias("lines")), "line-wanted")
+    rows = documents(docs, id_col, text_col).join(small(places, F.lit(24) + 4 * F.size("lines")), ["id", "t"])
+    edits = allowed(max_edits)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, texts = [], []
-            for text, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = (text or "").split("\n")
-                for line in lines:
-                    if line < len(own) and len(own[line]) >= min_chars:
-                        h.append(_hash(own[line]))
-                        texts.append(own[line])
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(texts, pa.string())], ["h", "text"])
-
-    texts = rows.select("text", "lines").mapInArrow(read, "h bigint, text string").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
-    both = pairs.join(texts.select(F.col("h").alias("x"), F.col("text").alias("a")), "x").join(texts.select(F.col("h").alias("y"), F.col("text").alias("b")), "y")
+            texts = []
+            for text, numbers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = text.split("\n")
+                texts += [own[line] for line in numbers if line < len(own)]
+            h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(t.encode()) for t in texts), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(texts, pa.string())], ["h", "g", "text"])
 
-    edits = allowed(max_edits)
+    texts = rows.select("text", "lines").mapInArrow(read, "h bigint, g bigint, text string").join(wanted, ["h", "g"], "left_semi").groupBy("h", "g").agg(F.first("text").alias("text"))
+    texts = cut(texts.select(F.struct("h", "g").alias("x"), "text"), "line-texts")
+    both = pairs.join(texts.withColumnRenamed("text", "a"), "x").join(texts.select(F.col("x").alias("y"), F.col("text").alias("b")), "y")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [within(a, b, edits(min(len(a), len(b)))) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
+            good = [within(a, b, edits(min(len(a), len(b)))) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield batch.select(["x"]).filter(pa.array(good, pa.bool_()))
 
-    return both.select("x", "y", "a", "b").mapInArrow(check, "x bigint, y bigint")
+    return both.select("x", "a", "b").mapInArrow(check, "x struct<h:bigint,g:bigint>")
 
 
 def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """(x): hashes of texts with a similar text that first occurs earlier."""
-    def keys(column: str, own: bool) -> DataFrame:
-        return firsts.select(F.explode(column).alias("key"), "h", "sig", "k", F.struct("id", "line").alias("at"), F.lit(own).alias("own"))
-
-    rows = keys("index", True).unionByName(keys("probe", False))
-    # a list matters if an index row meets another row
-    sizes = rows.select("key", "own").groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("some")).where("n > 1 and some")
-    alive = cut(sizes.select("key", "n"), "line-alive")
-    live = cut(rows.join(F.broadcast(alive) if alive.count() <= BROADCAST_KEYS else alive, "key"), "line-lists")
-    lists = live.groupBy("key").agg(F.min(F.struct("at", "h", "sig", "k")).alias("first"), F.min(F.when(F.col("own"), F.struct("at", "h", "sig", "k"))).alias("first_own"))
-
-    def like(a, b, k, y_k):
-        return F.bit_count(a.bitwiseXOR(b)) <= 2 * F.least(k, y_k)
-
-    # index rows meet the earliest row, probe rows the earliest index row
-    led = cut(live.join(lists, "key").withColumn("y", F.when(F.col("own"), F.col("first")).otherwise(F.col("first_own"))).drop("first", "first_own"), "line-led")
-    star = led.where((F.col("y.at") < F.col("at")) & like(F.col("sig"), F.col("y.sig"), F.col("k"), F.col("y.k"))).select(F.col("h").alias("x"), F.col("y.h").alias("y")).where("x != y").distinct()
-    found = cut(verified(star, firsts, docs, max_edits, min_chars, id_col, text_col).select("x").distinct(), "line-found")
-    left = led.where("n > 2").join(found.select(F.col("x").alias("h")), "h", "left_anti")
-    left = left.select("key", F.col("h").alias("x"), "at", "own", "sig", "k", F.col("y.h").alias("seen"))
-    other = live.where("n > 2").select(F.col("key").alias("y_key"), F.col("h").alias("y"), F.col("at").alias("y_at"), F.col("own").alias("y_own"), F.col("sig").alias("y_sig"), F.col("k").alias("y_k"))
-    earlier = (F.col("key") == F.col("y_key")) & (F.col("own") | F.col("y_own")) & (F.col("y_at") < F.col("at")) & (F.col("x") != F.col("y")) & (F.col("y") != F.col("seen"))
-    rest = cut(left.join(other, earlier & like(F.col("sig"), F.col("y_sig"), F.col("k"), F.col("y_k"))).select("x", "y").distinct(), "line-rest")
-    more = verified(rest, firsts, docs, max_edits, min_chars, id_col, text_col).select("x")
-    out = cut(found.unionByName(more).distinct(), "line-late")
-    for used in (alive, live, led, found, rest):
-        forget(used)
-    return out
+    """(h, g) of lines with a similar line that first occurs earlier."""
+    lines = firsts.where("k > 0").count()
+    keys = cut(shared_keys(docs, max_edits, min_chars, lines, id_col, text_col), "line-keys")
+    row = F.struct(F.struct("id", "t", "line").alias("at"), F.struct("h", "g").alias("x"), "sig", "k", "n")
+    facts = firsts.where("k > 0").select("h", row.alias("r"))
+    live = cut(keys.groupBy("key", "h").agg(F.max("own").alias("own")).join(facts, "h").select("key", "own", "r"), "line-lists")
+
+    def like(a, b):
+        k = F.least(a["k"], b["k"])
+        return (F.abs(a["n"] - b["n"]) <= k) & (F.bit_count(a["sig"].bitwiseXOR(b["sig"])) <= 2 * k)
+
+    # own segments meet the earliest line of a list, other substrings the earliest own one
+    heads = cut(live.groupBy("key").agg(F.count("*").alias("size"), F.min("r").alias("first"), F.min(F.when(F.col("own"), F.col("r"))).alias("first_own")).where("size > 1 and first_own is not null"), "line-heads")
+    led = cut(live.join(heads, "key").withColumn("y", F.when(F.col("own"), F.col("first")).otherwise(F.col("first_own"))).drop("first", "first_own"), "line-led")
+    star = cut(led.where((F.col("y.at") < F.col("r.at")) & like(F.col("r"), F.col("y"))).select(F.col("r.x").alias("x"), F.col("y.x").alias("y")).distinct(), "line-star")
+    found = cut(verified(star, firsts, docs, max_edits, min_chars, id_col, text_col).distinct(), "line-found")
+    parts = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
+    long = led.where("size > 2")
+    left = long.withColumn("x", F.col("r.x")).join(found, "x", "left_anti").select("key", F.col("own").alias("x_own"), F.col("r").alias("a"), F.col("y.x").alias("seen"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    other = long.select("key", "own", F.col("r").alias("b"), F.pmod(F.xxhash64("r.x"), parts).cast("int").alias("part"))
+    earlier = (F.col("x_own") | F.col("own")) & (F.col("b.at") < F.col("a.at")) & (F.col("b.x") != F.col("seen"))
+    rest = cut(left.join(other, ["key", "part"]).where(earlier & like(F.col("a"), F.col("b"))).select(F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct(), "line-rest")
+    more = verified(rest, firsts, docs, max_edits, min_chars, id_col, text_col)
+    return found.unionByName(more).distinct().select("x.h", "x.g")
 
 
 def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lines): numbers of the lines that go from each document that loses any."""
+    """(id, t, lines): numbers of the lines that go from each document that loses any; t: xxhash64 of its text."""
     bounded_batches(docs.sparkSession)
-    found = occurrences(docs, max_edits, min_chars, id_col, text_col)
-    places = cut(found, "line-places")
-    firsts = cut(places.groupBy("h").agg(F.min(F.struct("id", "line", "sig", "k", "index", "probe")).alias("f")).select("h", "f.*"), "line-firsts")
-    late = similar_earlier(firsts, docs, max_edits, min_chars, id_col, text_col)
-    copies = places.join(firsts.select("h", F.col("id").alias("f_id"), F.col("line").alias("f_line")), "h").where((F.col("id") != F.col("f_id")) | (F.col("line") != F.col("f_line"))).select("id", "line")
-    similar = firsts.join(late.select(F.col("x").alias("h")), "h", "left_semi").select("id", "line")
-    out = cut(copies.unionByName(similar).groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("lines")), "line-removals")
-    for used in (places, firsts, late):
-        forget(used)
-    return out
+    with scope() as held:
+        places = cut(occurrences(docs, max_edits, min_chars, id_col, text_col), "line-places")
+        at = F.struct("id", "t", "line", "n", "k", "sig")
+        firsts = cut(places.groupBy("h", "g").agg(F.count("*").alias("copies"), F.min(at).alias("f")).select("h", "g", "copies", "f.*"), "line-firsts")
+        late = similar_earlier(firsts, docs, max_edits, min_chars, id_col, text_col)
+        again = firsts.where("copies > 1").select("h", "g", F.struct("id", "t", "line").alias("first"))
+        copies = places.join(again, ["h", "g"]).where(F.struct("id", "t", "line") != F.col("first")).select("id", "t", "line")
+        similar = firsts.join(late, ["h", "g"], "left_semi").select("id", "t", "line")
+        return held.keep(cut(copies.unionByName(similar).groupBy("id", "t").agg(F.sort_array(F.collect_set("line")).alias("lines")), "line-removals"))
 
 
 def dedup_lines(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = True, count: str | None = None) -> DataFrame:
     """docs with all their columns, texts without the lines that go; `count` names a column for how many went."""
-    gone = removals(docs, max_edits, min_chars, id_col, text_col).withColumnRenamed("id", "_line_id")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_DOCS else gone
-    rows = docs.join(gone, F.col(id_col) == F.col("_line_id"), "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_line_all") - 1), F.col("lines"))
-    rows = rows.withColumn("_line_all", F.when(F.col("lines").isNotNull(), lines))
-    text = F.when(F.col("lines").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_line_all", i)), "\n"))
+    gone = removals(docs, max_edits, min_chars, id_col, text_col)
+    key, text_hash, numbers, every = fresh(docs.columns, "line_id", "line_text", "line_numbers", "line_all")
+    gone = small(gone, F.lit(24) + 4 * F.size("lines")).select(F.col("id").alias(key), F.col("t").alias(text_hash), F.col("lines").alias(numbers))
+    rows = docs.join(gone, (named(id_col) == F.col(key)) & (F.xxhash64(named(text_col)) == F.col(text_hash)), "left")
+    rows = rows.withColumn(every, F.when(F.col(numbers).isNotNull(), F.split(named(text_col), "\n", -1)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(numbers))
+    text = F.when(F.col(numbers).isNull(), named(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(every, i)), "\n"))
     rows = rows.withColumn(text_col, text)
     if drop_emptied:
-        rows = rows.where(F.col("lines").isNull() | F.col(text_col).rlike(r"\S"))
+        rows = rows.where(F.col(numbers).isNull() | named(text_col).rlike(r"\S"))
     if count:
-        rows = rows.withColumn(count, F.coalesce(F.size("lines"), F.lit(0)).cast("long"))
-    return rows.select(*docs.columns, *([count] if count else []))
+        rows = rows.withColumn(count, F.coalesce(F.size(numbers), F.lit(0)).cast("long"))
+    return rows.select(*map(named, docs.columns), *([count] if count and count not in docs.columns else []))
 
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:

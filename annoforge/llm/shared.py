@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one Arrow batch brings to a Python worker, a single longer text aside.
 BATCH_BYTES = 2 << 20
-#: Used only where the session names no spark.checkpoint.dir, as in tests.
+#: Used only in local mode where the session names no spark.checkpoint.dir, as in tests.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
 
@@ -38,31 +39,114 @@ def tidy() -> None:
         pass
 
 
+_own_dirs: dict[str, str] = {}
+_open: list[Scope] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = f"{LOCAL_CHECKPOINTS}/{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    """The folder that driver and executors share, as the session names it.
+
+    Only a session whose driver is its one executor, as in tests, may go without: it gets a folder of its own."""
+    named_ = spark.conf.get("spark.checkpoint.dir", None)
+    if named_:
+        return named_
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return _own_dirs.setdefault(spark.sparkContext.applicationId, f"{LOCAL_CHECKPOINTS}/{spark.sparkContext.applicationId}")
+
+
+class Scope:
+    """Tables written while it is open are deleted at its end, but for those kept: they pass to the scope around it."""
+
+    def __init__(self):
+        self.held: list[DataFrame] = []
+        self.kept: list[DataFrame] = []
+
+    def __enter__(self) -> Scope:
+        _open.append(self)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(df)
+        return df
+
+    def __exit__(self, *_) -> None:
+        _open.pop()
+        kept = {getattr(df, "_annoforge_path", None) for df in self.kept}
+        for df in self.held:
+            if df._annoforge_path not in kept:
+                forget(df)
+            elif _open:
+                _open[-1].held.append(df)
+
+
+def scope() -> Scope:
+    return Scope()
 
 
 def cut(df: DataFrame, what: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it again: later plans start from those files."""
+    """Write df as a table in the shared folder and read it again: later plans start from those files.
+
+    The table goes with the scope it is made in, or with forget(); else with the driver, at its end."""
     path = f"{shared_dir(df.sparkSession)}/annoforge/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._annoforge_path = path
+    if _open:
+        _open[-1].held.append(out)
+    _left[path] = df.sparkSession
     return out
 
 
+_left: dict[str, SparkSession] = {}
+
+
+def _delete(path: str) -> None:
+    spark = _left.pop(path, None)
+    if spark is not None:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a cut() that no later plan reads."""
-    path = getattr(df, "_annoforge_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+    _delete(getattr(df, "_annoforge_path", ""))
+
+
+@atexit.register
+def forget_all() -> None:
+    """At the driver's end, delete what results still read from."""
+    for path in list(_left):
+        try:
+            _delete(path)
+        except Exception:  # the session's JVM may have gone first
+            _left.clear()
+
+
+#: Bytes up to which a table is broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame, row_bytes: Column) -> DataFrame:
+    """df, marked to be broadcast if its rows' bytes stay below BROADCAST_BYTES; else the join shuffles."""
+    size = df.agg(F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """These names, changed where a column has them already."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

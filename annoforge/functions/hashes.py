@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,3 +48,37 @@ def sign_hash(vector: Column) -> Column:
     """Bit i is set where component i is positive."""
     bits = F.transform(F.slice(vector, 1, 64), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
+
+
+def bits_hex(bits: Column) -> Column:
+    """Upper-case hex of an array of 0 and 1, the first the highest; four of them to a digit."""
+    digits = F.transform(
+        F.sequence(F.lit(0), (F.size(bits) / 4).cast("int") - 1),
+        lambda i: F.conv(F.array_join(F.slice(bits, i * 4 + 1, 4).cast("array<string>"), ""), 2, 16),
+    )
+    return F.array_join(digits, "")
+
+
+def dhash(luma: Column, side: int = 8) -> Column:
+    """Difference hash of side rows of side + 1 luma values, already resampled: each value against the next in its row."""
+    at = F.sequence(F.lit(0), F.lit(side * side - 1))
+    place = lambda i: F.floor(i / side).cast("int") * (side + 1) + i % side
+    return bits_hex(F.transform(at, lambda i: (F.get(luma, place(i)) > F.get(luma, place(i) + 1)).cast("int")))
+
+
+def phash(luma: Column, side: int = 8) -> Column:
+    """Perceptual hash of a square of 4 * side luma values a side, already resampled: low frequencies of its cosine
+    transform against their median, the constant one left out of that."""
+    n = 4 * side
+    wave = [[math.sqrt((1 if u == 0 else 2) / n) * math.cos(math.pi * (2 * x + 1) * u / (2 * n)) for x in range(n)] for u in range(side)]
+    waves = F.array(*[F.array(*map(F.lit, row)) for row in wave])
+
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+
+    rows = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda r: F.slice(luma, r * n + 1, n))
+    across = F.transform(waves, lambda w: F.transform(rows, lambda row: dot(row, w)))  # [frequency across][row]
+    low = F.flatten(F.transform(waves, lambda w: F.transform(across, lambda column: dot(column, w))))
+    ranked = F.array_sort(F.slice(low, 2, side * side - 1))
+    median = F.get(ranked, F.lit((side * side - 1) // 2))
+    return bits_hex(F.transform(F.zip_with(low, F.array_repeat(median, side * side), lambda v, m: v >= m), lambda b: b.cast("int")))

@@ -160,3 +160,45 @@ def cosine_softmax(vector: Column, prototypes: list[list[float]], scale: float =
     for p in parts[1:]:
         total = total + p
     return F.array(*[p / total for p in parts])
+
+
+def needs_literal(c: Column) -> Column:
+    """Whether a sheet would take a cell for a formula unless it is marked as text."""
+    return F.coalesce(F.substring(c, 1, 1).isin("=", "+", "-", "@"), F.lit(False))
+
+
+def literal(c: Column) -> Column:
+    """Texts for cells, those that a sheet would take for formulas after the mark of a text."""
+    return F.when(needs_literal(c), F.concat(F.lit("'"), c)).otherwise(F.coalesce(c, F.lit("")))
+
+
+def scalar(c: Column, kind: str = "string") -> Column:
+    """A value as text: null and NaN as blank, instants in UTC with offset, all else stripped. kind: string, double or timestamp."""
+    if kind == "timestamp":
+        at = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        return F.coalesce(F.concat(F.regexp_replace(at, r"\.000000$", ""), F.lit("+00:00")), F.lit(""))
+    if kind == "double":
+        return F.when(c.isNull() | F.isnan(c), "").otherwise(c.cast("string"))
+    return stripped(c)
+
+
+def strict_number(c: Column, integer: bool = False, positive: bool = False) -> Column:
+    """Struct (value, code) of a text as a number; the code says why the value is null: not_numeric, not_finite, not_positive."""
+    value = stripped(c).try_cast("bigint" if integer else "double")
+    code = F.when(value.isNull() | (F.lit(integer) & ~stripped(c).rlike(r"^[+-]?[0-9]+$")), "not_numeric")
+    if not integer:
+        code = code.when(F.isnan(value) | (F.abs(value) == float("inf")), "not_finite")
+    if positive:
+        code = code.when(value <= 0, "not_positive")
+    code = code.otherwise("")
+    return F.struct(F.when(code == "", value).alias("value"), code.alias("code"))
+
+
+def json_checksum(**fields: Column) -> Column:
+    """SHA-256 of the canonical JSON."""
+    return F.sha2(F.encode(canonical_json(**fields), "UTF-8"), 256)
+
+
+def first_column(columns: list[str], wanted: list[str]) -> str | None:
+    """The first of the wanted names that is a column."""
+    return next((w for w in wanted if w in columns), None)

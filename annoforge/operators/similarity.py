@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.functions import hashes as H
+from annoforge.operators.checks import GateError
 
 ALL_SCOPES = {("internal", "internal"), ("internal", "external"), ("external", "external")}
 
@@ -40,12 +41,14 @@ def band_rows(records: DataFrame, distance: int) -> DataFrame:
     return records.select("*", F.posexplode(H.bands(F.col("phash"), distance)).alias("band", "value"))
 
 
-def raw_pairs(records: DataFrame, distance: int, scopes: set[tuple[str, str]] = ALL_SCOPES) -> DataFrame:
+def raw_pairs(records: DataFrame, distance: int, scopes: set[tuple[str, str]] = ALL_SCOPES, within: DataFrame | None = None) -> DataFrame:
     """Pairs that agree in a band, each once, left id below right id; equal digests are left out if records have them.
+    within: (band, value) that alone are looked at.
 
     A pair that agrees in several bands counts in the first: no distinct over pairs is needed."""
     wanted = sorted({s for pair in scopes for s in pair})
     rows = band_rows(records.where(F.col("source_scope").isin(*wanted)), distance)
+    rows = rows if within is None else rows.join(within, ["band", "value"], "left_semi")
     a = rows.select("band", "value", *[F.col(c).alias(f"left_{c}") for c in records.columns])
     b = rows.select("band", "value", *[F.col(c).alias(f"right_{c}") for c in records.columns])
     met = a.join(b, ["band", "value"]).where((F.col("left_record_id") < F.col("right_record_id")) & scope_allowed(F.col("left_source_scope"), F.col("right_source_scope"), scopes))
@@ -75,6 +78,30 @@ def candidate_counts(records: DataFrame, distance: int, scopes: set[tuple[str, s
     return ends.groupBy("record_id").agg(F.count("*").alias("raw_pairs"))
 
 
+def overflow(records: DataFrame, distance: int, cap: int, scopes: set[tuple[str, str]] = ALL_SCOPES) -> DataFrame:
+    """(record_id) of records with more than `cap` raw pairs, found without making the pairs of crowded bands.
+
+    A band with more than cap + 1 different files of an allowed scope proves it for its members; pairs are made
+    in the other bands only, where they are all that the remaining records have."""
+    digest = "sha256" if "sha256" in records.columns else "record_id"
+    rows = band_rows(records.where(F.col("source_scope").isin(*sorted({s for pair in scopes for s in pair}))), distance)
+    sizes = rows.groupBy("band", "value", F.col("source_scope").alias("other")).agg(F.count_distinct(digest).alias("n"))
+    crowded = sizes.where(F.col("n") > cap + 1)
+    met = rows.join(crowded, ["band", "value"]).where(scope_allowed(F.col("source_scope"), F.col("other"), scopes))
+    sure = met.select("record_id").distinct()
+    calm = sizes.select("band", "value").distinct().join(crowded, ["band", "value"], "left_anti")
+    pairs = raw_pairs(records, distance, scopes, calm)
+    rest = pairs.select(F.explode(F.array("left_record_id", "right_record_id")).alias("record_id")).groupBy("record_id").count().where(F.col("count") > cap).select("record_id")
+    return sure.unionByName(rest).distinct()
+
+
+def refuse_overflow(records: DataFrame, distance: int, cap: int, scopes: set[tuple[str, str]] = ALL_SCOPES) -> None:
+    """Raise, before any pair is made for use, if a record has more raw pairs than the cap."""
+    first = overflow(records, distance, cap, scopes).orderBy("record_id").limit(1).collect()
+    if first:
+        raise GateError(f"candidate overflow: {first[0]['record_id']} has more than {cap} raw pairs")
+
+
 def dedup_summary(files: DataFrame, pairs: DataFrame, scopes: set[tuple[str, str]] = ALL_SCOPES) -> DataFrame:
     """One row of totals."""
     f = files.agg(F.count("*").alias("records"), F.count_if(F.col("source_scope") == "internal").alias("internal_records"), F.count_if(F.col("source_scope") == "external").alias("external_records"), F.count_distinct("sha256").alias("distinct_files"))

@@ -10,8 +10,10 @@ only that block's documents are summed one by one. No text is shuffled and no wi
 
 Tokens are words here (runs of anything but ASCII white space). Results: a null source is a source of its
 own; null and empty texts have 0 tokens and go along with their place in the permutation. Rows of one id
-share a place and are taken together. Sources without a token get weight 0 and their documents one pass.
-An empty table gives an empty result.
+share a place and are taken together. Sources without a token get weight 0 and their documents one pass. Where
+a source's budget leaves no token for a further pass, nothing of one is taken, no empty document either. An empty table gives an
+empty result. All columns stay, whatever their names; the pass of a copy is in `mix_epoch`, with underscores
+before it where docs has such a column already.
 """
 
 from __future__ import annotations
@@ -22,12 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from annoforge.llm.shared import cut, table
+from annoforge.llm.shared import cut, fresh, named, scope, small, table
 
 DIGITS = 4
 #: Production targets: share of the largest possible entropy, and passes over a source at most.
 ENTROPY, MAX_EPOCHS, SEED = 0.97, 1.5, "mix"
-#: Sources up to which their cuts are broadcast; a corpus has far fewer.
+#: Sources whose totals the bisection takes; more are refused before any are collected.
 MAX_SOURCES = 100_000
 
 
@@ -85,23 +87,22 @@ def plan(totals: dict[str, int], budget: int | None = None, entropy: float = ENT
 
 def place(id_col: str, passes: Column, seed: str) -> Column:
     """A document's place in the permutation of a pass."""
-    return F.md5(F.encode(F.concat_ws(":", F.lit(seed), passes.cast("string"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))), "UTF-8"))
+    return F.md5(F.encode(F.concat_ws(":", F.lit(seed), passes.cast("string"), F.coalesce(named(id_col).cast("string"), F.lit("null"))), "UTF-8"))
 
 
 def source_key(source_col: str) -> Column:
-    return F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))
+    return F.coalesce(F.concat(F.lit("="), named(source_col).cast("string")), F.lit("null"))
 
 
 def word_count(text_col: str) -> Column:
-    return F.size(F.array_remove(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(named(text_col), F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
 def cuts(sizes: DataFrame, passes: dict[str, tuple[int, int]], seed: str) -> DataFrame:
     """Per source key: whole passes, and the last place taken in the pass beyond (null: none)."""
     spark = sizes.sparkSession
-    if len(passes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    targets = spark.createDataFrame([(s, e, r) for s, (e, r) in sorted(passes.items())], "_source string, _passes bigint, _rest bigint")
+    # where no token is left there is no pass beyond, whatever the documents' places
+    targets = spark.createDataFrame([(s, e, r or -1) for s, (e, r) in sorted(passes.items())], "_source string, _passes bigint, _rest bigint")
     rows = sizes.join(F.broadcast(targets), "_source").select("_source", "_rest", "n_tokens", place("_id", F.col("_passes"), seed).alias("_place"))
     blocks = rows.groupBy("_source", "_rest", F.substring("_place", 1, DIGITS).alias("_block")).agg(F.sum("n_tokens").alias("_n"))
     run = blocks.withColumn("_to", F.sum("_n").over(Window.partitionBy("_source").orderBy("_block")))
@@ -119,13 +120,19 @@ def cuts(sizes: DataFrame, passes: dict[str, tuple[int, int]], seed: str) -> Dat
 
 def mix(docs: DataFrame, budget: int | None = None, entropy: float = ENTROPY, max_epochs: float = MAX_EPOCHS, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs, each as often as its source's budget takes it, with all columns and `mix_epoch`."""
-    sizes = cut(docs.select(F.col(id_col).alias("_id"), source_key(source_col).alias("_source"), word_count(text_col).alias("n_tokens")), "mix-sizes")
-    totals = {r[0]: int(r[1]) for r in sizes.groupBy("_source").agg(F.sum("n_tokens")).collect()}
-    ends = cuts(sizes, plan(totals, budget, entropy, max_epochs), seed)
-    rows = docs.withColumn("_source", source_key(source_col)).join(F.broadcast(ends), "_source")
-    more = F.when(F.col("_last").isNotNull() & (place(id_col, F.col("_passes"), seed) <= F.col("_last")), 1).otherwise(0)
-    copies = rows.withColumn("_copies", F.col("_passes") + more).where("_copies > 0")
-    return copies.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))).drop("_source", "_passes", "_last", "_copies")
+    source, passes, last, copies, epoch = fresh(docs.columns, "mix_source", "mix_passes", "mix_last", "mix_copies", "mix_epoch")
+    with scope() as held:
+        sizes = cut(docs.select(named(id_col).alias("_id"), source_key(source_col).alias("_source"), word_count(text_col).alias("n_tokens")), "mix-sizes")
+        sums = cut(sizes.groupBy("_source").agg(F.sum("n_tokens").alias("n")), "mix-sums")
+        if sums.count() > MAX_SOURCES:
+            raise ValueError(f"more than {MAX_SOURCES} sources")
+        totals = {r[0]: int(r[1]) for r in sums.collect()}
+        ends = held.keep(cuts(sizes, plan(totals, budget, entropy, max_epochs), seed))
+    ends = ends.select(F.col("_source").alias(source), F.col("_passes").alias(passes), F.col("_last").alias(last))
+    rows = docs.withColumn(source, source_key(source_col)).join(small(ends, F.lit(64) + F.octet_length(source)), source)
+    more = F.when(F.col(last).isNotNull() & (place(id_col, F.col(passes), seed) <= F.col(last)), 1).otherwise(0)
+    rows = rows.withColumn(copies, F.col(passes) + more).where(F.col(copies) > 0)
+    return rows.select(*map(named, docs.columns), F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)).alias(epoch))
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
@@ -162,7 +169,7 @@ fit(step, lo, hi) AS (
 a AS (SELECT CASE WHEN (SELECT bool_and(budget * w <= {MAX_EPOCHS} * n) FROM (SELECT n, budget, pow(p, (SELECT a FROM a0)) / (SELECT sum(pow(p, (SELECT a FROM a0))) FROM p) AS w FROM p))
                   THEN (SELECT a FROM a0) ELSE (SELECT hi FROM fit WHERE step = 60) END AS a),
 b AS (SELECT k, n, floor(budget * (pow(p, (SELECT a FROM a)) / (SELECT sum(pow(p, (SELECT a FROM a))) FROM p)) + 0.5)::BIGINT AS target FROM p),
-s AS (SELECT t.k, CASE WHEN t.n > 0 THEN b.target // t.n::BIGINT ELSE 1 END AS passes, CASE WHEN t.n > 0 THEN b.target % t.n::BIGINT ELSE 0 END AS rest FROM t LEFT JOIN b ON t.k = b.k),
+s AS (SELECT t.k, CASE WHEN t.n > 0 THEN b.target // t.n::BIGINT ELSE 1 END AS passes, CASE WHEN t.n > 0 AND b.target % t.n::BIGINT > 0 THEN b.target % t.n::BIGINT ELSE -1 END AS rest FROM t LEFT JOIN b ON t.k = b.k),
 r AS (SELECT d.*, s.passes, s.rest, md5(concat('{SEED}:', s.passes, ':', coalesce(d.doc_id::VARCHAR, 'null'))) AS place FROM d JOIN s ON d.k = s.k),
 c AS (SELECT *, passes + CASE WHEN sum(n) OVER (PARTITION BY k ORDER BY place) <= rest THEN 1 ELSE 0 END AS copies FROM r)
 SELECT doc_id, source, unnest(range(copies))::BIGINT AS epoch, n_bytes::BIGINT AS n_bytes FROM c WHERE copies > 0

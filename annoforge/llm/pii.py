@@ -5,6 +5,9 @@ character keeps the source range it stands for: look-alike characters to ASCII,
 spelled or bracketed at and dot to @ and full stop. The same detectors read the rewritten text; a span that
 holds a rewritten character maps back to the source and is added if it overlaps no plain span of its kind.
 
+Every step takes time linear in the text: words that may stand for at, dot or a digit are found first, and what
+stands beside them is read outwards from there, each gap once.
+
 Results: null and empty texts have no span. Offsets are code points, ends exclusive; spans go by start, then
 kind in the order of KINDS. Ids may be null or repeat: one output row per input row.
 """
@@ -12,13 +15,15 @@ kind in the order of KINDS. Ids may be null or repeat: one output row per input
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annoforge.llm.shared import bounded_batches, table
+from annoforge.llm.shared import bounded_batches, named, table
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -60,7 +65,7 @@ def detect(text: str) -> list[tuple[int, int, int]]:
     if DIGIT.search(text) is None:
         return out
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(q := p.lstrip("0")) <= 3 and int(q or "0") <= 255 for p in m[0].split(".")):
             out.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 12:
@@ -95,72 +100,146 @@ DIGIT_WORDS = {
     )
     for w in ws.split()
 }
-AT_WORDS, DOT_WORDS, PLUS_WORDS = "at arroba ät", "dot punkt punto point", "plus más mas"
-#: Last labels that let bare words stand for at and dot.
+AT_WORDS, DOT_WORDS, PLUS_WORDS = "at arroba arobase ät", "dot punkt punto point", "plus más mas"
+#: Last labels that let bare words stand for at and dot, wherever they stand.
 LAST_LABELS = "com org net edu gov io info biz co uk us de fr es eu ch at test example"
+#: Fixed value: a domain name has at most so many labels.
+MOST_LABELS = 127
 
 _words = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_at, _dot, _plus, _last = ("|".join(x.split()) for x in (AT_WORDS, DOT_WORDS, PLUS_WORDS, LAST_LABELS))
-_open, _close = r"[\[({<]\s*", r"\s*[\])}>]"
-BRACKETED = re.compile(rf"\s*(?:{_open}(?:(?P<at>{_at}|@)|(?P<dot>{_dot}|\.)|(?P<dash>dash|minus)){_close})\s*", re.I)
-#: Digits, spelled or not, at least four and at least one of them spelled, with what may stand between.
-_digit = rf"(?:\b(?:{_words})\b|[0-9])"
-SPELLED = re.compile(rf"(?:\b(?:{_plus})\b\s*|\+\s*)?{_digit}(?:(?:[\s(),.-]|\b(?:{_dot})\b)*{_digit}){{3,}}", re.I)
-TOKEN = re.compile(rf"\b(?P<digit>{_words})\b|\s*\b(?P<dot>{_dot})\b\s*|\b(?P<plus>{_plus})\b\s*", re.I)
-MAIL_WORDS = re.compile(rf"[\w.%+-]+(?P<at>\s+(?:{_at})\s+|\s*@\s*)[\w-]+(?:(?:\s+(?:{_dot})\s+|\s*\.\s*)[\w-]+)*?(?:\s+(?:{_dot})\s+|\s*\.\s*)(?:{_last})\b", re.I)
-MAIL_TOKEN = re.compile(rf"\s+(?P<at>{_at})\s+|\s+(?P<dot>{_dot})\s+", re.I)
-#: What a text must hold for a transducer to change it: MAIL_WORDS after the last character of a local part, a spelled token beside a digit.
-HINTS_MAIL = re.compile(r"(?<=[\w.%+-])" + MAIL_WORDS.pattern.removeprefix(r"[\w.%+-]+"), re.I)
-HINTS_BRACKET = re.compile(rf"{_open}(?:{_at}|{_dot}|@|\.|dash|minus){_close}", re.I)
-_between = rf"(?:[\s(),.-]|\b(?:{_dot})\b)*"
-HINTS_DIGIT = re.compile(rf"\b(?:{_words}|{_plus}|{_dot})\b{_between}{_digit}|[0-9]{_between}\b(?:{_words})\b", re.I)
+_at, _dot, _plus = ("|".join(x.split()) for x in (AT_WORDS, DOT_WORDS, PLUS_WORDS))
+LAST = frozenset(LAST_LABELS.split())
+BRACKETED = re.compile(rf"[\[({{<]\s*(?:(?P<at>{_at}|@)|(?P<dot>{_dot}|\.)|(?P<dash>dash|minus))\s*[\])}}>]", re.I)
+#: Digits, spelled or not, and the words that may stand before or between them.
+DIGIT_TOKEN = re.compile(rf"\b(?:(?P<word>{_words})|(?P<dot>{_dot})|(?P<plus>{_plus}))\b|(?P<digits>[0-9]+)|(?P<sign>\+)", re.I)
+SPELLED_WORD = re.compile(rf"\b(?:{_words}|{_dot}|{_plus})\b", re.I)
+#: What may stand between the digits of a number besides dot words.
+BETWEEN = re.compile(r"[\s(),.-]*")
+#: A bare word or a sign between the two parts of an address.
+AT_TOKEN = re.compile(rf"(?<=\s)(?P<word>{_at})(?=\s)|@", re.I)
+LABEL = re.compile(r"[\w-]+")
+NEXT_LABEL = re.compile(rf"(?P<word>\s+(?:{_dot})\s+)(?P<a>[\w-]+)|\s*\.\s*(?P<b>[\w-]+)", re.I)
+ENDS = re.compile(r"(?!\w)(?![^\S\n]*\w)")
+_LOCAL_END = re.compile(r"[\w.%+-]")
 
 
 class Rewritten:
     """A text under rewriting; lo and hi give the source range of each character, new marks written ones."""
 
     def __init__(self, text: str):
-        self.text, self.lo, self.hi, self.new = text, list(range(len(text))), list(range(1, len(text) + 1)), bytearray(len(text))
+        self.text, self.new = text, bytearray(len(text))
+        self.lo, self.hi = array("i", range(len(text))), array("i", range(1, len(text) + 1))
 
     def replace(self, edits: list[tuple[int, int, str]]) -> None:
         """Each (start, end, text), in order and apart, becomes the text; it stands for the whole range."""
         if not edits:
             return
-        text, lo, hi, new, done = [], [], [], bytearray(), 0
+        text, lo, hi, new, done = [], array("i"), array("i"), bytearray(), 0
         for a, b, to in edits:
             text += (self.text[done:a], to)
-            lo += self.lo[done:a] + [self.lo[a]] * len(to)
-            hi += self.hi[done:a] + [self.hi[b - 1]] * len(to)
+            lo += self.lo[done:a]
+            hi += self.hi[done:a]
+            lo.extend([self.lo[a]] * len(to))
+            hi.extend([self.hi[b - 1]] * len(to))
             new += self.new[done:a] + b"\x01" * len(to)
             done = b
         self.text = "".join(text) + self.text[done:]
-        self.lo, self.hi, self.new = lo + self.lo[done:], hi + self.hi[done:], new + self.new[done:]
+        lo += self.lo[done:]
+        hi += self.hi[done:]
+        self.lo, self.hi, self.new = lo, hi, new + self.new[done:]
 
 
 def look_alikes(r: Rewritten) -> None:
     r.replace([(m.start(), m.end(), LOOK_ALIKES.get(m[0], "")) for m in LOOK.finditer(r.text)])
 
 
+def around(text: str, a: int, b: int, least: int) -> tuple[int, int]:
+    """The range with the white space on both sides, from `least` on."""
+    while a > least and text[a - 1].isspace():
+        a -= 1
+    while b < len(text) and text[b].isspace():
+        b += 1
+    return a, b
+
+
 def bracketed(r: Rewritten) -> None:
-    r.replace([(m.start(), m.end(), "@" if m["at"] else "." if m["dot"] else "-") for m in BRACKETED.finditer(r.text)])
+    edits, done = [], 0
+    for m in BRACKETED.finditer(r.text):
+        a, done = around(r.text, m.start(), m.end(), done)
+        edits.append((a, done, "@" if m["at"] else "." if m["dot"] else "-"))
+    r.replace(edits)
 
 
-def spelled_digits(r: Rewritten) -> None:
-    edits = []
-    for run in SPELLED.finditer(r.text):
-        if any(c.isalpha() for c in run[0]):
-            for m in TOKEN.finditer(r.text, run.start(), run.end()):
-                edits.append((m.start(), m.end(), DIGIT_WORDS[m["digit"].lower()] if m["digit"] else "." if m["dot"] else "+"))
+def number_runs(text: str) -> Iterator[list[re.Match]]:
+    """Runs of at least four digits, with what may stand between and a plus before, of which something is a word."""
+    run: list[re.Match] = []
+    for m in DIGIT_TOKEN.finditer(text):
+        joined = bool(run) and BETWEEN.fullmatch(text, run[-1].end(), m.start()) is not None
+        if joined and (run[-1]["plus"] or run[-1]["sign"]):
+            joined = text[run[-1].end() : m.start()].strip() == "" and not m["dot"]
+        if not joined or m["plus"] or m["sign"]:
+            yield from spelled(run)
+            run = []
+        if run or not m["dot"]:
+            run.append(m)
+    yield from spelled(run)
+
+
+def spelled(run: list[re.Match]) -> Iterator[list[re.Match]]:
+    while run and run[-1]["dot"]:
+        run.pop()
+    if any(m["word"] or m["plus"] or m["dot"] for m in run) and sum(1 if m["word"] else len(m["digits"] or "") for m in run) >= 4:
+        yield run
+
+
+def spelled_digits(r: Rewritten) -> bool:
+    """Whether a number was spelled."""
+    edits, done = [], 0
+    for run in number_runs(r.text):
+        for m in run:
+            if m["digits"] or m["sign"]:
+                done = m.end()
+                continue
+            if m["word"]:
+                a, b, to = m.start(), m.end(), DIGIT_WORDS[m["word"].lower()]
+            elif m["dot"]:
+                (a, b), to = around(r.text, m.start(), m.end(), done), "."
+            else:
+                a, b, to = m.start(), around(r.text, m.start(), m.end(), m.start())[1], "+"
+            edits.append((a, b, to))
+            done = b
     r.replace(edits)
     # digits that were words go together where only one blank stands between two of them
-    r.replace([(i, i + 1, "") for i in range(1, len(r.text) - 1) if r.text[i] == " " and r.new[i - 1] and r.new[i + 1] and r.text[i - 1] in "0123456789" and r.text[i + 1] in "0123456789"] if edits else [])
+    if edits:
+        r.replace([(m.start(), m.end(), "") for m in re.finditer(r"(?<=[0-9]) (?=[0-9])", r.text) if r.new[m.start() - 1] and r.new[m.end()]])
+    return bool(edits)
+
+
+def address(text: str, m: re.Match, least: int) -> list[tuple[int, int, str]]:
+    """The edits that make an address of what stands around an at word or sign; none if it is no address."""
+    a, b = around(text, m.start(), m.end(), least)
+    if not a or not _LOCAL_END.match(text[a - 1]) or not (label := LABEL.match(text, b)):
+        return []
+    edits = [(a, b, "@")] if (a, b) != (m.start(), m.end()) or m["word"] else []
+    plain = not m["word"] or m["word"].lower() != "at"  # a word with no other use
+    at, good = label.end(), None
+    for _ in range(MOST_LABELS):
+        if not (more := NEXT_LABEL.match(text, at)):
+            break
+        at, name = more.end(), (more["a"] or more["b"]).lower()
+        if more["word"]:
+            edits.append((*more.span("word"), "."))
+        if name in LAST or (plain and len(name) > 1 and name.isalpha()) or (len(name) == 2 and name.isalpha() and ENDS.match(text, at)):
+            good = len(edits)
+    return edits[:good] if good is not None else []
 
 
 def spelled_mail(r: Rewritten) -> None:
-    edits = []
-    for run in MAIL_WORDS.finditer(r.text):
-        for m in MAIL_TOKEN.finditer(r.text, run.start(), run.end()):
-            edits.append((m.start(), m.end(), "@" if m["at"] else "."))
+    edits, done = [], 0
+    for m in AT_TOKEN.finditer(r.text):
+        if m.start() >= done and (own := address(r.text, m, done)):
+            edits += own
+            done = own[-1][1]
     r.replace(edits)
 
 
@@ -172,25 +251,27 @@ def disguised(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, i
         look_alikes(r := Rewritten(text))
     now = r.text if r else text
     # each step may write what the next one reads
-    if HINTS_BRACKET.search(now):
+    if BRACKETED.search(now):
         bracketed(r := r or Rewritten(text))
         now = r.text
-    if HINTS_DIGIT.search(now):
+    if SPELLED_WORD.search(now) and next(number_runs(now), None):
         spelled_digits(r := r or Rewritten(text))
         now = r.text
-    if MAIL_TOKEN.search(now) and HINTS_MAIL.search(now):
+    if any(address(now, m, 0) for m in AT_TOKEN.finditer(now)):
         spelled_mail(r := r or Rewritten(text))
     if r is None:
         return []
-    out = []
+    out, of_kind = [], [[(x, y) for x, k, y in plain if k == kind] for kind in range(len(KINDS))]
     for a, kind, b in detect(r.text):
-        if any(r.new[a:b]) or r.hi[b - 1] - r.lo[a] != b - a:
+        if 1 in r.new[a:b] or r.hi[b - 1] - r.lo[a] != b - a:
             lo, hi = r.lo[a], r.hi[b - 1]
             while lo < hi and text[lo].isspace():
                 lo += 1
             while hi > lo and text[hi - 1].isspace():
                 hi -= 1
-            if all(hi <= x or y <= lo for x, k, y in plain if k == kind):
+            own = of_kind[kind]  # in order and apart: only the last that starts before hi can overlap
+            i = bisect_left(own, (hi,)) - 1
+            if i < 0 or own[i][1] <= lo:
                 out.append((lo, kind, hi))
     return out
 
@@ -212,7 +293,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 found.append([{"kind": KINDS[k], "start": a, "end": b, "plain": p} for a, k, b, p in both])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, span)], [id_col, "spans"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind_}, spans array<struct<kind:string,start:bigint,end:bigint,plain:boolean>>")
+    return docs.select(named(id_col), named(text_col)).mapInArrow(run, f"`{id_col}` {kind_}, spans array<struct<kind:string,start:bigint,end:bigint,plain:boolean>>")
 
 
 def op7_pii(spark, sf_dir: str) -> DataFrame:

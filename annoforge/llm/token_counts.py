@@ -1,9 +1,10 @@
 """Token counts by a map-side two-tier lookup.
 
-Tier one is a compact table of frequent pre-tokens and their token counts, broadcast once: by default the
-whole words of the vocabulary itself, whose ranks are frequency ranks, so that its size is that of the
-vocabulary whatever the corpus. Tier two is a bounded cache in every worker; what neither holds is encoded
-by the tokenizer's library, once per batch and distinct pre-token. No pre-token is shuffled.
+Tier one is a compact hash table of frequent pre-tokens and their token counts, broadcast once: the TIER most
+frequent pre-tokens of a bounded sample of the texts, counted in one task. The sample decides speed only, never
+a count. Tier two is a bounded cache in every worker; what neither holds is encoded by the tokenizer's
+library, once per batch and distinct pre-token. No pre-token is shuffled. Texts are split in slices of bytes,
+so that a worker's memory does not follow the longest text.
 
 Results: a null or empty text has 0 bytes and 0 tokens. Each input row gives one output row whatever its
 id, so that repeated rows and null ids are kept; columns besides id and text are left out.
@@ -13,18 +14,21 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, table, tidy
+from annoforge.llm.shared import bounded_batches, named, table, tidy
 from annoforge.llm.vocabularies import vocabulary
 
 CACHE_PIECES = 200_000
+#: Pre-tokens of tier one; rows and bytes of the sample that they come from; text bytes split at a time.
+TIER, SAMPLE_ROWS, SAMPLE_BYTES, SLICE_BYTES = 1 << 15, 2000, 8 << 20, 1 << 20
 #: Below this code point composed forms stay as they are and lower case goes by single characters.
 PLAIN = 0x300
 
@@ -32,13 +36,13 @@ PLAIN = 0x300
 class Counter:
     """Counts tokens of texts for one tokenizer of the kind with word ends."""
 
-    def __init__(self, raw: str, frequent: tuple[pa.Array, np.ndarray], cache_pieces: int = CACHE_PIECES):
+    def __init__(self, raw: str, frequent: dict[str, int], cache_pieces: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(raw)
         self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or r"(?!)")
-        self.frequent, self.frequent_sizes = frequent
+        self.frequent = frequent
         self.cache_pieces = cache_pieces
         self.new: dict[str, int] = {}
         self.old: dict[str, int] = {}
@@ -49,27 +53,26 @@ class Counter:
         return [len(e.ids) for e in run(distinct, add_special_tokens=False)]
 
     def sizes(self, distinct: pa.Array) -> np.ndarray:
-        at = pc.index_in(distinct, value_set=self.frequent)
-        known = at.is_valid().to_numpy(zero_copy_only=False)
-        out = np.zeros(len(distinct), np.int64)
-        out[known] = self.frequent_sizes[at.drop_null().to_numpy()]
-        rest = np.flatnonzero(~known)
-        new, old, missing, where = self.new, self.old, [], []
-        for i, piece in zip(rest.tolist(), distinct.take(pa.array(rest)).to_pylist(), strict=True):
-            n = new.get(piece)
+        """Token counts of distinct pre-tokens: tier one, the cache, the library."""
+        first, new, old, missing, where, out = self.frequent, self.new, self.old, [], [], []
+        for i, piece in enumerate(distinct.to_pylist()):
+            n = first.get(piece)
             if n is None:
-                n = old.get(piece)
+                n = new.get(piece)
                 if n is None:
-                    missing.append(piece)
-                    where.append(i)
-                    continue
-                new[piece] = n
-            out[i] = n
-        if missing:
-            for lo in range(0, len(missing), 8192):
-                got = self.encode(missing[lo : lo + 8192])
-                out[where[lo : lo + 8192]] = got
-                new.update((p, n) for p, n in zip(missing[lo : lo + 8192], got, strict=True) if len(p) <= 64)
+                    n = old.get(piece)
+                    if n is None:
+                        missing.append(piece)
+                        where.append(i)
+                        n = 0
+                    else:
+                        new[piece] = n
+            out.append(n)
+        out = np.array(out, np.int64)
+        for lo in range(0, len(missing), 8192):
+            got = self.encode(missing[lo : lo + 8192])
+            out[where[lo : lo + 8192]] = got
+            new.update((p, n) for p, n in zip(missing[lo : lo + 8192], got, strict=True) if len(p) <= 64)
         if len(new) > self.cache_pieces // 2:
             self.new, self.old = {}, new
         return out
@@ -98,23 +101,32 @@ class Counter:
         bounds = np.concatenate([[0], np.cumsum([len(t) for t in out])])
         return np.frombuffer("".join(out).encode("utf-32-le"), np.uint32), bounds, specials
 
+    def split(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Array, np.ndarray]]:
+        """(first text, special strings by text, code of each pre-token, distinct ones, bounds of texts) by slices."""
+        data, offsets = pieces.utf8(column)
+        for text, begin, own in pieces.slices(data, offsets, SLICE_BYTES):
+            if not own[-1]:
+                continue
+            points, bounds, specials = self.normalised(data[begin : begin + int(own[-1])], own)
+            start, kept = pieces.word_end_starts(points, bounds)
+            start &= kept
+            held = points[kept]
+            first = np.flatnonzero(start[kept])
+            if not len(first):
+                yield text, specials, np.zeros(0, np.int64), pa.array([], pa.large_string()), np.zeros(len(own), np.int64)
+                continue
+            begun = np.concatenate([[0], np.cumsum(pieces.widths(held))])
+            lowered = np.frombuffer(held.tobytes().decode("utf-32-le").encode(), np.uint8)
+            codes, distinct = pieces.distinct_pieces(lowered, begun[first])
+            yield text, specials, codes, distinct, np.concatenate([[0], np.cumsum(start)])[bounds]
+
     def count(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes and tokens of each text."""
-        data, offsets = pieces.utf8(column)
-        if not len(data):
-            return np.diff(offsets), np.zeros(len(column), np.int64)
-        points, bounds, specials = self.normalised(data, offsets)
-        start, kept = pieces.word_end_starts(points, bounds)
-        start &= kept
-        held = points[kept]
-        first = np.flatnonzero(start[kept])
-        if not len(first):
-            return np.diff(offsets), specials
-        begun = np.concatenate([[0], np.cumsum(pieces.widths(held))])
-        lowered = np.frombuffer(held.tobytes().decode("utf-32-le").encode(), np.uint8)
-        codes, distinct = pieces.distinct_pieces(lowered, begun[first])
-        counted = np.concatenate([[0], np.cumsum(start)])
-        return np.diff(offsets), pieces.per_text(self.sizes(distinct)[codes], counted[bounds]) + specials
+        n_bytes = np.diff(pieces.utf8(column)[1])
+        n_tokens = np.zeros(len(column), np.int64)
+        for text, specials, codes, distinct, bounds in self.split(column):
+            n_tokens[text : text + len(specials)] += pieces.per_text(self.sizes(distinct)[codes], bounds) + specials
+        return n_bytes, n_tokens
 
 
 def _lower() -> np.ndarray:
@@ -125,41 +137,56 @@ def _lower() -> np.ndarray:
 
 
 _lowered = None
-_counters: dict[int, Counter] = {}
+_counters: dict[str, Counter] = {}
 
 
-def frequent_words(raw: str) -> tuple[list[str], list[int]]:
-    """Whole words of the vocabulary that the pre-tokenizer leaves whole, with their token counts."""
-    from tokenizers import Tokenizer
+def frequent_pieces(docs: DataFrame, raw: str, tier: int = TIER, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> dict[str, int]:
+    """Token counts of the `tier` most frequent pre-tokens of about `rows` texts, at most SAMPLE_BYTES of them.
 
-    library = Tokenizer.from_str(raw)
-    words = [w[:-4] for w in library.get_vocab() if w.endswith("</w>") and w[:-4].isascii() and w[:-4].isalpha()]
-    return words, [len(e.ids) for e in library.encode_batch(words, add_special_tokens=False)]
+    The texts are drawn by a hash of the id and counted in one task; the driver sees the table only."""
+    n = docs.count()
+    if not n:
+        return {}
+    draw = F.pmod(F.xxhash64(named(id_col), F.lit(5)), F.lit(1 << 30))
+    taken = docs.where(named(text_col).isNotNull() & (draw < F.lit(int(min(1.0, rows / n) * (1 << 30))))).select(named(text_col))
 
-
-def count_tokens(docs: DataFrame, tokenizer_path: str, frequent: tuple[list[str], list[int]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: the id, n_bytes, n_tokens. `frequent`: other tier-one words and counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, seen, left = Counter(raw, {}), {}, SAMPLE_BYTES
+        for batch in batches:
+            if left <= 0:
+                break
+            left -= batch.column(0).nbytes
+            for _, _, codes, distinct, _ in counter.split(batch.column(0)):
+                for piece, k in zip(distinct.to_pylist(), np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
+                    seen[piece] = seen.get(piece, 0) + k
+        best = sorted((p for p in seen if len(p) <= 64), key=lambda p: (-seen[p], p))[:tier]
+        sizes = [n for lo in range(0, len(best), 8192) for n in counter.encode(best[lo : lo + 8192])]
+        yield pa.RecordBatch.from_arrays([pa.array(best, pa.string()), pa.array(sizes, pa.int32())], ["piece", "n"])
+        tidy()
+
+    return dict(map(tuple, taken.repartition(1).mapInArrow(run, "piece string, n int").collect()))
+
+
+def count_tokens(docs: DataFrame, tokenizer_path: str, frequent: dict[str, int] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: the id, n_bytes, n_tokens. `frequent`: another tier one, pre-tokens and their counts."""
     spark = docs.sparkSession
     bounded_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         raw = f.read()
-    words, counts = frequent or frequent_words(raw)
-    sent = spark.sparkContext.broadcast((raw, words, counts))
-    kind = docs.schema[id_col].dataType.simpleString()
+    sent = spark.sparkContext.broadcast((raw, frequent_pieces(docs, raw, id_col=id_col, text_col=text_col) if frequent is None else frequent))
+    kind, mark = docs.schema[id_col].dataType.simpleString(), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = sent.id if hasattr(sent, "id") else id(sent)
-        if key not in _counters:
-            raw, words, counts = sent.value
+        if mark not in _counters:
             _counters.clear()
-            _counters[key] = Counter(raw, (pa.array(words, pa.large_string()), np.array(counts, np.int64)))
+            _counters[mark] = Counter(*sent.value)
         for batch in batches:
             if batch.num_rows:
-                n_bytes, n_tokens = _counters[key].count(batch.column(1))
+                n_bytes, n_tokens = _counters[mark].count(batch.column(1))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes.astype(np.int64)), pa.array(n_tokens.astype(np.int64))], [id_col, "n_bytes", "n_tokens"])
                 tidy()
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")
+    return docs.select(named(id_col), named(text_col)).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")
 
 
 def op1_token_counts(spark, sf_dir: str, tokenizer_path: str | None = None, limit: int = 2048) -> DataFrame:

@@ -10,12 +10,15 @@ contraction. The passes are therefore computed for all positions of a batch at o
 change: the result is that of the sequential passes, without a loop over positions.
 
 A document's score comes from its marginals (expected toxic tokens, the largest marginal, its length) by a
-logistic model fitted on the same rows. Learning uses at most `sample` labelled rows (half toxic, half not,
-as far as there are), chosen by a hash of the id and no longer than MAX_BYTES each.
+logistic model fitted on the same rows. Learning uses a bounded sample: at most `sample` labelled rows (half
+toxic, half not, as far as there are) chosen by a hash of the id, and of a text beyond WINDOW characters one
+window of that many, at a place drawn by the text's hash. Scores read whole texts.
 
 Results: null and empty texts have no token and get the score of no toxic token, 0 spans. Without any
-toxic or any clean labelled row every score is the toxic share (0 without labels). Ids may be null or
-repeat: one output row per input row.
+toxic or any clean labelled row every score is the toxic share (0 without labels). Ids may be of any type,
+null or repeat: one output row per input row. Where a labelled id has several texts, the one of least hash
+is learned from; where it has several labels, it is toxic if one says so. Neighbouring toxic tokens of a text
+are one span. Other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -29,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, held_out, table, tidy
+from annoforge.llm.shared import bounded_batches, held_out, named, table, tidy
 
 BUCKETS = 1 << 18
 #: Documented bounds of the labelled rows that the model is fitted to.
-SAMPLE, MAX_BYTES = 2000, 100_000
+SAMPLE, WINDOW = 3000, 100_000
 KINDS = 5
 
 
@@ -208,19 +211,17 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
     A document with several labels is toxic if one of them says so."""
     bounded_batches(docs.sparkSession)
-    known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
-    counts = {int(r[0] > 0): r[1] for r in known.groupBy(F.col("toxic") > 0).count().collect()}
+    known = labels.where(F.col("toxic").isNotNull() & named(id_col).isNotNull()).groupBy(named(id_col).cast("string").alias("id")).agg(F.max("toxic").alias("toxic"))
+    counts = {int(r[0]): r[1] for r in known.groupBy(F.col("toxic") > 0).count().collect()}
     n = sum(counts.values())
-    rank = F.xxhash64(F.col(id_col), F.lit(3))
-    chosen = None
+    picked = None
     for value in (0, 1):
-        part = known.where((F.col("toxic") > 0) == bool(value)).orderBy(rank, id_col).limit(sample // 2)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    ids = {r[0]: int(r[1] > 0) for r in chosen.collect()}
-    spark = docs.sparkSession
-    picked = spark.createDataFrame(list(ids.items()), f"`{id_col}` bigint, toxic int")
-    rows = docs.select(id_col, text_col).join(F.broadcast(picked), id_col).where(F.octet_length(text_col) <= MAX_BYTES)
-    rows = rows.dropDuplicates([id_col]).select(F.col(text_col).alias("text"), "toxic")
+        part = known.where((F.col("toxic") > 0) == bool(value)).orderBy(F.xxhash64("id", F.lit(3)), "id").limit(sample // 2).select("id", F.lit(value).alias("toxic"))
+        picked = part if picked is None else picked.unionByName(part)
+    texts = docs.select(named(id_col).cast("string").alias("id"), named(text_col).alias("text")).where(F.col("text").isNotNull())
+    hash_, beyond = F.xxhash64("text"), F.char_length("text") - WINDOW
+    window = F.when(beyond > 0, F.substring(F.col("text"), (F.pmod(hash_, beyond) + 1).cast("int"), F.lit(WINDOW))).otherwise(F.col("text"))
+    rows = texts.join(F.broadcast(picked), "id").groupBy("id", "toxic").agg(F.min(F.struct(hash_.alias("h"), window.alias("text"))).alias("t")).select("t.text", "toxic")
     share = counts.get(1, 0) / n if n else 0.0
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +240,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
 
 def tag(docs: DataFrame, field: Field, span_at: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: the id, score, and spans (start, end in code points, end exclusive; p)."""
+    """One row per row of docs: the id, score, and spans (start, end in code points, end exclusive; p the largest marginal)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     sent = spark.sparkContext.broadcast(field)
@@ -259,15 +260,20 @@ def tag(docs: DataFrame, field: Field, span_at: float = 0.5, id_col: str = "doc_
                 p = field.marginals(features(distinct), codes, bounds)[0]
                 hit = np.flatnonzero(p >= span_at)
                 if len(hit):
-                    begun = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                     of = np.searchsorted(bounds, hit, side="right") - 1
-                    lo, hi = begun[starts[hit]] - begun[offsets[of]], begun[starts[hit] + sizes[hit]] - begun[offsets[of]]
-                    for d, a, b, q in zip(of.tolist(), lo.tolist(), hi.tolist(), p[hit].tolist(), strict=True):
+                    head = np.ones(len(hit), bool)  # of a run of toxic tokens
+                    head[1:] = (hit[1:] != hit[:-1] + 1) | (of[1:] != of[:-1])
+                    runs = np.flatnonzero(head)
+                    tail = np.concatenate([runs[1:], [len(hit)]]) - 1
+                    begun = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                    base = begun[offsets[of[runs]]]
+                    lo, hi = begun[starts[hit[runs]]] - base, begun[starts[hit[tail]] + sizes[hit[tail]]] - base
+                    for d, a, b, q in zip(of[runs].tolist(), lo.tolist(), hi.tolist(), np.maximum.reduceat(p[hit], runs).tolist(), strict=True):
                         spans[d].append({"start": a, "end": b, "p": q})
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(field.scores(p, bounds)), pa.array(spans, span)], [id_col, "score", "spans"])
             tidy()
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, spans array<struct<start:bigint,end:bigint,p:double>>")
+    return docs.select(named(id_col), named(text_col)).mapInArrow(run, f"`{id_col}` {kind}, score double, spans array<struct<start:bigint,end:bigint,p:double>>")
 
 
 def op3_toxicity(spark, sf_dir: str, sample: int = SAMPLE, threshold: float = 0.3) -> DataFrame:
@@ -300,4 +306,6 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sam
             yield batch.filter(pa.array(field.scores(p, bounds) < threshold))
             tidy()
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # names may need quoting
+    rows = docs.toDF(*plain)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -3,18 +3,24 @@
 Everything is DataFrame expressions. Statistics of a document come from array expressions over its words,
 without exploding it. Transformed statistic vectors are kept in fixed point (1/SCALE), so that sums of them
 and of their products are exact and do not depend on the order of rows. Per group the minimum covariance
-determinant is approached by concentration steps: distances from the current centre and scatter, the
-`share` of rows of least distance, their mean and covariance as the next ones. Quantiles of medians and
-distances are read off counts by bins of fixed width, so that no group's values are ever gathered. The
-covariance of the nearest rows is made consistent with normal rows (`consistency`) before it is used.
-
-Groups below `least` rows are pooled into one; if even that is smaller, the base rule alone decides.
-A coordinate's deviation, given those before it, is the estimated one or its floor (FLOORS), whichever is
-larger: a group in which most documents agree exactly in one statistic does not reject tiny deviations from it.
+determinant is searched from three starts (medians with given deviations, medians with those of the middle
+half, mean and covariance of all rows). A concentration step takes the `share` of rows of least distance from
+centre and scatter and their mean and covariance as the next ones. After TRIALS steps the start of least
+determinant goes on, until no group's determinant falls any more or after `steps` steps; the estimate of
+least determinant stays. Quantiles of values and distances are read off counts by bins of fixed width, so
+that no group's values are ever gathered. The covariance of the nearest rows is made consistent with normal
+rows (`consistency`) before it is used.
+
+Groups below `least` rows, too few for a covariance, are pooled into one; if even that is smaller, the base
+rule alone decides. A coordinate's deviation, given those before it, is the estimated one or its floor
+(FLOORS), whichever is larger: a group in which most documents agree exactly in one statistic does not
+reject tiny deviations from it.
 
 Results: null text counts as empty: all statistics 0, base_failed. Null lang or source are values of their
-own. Ids may be null or repeat: every row is a row of its own. Windows of five words are compared by a
-64-bit hash of their words' 64-bit hashes.
+own. Ids may be null or repeat: every row is a row of its own. Ties in distance stay together. An empty table
+gives an empty one. The columns of docs stay, whatever their names; a statistic or verdict whose name docs
+has already gets underscores before it. Windows of five words are compared by a 64-bit hash of their words'
+64-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from annoforge.llm.shared import cut, forget, table
+from annoforge.llm.shared import cut, fresh, named, scope, table
 
 SCALE = 4096
 DIMS = 5
@@ -33,7 +39,9 @@ DIMS = 5
 FLOORS = (0.05, 0.02, 0.02, 0.08, 0.08)
 #: Deviations that the first distances, from the medians, are measured in.
 START = (0.5, 0.3, 0.2, 0.4, 0.24)
-SHARE, STEPS, LEAST = 0.75, 4, 50
+SHARE, TRIALS, STEPS, LEAST = 0.75, 2, 20, 50
+STARTS = 3
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 #: Fixed value: quantile of chi squared with five degrees of freedom at 0.999.
 CUTOFF = 20.515006
 #: Groups up to which their estimates are broadcast; beyond, they are joined by a salted shuffle.
@@ -42,9 +50,24 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 
 def statistics(docs: DataFrame, text_col: str = "text", window: int = 5) -> DataFrame:
-    """docs without the text, with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines."""
+    """docs without the text, with STATISTICS; a name that docs has already gets underscores before it."""
     rest = [c for c in docs.columns if c != text_col]
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    return unpacked(measured(docs.select(packed(rest), named(text_col).alias("text")), window), rest, STATISTICS)
+
+
+def packed(columns: list[str]) -> Column:
+    """These columns as one, `own`, so that no name of theirs meets another."""
+    return F.struct(F.lit(0).alias("_"), *[named(c).alias(f"c{i}") for i, c in enumerate(columns)]).alias("own")
+
+
+def unpacked(rows: DataFrame, columns: list[str], more: tuple[str, ...]) -> DataFrame:
+    return rows.select(*[F.col(f"own.c{i}").alias(c) for i, c in enumerate(columns)], *[F.col(m).alias(n) for m, n in zip(more, fresh(columns, *more), strict=True)])
+
+
+def measured(docs: DataFrame, window: int = 5) -> DataFrame:
+    """Rows (text, ...) without the text, with STATISTICS."""
+    rest = [c for c in docs.columns if c != "text"]
+    text = F.coalesce(F.col("text"), F.lit(""))
     words = F.array_remove(F.split(text, _SPACE), "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     one = docs.select(*rest, words.alias("_w"), F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"), lines.alias("_l"))
@@ -103,12 +126,12 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], n_groups: int) -
     return salted.join(every, [*keys, "_salt"]).drop("_salt")
 
 
-def quantile(rows: DataFrame, keys: list[str], value: str, share: float, name: str) -> DataFrame:
-    """Per group the least whole value at or below which a share of the rows lies, from counts by value."""
+def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Per group and name the least whole value at or below which that share of the rows lies, from counts by value."""
     counts = rows.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     w = Window.partitionBy(*keys)
     run = counts.withColumn("_below", F.sum("_n").over(w.orderBy(value))).withColumn("_all", F.sum("_n").over(w))
-    return run.where(F.col("_below") >= F.lit(share) * F.col("_all")).groupBy(*keys).agg(F.min(value).alias(name))
+    return run.groupBy(*keys).agg(*[F.min(F.when(F.col("_below") >= F.lit(share) * F.col("_all"), F.col(value))).alias(name) for name, share in shares.items()])
 
 
 def chi2_below(x: float, dims: int) -> float:
@@ -159,59 +182,81 @@ def distance(rows: DataFrame, name: str = "d2") -> DataFrame:
     return rows.drop(*[f"{c}{i}" for c in "mz" for i in range(DIMS)], *[f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)])
 
 
-def robust_scatter(rows: DataFrame, keys: list[str], share: float = SHARE, steps: int = STEPS) -> tuple[DataFrame, int]:
-    """Per group centre and factor of the minimum covariance determinant; how many groups."""
-    spread = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.floor(F.col(f"x{i}") / 64).alias("b")) for i in range(DIMS)])).alias("v")).select(*keys, "v.d", "v.b")
-    middle = cut(quantile(spread, [*keys, "d"], "b", 0.5, "mid"), "middle")
+def starts(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+    """(keys, start, centre, factor) of every group's starts; how many groups."""
+    binned = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.floor(F.col(f"x{i}") / 64).alias("b")) for i in range(DIMS)])).alias("v")).select(*keys, "v.d", "v.b")
+    middle = cut(quantiles(binned, [*keys, "d"], "b", {"low": 0.25, "mid": 0.5, "high": 0.75}), "middle")
     n = middle.select(*keys).distinct().count()
-    width = [F.max(F.when(F.col("d") == i, F.col("mid"))).alias(f"c{i}") for i in range(DIMS)]
-    centre = middle.groupBy(*keys).agg(*width)
-    diagonal = centre.select(
-        *keys,
-        *[(F.col(f"c{i}") * 64.0 + 32).alias(f"m{i}") for i in range(DIMS)],
-        *[F.lit(START[i] * SCALE if i == j else 0.0).alias(f"l{i}{j}") for i in range(DIMS) for j in range(i + 1)],
-    )
-    now = cut(diagonal, "scatter")
-    forget(middle)
-    for _ in range(steps):
-        binned = distance(attach(rows, now, keys, n)).withColumn("_b", F.floor(F.log2(F.col("d2") + 1) * 64))
-        near = attach(binned, quantile(binned, keys, "_b", share, "_cut"), keys, n).where("_b <= _cut")
-        after = cut(scatter(near, keys, consistency(share)), "scatter")
-        forget(now)
+    parts = [F.max(F.when(F.col("d") == i, F.col(c))).alias(f"{c}{i}") for i in range(DIMS) for c in ("low", "mid", "high")]
+    middle = middle.groupBy(*keys).agg(*parts)
+    centre = [(F.col(f"mid{i}") * 64.0 + 32).alias(f"m{i}") for i in range(DIMS)]
+
+    def diagonal(start: int, deviation) -> DataFrame:
+        factor = [(deviation(i) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(DIMS) for j in range(i + 1)]
+        return middle.select(*keys, F.lit(start).alias("start"), *centre, *factor)
+
+    given = diagonal(0, lambda i: F.lit(START[i] * SCALE))
+    half = diagonal(1, lambda i: F.greatest((F.col(f"high{i}") - F.col(f"low{i}")) * (64 / 1.349), F.lit(FLOORS[i] * SCALE)))
+    whole = scatter(rows, keys).withColumn("start", F.lit(2))
+    return cut(given.unionByName(half).unionByName(whole), "scatter"), n
+
+
+def determinant() -> Column:
+    """Logarithm of the determinant, from the factor."""
+    return sum(2 * F.log(F.col(f"l{i}{i}")) for i in range(DIMS))
+
+
+def robust_scatter(rows: DataFrame, keys: list[str], share: float = SHARE, steps: int = STEPS) -> tuple[DataFrame, int]:
+    """Per group centre and factor of the least covariance determinant found; how many groups."""
+    now, n = starts(rows, keys)
+    every, tried, last = [*keys, "start"], None, None
+    for step in range(steps):
+        if step == TRIALS:
+            least = now.groupBy(*keys).agg(F.min_by("start", F.struct(determinant(), F.col("start"))).alias("start"))
+            now = cut(now.join(least, every, "left_semi"), "scatter")
+        some = range(STARTS) if step < TRIALS else None
+        tries = rows.withColumn("start", F.explode(F.array(*map(F.lit, some)))) if some else attach(rows, now.select(*every), keys, n)
+        binned = distance(attach(tries, now, every, n)).withColumn("_b", F.floor(F.log2(F.col("d2") + 1) * 64))
+        near = attach(binned, quantiles(binned, every, "_b", {"_cut": share}), every, n).where("_b <= _cut")
+        after = cut(scatter(near, every, consistency(share)), "scatter")
+        # a step that does not lower a group's determinant is its last: the better estimate stays
+        if step > TRIALS:
+            old = now.select(*every, determinant().alias("_old"))
+            fallen = after.join(old, every).where(determinant() < F.col("_old") - 1e-9).select(*every)
+            if fallen.isEmpty():
+                break
+            after = cut(after.join(fallen, every, "left_semi").unionByName(now.join(fallen, every, "left_anti")), "scatter")
         now = after
-    return now, n
+    return now.drop("start"), n
+
+
+def salted(rows: DataFrame, groups: DataFrame, keys: list[str], n_groups: int) -> DataFrame:
+    """A left join of groups' columns: broadcast up to a size, beyond it with salted keys."""
+    if n_groups <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(groups), keys, "left")
+    salt = F.pmod(F.xxhash64(*[f"x{i}" for i in range(DIMS)]), F.lit(SALTS))
+    every = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.withColumn("_salt", salt).join(every, [*keys, "_salt"], "left").drop("_salt")
 
 
 def quality(docs: DataFrame, by: tuple[str, ...] = ("lang", "source"), text_col: str = "text", share: float = SHARE, steps: int = STEPS, least: int = LEAST, cutoff: float = CUTOFF) -> DataFrame:
     """One row per row of docs: its columns without the text, the statistics, base_failed, distance, kept."""
-    keys = [f"_k{i}" for i in range(len(by))]
-    named = statistics(docs, text_col)
-    named = named.withColumns({k: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for k, c in zip(keys, by, strict=True)})
-    rows = cut(named.select("*", base_failed().alias("base_failed"), *vector()), "statistics")
-    good = rows.where(~F.col("base_failed"))
-    sizes = cut(good.groupBy(*keys).agg(F.count("*").alias("_size")), "groups")
-    n_sizes, pooled = sizes.count(), ["_g" + k for k in keys]
-    big = sizes.where(F.col("_size") >= least).select(*keys, F.lit(True).alias("_big"))
-    if n_sizes <= BROADCAST_GROUPS:
-        marked = rows.join(F.broadcast(big), keys, "left")
-    else:
-        salt = F.pmod(F.xxhash64(*[f"x{i}" for i in range(DIMS)]), F.lit(SALTS))
-        every = big.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        marked = rows.withColumn("_salt", salt).join(every, [*keys, "_salt"], "left").drop("_salt")
-    marked = marked.withColumns({p: F.when(F.col("_big"), F.col(k)).otherwise("*") for p, k in zip(pooled, keys, strict=True)}).drop("_big", *keys)
-    used = marked.where(~F.col("base_failed")).select(*pooled, *[f"x{i}" for i in range(DIMS)])
-    fitted, n = robust_scatter(used, pooled, share, steps)
-    enough = used.groupBy(*pooled).agg(F.count("*").alias("_size")).where(F.col("_size") >= least).drop("_size")
-    fitted = fitted.join(enough, pooled)
-    if n <= BROADCAST_GROUPS:
-        joined = marked.join(F.broadcast(fitted), pooled, "left")
-    else:
-        salt = F.pmod(F.xxhash64(*[f"x{i}" for i in range(DIMS)]), F.lit(SALTS))
-        every = fitted.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        joined = marked.withColumn("_salt", salt).join(every, [*pooled, "_salt"], "left").drop("_salt")
-    out = distance(joined, "distance")
+    rest, keys = [c for c in docs.columns if c != text_col], [f"k{i}" for i in range(len(by))]
+    group = [F.coalesce(F.concat(F.lit("="), named(c).cast("string")), F.lit("null")).alias(k) for k, c in zip(keys, by, strict=True)]
+    with scope() as held:
+        rows = held.keep(cut(measured(docs.select(packed(rest), *group, named(text_col).alias("text"))).select("*", base_failed().alias("base_failed"), *vector()), "statistics"))
+        sizes = cut(rows.where(~F.col("base_failed")).groupBy(*keys).agg(F.count("*").alias("size")), "groups")
+        pooled, n_sizes = [f"g{i}" for i in range(len(by))], sizes.count()
+        big = held.keep(cut(sizes.where(F.col("size") >= least).select(*keys, F.lit(True).alias("big")), "groups"))
+        marked = salted(rows, big, keys, n_sizes)
+        marked = marked.withColumns({p: F.when(F.col("big"), F.col(k)).otherwise("*") for p, k in zip(pooled, keys, strict=True)}).drop("big", *keys)
+        used = cut(marked.where(~F.col("base_failed")).select(*pooled, *[f"x{i}" for i in range(DIMS)]), "vectors")
+        fitted, n = robust_scatter(used, pooled, share, steps)
+        enough = used.groupBy(*pooled).agg(F.count("*").alias("size")).where(F.col("size") >= least).select(*pooled)
+        fitted = held.keep(cut(fitted.join(enough, pooled), "scatter"))
+    out = distance(salted(marked, fitted, pooled, n), "distance")
     out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))
-    return out.drop(*pooled, *[f"x{i}" for i in range(DIMS)])
+    return unpacked(out, rest, (*STATISTICS, "base_failed", "distance", "kept"))
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:

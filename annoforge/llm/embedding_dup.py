@@ -1,11 +1,12 @@
 """Near-duplicate embeddings by cross-polytope hashing with multiprobe buckets.
 
 A vector is padded to a power of two, rotated by three rounds of random signs and the fast Hadamard
-transform, and hashed to the axis it is nearest to, with its sign. A table joins the hashes of HASHES
-rotations to a bucket. A vector stands in its bucket of every table and also probes the PROBES next buckets,
+transform, and hashed to the axis it is nearest to, with its sign. A table joins the hashes of two rotations
+to a bucket, of three for vectors of at most 128 dimensions. A vector stands in its bucket of every table and also probes the PROBES next buckets,
 in the order of what they lose; two vectors meet where one stands and the other stands or probes.
 
-Buckets of any size are cut into blocks, and pairs of blocks are compared as matrices in double precision. A
+Only buckets that several vectors share are looked at. A copy of a vector goes to each, as it was given, with
+its buckets of the tables up to that one. Buckets of any size are cut into blocks, and pairs of blocks are compared as matrices in double precision. A
 pair that meets in several tables or buckets counts in the first only. Each pair of blocks returns a count
 per vector and its components, a row per vector, never the pairs themselves. Vectors that are equal go on as
 one with a weight.
@@ -26,13 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annoforge.llm.shared import bounded_batches, components, cut, table
+from annoforge.llm.shared import bounded_batches, components, cut, named, scope, table
 
-#: Production parameters; tests measure their recall at the threshold itself.
-TABLES, HASHES, PROBES, BLOCK, CELL = 8, 3, 6, 4096, 512
+#: Production parameters; tests measure their recall at the threshold itself, at 64, 384 and 768 dimensions.
+TABLES, PROBES, BLOCK, CELL = 12, 6, 4096, 512
 SEED = 20
 
 
+def hash_count(dim: int) -> int:
+    """Rotations whose hashes make a bucket: more would leave too few pairs of long vectors together."""
+    return 3 if dim <= 128 else 2
+
+
 @cache
 def signs(dim: int, count: int, seed: int) -> np.ndarray:
     """Random signs of `count` rotations of three rounds each."""
@@ -50,9 +56,10 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(dim)
 
 
-def buckets(x: np.ndarray, tables: int, hashes: int, probes: int, seed: int = SEED) -> np.ndarray:
+def buckets(x: np.ndarray, tables: int = TABLES, hashes: int | None = None, probes: int = PROBES, seed: int = SEED) -> np.ndarray:
     """Buckets of unit vectors: (vectors, tables, 1 + probes), the own one first."""
     n, dim = x.shape
+    hashes = hashes or hash_count(dim)
     wide = 1 << max(1, (dim - 1).bit_length())
     padded = np.zeros((n, wide))
     padded[:, :dim] = x
@@ -101,6 +108,12 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def code_type(dim: int, hashes: int | None) -> np.dtype:
+    """The narrowest type that holds every bucket."""
+    wide = 2 << max(1, (int(dim) - 1).bit_length())
+    return np.dtype(np.uint32 if wide ** (hashes or hash_count(dim)) <= 1 << 32 else np.int64)
+
+
 def _meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether vectors with buckets a and b (..., 1 + probes) meet in a table: one's own bucket is among the other's."""
     return (a[..., :1] == b).any(-1) | (b[..., :1] == a).any(-1)
@@ -115,7 +128,7 @@ def compare(t: int, bucket: int, x_a, c_a, x_b, c_b, least: float, same: bool) -
     if not len(i):
         return i, j
     stands = (c_a[i, t, 0] == bucket) | (c_b[j, t, 0] == bucket)
-    a, b = c_a[i, t], c_b[j, t]
+    a, b = c_a[i, t].astype(np.int64), c_b[j, t].astype(np.int64)
     # of the buckets of this table where the pair meets, the lesser: own ones where the other is too
     far = np.iinfo(np.int64).max
     here = np.minimum(np.where((a[:, :1] == b).any(1), a[:, 0], far), np.where((b[:, :1] == a).any(1), b[:, 0], far))
@@ -146,35 +159,40 @@ def stars(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rest, low[rest]
 
 
-def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, hashes: int | None = None, probes: int = PROBES, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per row of embeddings: the id, n_links, component_id, kept."""
     spark = embeddings.sparkSession
     bounded_batches(spark)
     kind = embeddings.schema[id_col].dataType.simpleString()
+    single = embeddings.schema[vector_col].dataType.elementType.simpleString() == "float"
+    given = np.dtype(np.float32 if single else np.float64)
+    with scope() as tables_:
+        return _similar(tables_, embeddings.select(named(id_col), named(vector_col)), kind, given, least, tables, hashes, probes, block).withColumnsRenamed({"id": id_col})
+
 
+def _similar(tables_, embeddings: DataFrame, kind: str, given: np.dtype, least: float, tables: int, hashes: int | None, probes: int, block: int) -> DataFrame:
     def valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
-            raw = [None if v is None else (v + 0.0).tobytes() for v in vectors(batch.column(1))]
+            raw = [None if v is None else (v + 0.0).astype(given).tobytes() for v in vectors(batch.column(1))]
             node = [None if r is None else int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little") >> 1 for r in raw]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(raw, pa.binary())], ["id", "node", "v"])
 
-    rows = cut(embeddings.select(id_col, vector_col).mapInArrow(valid, f"id {kind}, node bigint, v binary"), "vec-rows")
+    rows = cut(embeddings.mapInArrow(valid, f"id {kind}, node bigint, v binary"), "vec-rows")
     reps = cut(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("m"), F.min("id").alias("low"), F.first("v").alias("v")), "vec-reps")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(2).to_pylist()
-            sizes = np.array([len(r) // 8 for r in raw])
+            sizes = np.array([len(r) // given.itemsize for r in raw])
             for dim in np.unique(sizes).tolist():
                 at = np.flatnonzero(sizes == dim)
                 for lo in range(0, len(at), 2048):
                     own = at[lo : lo + 2048]
-                    x = unit(np.stack([np.frombuffer(raw[k], np.float64) for k in own]))
-                    codes = buckets(x, tables, hashes, probes)
-                    part = batch.take(pa.array(own))
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(codes.reshape(len(own), -1).tolist(), pa.list_(pa.int64())), pa.array([dim] * len(own), pa.int32())], ["node", "m", "x", "codes", "flat", "dim"])
+                    codes = buckets(unit(np.stack([np.frombuffer(raw[k], given) for k in own]).astype(np.float64)), tables, hashes, probes)
+                    part, wide = batch.take(pa.array(own)), code_type(dim, hashes)
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array([c.astype(wide).tobytes() for c in codes], pa.binary()), pa.array(codes.reshape(len(own), -1).tolist(), pa.list_(pa.int64())), pa.array([dim] * len(own), pa.int32())], ["node", "m", "x", "codes", "flat", "dim"])
 
     coded = cut(reps.select("node", "m", "v").mapInArrow(hashed, "node bigint, m bigint, x binary, codes binary, flat array<bigint>, dim int"), "vec-codes")
     spots = coded.select("node", "dim", F.posexplode("flat").alias("p", "bucket")).select("node", "dim", F.floor(F.col("p") / (probes + 1)).cast("int").alias("t"), "bucket", (F.col("p") % (probes + 1) == 0).alias("own"))
@@ -184,7 +202,9 @@ def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, has
     # a block meets itself and every other block of its bucket once: rows go to (least, greatest)
     sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     sent = sent.select("node", "dim", "t", "bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), (F.col("part") <= F.col("other")).alias("first"))
-    held = sent.join(coded.select("node", "m", "x", "codes"), "node")
+    # no pair of table t looks at the buckets of later tables
+    known = F.expr(f"substring(codes, 1, cast(octet_length(codes) / {tables} * (t + 1) as int))")
+    held = sent.join(coded.select("node", "m", "x", "codes"), "node").withColumn("codes", known)
     keys = ["dim", "t", "bucket", "p", "q"]
     parted = held.select(*keys, "first", "node", "m", "x", "codes").repartition(*keys).sortWithinPartitions(*keys)
 
@@ -219,8 +239,8 @@ def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, has
                 continue
             first = group.column("first").to_numpy()
             node, m = group.column("node").to_numpy(), group.column("m").to_numpy()
-            x = np.frombuffer(b"".join(group.column("x").to_pylist()), np.float64).reshape(-1, dim)
-            codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), np.int64).reshape(-1, tables, probes + 1)
+            x = unit(np.frombuffer(b"".join(group.column("x").to_pylist()), given).reshape(-1, dim).astype(np.float64))
+            codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), code_type(dim, hashes)).reshape(-1, t + 1, probes + 1)
             a = np.arange(len(node)) if p == q else np.flatnonzero(first)
             b = a if p == q else np.flatnonzero(~first)
             mine, up, down = np.zeros(len(node)), [], []
@@ -247,12 +267,12 @@ def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, has
     found = cut(parted.mapInArrow(link, "a bigint, b bigint, n bigint"), "vec-links")
     counts = found.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("more"))
     joined = components(found.where("a != b")).select("node", "component")
-    named = reps.select("node", "m", "low").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = cut(named.join(lows, "component").join(counts, "node", "left").select("node", "component_id", (F.col("m") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")), "vec-named")
-    out = rows.select("id", "node").join(named, "node", "left")
+    named_ = reps.select("node", "m", "low").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lows = named_.groupBy("component").agg(F.min("low").alias("component_id"))
+    named_ = cut(named_.join(lows, "component").join(counts, "node", "left").select("node", "component_id", (F.col("m") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")), "vec-named")
+    out = tables_.keep(rows).select("id", "node").join(tables_.keep(named_), "node", "left")
     component = F.coalesce(F.col("component_id"), F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, component.isNull()).alias("kept"))
+    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, component.isNull()).alias("kept"))
 
 
 def op6_embedding_dup(spark, sf_dir: str) -> DataFrame:

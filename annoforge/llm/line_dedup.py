@@ -12,15 +12,17 @@ segment's number bound. From each segment, and from each stretch of the longer l
 one substring: that which starts where a short hash is least among the first STARTS places. An unchanged
 segment gives the same substring, and neighbouring stretches mostly share theirs, so that a line asks for some
 twenty substrings rather than for well over a hundred. Equal (class, segment, substring) give candidates;
-counts of characters by 32 kinds (modulo 4, as Gray code, so that an edit changes two bits at most) reject
-nearly all that are not similar, and a banded bit-parallel edit distance verifies the rest on whole texts.
+counts of characters by 32 kinds and of neighbouring pairs by 64 kinds (modulo 4, as Gray code, so that an edit
+changes at most two and four bits of them) reject nearly all that are not similar, and a banded bit-parallel
+edit distance, run for many pairs at once, verifies the rest on whole texts.
 
 Substrings travel as hashes, packed by range of hashes; a task sorts a range at a time and keeps what several
 lines have. A range that one substring fills beyond RANGE_MOST entries is passed on as it comes.
 
 Frequent substrings: as a text only needs one earlier similar text, every list first proposes its earliest
-text to all others. Only texts that this leaves, as later ones, meet the rest of their lists, in blocks of
-LIST_BLOCK of a list's texts, so that no task gets a whole long list.
+text to all others. Only texts that this leaves, as later ones, meet the rest of their lists, in blocks of at
+most LIST_BLOCK texts or LIST_BYTES a side, so that no task gets a whole long list; a block gives the texts that
+have an earlier similar one, never the pairs.
 
 Results: null texts have no line and stay null. Documents that lose every line go; documents that had
 nothing to lose stay as they are, empty ones too. Rows of one id and one text are one document: what goes from
@@ -49,7 +51,7 @@ MOST_EDITS, CHARS_PER_EDIT, MIN_CHARS = 6, 24, 1
 STARTS, GRAM, LONG_SEGMENT = 5, 4, 16
 WORD = re.compile(r"\w")
 #: Text bytes looked at together; entries that a task packs at a time; bytes of a range; entries held of one range.
-SLICE_BYTES, PACK, RANGE_BYTES, RANGE_MOST, LIST_BLOCK = 512 << 10, 1 << 19, 24 << 20, 1 << 22, 2048
+SLICE_BYTES, PACK, RANGE_BYTES, RANGE_MOST, LIST_BLOCK, LIST_BYTES = 512 << 10, 1 << 19, 24 << 20, 1 << 22, 2048, 4 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -134,6 +136,76 @@ def within(a: str, b: str, k: int) -> bool:
     return score <= k
 
 
+def gray(cells: np.ndarray, n: int, kinds: int) -> np.ndarray:
+    """Counts by row and kind of cells row * kinds + kind, modulo 4: two bits each of which neighbouring counts share one; longs by row."""
+    counts = np.bincount(cells, minlength=kinds * n) & 3
+    high = counts >> 1
+    bits = np.stack([high, high ^ (counts & 1)], axis=1).astype(np.uint8)
+    return np.packbits(bits.reshape(n, 2 * kinds), axis=1).view(np.int64)
+
+
+def points_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def similar(pairs: list[tuple[np.ndarray, np.ndarray]], edits: list[int]) -> np.ndarray:
+    """Whether each pair of code points is within its number of edits: within(), for many pairs at once."""
+    out = np.zeros(len(pairs), bool)
+    todo: dict[int, list] = {}
+    for i, ((x, y), k) in enumerate(zip(pairs, edits, strict=True)):
+        if len(x) > len(y):
+            x, y = y, x
+        m, n = len(x), len(y)
+        if n - m > k:
+            continue
+        # what is equal at both ends goes
+        differ = np.flatnonzero(x != y[:m])
+        if not len(differ):
+            out[i] = True
+            continue
+        lo = int(differ[0])
+        tail = np.flatnonzero(x[::-1] != y[::-1][:m])
+        same = min(m - lo, int(tail[0]) if len(tail) else m)
+        todo.setdefault(k, []).append((n - same - lo, i, x[lo : m - same], y[lo : n - same]))
+    for k, rows in todo.items():
+        rows.sort(key=lambda r: r[0])
+        lo = 0
+        while lo < len(rows):
+            hi = lo + 1  # about as many cells at a time, whatever the lengths
+            while hi < len(rows) and hi - lo < 2048 and (hi - lo) * rows[hi][0] < 1 << 20:
+                hi += 1
+            part = rows[lo:hi]
+            out[[r[1] for r in part]] = bands([r[2] for r in part], [r[3] for r in part], k)
+            lo = hi
+    return out
+
+
+def bands(xs: list[np.ndarray], ys: list[np.ndarray], k: int) -> np.ndarray:
+    """The columns of within(), a word for each pair; xs are no longer than ys."""
+    m, n = (np.array([len(v) for v in side]) for side in (xs, ys))
+    width, widest = 2 * k + 1, int(n.max())
+    a, b = np.zeros((len(xs), widest + width), np.uint32), np.ones((len(ys), widest), np.uint32)
+    for i, (x, y) in enumerate(zip(xs, ys, strict=True)):
+        a[i, k : k + len(x)], b[i, : len(y)] = x + np.uint32(2), y + np.uint32(2)
+    full, top = (1 << width) - 1, 1 << (width - 1)
+    weights = (1 << np.arange(width)).astype(np.int64)
+    up, down, score = (np.full(len(xs), v, np.int64) for v in (full ^ ((1 << (k + 1)) - 1), 0, k))
+    for j in range(1, widest + 1):
+        match = (a[:, j - 1 : j - 1 + width] == b[:, j - 1 : j]) @ weights
+        up_, down_ = (up >> 1) | top, down >> 1
+        zero = ((((match & up_) + up_) ^ up_) | match | down_) & full
+        plus, minus = down_ | (~(zero | up_) & full), up_ & zero
+        going = j <= n
+        across = (plus << 1) & full
+        score = np.where(going & ((zero & top) == 0), score + 1, score)
+        up = np.where(going, ((minus << 1) & full) | (~(zero | across) & full), up)
+        down = np.where(going, across & zero, down)
+    for bit in range(width - 1, -1, -1):  # climb from the lowest cell to the row of the shorter one's end
+        beyond = bit + n - k > m
+        score += np.where(beyond, (down >> bit & 1) - (up >> bit & 1), 0)
+    return score <= k
+
+
 class Lines:
     """The lines of an Arrow column of texts that take part, a slice of bytes at a time."""
 
@@ -182,14 +254,13 @@ class Lines:
         return points, at_, k, good
 
     def kinds(self, points: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Counts of characters by 32 kinds, modulo 4 in Gray code, as 64 bits by line."""
+        """By line, three words of bits: counts of characters by 32 kinds, of pairs of neighbours by 64, in Gray code."""
         n = at.shape[1]
-        sizes = at[1] - at[0]
-        line = np.repeat(np.arange(n), sizes)
-        counts = np.bincount(line * 32 + (points[points != 10] & 31), minlength=32 * n) & 3
-        high = counts >> 1
-        bits = np.stack([high, high ^ (counts & 1)], axis=1).astype(np.uint8)
-        return np.packbits(bits.reshape(n, 64), axis=1).view(np.int64).ravel()
+        line = np.repeat(np.arange(n), at[1] - at[0])
+        own = points[points != 10]
+        pair = ((own[:-1] * np.uint32(0x85EBCA77) ^ own[1:]) * np.uint32(0xC2B2AE3D) >> np.uint32(26)).astype(np.int64)
+        inner = line[1:] == line[:-1] if len(line) else np.zeros(0, bool)
+        return np.concatenate([gray(line * 32 + (own & 31), n, 32), gray((line[:-1] * 64 + pair)[inner], n, 64)], axis=1)
 
     def keys(self, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Line and key (lowest bit: own segment) of every substring that the lines have or ask for."""
@@ -250,7 +321,7 @@ def hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def occurrences(docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """(h, g, id, t, line, n, k, sig) of every line that takes part: its hash, place, length, edits, counts of kinds."""
+    """(h, g, id, t, line, n, k, sig, s1, s2) of every line that takes part: its hash, place, length, edits, counts of kinds."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,13 +334,13 @@ def occurrences(docs: DataFrame, max_edits: int | None, min_chars: int, id_col:
                     h = hashes(data, at[:, good])
                     of = pa.array(text[good])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[:, 0]), pa.array(h[:, 1]), batch.column(0).take(of), batch.column(2).take(of), pa.array(number[good].astype(np.int32)), pa.array((bounds[1] - bounds[0])[good].astype(np.int32)), pa.array(k[good]), pa.array(sig)],
-                        ["h", "g", "id", "t", "line", "n", "k", "sig"],
+                        [pa.array(h[:, 0]), pa.array(h[:, 1]), batch.column(0).take(of), batch.column(2).take(of), pa.array(number[good].astype(np.int32)), pa.array((bounds[1] - bounds[0])[good].astype(np.int32)), pa.array(k[good]), *[pa.array(np.ascontiguousarray(sig[:, i])) for i in range(3)]],
+                        ["h", "g", "id", "t", "line", "n", "k", "sig", "s1", "s2"],
                     )
             tidy()
 
     rows = documents(docs, id_col, text_col).where("id is not null and text is not null").select("id", "text", "t")
-    return rows.mapInArrow(run, f"h bigint, g bigint, id {kind}, t bigint, line int, n int, k int, sig bigint")
+    return rows.mapInArrow(run, f"h bigint, g bigint, id {kind}, t bigint, line int, n int, k int, sig bigint, s1 bigint, s2 bigint")
 
 
 def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -370,12 +441,11 @@ def shared_keys(docs: DataFrame, max_edits: int | None, min_chars: int, lines: i
     return parts.mapInArrow(unpack, "key bigint, h bigint, own boolean")
 
 
-def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """Those pairs of lines (x, y: structs h, g) whose texts are within the edits they allow; texts come from first occurrences."""
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("x")).select("x.h", "x.g").distinct()
+def texts_of(lines: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(x, text) of the lines (x: struct h, g), from the documents that they first occur in."""
+    wanted = lines.select("x.h", "x.g")
     places = cut(firsts.join(wanted, ["h", "g"]).groupBy("id", "t").agg(F.collect_set("line").alias("lines")), "line-wanted")
     rows = documents(docs, id_col, text_col).join(small(places, F.lit(24) + 4 * F.size("lines")), ["id", "t"])
-    edits = allowed(max_edits)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -386,43 +456,128 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, max_edits: in
             h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(t.encode()) for t in texts), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(texts, pa.string())], ["h", "g", "text"])
 
-    texts = rows.select("text", "lines").mapInArrow(read, "h bigint, g bigint, text string").join(wanted, ["h", "g"], "left_semi").groupBy("h", "g").agg(F.first("text").alias("text"))
-    texts = cut(texts.select(F.struct("h", "g").alias("x"), "text"), "line-texts")
-    both = pairs.join(texts.withColumnRenamed("text", "a"), "x").join(texts.select(F.col("x").alias("y"), F.col("text").alias("b")), "y")
+    found = rows.select("text", "lines").mapInArrow(read, "h bigint, g bigint, text string").join(wanted, ["h", "g"], "left_semi")
+    return cut(found.groupBy("h", "g").agg(F.first("text").alias("text")).select(F.struct("h", "g").alias("x"), "text"), "line-texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, max_edits: int | None) -> DataFrame:
+    """(x) of those pairs of lines (x, y: structs h, g) whose texts are within the edits they allow."""
+    # a text that many others are held against is one row of the smaller side
+    heads = cut(pairs.select("y").distinct().join(texts.select(F.col("x").alias("y"), F.col("text").alias("b")), "y"), "line-heads")
+    both = pairs.join(texts.withColumnRenamed("text", "a"), "x").join(small(heads, F.lit(24) + F.octet_length("b")), "y")
+    edits = allowed(max_edits)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [within(a, b, edits(min(len(a), len(b)))) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield batch.select(["x"]).filter(pa.array(good, pa.bool_()))
+            own = [(points_of(a), points_of(b)) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield batch.select(["x"]).filter(pa.array(similar(own, [edits(min(len(a), len(b))) for a, b in own]), pa.bool_()))
 
     return both.select("x", "a", "b").mapInArrow(check, "x struct<h:bigint,g:bigint>")
 
 
+def whole_blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole blocks, which are the rows of one value of the keys, and each row's block, from sorted batches."""
+    held: list[pa.Table] = []
+
+    def numbered(table_: pa.Table) -> np.ndarray:
+        names = np.stack([table_.column(k).to_numpy() for k in keys])
+        return np.concatenate([[0], np.cumsum((names[:, 1:] != names[:, :-1]).any(0))])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        now = pa.concat_tables(held).combine_chunks()
+        block = numbered(now)
+        cut_ = int(np.searchsorted(block, block[-1]))  # the last block may go on
+        if cut_:
+            yield now.slice(0, cut_).combine_chunks(), block[:cut_]
+        held = [now.slice(cut_).combine_chunks()]
+    if held:
+        rest = pa.concat_tables(held).combine_chunks()
+        yield rest, numbered(rest)
+
+
+def blocks_found(rows: pa.Table, block: np.ndarray, edits: Callable[[int], int]) -> np.ndarray:
+    """Places of `late` rows with an earlier similar row that is not late in their block; blocks are sorted by first occurrence."""
+    late, own, n, k, sig, s1, s2, h, g, seen = (rows.column(c).to_numpy() for c in ("late", "own", "n", "k", "sig", "s1", "s2", "h", "g", "seen"))
+    sig, s1, s2 = sig.view(np.uint64), s1.view(np.uint64), s2.view(np.uint64)
+    texts = rows.column("text")
+    left, other = np.flatnonzero(late), np.flatnonzero(~late)
+    # every late row meets the rows before it among the others of its block
+    first = np.searchsorted(block[other], block[left])
+    count = np.maximum(np.searchsorted(other, left) - first, 0)
+    done = np.concatenate([[0], np.cumsum(count)])
+    found, lo = [], 0
+    while lo < len(left):
+        hi = max(lo + 1, int(np.searchsorted(done, done[lo] + (1 << 20), side="right")) - 1)
+        size = count[lo:hi]
+        i = np.repeat(left[lo:hi], size)
+        j = other[np.arange(len(i)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[lo:hi], size)]
+        lo = hi
+        most = np.minimum(k[i], k[j])
+        apart = np.bitwise_count(sig[i] ^ sig[j])
+        good = (apart <= 2 * most) & (own[i] | own[j]) & (np.abs(n[i] - n[j]) <= most) & (h[j] != seen[i]) & ((h[i] != h[j]) | (g[i] != g[j]))
+        good[good] &= np.bitwise_count(s1[i[good]] ^ s1[j[good]]).astype(np.int32) + np.bitwise_count(s2[i[good]] ^ s2[j[good]]) <= 4 * most[good]
+        i, j, apart = i[good], j[good], apart[good]
+        order = np.lexsort((apart, i))  # the closest first: one is enough
+        i, j = i[order], j[order]
+        points: dict[int, np.ndarray] = {}
+        while len(i):
+            now = np.arange(len(i)) - np.searchsorted(i, i) < 8
+            for x in np.union1d(i[now], j[now]).tolist():
+                if x not in points:
+                    points[x] = points_of(texts[x].as_py())
+            pairs = [(points[a], points[b]) for a, b in zip(i[now].tolist(), j[now].tolist(), strict=True)]
+            hit = np.unique(i[now][similar(pairs, [edits(min(len(a), len(b))) for a, b in pairs])])
+            found.append(hit)
+            more = ~now & ~np.isin(i, hit)
+            i, j = i[more], j[more]
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
 def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """(h, g) of lines with a similar line that first occurs earlier."""
     lines = firsts.where("k > 0").count()
     keys = cut(shared_keys(docs, max_edits, min_chars, lines, id_col, text_col), "line-keys")
-    row = F.struct(F.struct("id", "t", "line").alias("at"), F.struct("h", "g").alias("x"), "sig", "k", "n")
+    row = F.struct(F.struct("id", "t", "line").alias("at"), F.struct("h", "g").alias("x"), "sig", "s1", "s2", "k", "n")
     facts = firsts.where("k > 0").select("h", row.alias("r"))
     live = cut(keys.groupBy("key", "h").agg(F.max("own").alias("own")).join(facts, "h").select("key", "own", "r"), "line-lists")
 
     def like(a, b):
         k = F.least(a["k"], b["k"])
-        return (F.abs(a["n"] - b["n"]) <= k) & (F.bit_count(a["sig"].bitwiseXOR(b["sig"])) <= 2 * k)
+        pairs_ = F.bit_count(a["s1"].bitwiseXOR(b["s1"])) + F.bit_count(a["s2"].bitwiseXOR(b["s2"]))
+        return (F.abs(a["n"] - b["n"]) <= k) & (F.bit_count(a["sig"].bitwiseXOR(b["sig"])) <= 2 * k) & (pairs_ <= 4 * k)
 
     # own segments meet the earliest line of a list, other substrings the earliest own one
-    heads = cut(live.groupBy("key").agg(F.count("*").alias("size"), F.min("r").alias("first"), F.min(F.when(F.col("own"), F.col("r"))).alias("first_own")).where("size > 1 and first_own is not null"), "line-heads")
+    heads = live.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.col("r.n").cast("long")).alias("chars"), F.min("r").alias("first"), F.min(F.when(F.col("own"), F.col("r"))).alias("first_own"))
+    heads = cut(heads.where("size > 1 and first_own is not null"), "line-heads")
     led = cut(live.join(heads, "key").withColumn("y", F.when(F.col("own"), F.col("first")).otherwise(F.col("first_own"))).drop("first", "first_own"), "line-led")
     star = cut(led.where((F.col("y.at") < F.col("r.at")) & like(F.col("r"), F.col("y"))).select(F.col("r.x").alias("x"), F.col("y.x").alias("y")).distinct(), "line-star")
-    found = cut(verified(star, firsts, docs, max_edits, min_chars, id_col, text_col).distinct(), "line-found")
-    parts = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
-    long = led.where("size > 2")
-    left = long.withColumn("x", F.col("r.x")).join(found, "x", "left_anti").select("key", F.col("own").alias("x_own"), F.col("r").alias("a"), F.col("y.x").alias("seen"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    other = long.select("key", "own", F.col("r").alias("b"), F.pmod(F.xxhash64("r.x"), parts).cast("int").alias("part"))
-    earlier = (F.col("x_own") | F.col("own")) & (F.col("b.at") < F.col("a.at")) & (F.col("b.x") != F.col("seen"))
-    rest = cut(left.join(other, ["key", "part"]).where(earlier & like(F.col("a"), F.col("b"))).select(F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct(), "line-rest")
-    more = verified(rest, firsts, docs, max_edits, min_chars, id_col, text_col)
-    return found.unionByName(more).distinct().select("x.h", "x.g")
+    texts = texts_of(cut(led.where((F.col("size") > 2) | like(F.col("r"), F.col("y"))).select(F.col("r.x").alias("x")).distinct(), "line-met"), firsts, docs, id_col, text_col)
+    found = cut(verified(star, texts, max_edits).distinct(), "line-found")
+    # texts that are left as later ones, and all the texts of the lists that hold such
+    parts = F.greatest(F.ceil(F.col("size") / LIST_BLOCK), F.ceil(F.col("chars") / LIST_BYTES)).cast("int")
+    known = found.withColumn("done", F.lit(True))
+    long = led.where("size > 2").withColumn("x", F.col("r.x")).withColumn("parts", parts).join(known, "x", "left").withColumn("late", F.col("done").isNull() & (F.col("y.x") != F.col("x"))).drop("done")
+    open_ = long.where("late").select("key").distinct()
+    long = long.join(open_, "key", "left_semi").withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    as_late = long.where("late").select("key", F.col("part").alias("p"), every.alias("q"), "r", "own", F.col("y.x.h").alias("seen"), F.lit(True).alias("late"))
+    as_other = long.select("key", every.alias("p"), F.col("part").alias("q"), "r", "own", F.lit(0).cast("long").alias("seen"), F.lit(False).alias("late"))
+    rows = as_late.unionByName(as_other).withColumn("x", F.col("r.x")).join(texts, "x")
+    rows = rows.select("key", "p", "q", F.col("r.at").alias("at"), "x.h", "x.g", "late", "own", "seen", *[f"r.{c}" for c in ("n", "k", "sig", "s1", "s2")], "text")
+    rows = rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "at").drop("at")
+    edits = allowed(max_edits)
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows_, block in whole_blocks(batches, ["key", "p", "q"]):
+            at = np.unique(blocks_found(rows_, block, edits))
+            if len(at):
+                yield from rows_.select(["h", "g"]).take(pa.array(at)).combine_chunks().to_batches()
+
+    more = rows.mapInArrow(rest, "h bigint, g bigint")
+    return cut(found.select("x.h", "x.g").unionByName(more).distinct(), "line-late")
 
 
 def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -430,7 +585,7 @@ def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN
     bounded_batches(docs.sparkSession)
     with scope() as held:
         places = cut(occurrences(docs, max_edits, min_chars, id_col, text_col), "line-places")
-        at = F.struct("id", "t", "line", "n", "k", "sig")
+        at = F.struct("id", "t", "line", "n", "k", "sig", "s1", "s2")
         firsts = cut(places.groupBy("h", "g").agg(F.count("*").alias("copies"), F.min(at).alias("f")).select("h", "g", "copies", "f.*"), "line-firsts")
         late = similar_earlier(firsts, docs, max_edits, min_chars, id_col, text_col)
         again = firsts.where("copies > 1").select("h", "g", F.struct("id", "t", "line").alias("first"))

@@ -12,7 +12,6 @@ import pytest
 from annoforge.llm import language, pii, toxicity
 from annoforge.llm.byte_bpe import ByteBpe, RankQueue, read_ranks
 from annoforge.llm.token_counts import Counter as TokenCounter
-from annoforge.llm.token_counts import frequent_words
 
 PARTS = [*"ab  '\n\t  stredlmvSé9²Ω漢!?-.<|>x", "'s", "'re", "  ", "aaaa", "\x1c", "́", "İ", "Σ"]
 
@@ -56,9 +55,10 @@ def test_token_counts_equal_library():
 
     with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
         raw = f.read()
-    words, counts = frequent_words(raw)
-    counter = TokenCounter(raw, (pa.array(words, pa.large_string()), np.array(counts)), cache_pieces=500)
     made = texts(seed=4)
+    first = TokenCounter(raw, {})
+    frequent = {p: n for _, _, _, distinct, _ in first.split(pa.array(made[::3])) for p, n in zip(distinct.to_pylist(), first.encode(distinct.to_pylist()))}
+    counter = TokenCounter(raw, frequent, cache_pieces=500)
     n_bytes, n_tokens = counter.count(pa.array(made))
     want = Tokenizer.from_str(raw).encode_batch([t or "" for t in made], add_special_tokens=False)
     assert n_tokens.tolist() == [len(e.ids) for e in want]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -184,14 +186,39 @@ def concatenate(parts: list[DataFrame], key: str) -> tuple[DataFrame, DataFrame]
     return whole, whole.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def positions(rows: DataFrame, *order, name: str = "position", buckets: int = 64) -> DataFrame:
-    """Rows numbered from 1 over the whole table by a total order, without gathering it in one task.
+#: Rows numbered in one task, tasks at most, and sampled rows for each of their bounds.
+RANGE_ROWS, RANGES, PER_BOUND = 500_000, 4096, 40
+
 
-    Ranges of the order are numbered in parallel and shifted by the counts of the ranges before."""
-    ranged = rows.repartitionByRange(buckets, *order).withColumn("_part", F.spark_partition_id())
+def positions(rows: DataFrame, *order: str, name: str = "position", range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Rows numbered from 1 over the whole table by a total order of columns, without gathering it in one task.
+
+    Ranges of the order are numbered in parallel and shifted by the counts of the ranges before. Their bounds are
+    constants, taken from a sample of bounded size, so that a task that runs again finds the same ranges."""
+    n = rows.count()
+    side = math.ceil(math.sqrt(min(RANGES, math.ceil(n / range_rows))))
+    if side <= 1:
+        return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    key = F.struct(*order)
+    sample = sorted(tuple(r) for r in rows.dropna(subset=list(order)).select(*order).sample(min(1.0, PER_BOUND * side * side / n), 7).limit(2 * PER_BOUND * side * side).collect())
+    cuts = [sample[len(sample) * i // (side * side)] for i in range(1, side * side)] if sample else []
+    kinds = [rows.schema[c].dataType for c in order]
+
+    def constant(values: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(values, kinds, order, strict=True)])
+
+    def below(bounds: list[tuple]) -> Column:
+        return F.size(F.filter(F.array(*map(constant, bounds)), lambda b: b <= key)) if bounds else F.lit(0)
+
+    # first the block of ranges, then the range in it
+    block = below(cuts[side - 1 :: side])
+    inner = F.lit(0)
+    for i in range(side):
+        inner = F.when(F.col("_block") == i, below(cuts[i * side : i * side + side - 1])).otherwise(inner)
+    ranged = rows.withColumn("_block", block).withColumn("_part", F.col("_block") * side + inner).drop("_block")
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_m"))
+    shift = sizes.select("_part", F.coalesce(F.sum("_m").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     local = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    ends = local.groupBy("_part").agg(F.max("_n").alias("_m"))
-    shift = ends.select("_part", (F.coalesce(F.sum("_m").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_before"))
     return local.join(F.broadcast(shift), "_part").withColumn(name, (F.col("_n") + F.col("_before")).cast("bigint")).drop("_part", "_n", "_before")
 
 

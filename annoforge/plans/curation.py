@@ -141,7 +141,9 @@ def latest_revision(spark, sf):
 
 
 def contiguity_gaps(spark, sf):
-    return C.gaps(table(spark, sf, "orders").where("o_orderkey % 10 <> 3"), "o_orderkey")
+    """Order keys moved on by one after every ten."""
+    moved = F.col("o_orderkey") + F.floor(F.col("o_orderkey") / 10)
+    return C.gaps(table(spark, sf, "orders").withColumn("o_orderkey", moved), "o_orderkey")
 
 
 def time_reversals(spark, sf):
@@ -157,10 +159,10 @@ def later_references(spark, sf):
 def suggestion_merge(spark, sf):
     base = _labelled(spark, sf)
     labels = base.select("image_id", F.when(F.col("doc_id") % 2 == 0, " unknown").otherwise(F.col("photo_type_review")).alias("photo_type_review"), F.lit("").alias("angle_review"), "is_exterior_review", "review_status", "reviewer", F.when(F.col("doc_id") % 5 == 0, "seen").otherwise("").alias("review_notes"))
-    s = table(spark, sf, "documents").where("doc_id % 4 <> 1")
+    s = table(spark, sf, "documents")  # a quarter of the suggestions are for images that are not there
     c = (F.col("n_chars") % 100).cast("double") / 100
     suggestions = s.select(
-        F.col("doc_id").cast("string").alias("image_id"), F.col("doc_id").alias("position"), F.when(F.col("lang") == "en", "Exterior").when(F.col("lang") == "de", "low-quality").otherwise("banana").alias("suggested_photo_type_review"),
+        F.when(F.col("doc_id") % 4 == 1, F.concat(F.lit("x"), F.col("doc_id").cast("string"))).otherwise(F.col("doc_id").cast("string")).alias("image_id"), F.col("doc_id").alias("position"), F.when(F.col("lang") == "en", "Exterior").when(F.col("lang") == "de", "low-quality").otherwise("banana").alias("suggested_photo_type_review"),
         F.format_string("%.2f", c).alias("photo_type_confidence"), F.lit("front left").alias("suggested_angle_review"), F.when(F.col("doc_id") % 6 == 0, "1.0").otherwise("x").alias("angle_confidence"), F.when(F.col("doc_id") % 8 == 0, " seen ").otherwise("").alias("auto_review_notes"),
     )
     return R.merge_suggestions(labels, suggestions)
@@ -181,7 +183,8 @@ def anti_join(spark, sf):
 
 
 def full_diff(spark, sf):
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k")).where("k % 11 <> 0")
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(F.when(k % 11 == 0, -1 - k).otherwise(k).alias("k"))
     return R.id_differences(o, table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k")), "k")
 
 
@@ -192,7 +195,8 @@ def keys_equal(spark, sf):
 
 def concatenated_overlaps(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
-    return R.concatenate([c.where("c_custkey % 2 = 0"), c.where("c_custkey % 3 = 0")], "c_custkey")[1]
+    k = F.col("c_custkey")
+    return R.concatenate([c, c.withColumn("c_custkey", F.when(k % 3 == 0, k).otherwise(-1 - k))], "c_custkey")[1]
 
 
 def fill_by_key(spark, sf):
@@ -203,7 +207,8 @@ def fill_by_key(spark, sf):
 
 def positional_diff(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    changed = o.where("o_orderkey % 13 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
+    k = F.col("o_orderkey")
+    changed = o.select(F.when(k % 13 == 0, -1 - k).otherwise(k).alias("o_orderkey"), F.when(k % 7 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), "o_orderpriority")
     return C.positional_differences(o, changed, "o_orderkey", ["o_orderstatus", "o_orderpriority"])
 
 
@@ -555,13 +560,13 @@ SELECT record_id AS row_number, 'sha256' AS "column", sha256 AS value, 'duplicat
     "duplicate_counts": f"WITH {CONTENT_SQL}, g AS (SELECT count(*) AS n FROM file GROUP BY sha256 HAVING count(*) > 1) SELECT coalesce(sum(n), 0)::BIGINT AS rows_in_groups, coalesce(sum(n - 1), 0)::BIGINT AS rows_beyond_first FROM g",
     "keep_last": "SELECT event_id, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1",
     "latest_revision": "SELECT user_id, event_type, event_id AS revision, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1",
-    "contiguity_gaps": """WITH o AS (SELECT o_orderkey AS id, count(*) AS occurrences FROM orders WHERE o_orderkey % 10 <> 3 GROUP BY 1), l AS (SELECT *, lag(id) OVER (ORDER BY id) AS p FROM o)
+    "contiguity_gaps": """WITH o AS (SELECT o_orderkey + o_orderkey // 10 AS id, count(*) AS occurrences FROM orders GROUP BY 1), l AS (SELECT *, lag(id) OVER (ORDER BY id) AS p FROM o)
 SELECT id, occurrences FROM l WHERE occurrences > 1 OR (id <> 1 AND (p IS NULL OR p <> id - 1))""",
     "time_reversals": """SELECT user_id, position FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY position) AS p FROM (SELECT *, event_id + 1 - 2 * (event_id % 2) AS position FROM events)) WHERE ts < p""",
     "later_references": """WITH e AS (SELECT event_id, event_id AS position, CASE WHEN event_id % 5 = 0 THEN (props::JSON->>'$.k')::BIGINT * 7 END AS refers_to FROM events)
 SELECT event_id, position, refers_to FROM e WHERE refers_to IS NOT NULL AND NOT EXISTS (SELECT 1 FROM e x WHERE x.event_id = e.refers_to AND x.position < e.position)""",
     "suggestion_merge": f"""WITH {_LABELLED}, l AS (SELECT doc_id, image_id, CASE WHEN doc_id % 2 = 0 THEN ' unknown' ELSE photo_type_review END AS pt, is_exterior_review AS ex, review_status AS st, reviewer AS who, CASE WHEN doc_id % 5 = 0 THEN 'seen' ELSE '' END AS notes FROM lab),
-s AS (SELECT doc_id, CASE lang WHEN 'en' THEN 'exterior' WHEN 'de' THEN 'low_quality' ELSE '' END AS t, printf('%.2f', (n_chars % 100)::DOUBLE / 100)::DOUBLE AS c, CASE WHEN doc_id % 6 = 0 THEN 1.0 ELSE 0.0 END AS ac, CASE WHEN doc_id % 8 = 0 THEN 'seen' ELSE '' END AS note FROM documents WHERE doc_id % 4 <> 1),
+s AS (SELECT CASE WHEN doc_id % 4 = 1 THEN -1 - doc_id ELSE doc_id END AS doc_id, CASE lang WHEN 'en' THEN 'exterior' WHEN 'de' THEN 'low_quality' ELSE '' END AS t, printf('%.2f', (n_chars % 100)::DOUBLE / 100)::DOUBLE AS c, CASE WHEN doc_id % 6 = 0 THEN 1.0 ELSE 0.0 END AS ac, CASE WHEN doc_id % 8 = 0 THEN 'seen' ELSE '' END AS note FROM documents),
 j AS (SELECT l.*, t, c, ac, note, s.doc_id IS NOT NULL AND st <> 'reviewed' AS matched FROM l LEFT JOIN s USING (doc_id)),
 k AS (SELECT *, matched AND t <> '' AND lower(trim(pt)) IN ('', 'unknown') AND c >= 0.75 AS tk, matched AND ac >= 1.0 AS ak FROM j),
 p AS (SELECT *, list_filter([CASE WHEN tk THEN 'auto_photo_type=' || t || ':' || printf('%.3f', c) END, CASE WHEN ak THEN 'auto_angle=front_left:' || printf('%.3f', ac) END, CASE WHEN matched AND note <> '' THEN note END], lambda x: x IS NOT NULL) AS parts FROM k),
@@ -572,13 +577,14 @@ SELECT image_id, CASE WHEN tk THEN t ELSE pt END AS photo_type_review, CASE WHEN
 UNION ALL SELECT 'missing_suggestion', doc_id::VARCHAR FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "semi_join": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)",
     "anti_join": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
-    "full_diff": """WITH a AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey % 11 <> 0), b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)
+    "full_diff": """WITH a AS (SELECT DISTINCT CASE WHEN o_orderkey % 11 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS k FROM orders), b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)
 SELECT 'missing' AS side, k FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT 'unknown', k FROM (SELECT k FROM b EXCEPT SELECT k FROM a)""",
     "keys_equal": "SELECT (SELECT count(*) FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer)) + (SELECT count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)) = 0 AS equal",
-    "concatenated_overlaps": "SELECT c_custkey, 2::BIGINT AS n FROM customer WHERE c_custkey % 6 = 0",
+    "concatenated_overlaps": "SELECT c_custkey, 2::BIGINT AS n FROM customer WHERE c_custkey % 3 = 0",
     "fill_by_key": "SELECT doc_id, coalesce('q' || max(quality), '') AS verdict FROM documents LEFT JOIN labels USING (doc_id) GROUP BY doc_id",
     "positional_diff": """WITH j AS (SELECT o_orderkey, o_orderstatus AS s, o_orderpriority AS p, o_orderkey % 13 = 0 AS gone, CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS t FROM orders)
-SELECT o_orderkey, 'o_orderstatus' AS "column", s AS "before", t AS "after" FROM j WHERE s IS DISTINCT FROM t UNION ALL SELECT o_orderkey, 'o_orderpriority', p, NULL FROM j WHERE gone""",
+SELECT o_orderkey, 'o_orderstatus' AS "column", s AS "before", t AS "after" FROM j WHERE s IS DISTINCT FROM t UNION ALL SELECT o_orderkey, 'o_orderpriority', p, NULL FROM j WHERE gone
+UNION ALL SELECT -1 - o_orderkey, 'o_orderstatus', NULL, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE s END FROM j WHERE gone UNION ALL SELECT -1 - o_orderkey, 'o_orderpriority', NULL, p FROM j WHERE gone""",
     "case_view": "SELECT doc_id, lang, CASE WHEN quality IS NULL THEN 'pending' ELSE 'reviewed' END AS review_status, coalesce(quality, 0)::BIGINT AS revision FROM documents LEFT JOIN labels USING (doc_id)",
     "named_views": """WITH c AS (SELECT lang, quality FROM documents LEFT JOIN labels USING (doc_id)) SELECT 'all' AS view, count(*) AS n FROM c UNION ALL SELECT 'pending', count(*) FROM c WHERE quality IS NULL UNION ALL SELECT 'reviewed', count(*) FROM c WHERE quality IS NOT NULL
 UNION ALL SELECT 'needs_adjudication', 0 UNION ALL SELECT 'high_priority', count(*) FROM c WHERE quality = 1 UNION ALL SELECT 'annotation_issues', count(*) FROM c WHERE lang = 'de'""",

@@ -160,8 +160,14 @@ def test_split_by_position(spark):
 
 def test_positions_are_whole_and_in_order(spark):
     rows = spark.range(500).select(((F.col("id") * 37) % 500).alias("k"))
-    got = R.positions(rows, "k").orderBy("position").collect()
-    assert [(r["position"], r["k"]) for r in got] == [(i + 1, i) for i in range(500)]
+    for range_rows in (1000, 30, 3):  # one task, several ranges, blocks of ranges
+        got = R.positions(rows, "k", range_rows=range_rows).orderBy("position").collect()
+        assert [(r["position"], r["k"]) for r in got] == [(i + 1, i) for i in range(500)]
+    pairs = rows.select((F.col("k") % 7).cast("string").alias("a"), F.when(F.col("k") % 5 > 0, F.col("k")).alias("b"), "k")
+    got = R.positions(pairs, "a", "b", "k", range_rows=20).orderBy("position").collect()
+    want = sorted(((str(i % 7), i if i % 5 else -1, i) for i in range(500)))
+    assert [r["k"] for r in got] == [k for _, _, k in want] and [r["position"] for r in got] == list(range(1, 501))
+    assert R.positions(rows.limit(0), "k").count() == 0
 
 
 def test_total_variation(spark):

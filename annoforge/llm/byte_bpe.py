@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, tidy
+from annoforge.llm.shared import bounded_batches, named, tidy
 
 #: Pre-tokens that one worker remembers; beyond, the oldest generation goes.
 CACHE_PIECES = 300_000
@@ -338,7 +338,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
             del ids, out
             tidy()
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(named(id_col), named(text_col)).mapInArrow(run, schema)
 
 
 def op9_byte_bpe(spark, sf_dir: str, ranks_path: str | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, held_out, table, tidy
+from annoforge.llm.shared import bounded_batches, held_out, named, table, tidy
 
 BUCKETS = 1 << 15
 #: Documented bound of the sample of labelled rows that the trigram counts come from.
@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: floa
             yield pa.RecordBatch.from_arrays(out, [id_col, "lang_pred", "score", "proportions"])
             tidy()
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, proportions map<string,double>")
+    return docs.select(named(id_col), named(text_col)).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, proportions map<string,double>")
 
 
 def _lettered(column: pa.Array, counted: np.ndarray) -> np.ndarray:

@@ -24,7 +24,9 @@ confirmed on the full sets, made again from the texts.
 Results: a null or empty text, and one without a word, has no shingle and links with nothing; with fewer
 than five words the whole sequence is one shingle. Rows of one id count each by its own text; component_id
 is the least id over all rows of linked texts, kept is doc_id = component_id. A null id never is a
-component's id; such rows are kept only if nothing else is in their component.
+component's id; such rows are kept only if nothing else is in their component. Ties of ids cannot occur among
+linked texts: rows of one id are one id. Other columns, whatever their names, are left alone; an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -39,13 +41,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoforge.llm import pieces
-from annoforge.llm.shared import bounded_batches, components, cut, forget, table, tidy
+from annoforge.llm.shared import bounded_batches, components, cut, forget, named, scope, small, table, tidy
 
 K, OVERLAP, FULL = 64, 30, 256
 #: Estimates below this are taken as no link: the threshold less five standard deviations at K = 64.
 LEAST_ESTIMATE = 0.48
-#: Ids up to which a semi-join of the texts broadcasts them; beyond, it shuffles.
-BROADCAST_IDS = 2_000_000
 _SHORT = 0x5851F42D4C957F2D
 
 
@@ -105,15 +105,14 @@ def sketches(docs: DataFrame, k: int, full: int, size: int, id_col: str, text_co
             del least
             tidy()
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n bigint, node bigint, sketch array<bigint>")
+    return docs.select(named(id_col), named(text_col)).mapInArrow(run, f"id {kind}, n bigint, node bigint, sketch array<bigint>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """(node, set) of the wanted nodes, from the text of the row that stands for each."""
     wanted = cut(reps.join(nodes, "node").select("id", "node"), "dup-wanted")
-    ids = wanted.select("id").distinct()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.join(F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+    rows = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
+    rows = rows.join(small(wanted.select("id").distinct(), id_bytes("id")), "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,6 +126,11 @@ def full_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int, id_
     return made.join(wanted, ["id", "node"], "left_semi").select("node", "set")
 
 
+def id_bytes(name: str):
+    """Bytes that a row of ids takes, whatever their type."""
+    return F.lit(16) + F.octet_length(named(name).cast("string"))
+
+
 class Linker:
     """The rounds over one set of nodes; reps: (node, id, n, sketch), one row per node."""
 
@@ -252,6 +256,16 @@ class Linker:
 def near_duplicates(docs: DataFrame, percent: int = 75, k: int = K, overlap: int = OVERLAP, full: int = FULL, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: the id, n_shingles, component_id, kept."""
     bounded_batches(docs.sparkSession)
+    with scope() as held:
+        rows, named_ = _components(docs, percent, k, overlap, full, size, id_col, text_col)
+        held.keep(rows)
+        held.keep(named_)
+    out = rows.join(named_, "node", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+
+
+def _components(docs: DataFrame, percent: int, k: int, overlap: int, full: int, size: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, n, node) of every row, and (node, component_id)."""
     made = cut(sketches(docs, k, full, size, id_col, text_col), "dup-sketches")
     rows = cut(made.select("id", "n", "node"), "dup-rows")
     reps = cut(made.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "dup-reps")
@@ -264,19 +278,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = K, overlap: int
         if linker.last_round(joined):
             joined = cut(linker.merged(joined), "dup-groups")
         least = joined.join(reps.select("node", "id"), "node").groupBy("c").agg(F.min("id").alias("low"))
-        named = joined.join(least, "c").select("node", "low")
-        named = reps.select("node", "id").join(named, "node", "left").select("node", F.coalesce("low", "id").alias("component_id"))
+        found = joined.join(least, "c").select("node", "low")
+        found = reps.select("node", "id").join(found, "node", "left").select("node", F.coalesce("low", "id").alias("component_id"))
     else:
-        named = reps.select("node", F.col("id").alias("component_id"))
-    named = cut(named, "dup-components")
-    out = rows.join(named, "node", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+        found = reps.select("node", F.col("id").alias("component_id"))
+    return rows, cut(found, "dup-components")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """The rows of docs, all columns, whose id is that of their component; repeated rows of an id stay."""
-    gone = cut(near_duplicates(docs, id_col=id_col, text_col=text_col, **more).where(~F.col("kept")).select(id_col).distinct(), "dup-gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, id_col, "left_anti")
+    with scope() as held:
+        gone = held.keep(cut(near_duplicates(docs, id_col=id_col, text_col=text_col, **more).where(~F.col("kept")).select(named(id_col)).distinct(), "dup-gone"))
+    return docs.join(small(gone, id_bytes(id_col)), id_col, "left_anti")
 
 
 def op2_near_dup(spark, sf_dir: str) -> DataFrame:

@@ -217,6 +217,25 @@ def test_near_duplicates_equal_brute_force(spark, seed):
     assert {r["doc_id"] for r in near_dup.keep_one(frame(spark, docs)).collect()} == {i for i in want if want[i] == i}
 
 
+def test_long_documents_near_the_threshold_are_found(spark):
+    """Sets above 256 shingles, which only sketches represent: pairs a little above 0.75 and as many a little below."""
+    rng = random.Random(31)
+    docs, links = [], []
+    for i in range(300):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(rng.randint(330, 900))]
+        n, percent = len(base) - 4, rng.uniform(0.755, 0.80) if i % 2 else rng.uniform(0.70, 0.745)
+        lost = round(n * (1 - percent) / (1 + percent))  # shingles of either that the other has not
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:-lost] + [f"v{rng.randrange(10**9)}" for _ in range(lost)]))]
+        a, b = shingles(docs[-2][1]), shingles(docs[-1][1])
+        if 100 * len(a & b) >= 75 * len(a | b):
+            links.append((2 * i, 2 * i + 1))
+    assert len(links) >= 140
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(frame(spark, docs)).collect()}
+    found = {(a, b) for a, b in links if got[a] == got[b]}
+    assert len(found) >= 0.99 * len(links)
+    assert sum(got[i] != i for i in got) == len(found)
+
+
 def test_components_of_long_paths(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     got = {r["node"]: r["component"] for r in shared.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}

@@ -47,6 +47,38 @@ def start_selection(cases: DataFrame, category: str = "error_type") -> DataFrame
     return out.join(F.broadcast(defaults), "outcome")
 
 
+#: Notes and defect type that a draft of these outcomes starts with; others start with no note and none.
+START_NOTES = {"ambiguous": "需要進一步人工判斷。", "annotation_issue": "明確懷疑原始標註有缺陷，僅提出修正建議。"}
+START_DEFECTS = {"annotation_issue": "missing_bbox"}
+
+
+def start_note(outcome: Column) -> Column:
+    out = F.lit("")
+    for name, note in START_NOTES.items():
+        out = F.when(outcome == name, note).otherwise(out)
+    return out
+
+
+def start_defect(outcome: Column) -> Column:
+    out = F.lit("none")
+    for name, defect in START_DEFECTS.items():
+        out = F.when(outcome == name, defect).otherwise(out)
+    return out
+
+
+def correction_fields(code: Column, status: Column, decision: Column, operation: Column, targets: Column, replacement: Column, reason: Column, reviewer: Column, at: Column) -> Column:
+    """Canonical fields of a valid correction (code of correction_code is empty) by a named reviewer at an instant
+    with offset, targets as sorted JSON and the box as JSON or a blank; null for any other."""
+    good = (code == "") & (T.stripped(reviewer) != "") & T.instant(at, "required").isNotNull()
+    box = F.when(replacement.isNull(), "").otherwise(T.canonical_json(**{c: replacement[c] for c in ("x1", "y1", "x2", "y2")}))
+    fields = F.struct(
+        T.stripped(status).alias("correction_review_status"), T.stripped(decision).alias("correction_decision"), T.stripped(operation).alias("correction_operation"),
+        F.to_json(F.array_sort(targets)).alias("target_gt_bbox_ids_json"), box.alias("replacement_bbox_coordinates_json"), T.stripped(reason).alias("correction_reason"),
+        T.stripped(reviewer).alias("correction_reviewer"), at.alias("correction_reviewed_at_utc"),
+    )
+    return F.when(good, fields)
+
+
 def suggested_operation(defect: Column) -> Column:
     out = F.lit("NOT_APPLICABLE")
     for kind, operation in SUGGESTED_OPERATIONS:
@@ -135,7 +167,7 @@ def semantic_rules() -> list[tuple[Column, Column]]:
         (~defect & ~untyped, "annotation_defect_type", "CONTRADICTORY_DEFECT_TYPE"),
         ((c["retraining_priority"] == "high") & (c["review_notes"] == ""), "review_notes", "HIGH_PRIORITY_NOTES_REQUIRED"),
     ]
-    return [(broken, error(column, c[column], code, code.lower().replace("_", " "))) for broken, column, code in rules]
+    return [(broken, error(column, c[column], code, code.lower().replace("_", " "))) for broken, column, code in rules]  # codes are fixed values
 
 
 def prelabel(predictions: DataFrame) -> DataFrame:

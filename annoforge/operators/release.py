@@ -200,3 +200,93 @@ def manifest_differences(found: dict, expected: dict, tolerance: float = 1e-12)
         if key not in found or (abs(have - want) > tolerance if number else have != want):
             out.append(key)
     return sorted(out)
+
+
+#: Columns that name a label, and those that people fill with their canonical names.
+LABEL_IDENTITY = ["review_id", "image_id", "source_bucket", "original_path", "filename"]
+HUMAN_NAMES = {f"human_{c}": c for c in ("photo_type_review", "angle_review", "is_exterior_review", "has_visible_damage_review", "severity_review", "review_status", "reviewer", "reviewed_at", "review_notes")}
+
+
+def promoted(rows: DataFrame) -> DataFrame:
+    """What people filled in under canonical names, in their order, all as texts; a missing column is an error."""
+    missing = [c for c in [*LABEL_IDENTITY, *HUMAN_NAMES] if c not in rows.columns]
+    if missing:
+        raise ValueError("missing required columns: " + ", ".join(missing))
+    return rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(HUMAN_NAMES.get(c, c)) for c in [*LABEL_IDENTITY, *HUMAN_NAMES]])
+
+
+#: Options of completed error reviews; a blank is no value yet.
+REVIEW_OPTIONS = {
+    "review_status": ["pending", "reviewed", "needs_adjudication"],
+    "annotation_quality": ["correct", "questionable", "defect_suspected", "not_applicable"],
+    "retraining_priority": ["low", "medium", "high", "not_applicable"],
+    "correction_proposal_required": ["yes", "no"],
+}
+#: What a reviewed row must hold.
+REVIEW_REQUIRED = ["error_disposition", "primary_root_cause", "annotation_quality", "recommended_action", "retraining_priority", "correction_proposal_required", "reviewer", "reviewed_at_utc"]
+
+
+def review_rules(fingerprint: Column, paths: list[str]) -> list[tuple[Column, Column]]:
+    """Rules of error reviews besides decisions.semantic_rules: fields of the source, paths, options, what must be filled."""
+    from annoforge.functions.text import safe_path
+
+    own = F.coalesce(F.upper("source_case_fingerprint"), F.lit(""))
+    rules = [(own != fingerprint, "source_case_fingerprint", "SOURCE_FINGERPRINT_MISMATCH", "immutable source fields were changed")]
+    rules += [(~safe_path(F.col(p)), p, "FORBIDDEN_PATH", "path must be relative and of the validation split") for p in paths]
+    value = {c: T.stripped(F.col(c)) for c in {*REVIEW_OPTIONS, *REVIEW_REQUIRED}}
+    rules += [((value[c] != "") & ~value[c].isin(*o), c, "INVALID_CONTROLLED_VALUE", "value is not approved") for c, o in REVIEW_OPTIONS.items()]
+    rules += [((value["review_status"] == "reviewed") & (value[c] == ""), c, "MISSING_REVIEW_FIELD", "value is required for reviewed rows") for c in REVIEW_REQUIRED]
+    return [(F.coalesce(broken, F.lit(True)), error(c, F.col(c), code, message)) for broken, c, code, message in rules]
+
+
+def batch_errors(rows: DataFrame, expected: int, keys: list[str], constants: dict[str, str], batch: str) -> DataFrame:
+    """(code, column) of faults of a whole batch: its row count, blank or repeated keys, columns that are not one given value, batches."""
+    facts = rows.agg(
+        F.count("*").alias("n"),
+        *[F.count_if(T.stripped(F.col(k)) == "").alias(f"b_{k}") for k in keys], *[F.count_distinct(F.coalesce(F.col(k), F.lit(""))).alias(f"d_{k}") for k in keys],
+        *[F.count_if(~F.col(c).eqNullSafe(F.lit(v))).alias(f"c_{c}") for c, v in constants.items()],
+        F.count_distinct(F.coalesce(F.col(batch), F.lit(""))).alias("batches"), F.count_if(T.stripped(F.col(batch)) == "").alias("unnamed"),
+    )
+    rules = [(F.col("n") != expected, "ROW_COUNT_MISMATCH", "")]
+    for k in keys:
+        rules += [(F.col(f"b_{k}") > 0, "BLANK_IDENTITY", k), (F.col(f"d_{k}") != F.col("n"), "DUPLICATE_IDENTITY", k)]
+    rules += [((F.col(f"c_{c}") > 0) | (F.col("n") == 0), f"{c.upper()}_MISMATCH", c) for c in constants]
+    rules.append(((F.col("batches") != 1) | (F.col("unnamed") > 0), "BATCH_ID_MISMATCH", batch))
+    found = F.array_compact(F.array(*[F.when(broken, F.struct(F.lit(code).alias("code"), F.lit(c).alias("column"))) for broken, code, c in rules]))
+    return facts.select(F.explode(found).alias("e")).select("e.code", "e.column")
+
+
+def scoped_errors(rows: DataFrame, key: str, outcome: Column, values: dict[str, tuple[Column, dict[str, list[str]]]]) -> DataFrame:
+    """(key, field, value) of values that their row's outcome does not allow; values: field to (column, options table)."""
+    found = [F.when(~F.array_contains(options(outcome, table), F.coalesce(c, F.lit(""))), F.struct(F.lit(n).alias("field"), c.alias("value"))) for n, (c, table) in values.items()]
+    return rows.select(key, F.explode(F.array_compact(F.array(*found))).alias("e")).select(key, "e.field", "e.value")
+
+
+def target_errors(worklist: DataFrame, inventory: DataFrame, key: str, path: str) -> DataFrame:
+    """(key, code) of worklist rows whose file is not there, or whose name in the package another row has too."""
+    name = F.concat(F.col(key).cast("string"), T.suffix(F.col(path)))
+    rows = worklist.select(key, path, name.alias("_target")).join(inventory.select(F.col("path").alias(path)).distinct().withColumn("_hit", F.lit(True)), path, "left")
+    lost = rows.where("_hit is null").select(key, F.lit("image_not_found").alias("code"))
+    twice = rows.groupBy("_target").count().where("count > 1").select("_target")
+    return lost.unionByName(rows.join(twice, "_target", "left_semi").select(key, F.lit("duplicate_target").alias("code")))
+
+
+#: What a finished deduplication recommends.
+RECOMMENDATIONS = {"sha256_dedup_recommendation": "complete", "perceptual_hash_recommendation": "completed_candidates_pending_review", "internal_cross_dedup_recommendation": "completed_candidates_pending_review", "training_acceptance": "NOT_YET_APPROVED"}
+
+
+def deduplication_report(dataset: str, records: DataFrame, groups: DataFrame, pairs: DataFrame, external: bool = True, cross: bool = True) -> DataFrame:
+    """The sixteen published fields of a deduplication; groups: external_count, member_count, cross_source; scopes not looked at are 0."""
+
+    def both(side: str) -> Column:
+        return (F.col("left_source_scope") == side) & (F.col("right_source_scope") == side)
+
+    r = records.agg(F.count_if(F.col("source_scope") == "internal").alias("internal_image_count"), F.count_if(F.col("source_scope") == "external").alias("external_image_count"), F.count("*").alias("total_image_count"))
+    r = r.select(F.lit(dataset).alias("dataset_id"), "*", F.col("total_image_count").alias("hash_success_count"), F.lit(0).cast("bigint").alias("hash_error_count"))
+    own, mixed = F.lit(external) & (F.col("external_count") >= 2), F.lit(cross) & F.col("cross_source")
+    g = groups.agg(
+        F.count_if(own).alias("external_external_exact_group_count"), F.coalesce(F.sum(F.when(own, F.col("external_count"))), F.lit(0)).alias("external_external_exact_image_count"),
+        F.count_if(mixed).alias("internal_external_exact_group_count"), F.coalesce(F.sum(F.when(mixed, F.col("member_count"))), F.lit(0)).alias("internal_external_exact_image_count"),
+    )
+    p = pairs.agg(F.count_if(both("external")).alias("external_external_perceptual_candidate_count"), F.count_if(F.col("left_source_scope") != F.col("right_source_scope")).alias("internal_external_perceptual_candidate_count"))
+    return r.crossJoin(g).crossJoin(p).select("*", *[F.lit(v).alias(n) for n, v in RECOMMENDATIONS.items()])

@@ -10,9 +10,9 @@ from annoforge.operators import intake as I
 from annoforge.operators import release as L
 from annoforge.operators import similarity as S
 from annoforge.operators import store as P
-from annoforge.plans.bindings import HASH_SQL, hash_records, table
+from annoforge.plans.bindings import CONTENT_SQL, HASH_SQL, hash_records, table
 from annoforge.plans.curation import _bands6 as BANDS_SQL
-from annoforge.plans.decisions import _case, _pick
+from annoforge.plans.decisions import _CORRECTION, _case, _pick
 
 REVIEWER, CAP = "ann", 3
 FIELDS = ["review_status", "priority"]
@@ -196,6 +196,74 @@ def merge_summary(spark, sf):
     return L.merge_summary(o, assigned, o.select("o_orderkey", status), payload_errors(spark, sf))
 
 
+def promoted_labels(spark, sf):
+    """The worklist's human fields under canonical names."""
+    return L.promoted(pilot_worklist(spark, sf))
+
+
+def _error_reviews(spark, sf):
+    k = F.col("o_orderkey")
+    source = T.row_fingerprint(k, F.col("o_orderpriority"))
+    rows = table(spark, sf, "orders").select(
+        (k + 2).alias("row_number"), (k % 400).cast("string").alias("image_id"), F.when(k % 300 == 0, "").otherwise(k.cast("string")).alias("review_case_id"), source.alias("_source"),
+        F.when(k % 21 == 0, "0").when(k % 2 == 0, F.lower(source)).otherwise(source).alias("source_case_fingerprint"), _pick(["img/a.jpg", "test/b.jpg", "../c.jpg", "img/d.jpg", None], k).alias("original_image_relpath"),
+        _pick(["reviewed", "pending", "done"], k).alias("review_status"), _pick(["correct", "", "wrong"], F.floor(k / 2)).alias("annotation_quality"), _pick(["low", "high", "urgent", ""], F.floor(k / 3)).alias("retraining_priority"),
+        _pick(["yes", "no", "maybe"], F.floor(k / 5)).alias("correction_proposal_required"), _pick(["confirmed", ""], F.floor(k / 7)).alias("error_disposition"), F.lit("cause").alias("primary_root_cause"), F.lit("act").alias("recommended_action"),
+        _pick(["ann", " "], F.floor(k / 11)).alias("reviewer"), F.lit("2024-01-02T03:04:05Z").alias("reviewed_at_utc"), F.when(k % 50 == 0, "0.30").otherwise("0.20").alias("threshold_candidate"), F.lit("v1").alias("schema_version"), F.lit("b1").alias("review_batch_id"),
+    )
+    return rows
+
+
+def review_field_errors(spark, sf):
+    from annoforge.operators.checks import rule_errors
+
+    return rule_errors(_error_reviews(spark, sf), L.review_rules(F.col("_source"), ["original_image_relpath"])).select("row_number", "column", "code")
+
+
+def batch_errors(spark, sf):
+    return L.batch_errors(_error_reviews(spark, sf), 5, ["review_case_id", "image_id"], {"threshold_candidate": "0.20", "schema_version": "v1"}, "review_batch_id")
+
+
+def scoped_values(spark, sf):
+    k = F.col("p_partkey")
+    values = {"annotation_quality": (_pick(["correct", "defect_suspected", "not_applicable"], F.floor(k / 2)), L.QUALITY_OPTIONS), "retraining_priority": (_pick(["low", "not_applicable"], F.floor(k / 3)), L.PRIORITY_OPTIONS)}
+    return L.scoped_errors(table(spark, sf, "part"), "p_partkey", _pick(OUTCOMES, k), values)
+
+
+def package_targets(spark, sf):
+    k = F.col("c_custkey")
+    work = table(spark, sf, "customer").select((k % 140).alias("image_id"), F.concat(F.lit("/i/"), F.when(k % 17 == 0, F.lit("x")).otherwise(F.lit("")), k.cast("string"), F.lit(".JPG")).alias("original_path"))
+    return L.target_errors(work, table(spark, sf, "customer").select(F.concat(F.lit("/i/"), k.cast("string"), F.lit(".JPG")).alias("path")), "image_id", "original_path")
+
+
+def outcome_notes(spark, sf):
+    from annoforge.operators import decisions as D
+
+    outcome = _pick(OUTCOMES, F.col("p_partkey"))
+    return table(spark, sf, "part").select("p_partkey", D.start_note(outcome).alias("review_notes"), D.start_defect(outcome).alias("annotation_defect_type"))
+
+
+def correction_fields(spark, sf):
+    from annoforge.operators import decisions as D
+    from annoforge.plans.decisions import _code, _corrections
+
+    k = F.col("o_orderkey")
+    at = _pick(["2024-01-02T03:04:05+00:00", "2024-01-02T03:04:05"], F.floor(k / 2))
+    rows = _corrections(spark, sf).withColumn("c", _code())
+    made = D.correction_fields(F.col("c"), *[F.col(c) for c in ("status", "decision", "operation", "targets", "box", "reason")], F.when(k % 5 == 0, " ").otherwise(" ann "), at)
+    return rows.select("o_orderkey", made.alias("f")).where("f is not null").select("o_orderkey", "f.*")
+
+
+def deduplication_report(spark, sf):
+    from annoforge.plans.bindings import content
+    from annoforge.plans.curation import CROSS
+
+    files = content(spark, sf)
+    groups = files.groupBy("sha256").agg(F.count("*").alias("member_count"), F.count_if(F.col("source_scope") == "external").alias("external_count")).where("member_count > 1")
+    groups = groups.withColumn("cross_source", (F.col("external_count") > 0) & (F.col("external_count") < F.col("member_count")))
+    return L.deduplication_report("d", files, groups, S.similar_pairs(hash_records(spark, sf), 18, 0.10, scopes=CROSS | {("external", "external")}))
+
+
 # --- intake
 
 
@@ -282,7 +350,7 @@ def difference_hashes(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", H.dhash(luma).alias("dhash"))
 
 
-QUERIES = {f.__name__: f for f in (review_store_state, review_store_audit, review_store_refused, payload_errors, state_upsert, export_history, latest_artifact, completeness_gate, completed_export, export_errors, hash_pins, identity_pins, case_list_pins, scope_errors, dependent_options, pilot_worklist, worklist_errors, manifest_errors, distinct_equal, merge_summary, registry_errors, registry_rows, intake_summary, registry_proposal, proposal_errors, mapping_errors, cell_values, candidate_overflow, difference_hashes)}
+QUERIES = {f.__name__: f for f in (review_store_state, review_store_audit, review_store_refused, payload_errors, state_upsert, export_history, latest_artifact, completeness_gate, completed_export, export_errors, hash_pins, identity_pins, case_list_pins, scope_errors, dependent_options, pilot_worklist, worklist_errors, manifest_errors, distinct_equal, merge_summary, registry_errors, registry_rows, intake_summary, registry_proposal, proposal_errors, mapping_errors, cell_values, candidate_overflow, difference_hashes, promoted_labels, review_field_errors, batch_errors, scoped_values, package_targets, outcome_notes, correction_fields, deduplication_report)}
 
 
 def _rules(source, rules):
@@ -393,4 +461,36 @@ SELECT record_id FROM (SELECT a AS record_id FROM p UNION ALL SELECT b FROM p) G
     "difference_hashes": """SELECT vec_id, string_agg(printf('%X', 8 * a + 4 * b + 2 * c + d), '' ORDER BY h) AS dhash FROM (
   SELECT vec_id, i // 4 AS h, max(bit) FILTER (i % 4 = 0) AS a, max(bit) FILTER (i % 4 = 1) AS b, max(bit) FILTER (i % 4 = 2) AS c, max(bit) FILTER (i % 4 = 3) AS d FROM (
     SELECT vec_id, i, (embedding[((i // 8 * 9 + i % 8) * 5) % 64 + 1] > embedding[((i // 8 * 9 + i % 8 + 1) * 5) % 64 + 1])::INT AS bit FROM embeddings, range(64) t(i)) GROUP BY ALL) GROUP BY vec_id""",
+    "promoted_labels": "SELECT o_orderkey::VARCHAR AS review_id, o_custkey::VARCHAR AS image_id, o_orderpriority AS source_bucket, o_orderstatus AS original_path, o_orderstatus AS filename, "
+    + ", ".join(f"CASE WHEN o_orderkey % 5 = {i} THEN '' ELSE o_orderstatus END AS {c}" for i, c in enumerate(L.SEED[:5]))
+    + ", 'pending' AS review_status, CASE WHEN o_orderkey % 5 = 1 THEN '' ELSE o_orderstatus END AS reviewer, '' AS reviewed_at, '' AS review_notes FROM orders",
+    "review_field_errors": f"""WITH r AS (SELECT o_orderkey AS k, o_orderkey + 2 AS row_number, {_case(["reviewed", "pending", "done"], "o_orderkey")} AS s, {_case(["correct", "", "wrong"], "o_orderkey // 2")} AS q,
+  {_case(["low", "high", "urgent", ""], "o_orderkey // 3")} AS p, {_case(["yes", "no", "maybe"], "o_orderkey // 5")} AS c, {_case(["confirmed", ""], "o_orderkey // 7")} AS d, {_case(["ann", ""], "o_orderkey // 11")} AS w FROM orders)
+SELECT row_number, 'source_case_fingerprint' AS "column", 'SOURCE_FINGERPRINT_MISMATCH' AS code FROM r WHERE k % 21 = 0
+UNION ALL SELECT row_number, 'original_image_relpath', 'FORBIDDEN_PATH' FROM r WHERE k % 5 IN (1, 2, 4)
+UNION ALL SELECT row_number, 'review_status', 'INVALID_CONTROLLED_VALUE' FROM r WHERE s = 'done' UNION ALL SELECT row_number, 'annotation_quality', 'INVALID_CONTROLLED_VALUE' FROM r WHERE q = 'wrong'
+UNION ALL SELECT row_number, 'retraining_priority', 'INVALID_CONTROLLED_VALUE' FROM r WHERE p = 'urgent' UNION ALL SELECT row_number, 'correction_proposal_required', 'INVALID_CONTROLLED_VALUE' FROM r WHERE c = 'maybe'
+UNION ALL SELECT row_number, 'annotation_quality', 'MISSING_REVIEW_FIELD' FROM r WHERE s = 'reviewed' AND q = '' UNION ALL SELECT row_number, 'retraining_priority', 'MISSING_REVIEW_FIELD' FROM r WHERE s = 'reviewed' AND p = ''
+UNION ALL SELECT row_number, 'error_disposition', 'MISSING_REVIEW_FIELD' FROM r WHERE s = 'reviewed' AND d = '' UNION ALL SELECT row_number, 'reviewer', 'MISSING_REVIEW_FIELD' FROM r WHERE s = 'reviewed' AND w = ''""",
+    "batch_errors": """SELECT code, "column" FROM (VALUES ('ROW_COUNT_MISMATCH', '', (SELECT count(*) <> 5 FROM orders)), ('BLANK_IDENTITY', 'review_case_id', (SELECT count(*) > 0 FROM orders WHERE o_orderkey % 300 = 0)),
+  ('DUPLICATE_IDENTITY', 'review_case_id', (SELECT count(*) > 1 FROM orders WHERE o_orderkey % 300 = 0)), ('DUPLICATE_IDENTITY', 'image_id', (SELECT count(DISTINCT o_orderkey % 400) <> count(*) FROM orders)),
+  ('THRESHOLD_CANDIDATE_MISMATCH', 'threshold_candidate', (SELECT count(*) > 0 FROM orders WHERE o_orderkey % 50 = 0))) v(code, "column", broken) WHERE broken""",
+    "scoped_values": f"""WITH r AS (SELECT p_partkey, {_case(OUTCOMES, "p_partkey")} AS o, {_case(["correct", "defect_suspected", "not_applicable"], "p_partkey // 2")} AS q, {_case(["low", "not_applicable"], "p_partkey // 3")} AS p FROM part)
+SELECT p_partkey, 'annotation_quality' AS field, q AS value FROM r WHERE CASE o WHEN 'annotation_issue' THEN q <> 'defect_suspected' WHEN 'invalid_image' THEN q <> 'not_applicable' WHEN 'ambiguous' THEN q <> 'not_applicable' ELSE q = 'defect_suspected' END
+UNION ALL SELECT p_partkey, 'retraining_priority', p FROM r WHERE CASE WHEN o IN ('annotation_issue', 'invalid_image', 'ambiguous') THEN p = 'low' WHEN o = 'model_miss' THEN p <> 'low' ELSE false END""",
+    "package_targets": """SELECT c_custkey % 140 AS image_id, 'image_not_found' AS code FROM customer WHERE c_custkey % 17 = 0
+UNION ALL SELECT c_custkey % 140, 'duplicate_target' FROM customer WHERE c_custkey % 140 IN (SELECT c_custkey % 140 FROM customer GROUP BY 1 HAVING count(*) > 1)""",
+    "outcome_notes": f"""SELECT p_partkey, CASE o WHEN 'ambiguous' THEN '需要進一步人工判斷。' WHEN 'annotation_issue' THEN '明確懷疑原始標註有缺陷，僅提出修正建議。' ELSE '' END AS review_notes,
+  CASE o WHEN 'annotation_issue' THEN 'missing_bbox' ELSE 'none' END AS annotation_defect_type FROM (SELECT p_partkey, {_case(OUTCOMES, "p_partkey")} AS o FROM part)""",
+    "correction_fields": f"""WITH {_CORRECTION} SELECT k AS o_orderkey, status AS correction_review_status, decision AS correction_decision, op AS correction_operation,
+  CASE WHEN len(t) = 0 THEN '[]' ELSE '["' || array_to_string(t, '","') || '"]' END AS target_gt_bbox_ids_json,
+  CASE WHEN box THEN printf('{{"x1":%.1f,"x2":%.1f,"y1":%.1f,"y2":%.1f}}', x1, x2, y1, y2) ELSE '' END AS replacement_bbox_coordinates_json, CASE WHEN blank THEN '' ELSE 'why' END AS correction_reason,
+  'ann' AS correction_reviewer, '2024-01-02T03:04:05+00:00' AS correction_reviewed_at_utc FROM e WHERE code = '' AND k % 5 <> 0 AND k // 2 % 2 = 0""",
+    "deduplication_report": f"""WITH {CONTENT_SQL}, {HASH_SQL}, g AS (SELECT count(*) AS n, count(*) FILTER (source_scope = 'external') AS x FROM file GROUP BY sha256 HAVING count(*) > 1),
+p AS (SELECT a.source_scope AS a, b.source_scope AS b FROM rec a JOIN rec b ON a.record_id < b.record_id WHERE bit_count(xor(a.phash, b.phash)) <= 18 AND abs(a.aspect_ratio - b.aspect_ratio) / greatest(a.aspect_ratio, b.aspect_ratio) <= 0.10)
+SELECT 'd' AS dataset_id, count(*) FILTER (source_scope = 'internal') AS internal_image_count, count(*) FILTER (source_scope = 'external') AS external_image_count, count(*) AS total_image_count, count(*) AS hash_success_count, 0::BIGINT AS hash_error_count,
+  (SELECT count(*) FROM g WHERE x >= 2) AS external_external_exact_group_count, (SELECT coalesce(sum(x), 0)::BIGINT FROM g WHERE x >= 2) AS external_external_exact_image_count,
+  (SELECT count(*) FROM g WHERE x > 0 AND x < n) AS internal_external_exact_group_count, (SELECT coalesce(sum(n), 0)::BIGINT FROM g WHERE x > 0 AND x < n) AS internal_external_exact_image_count,
+  (SELECT count(*) FROM p WHERE a = 'external' AND b = 'external') AS external_external_perceptual_candidate_count, (SELECT count(*) FROM p WHERE a <> b) AS internal_external_perceptual_candidate_count,
+  'complete' AS sha256_dedup_recommendation, 'completed_candidates_pending_review' AS perceptual_hash_recommendation, 'completed_candidates_pending_review' AS internal_cross_dedup_recommendation, 'NOT_YET_APPROVED' AS training_acceptance FROM file""",
 }

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from annoforge.operators import release as L
 from annoforge.operators.checks import GateError, frame_equal
 from annoforge.operators.store import history_errors
-from annoforge.sources.readers import SourceError, against_ledger, files, ledger, unsafe_member
-from annoforge.sources.sinks import Store, as_json
+from annoforge.sources.readers import SourceError, against_ledger, files, ledger, text_table, unsafe_member
+from annoforge.sources.sinks import Store, as_json, write_csv
 
 #: Suffix of the file that holds an archive's digest.
 SIDECAR = ".sha256"
@@ -168,6 +168,43 @@ def write_evidence(spark: SparkSession, path: str, members: dict[str, bytes]) ->
     return digest
 
 
+def replace_file(spark: SparkSession, path: str, raw: bytes, before: bytes | None = None) -> None:
+    """A file's new bytes, read back before they take its place; with `before`, only if the old ones are these."""
+    store, staged, old = Store(spark), f"{path}.staging-{uuid.uuid4().hex}", f"{path}.backup-{uuid.uuid4().hex}"
+    there = store.exists(path)
+    if before is not None and (not there or read_bytes(spark, path) != before):
+        raise SourceError("the file is not the expected one")
+    try:
+        write_bytes(spark, staged, raw)
+        if read_bytes(spark, staged) != raw:
+            raise SourceError("the file changed on its way to the store")
+        if there:
+            store.rename(path, old)
+        try:
+            store.rename(staged, path)
+        except Exception:
+            if there:
+                store.rename(old, path)
+            raise
+        if there:
+            store.delete(old)
+    finally:
+        if store.exists(staged):
+            store.delete(staged)
+
+
+def checked_csv(rows: DataFrame, path: str, columns: list[str], bom: bool = False) -> DataFrame:
+    """CSV of texts that is read back and found equal, or deleted; returns what was read."""
+    spark = rows.sparkSession
+    texts = rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
+    write_csv(texts, path, columns, bom)
+    back = text_table(spark, path, columns, exact=True)
+    if not frame_equal(texts, back):
+        Store(spark).delete(path)
+        raise SourceError("rows changed on their way through CSV")
+    return back
+
+
 def registry_template(spark: SparkSession, path: str, columns: list[str], folders: list[str] = ()) -> bool:
     """A registry of a header only, and the folders it goes with; whatever is there stays. Whether it was written."""
     store = Store(spark)

@@ -7,6 +7,7 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -73,6 +74,32 @@ def coco_relations(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(docs.select("document", F.inline(c)) for c in ("images", "categories", "annotations"))
 
 
+def strict_coco(spark: SparkSession, paths: dict[str, str], pins: dict[str, str] | None = None) -> DataFrame:
+    """COCO documents of given splits, one file each: digests as pinned, all three collections, ids once, known references."""
+    out = None
+    for split, path in paths.items():
+        own = files(spark, path).select("sha256").limit(2).collect()
+        if len(own) != 1:
+            raise SourceError(f"{split}: expected one file at {path}")
+        if pins and own[0][0].upper() != pins[split].upper():
+            raise SourceError(f"{split}: the file is not the pinned one")
+        doc = coco(spark, path).withColumn("split", F.lit(split))
+        if doc.count() != 1:
+            raise SourceError(f"{split}: a collection is missing")
+        out = doc if out is None else out.unionByName(doc)
+    images, categories, annotations = (out.select("split", F.inline(c)) for c in ("images", "categories", "annotations"))
+    for name, rows in (("images", images), ("categories", categories), ("annotations", annotations)):
+        if not rows.where("id is null").isEmpty() or not rows.groupBy("split", "id").count().where("count > 1").isEmpty():
+            raise SourceError(f"{name}: ids must be there and occur once")
+    box = F.col("bbox")
+    if not annotations.where(F.coalesce(F.size(box) != 4, F.lit(True)) | F.exists(box, lambda v: v.isNull())).isEmpty():
+        raise SourceError("annotations: a box must be four numbers")
+    for name, rows, key in (("image_id", images, "image_id"), ("category_id", categories, "category_id")):
+        if not annotations.join(rows.select("split", F.col("id").alias(key)), ["split", key], "left_anti").isEmpty():
+            raise SourceError(f"annotations: unknown {name}")
+    return out
+
+
 def yolo(spark: SparkSession, path: str) -> DataFrame:
     """Label lines: document, line_number (blank lines do not count), class_id, box and what is wrong."""
     lines = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).text(path, wholetext=True)
@@ -117,7 +144,7 @@ def images(spark: SparkSession, path: str, suffixes: list[str]) -> DataFrame:
     seen = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path).select("image.origin", "image.width", "image.height")
     rows = found.join(seen.withColumnRenamed("origin", "path"), "path", "left")
     ok = F.coalesce(F.col("width") > 0, F.lit(False))
-    return rows.select("path", "size_bytes", F.when(ok, F.col("width")).alias("width"), F.when(ok, F.col("height")).alias("height"), F.when(ok, F.bround(F.col("width") / F.col("height"), 6)).alias("aspect_ratio"), ok.alias("is_readable"), F.when(ok, "").otherwise("unreadable: UnidentifiedImageError").alias("notes"))
+    return rows.select("path", "size_bytes", F.when(ok, F.col("width")).alias("width"), F.when(ok, F.col("height")).alias("height"), F.when(ok, F.bround(F.col("width") / F.col("height"), 6)).alias("aspect_ratio"), ok.alias("is_readable"), F.when(ok, "").otherwise("unreadable").alias("notes"))
 
 
 #: Other names of the source buckets.
@@ -163,11 +190,15 @@ def archives(spark: SparkSession, path: str, content: bool = False) -> DataFrame
     return found.select("path", "content").mapInPandas(members, _MEMBER)
 
 
-def archive_member(members: DataFrame, suffix: str) -> DataFrame:
-    """The one member that ends with the suffix."""
+def archive_member(members: DataFrame, suffix: str, sha256: str | None = None) -> DataFrame:
+    """The one member that ends with the suffix, with a pin of its content's digest if given.
+
+    Checksums inside the archive are tested where its content is read: a wrong one fails the read."""
     found = members.where(F.col("safe") & F.col("member").endswith(suffix))
     if found.limit(2).count() != 1:
         raise SourceError(f"expected exactly one member ending in {suffix}")
+    if sha256 is not None and found.where(F.upper(F.sha2("content", 256)) == sha256.upper()).isEmpty():
+        raise SourceError(f"the member ending in {suffix} is not the pinned one")
     return found
 
 
@@ -189,8 +220,8 @@ def against_ledger(found: DataFrame, listed: DataFrame) -> DataFrame:
     return both.select("path", state.alias("state")).where("state is not null")
 
 
-def resolve(references: DataFrame, inventory: DataFrame, reference: str = "file_name", folder: str = "folder") -> DataFrame:
-    """Path of each reference: beside its document, below the root, or by a base name that occurs once."""
+def resolve(references: DataFrame, inventory: DataFrame, reference: str = "file_name", folder: str = "folder", marker: str | None = None) -> DataFrame:
+    """Path of each reference: as it stands, from a marker folder on, beside its document, below the root, or by a base name that occurs once."""
     name = base_name(F.col("path"))
     paths = inventory.select("path")
     direct = paths.select(F.col("path").alias("_direct"), F.col("path").alias("_a"))
@@ -198,7 +229,11 @@ def resolve(references: DataFrame, inventory: DataFrame, reference: str = "file_
     once = paths.groupBy(name.alias("_name")).agg(F.count("*").alias("n"), F.first("path").alias("_c")).where("n = 1").drop("n")
     rows = references.withColumn("_direct", F.concat_ws("/", F.when(F.col(folder) != "", F.col(folder)), reference)).withColumn("_root", F.col(reference)).withColumn("_name", base_name(F.col(reference)))
     rows = rows.join(direct, "_direct", "left").join(rooted, "_root", "left").join(once, "_name", "left")
-    return rows.withColumn("resolved_path", F.coalesce("_a", "_b", "_c")).drop("_direct", "_root", "_name", "_a", "_b", "_c")
+    clean = F.translate(F.col(reference), "\\", "/")
+    rows = rows.withColumn("_root", clean).join(paths.select(F.col("path").alias("_root"), F.col("path").alias("_d")), "_root", "left")
+    after = F.concat(F.lit(f"{marker}/"), F.element_at(F.split(clean, f"(^|/){re.escape(marker)}/"), -1)) if marker else F.lit(None).cast("string")
+    rows = rows.withColumn("_root", after).join(paths.select(F.col("path").alias("_root"), F.col("path").alias("_e")), "_root", "left")
+    return rows.withColumn("resolved_path", F.coalesce("_d", "_e", "_a", "_b", "_c")).drop("_direct", "_root", "_name", "_a", "_b", "_c", "_d", "_e")
 
 
 @dataclass(frozen=True)
@@ -239,8 +274,8 @@ def registry(raw: bytes) -> Registry:
     return Registry(header, tuple(map(tuple, parsed[1:])), hashlib.sha256(raw).hexdigest().upper(), bom, "\r\n" if "\r\n" in body else "\n", body.endswith("\n"))
 
 
-def settings(text: str, allowed: dict[str, tuple[type, ...]], required: tuple[str, ...] = ()) -> dict:
-    """A YAML mapping of known keys and types; a boolean is no number."""
+def settings(text: str, allowed: dict[str, tuple[type, ...]], required: tuple[str, ...] = (), ranges: dict[str, tuple[float, float]] | None = None) -> dict:
+    """A YAML mapping of known keys and types, numbers within their ranges, ends included; a boolean is no number."""
     import yaml
 
     found = yaml.safe_load(text)
@@ -254,4 +289,7 @@ def settings(text: str, allowed: dict[str, tuple[type, ...]], required: tuple[st
         kinds = allowed[key]
         if not isinstance(value, kinds) or (isinstance(value, bool) and bool not in kinds):
             raise SourceError(f"setting {key} has the wrong type")
+    for key, (lo, hi) in (ranges or {}).items():
+        if key in found and not lo <= found[key] <= hi:
+            raise SourceError(f"setting {key} must be from {lo} to {hi}")
     return found

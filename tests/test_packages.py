@@ -176,3 +176,50 @@ def test_columns_boxes_and_confidences_that_are_no_numbers(spark):
     got = {r["threshold"]: (r["predictions_count"], r["tp"], r["fn"], r["images_with_fn"]) for r in M.sweep(ps, gs, [0.1, 0.5]).collect()}
     assert got == {0.1: (1, 1, 0, 0), 0.5: (0, 0, 1, 1)}
     assert {r["prediction_id"] for r in M.match(ps, gs, [0.1]).collect()} == {"p2"}
+
+
+def test_commands(spark, sf_dir, tmp_path, capsys):
+    from annoforge.__main__ import main
+
+    assert main(["list"]) == 0 and "match_boxes" in capsys.readouterr().out.split()
+    assert main(["sql", "distribution"]) == 0 and "SELECT" in capsys.readouterr().out
+    assert main(["run", "no_such", sf_dir, str(tmp_path / "x")]) == 2
+    assert main(["run", "keys_equal", sf_dir, str(tmp_path / "x"), "--format", "csv"]) == 0
+    assert main(["run", "keys_equal", sf_dir, str(tmp_path / "x")]) == 2
+    assert spark.read.option("header", True).csv(str(tmp_path / "x")).columns == ["equal"]
+
+
+def test_strict_documents(spark, tmp_path):
+    import json
+
+    doc = {"images": [{"id": 1, "file_name": "a.jpg", "width": 9, "height": 9}], "categories": [{"id": 0, "name": "x"}], "annotations": [{"id": 5, "image_id": 1, "category_id": 0, "bbox": [1, 1, 2, 2]}]}
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps(doc))
+    assert R.strict_coco(spark, {"train": str(path)}, {"train": sha(path.read_bytes())}).count() == 1
+    with pytest.raises(R.SourceError, match="pinned"):
+        R.strict_coco(spark, {"train": str(path)}, {"train": sha(b"")})
+    for change, what in (({"images": doc["images"] * 2}, "occur once"), ({"categories": []}, "unknown category_id"), ({"annotations": [{"id": 5, "image_id": 1, "category_id": 0, "bbox": [1]}]}, "four numbers")):
+        path.write_text(json.dumps(doc | change))
+        with pytest.raises(R.SourceError, match=what):
+            R.strict_coco(spark, {"train": str(path)})
+
+
+def test_files_are_replaced_after_a_look_and_csv_comes_back_equal(spark, tmp_path):
+    path = str(tmp_path / "r.csv")
+    K.replace_file(spark, path, b"one")
+    K.replace_file(spark, path, b"two", before=b"one")
+    with pytest.raises(R.SourceError, match="expected"):
+        K.replace_file(spark, path, b"three", before=b"one")
+    assert (tmp_path / "r.csv").read_bytes() == b"two" and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["r.csv"]
+    rows = spark.createDataFrame([(1, 'x, "y"', None), (2, "", "é\nz")], "a int, b string, c string")
+    assert {tuple(r) for r in K.checked_csv(rows, str(tmp_path / "c"), ["b", "a", "c"], bom=True).collect()} == {('x, "y"', "1", ""), ("", "2", "é\nz")}
+
+
+def test_references_by_marker_and_as_they_stand(spark):
+    inventory = spark.createDataFrame([("images/a.jpg",), ("/abs/b.jpg",)], "path string")
+    rows = spark.createDataFrame([("C:\\x\\images\\a.jpg", ""), ("/abs/b.jpg", ""), ("zzz.jpg", "")], "file_name string, folder string")
+    got = {r["file_name"]: r["resolved_path"] for r in R.resolve(rows, inventory, marker="images").collect()}
+    assert got == {"C:\\x\\images\\a.jpg": "images/a.jpg", "/abs/b.jpg": "/abs/b.jpg", "zzz.jpg": None}
+    assert R.settings("t: 0.5", {"t": (float,)}, ranges={"t": (0, 1)}) == {"t": 0.5}
+    with pytest.raises(R.SourceError, match="from 0 to 1"):
+        R.settings("t: 2.5", {"t": (float,)}, ranges={"t": (0, 1)})

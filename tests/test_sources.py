@@ -142,3 +142,15 @@ def test_report_and_retention(spark):
     assert [r[0] for r in K.retained(rows, "name", 2).collect()] == ["v1"]
     assert "More than 2 rows." in K.markdown("t", {"x": rows}, limit=2)
     assert "train: images/train" in K.dataset_descriptor("/d", ["damage"])
+
+
+def test_broken_images_are_rows_with_a_note(spark, tmp_path):
+    import base64
+
+    # one black pixel as PNG
+    pixel = "iVBORw0KGgoAAAANSUhEUgAAAAEAAAABCAAAAAA6fptVAAAACklEQVR4nGNgAAAAAgABSK+kcQAAAABJRU5ErkJggg=="
+    (tmp_path / "a.png").write_bytes(base64.b64decode(pixel))
+    (tmp_path / "b.png").write_bytes(b"no image")
+    got = {r["path"].split("/")[-1]: r for r in R.images(spark, str(tmp_path), [".png"]).collect()}
+    assert (got["a.png"]["width"], got["a.png"]["height"], got["a.png"]["aspect_ratio"], got["a.png"]["notes"]) == (1, 1, 1.0, "")
+    assert not got["b.png"]["is_readable"] and got["b.png"]["width"] is None and got["b.png"]["notes"] == "unreadable"

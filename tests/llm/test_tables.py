@@ -8,7 +8,6 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers as P

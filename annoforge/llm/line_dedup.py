@@ -52,6 +52,8 @@ STARTS, GRAM, LONG_SEGMENT = 5, 4, 16
 WORD = re.compile(r"\w")
 #: Text bytes looked at together; entries that a task packs at a time; bytes of a range; entries held of one range.
 SLICE_BYTES, PACK, RANGE_BYTES, RANGE_MOST, LIST_BLOCK, LIST_BYTES = 512 << 10, 1 << 19, 24 << 20, 1 << 22, 2048, 4 << 20
+#: Lines that make a substring of a crowded range frequent: its entries pass on as they come.
+FREQUENT = 4096
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -409,13 +411,13 @@ def shared_keys(docs: DataFrame, max_edits: int | None, min_chars: int, lines: i
         return pa.RecordBatch.from_arrays([pa.array((rows[:, 0] >> np.uint64(1)).astype(np.int64)), pa.array(rows[:, 1].view(np.int64)), pa.array((rows[:, 0] & np.uint64(1)).astype(bool))], ["key", "h", "own"])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, size, frequent = None, [], 0, np.zeros(0, np.uint64)
+        part, held, size, most, frequent = None, [], 0, RANGE_MOST, np.zeros(0, np.uint64)
         for batch in batches:
             for now, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if now != part:
                     if held:
                         yield out(several(np.concatenate(held)))
-                    part, held, size, frequent = now, [], 0, np.zeros(0, np.uint64)
+                    part, held, size, most, frequent = now, [], 0, RANGE_MOST, np.zeros(0, np.uint64)
                 rows = np.frombuffer(raw.as_buffer(), np.uint64).reshape(-1, 2)
                 if len(frequent):  # these pass on as they come
                     known = np.isin(rows[:, 0] >> np.uint64(1), frequent)
@@ -424,15 +426,16 @@ def shared_keys(docs: DataFrame, max_edits: int | None, min_chars: int, lines: i
                         rows = rows[~known]
                 held.append(np.array(rows))
                 size += len(rows)
-                if size > RANGE_MOST:
+                if size > most:
                     rows = np.unique(np.concatenate(held), axis=0)
-                    if len(rows) > RANGE_MOST // 2:
-                        found, where, sizes = np.unique(rows[:, 0] >> np.uint64(1), return_inverse=True, return_counts=True)
-                        frequent = np.union1d(frequent, found[sizes > 4096])
-                        many = (sizes > 4096)[where]
+                    found, where, sizes = np.unique(rows[:, 0] >> np.uint64(1), return_inverse=True, return_counts=True)
+                    many = (sizes > FREQUENT)[where]
+                    if many.any():
+                        frequent = np.union1d(frequent, found[sizes > FREQUENT])
                         yield out(rows[many])
                         rows = rows[~many]
                     held, size = [rows], len(rows)
+                    most = max(RANGE_MOST, 2 * size)
         if held:
             yield out(several(np.concatenate(held)))
 

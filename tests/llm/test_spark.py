@@ -313,8 +313,12 @@ def test_similar_long_lines_share_a_substring_and_nearly_their_kinds():
         assert bits[0] <= 2 * k and bits[1] + bits[2] <= 4 * k
 
 
-@pytest.mark.parametrize("edits", [1, 2])
-def test_line_dedup_equals_brute_force(spark, edits):
+@pytest.mark.parametrize(("edits", "crowded"), [(1, False), (2, False), (2, True)])
+def test_line_dedup_equals_brute_force(spark, monkeypatch, edits, crowded):
+    if crowded:  # all ranges, lists and slices over their bounds
+        for name, value in (("SLICE_BYTES", 64), ("PACK", 50), ("RANGE_MOST", 40), ("FREQUENT", 3), ("LIST_BLOCK", 3), ("LIST_BYTES", 100)):
+            monkeypatch.setattr(line_dedup, name, value)
+        monkeypatch.setattr(shared, "BROADCAST_BYTES", 0)
     rng = random.Random(4)
     pool = ["".join(rng.choices("abcd ", k=rng.randint(6, 40))) for _ in range(30)]
     common = "this line is common to all of them"

@@ -142,7 +142,9 @@ def images(spark: SparkSession, path: str, suffixes: list[str]) -> DataFrame:
     """Images with size, aspect and readability; an unreadable file is a row with a note, never a failure."""
     found = files(spark, path, suffixes).select("path", "size_bytes")
     seen = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path).select("image.origin", "image.width", "image.height")
-    rows = found.join(seen.withColumnRenamed("origin", "path"), "path", "left")
+    # the two readers spell a local path with one and with three slashes
+    spelled = lambda c: F.regexp_replace(c, "^([a-z]+):/+", "$1:/")
+    rows = found.join(seen.withColumn("_at", spelled("origin")), spelled("path") == F.col("_at"), "left")
     ok = F.coalesce(F.col("width") > 0, F.lit(False))
     return rows.select("path", "size_bytes", F.when(ok, F.col("width")).alias("width"), F.when(ok, F.col("height")).alias("height"), F.when(ok, F.bround(F.col("width") / F.col("height"), 6)).alias("aspect_ratio"), ok.alias("is_readable"), F.when(ok, "").otherwise("unreadable").alias("notes"))
 

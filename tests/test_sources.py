@@ -145,11 +145,14 @@ def test_report_and_retention(spark):
 
 
 def test_broken_images_are_rows_with_a_note(spark, tmp_path):
-    import base64
+    import struct
+    import zlib
 
-    # one black pixel as PNG
-    pixel = "iVBORw0KGgoAAAANSUhEUgAAAAEAAAABCAAAAAA6fptVAAAACklEQVR4nGNgAAAAAgABSK+kcQAAAABJRU5ErkJggg=="
-    (tmp_path / "a.png").write_bytes(base64.b64decode(pixel))
+    def chunk(kind, data):
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    pixel = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 1, 1, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"\0\0")) + chunk(b"IEND", b"")
+    (tmp_path / "a.png").write_bytes(pixel)
     (tmp_path / "b.png").write_bytes(b"no image")
     got = {r["path"].split("/")[-1]: r for r in R.images(spark, str(tmp_path), [".png"]).collect()}
     assert (got["a.png"]["width"], got["a.png"]["height"], got["a.png"]["aspect_ratio"], got["a.png"]["notes"]) == (1, 1, 1.0, "")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from annoforge.llm.byte_bpe import op9_byte_bpe
+from annoforge.llm.conversations import OP11_SQL, op11_conversation_repair
 from annoforge.llm.embedding_dup import OP6_SQL, op6_embedding_dup
 from annoforge.llm.language import op8_language
 from annoforge.llm.line_dedup import op5_line_dedup
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality": op10_quality,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
     "op2_near_dup": OP2_SQL,
     "op4_mixing": OP4_SQL,
     "op6_embedding_dup": OP6_SQL,
+    "op11_conversation_repair": OP11_SQL,
 }

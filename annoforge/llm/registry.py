@@ -11,6 +11,7 @@ from annoforge.llm.mixing import OP4_SQL, op4_mixing
 from annoforge.llm.near_dup import OP2_SQL, op2_near_dup
 from annoforge.llm.pii import op7_pii
 from annoforge.llm.quality import op10_quality
+from annoforge.llm.runs import op12_periodic_runs
 from annoforge.llm.token_counts import op1_token_counts
 from annoforge.llm.toxicity import op3_toxicity
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality": op10_quality,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {

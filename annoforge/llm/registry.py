@@ -6,6 +6,7 @@ from annoforge.llm.byte_bpe import op9_byte_bpe
 from annoforge.llm.conversations import OP11_SQL, op11_conversation_repair
 from annoforge.llm.embedding_dup import OP6_SQL, op6_embedding_dup
 from annoforge.llm.language import op8_language
+from annoforge.llm.licenses import OP13_SQL, op13_licenses
 from annoforge.llm.line_dedup import op5_line_dedup
 from annoforge.llm.mixing import OP4_SQL, op4_mixing
 from annoforge.llm.near_dup import OP2_SQL, op2_near_dup
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_licenses": op13_licenses,
 }
 
 ORACLES: dict[str, str] = {
@@ -35,4 +37,5 @@ ORACLES: dict[str, str] = {
     "op4_mixing": OP4_SQL,
     "op6_embedding_dup": OP6_SQL,
     "op11_conversation_repair": OP11_SQL,
+    "op13_licenses": OP13_SQL,
 }

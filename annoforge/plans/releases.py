@@ -13,6 +13,7 @@ from annoforge.operators import store as P
 from annoforge.plans.bindings import CONTENT_SQL, HASH_SQL, hash_records, table
 from annoforge.plans.curation import _bands6 as BANDS_SQL
 from annoforge.plans.decisions import _CORRECTION, _case, _pick
+from annoforge.sources.tables import Reviews, scratch
 
 REVIEWER, CAP = "ann", 3
 FIELDS = ["review_status", "priority"]
@@ -57,6 +58,28 @@ def review_store_refused(spark, sf):
     return P.save(_cases(spark, sf), _saves(spark, sf), "c_custkey", FIELDS, REVIEWER)[2]
 
 
+def _stored(spark, sf):
+    """A stored review table: customers are opened as cases, orders of even number are saved, then the others."""
+    store = Reviews(spark, scratch(spark, "reviews"), "c_custkey", FIELDS, buckets=16)
+    store.open(_cases(spark, sf), {"reviewer": REVIEWER})
+    for odd in (0, 1):
+        store.save(_saves(spark, sf).where(F.col("seq") % 2 == odd))
+    return store
+
+
+def stored_state(spark, sf):
+    """The stored cases at the version after the first save."""
+    return _stored(spark, sf).state(2)
+
+
+def stored_events(spark, sf):
+    return _stored(spark, sf).events().drop("event_type")
+
+
+def stored_log(spark, sf):
+    return _stored(spark, sf).tables.log().drop("parts")
+
+
 def payload_errors(spark, sf):
     return P.payload_errors(_saves(spark, sf), REVIEWER)
 
@@ -350,7 +373,7 @@ def difference_hashes(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", H.dhash(luma).alias("dhash"))
 
 
-QUERIES = {f.__name__: f for f in (review_store_state, review_store_audit, review_store_refused, payload_errors, state_upsert, export_history, latest_artifact, completeness_gate, completed_export, export_errors, hash_pins, identity_pins, case_list_pins, scope_errors, dependent_options, pilot_worklist, worklist_errors, manifest_errors, distinct_equal, merge_summary, registry_errors, registry_rows, intake_summary, registry_proposal, proposal_errors, mapping_errors, cell_values, candidate_overflow, difference_hashes, promoted_labels, review_field_errors, batch_errors, scoped_values, package_targets, outcome_notes, correction_fields, deduplication_report)}
+QUERIES = {f.__name__: f for f in (stored_state, stored_events, stored_log, review_store_state, review_store_audit, review_store_refused, payload_errors, state_upsert, export_history, latest_artifact, completeness_gate, completed_export, export_errors, hash_pins, identity_pins, case_list_pins, scope_errors, dependent_options, pilot_worklist, worklist_errors, manifest_errors, distinct_equal, merge_summary, registry_errors, registry_rows, intake_summary, registry_proposal, proposal_errors, mapping_errors, cell_values, candidate_overflow, difference_hashes, promoted_labels, review_field_errors, batch_errors, scoped_values, package_targets, outcome_notes, correction_fields, deduplication_report)}
 
 
 def _rules(source, rules):
@@ -373,6 +396,12 @@ _SCOPE_RULES = [
 _STRIPPED = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 
 ORACLES = {
+    "stored_state": f"""WITH {_SAVES}, last AS (SELECT c_custkey, count(*) AS n, arg_max(review_status, seq) AS s, arg_max(priority, seq) AS p, arg_max(reviewed_at_utc, seq) AS a FROM good WHERE seq % 2 = 0 GROUP BY c_custkey)
+SELECT c_custkey, coalesce(s, review_status) AS review_status, coalesce(p, priority) AS priority, revision + coalesce(n, 0) AS revision, a AS saved_at FROM cases LEFT JOIN last USING (c_custkey)""",
+    "stored_events": f"""WITH {_SAVES} SELECT row_number() OVER (ORDER BY seq % 2, seq) AS event_id, c_custkey, c_custkey % 3 + row_number() OVER (PARTITION BY c_custkey ORDER BY seq % 2, seq) AS revision, seq, review_status, priority FROM good""",
+    "stored_log": f"""WITH {_SAVES}, n AS (SELECT (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM good WHERE seq % 2 = 0) AS g, (SELECT count(*) FROM good) AS gg, (SELECT count(*) FROM coded WHERE code IS NOT NULL AND seq % 2 = 0) AS r, (SELECT count(*) FROM coded WHERE code IS NOT NULL) AS rr)
+SELECT unnest([1, 1, 2, 2, 2, 2, 3, 3, 3, 3]) AS version, unnest(['open', 'open', 'save', 'save', 'save', 'save', 'save', 'save', 'save', 'save']) AS operation, unnest(['cases', 'source', 'cases', 'events', 'refused', 'source', 'cases', 'events', 'refused', 'source']) AS table_name,
+  unnest([c, c, c, g, r, c, c, gg, rr, c]) AS n_rows FROM n""",
     "review_store_state": f"""WITH {_SAVES}, last AS (SELECT c_custkey, count(*) AS n, arg_max(review_status, seq) AS s, arg_max(priority, seq) AS p, arg_max(reviewed_at_utc, seq) AS a FROM good GROUP BY c_custkey)
 SELECT c_custkey, coalesce(s, review_status) AS review_status, coalesce(p, priority) AS priority, revision + coalesce(n, 0) AS revision, a AS saved_at FROM cases LEFT JOIN last USING (c_custkey)""",
     "review_store_audit": f"""WITH {_SAVES} SELECT seq, 'review_saved' AS event_type, c_custkey, c_custkey % 3 + row_number() OVER (PARTITION BY c_custkey ORDER BY seq) AS revision,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annoforge.functions import hashes as H
 from annoforge.operators.checks import GateError
+from annoforge.sources.tables import scratch
 
 ALL_SCOPES = {("internal", "internal"), ("internal", "external"), ("external", "external")}
 
@@ -60,17 +61,173 @@ def raw_pairs(records: DataFrame, distance: int, scopes: set[tuple[str, str]] =
     return met.drop("band", "value")
 
 
-def similar_pairs(records: DataFrame, distance: int, aspect: float, other: tuple[str, int] | None = None, scopes: set[tuple[str, str]] = ALL_SCOPES) -> DataFrame:
-    """Raw pairs within the distances; other: a second hash column and its greatest distance."""
-    pairs = raw_pairs(records, distance, scopes).withColumn("phash_distance", H.hamming(F.col("left_phash"), F.col("right_phash")).cast("int"))
-    pairs = pairs.withColumn("aspect_difference", H.aspect_difference(F.col("left_aspect_ratio"), F.col("right_aspect_ratio")))
-    pairs = pairs.where((F.col("phash_distance") <= distance) & (F.col("aspect_difference") <= aspect))
+#: Different hashes in a bucket of equal bits, beyond which further bits refine it.
+CROWDED = 512
+
+
+def split_bits(rest: Column, left: int, distance: int) -> Column:
+    """Bands of a hash's `left` remaining bits: (band, value, values of the bands before, the bits that then remain)."""
+    out, before = [], []
+    for i, (shift, width) in enumerate(H.band_plan(distance, left)):
+        mask = (1 << width) - 1
+        value = F.shiftrightunsigned(rest, shift).bitwiseAND(F.lit(mask)) if width < 64 else rest
+        above = F.shiftleft(F.shiftrightunsigned(rest, shift + width), shift) if shift + width < 64 else F.lit(0).cast("bigint")
+        below = rest.bitwiseAND(F.lit((1 << shift) - 1))
+        out.append(F.struct(F.lit(i).cast("bigint").alias("band"), value.alias("value"), F.array(*before).cast("array<bigint>").alias("before"), above.bitwiseOR(below).alias("rest"), F.lit(left - width).alias("left")))
+        before.append(value)
+    return F.array(*out)
+
+
+def worth_splitting(left: int, distance: int) -> bool:
+    """Whether one more level makes less comparisons: buckets shrink by more than rows multiply."""
+    return left > distance and 1 << (left // (distance + 1)) > 2 * (distance + 1)
+
+
+def hash_pairs(hashes: DataFrame, distance: int, crowded: int = CROWDED, bits: int = 64) -> DataFrame:
+    """(left_phash, right_phash, phash_distance) of different hashes (one column, no repeats) within the distance, each once.
+
+    Two such hashes agree in one of distance + 1 bands of their bits. A bucket of more than `crowded` hashes is
+    refined: of the bits beside the band the two may again differ in `distance` only, so that they agree in one of
+    distance + 1 bands of those; and so on while a level makes less to compare. Hashes meet in the first band in which they agree, at
+    every level, and nowhere else."""
+    h = hashes.columns[0]
+    rows = hashes.where(F.col(h).isNotNull()).select(F.col(h).alias("h"), F.col(h).alias("rest"), F.lit(bits).alias("left"), F.array().cast("array<bigint>").alias("path"), F.array().cast("array<bigint>").alias("skipped"))
+    lefts, found = {bits}, None
+    while True:
+        parts = F.lit(None)
+        for left in sorted(lefts):
+            parts = F.when(F.col("left") == left, split_bits(F.col("rest"), left, distance)).otherwise(parts)
+        each = rows.select("h", "path", "skipped", F.explode(parts).alias("b"))
+        each = each.select("h", F.concat("path", F.array("b.band", "b.value")).alias("path"), F.concat("skipped", "b.before").alias("skipped"), "b.rest", "b.left")
+        lefts = {left - width for left in lefts for _, width in H.band_plan(distance, left)}
+        over = each.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("path")
+        last = not all(worth_splitting(left, distance) for left in lefts) or over.isEmpty()
+        calm = each if last else each.join(over, "path", "left_anti")
+        a, b = (calm.select("path", F.col("h").alias(f"{side}_phash"), F.col("skipped").alias(f"{side}_skipped")) for side in ("left", "right"))
+        apart = H.hamming(F.col("left_phash"), F.col("right_phash")).cast("int")
+        met = a.join(b, "path").where((F.col("left_phash") < F.col("right_phash")) & (apart <= distance) & ~F.exists(F.zip_with("left_skipped", "right_skipped", lambda x, y: x == y), lambda same: same))
+        met = met.select("left_phash", "right_phash", apart.alias("phash_distance"))
+        found = met if found is None else found.unionByName(met)
+        if last:
+            return found
+        kept = scratch(hashes.sparkSession, "crowded")
+        each.join(over, "path", "left_semi").write.parquet(kept)
+        rows = hashes.sparkSession.read.parquet(kept)
+
+
+def classed(records: DataFrame, other: tuple[str, int] | None = None) -> DataFrame:
+    """records with class_id: the least record of those with equal hashes and aspect ratio."""
+    keys = ["phash", *([other[0]] if other else []), "aspect_ratio"]
+    kinds = records.groupBy(*keys).agg(F.min("record_id").alias("class_id")).withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & records[k].eqNullSafe(kinds[f"_{k}"])
+    return records.join(kinds, same).drop(*[f"_{k}" for k in keys])
+
+
+def class_pairs(records: DataFrame, distance: int, aspect: float, other: tuple[str, int] | None = None, scopes: set[tuple[str, str]] = ALL_SCOPES, crowded: int = CROWDED) -> DataFrame:
+    """(left_class, right_class, phash_distance, aspect_difference, n_pairs) of classes with a similar pair of records.
+
+    n equal hashes are one class and one row, whatever their n * (n - 1) / 2 pairs: a class with pairs of its own has a
+    row with itself. n_pairs counts the pairs in scope, but those of equal digests."""
+    wanted = sorted({s for pair in scopes for s in pair})
+    keys = ["phash", *([other[0]] if other else []), "aspect_ratio"]
+    own = records.where(F.col("phash").isNotNull())
+    per = {s: F.count_if(F.col("source_scope") == s).alias(f"n_{s}") for s in wanted}
+    kinds = own.groupBy(*keys).agg(F.min("record_id").alias("class"), *per.values())
+    if "sha256" in records.columns:
+        files = own.groupBy(*keys, "sha256").agg(*per.values())
+        kinds = kinds.join(files.groupBy(*keys).agg(F.sum(pairs_in(scopes)).alias("n_same")), keys)
+    else:
+        kinds = kinds.withColumn("n_same", F.lit(0).cast("bigint"))
+    left, right = (kinds.select(*[F.col(c).alias(f"{side}_{c}") for c in kinds.columns]) for side in ("left", "right"))
+    near = hash_pairs(kinds.select("phash").distinct(), distance, crowded)
+    across = near.join(left, "left_phash").join(right, "right_phash")
+    within = left.join(right, left["left_phash"] == right["right_phash"]).where("left_class <= right_class").withColumn("phash_distance", F.lit(0))
+    met = across.unionByName(within).withColumn("aspect_difference", H.aspect_difference(F.col("left_aspect_ratio"), F.col("right_aspect_ratio"))).where(F.col("aspect_difference") <= aspect)
     if other:
-        pairs = pairs.where(H.hamming(F.col(f"left_{other[0]}"), F.col(f"right_{other[0]}")) <= other[1])
+        met = met.where(H.hamming(F.col(f"left_{other[0]}"), F.col(f"right_{other[0]}")) <= other[1])
+    alone = pairs_in(scopes, "left_") - F.col("left_n_same")
+    mixed = pairs_between(scopes)
+    if "sha256" in records.columns:
+        a, b = (files_of_several(own, keys, wanted).select(*[F.col(c).alias(f"{side}_{c}") for c in ("class", "sha256", *[f"n_{s}" for s in wanted])]) for side in ("left", "right"))
+        same = a.join(b, a["left_sha256"] == b["right_sha256"]).where("left_class <> right_class").groupBy("left_class", "right_class").agg(F.sum(pairs_between(scopes)).alias("_same"))
+        met, mixed = met.join(same, ["left_class", "right_class"], "left"), mixed - F.coalesce("_same", F.lit(0))
+    counted = met.withColumn("n_pairs", F.when(F.col("left_class") == F.col("right_class"), alone).otherwise(mixed).cast("bigint")).where("n_pairs > 0")
+    return counted.select(F.least("left_class", "right_class").alias("left_class"), F.greatest("left_class", "right_class").alias("right_class"), "phash_distance", "aspect_difference", "n_pairs")
+
+
+def pairs_between(scopes: set[tuple[str, str]]) -> Column:
+    """Pairs in scope of left_n_<scope> records with right_n_<scope> records."""
+    n = lambda side, scope: F.col(f"{side}_n_{scope}")
+    return sum((n("left", x) * n("right", y) + (n("left", y) * n("right", x) if x != y else F.lit(0)) for x, y in sorted(scopes)), F.lit(0))
+
+
+def files_of_several(own: DataFrame, keys: list[str], scopes: list[str]) -> DataFrame:
+    """(class, sha256, n_<scope>) of digests that records of more than one class have: none, where equal files have equal hashes."""
+    rows = classed(own, (keys[1], 0) if len(keys) > 2 else None).withColumnRenamed("class_id", "class")
+    files = rows.groupBy("class", "sha256").agg(*[F.count_if(F.col("source_scope") == s).alias(f"n_{s}") for s in scopes])
+    return files.join(files.groupBy("sha256").count().where("count > 1").select("sha256"), "sha256", "left_semi")
+
+
+def pairs_in(scopes: set[tuple[str, str]], side: str = "") -> Column:
+    """Pairs in scope of n_<scope> records of each scope."""
+    n = {s: F.col(f"{side}n_{s}") for pair in scopes for s in pair}
+    return sum((n[x] * (n[x] - 1) / 2 if x == y else n[x] * n[y] for x, y in sorted(scopes)), F.lit(0)).cast("bigint")
+
+
+def similar_pairs(records: DataFrame, distance: int, aspect: float, other: tuple[str, int] | None = None, scopes: set[tuple[str, str]] = ALL_SCOPES, cap: int | None = None, crowded: int = CROWDED) -> DataFrame:
+    """Pairs of records within the distances, left id below right id, from the pairs of their classes; equal digests
+    are left out if records have them. other: a second hash column and its greatest distance.
+
+    cap: raw pairs of a record beyond which the query is refused, before any pair is made."""
+    if cap is not None:
+        refuse_overflow(records, distance, cap, scopes)
+    own = classed(records, other)
+    met = class_pairs(records, distance, aspect, other, scopes, crowded).drop("n_pairs")
+    a, b = (own.select(F.col("class_id").alias(f"{side}_class"), F.struct(*records.columns).alias(side)) for side in ("_a", "_b"))
+    both = met.join(a.withColumnRenamed("_a_class", "left_class"), "left_class").join(b.withColumnRenamed("_b_class", "right_class"), "right_class")
+    swapped = F.col("_a.record_id") > F.col("_b.record_id")
+    both = both.where(((F.col("left_class") != F.col("right_class")) | (F.col("_a.record_id") < F.col("_b.record_id"))) & scope_allowed(F.col("_a.source_scope"), F.col("_b.source_scope"), scopes))
+    if "sha256" in records.columns:
+        both = both.where("_a.sha256 <> _b.sha256")
+    both = both.select(F.when(swapped, F.col("_b")).otherwise(F.col("_a")).alias("l"), F.when(swapped, F.col("_a")).otherwise(F.col("_b")).alias("r"), "phash_distance", "aspect_difference")
+    pairs = both.select(*[F.col(f"{s}.{c}").alias(f"{side}_{c}") for s, side in (("l", "left"), ("r", "right")) for c in records.columns], "phash_distance", "aspect_difference")
     digest = F.substring(F.sha2(F.encode(F.concat("left_record_id", F.lit("\n"), "right_record_id"), "UTF-8"), 256), 1, 16)
     return pairs.withColumn("candidate_id", F.concat(F.lit("perceptual-"), digest))
 
 
+def similar_links(records: DataFrame, distance: int, aspect: float, other: tuple[str, int] | None = None, scopes: set[tuple[str, str]] = ALL_SCOPES, crowded: int = CROWDED) -> DataFrame:
+    """(record_id, class_id, n_links): each record's class of equal hashes and its similar records in scope, counted by
+    classes, so that no pair of records is made."""
+    wanted = sorted({s for pair in scopes for s in pair})
+    own = classed(records, other)
+    per = [F.count_if(F.col("source_scope") == s).alias(f"n_{s}") for s in wanted]
+    sizes = own.groupBy("class_id").agg(*per)
+    met = class_pairs(records, distance, aspect, other, scopes, crowded).where("left_class <> right_class")
+    ends = met.select(F.col("left_class").alias("class_id"), F.col("right_class").alias("with")).unionByName(met.select(F.col("right_class").alias("class_id"), F.col("left_class").alias("with")))
+    beside = ends.join(sizes.withColumnRenamed("class_id", "with"), "with").groupBy("class_id").agg(*[F.sum(f"n_{s}").alias(f"out_{s}") for s in wanted])
+    rows = own.join(sizes, "class_id").join(beside, "class_id", "left")
+    if "sha256" in records.columns:
+        files = own.groupBy("class_id", "sha256").agg(*[c.alias(f"same_{s}") for s, c in zip(wanted, per, strict=True)])
+        several = files.join(files.groupBy("sha256").count().where("count > 1").select("sha256"), "sha256", "left_semi")
+        beside = several.withColumnsRenamed({"class_id": "with", **{f"same_{s}": f"less_{s}" for s in wanted}})
+        less = several.select("class_id", "sha256").join(ends, "class_id").join(beside, ["with", "sha256"]).groupBy("class_id", "sha256").agg(*[F.sum(f"less_{s}").alias(f"less_{s}") for s in wanted])
+        rows = rows.join(files, ["class_id", "sha256"]).join(less, ["class_id", "sha256"], "left")
+    else:
+        rows = rows.withColumns({f"same_{s}": (F.col("source_scope") == s).cast("bigint") for s in wanted} | {f"less_{s}": F.lit(0) for s in wanted})
+    total = F.lit(0)
+    for s in wanted:
+        inside = F.when(within_aspect(aspect), F.col(f"n_{s}") - F.col(f"same_{s}")).otherwise(0)
+        total = total + F.when(scope_allowed(F.col("source_scope"), F.lit(s), scopes), inside + F.coalesce(f"out_{s}", F.lit(0)) - F.coalesce(f"less_{s}", F.lit(0))).otherwise(0)
+    return rows.select("record_id", "class_id", F.when(F.col("phash").isNull(), 0).otherwise(total).cast("bigint").alias("n_links"))
+
+
+def within_aspect(aspect: float) -> Column:
+    """Whether records of one class are similar at all: their aspect ratio must be a positive number."""
+    return F.coalesce(H.aspect_difference(F.col("aspect_ratio"), F.col("aspect_ratio")) <= aspect, F.lit(False))
+
+
 def candidate_counts(records: DataFrame, distance: int, scopes: set[tuple[str, str]] = ALL_SCOPES) -> DataFrame:
     """Raw pairs of each record; a caller refuses to go on above its cap."""
     pairs = raw_pairs(records, distance, scopes)

@@ -45,6 +45,14 @@ def similar_pairs_cross(spark, sf):
     return S.similar_pairs(hash_records(spark, sf), WIDE, 0.10, scopes=CROSS).select("left_record_id", "right_record_id", "phash_distance")
 
 
+def similar_classes(spark, sf):
+    return S.class_pairs(hash_records(spark, sf), WIDE, 0.10, scopes=CROSS)
+
+
+def similar_links(spark, sf):
+    return S.similar_links(hash_records(spark, sf), WIDE, 0.10)
+
+
 def candidate_counts(spark, sf):
     return S.candidate_counts(hash_records(spark, sf), NEAR)
 
@@ -535,6 +543,12 @@ ORACLES = {
     "similar_pairs": _near(WIDE),
     "similar_pairs_near": _near(NEAR),
     "similar_pairs_cross": _near(WIDE, "AND a.source_scope <> b.source_scope", "left_record_id, right_record_id, phash_distance"),
+    "similar_classes": f"""WITH {HASH_SQL}, c AS (SELECT *, min(record_id) OVER (PARTITION BY phash, aspect_ratio) AS c FROM rec), p AS (SELECT least(a.c, b.c) AS left_class, greatest(a.c, b.c) AS right_class,
+  bit_count(xor(a.phash, b.phash))::INT AS phash_distance, abs(a.aspect_ratio - b.aspect_ratio) / greatest(a.aspect_ratio, b.aspect_ratio) AS aspect_difference FROM c a JOIN c b ON a.record_id < b.record_id AND a.source_scope <> b.source_scope)
+SELECT left_class, right_class, phash_distance, aspect_difference, count(*) AS n_pairs FROM p WHERE phash_distance <= {WIDE} AND aspect_difference <= 0.10 GROUP BY ALL""",
+    "similar_links": f"""WITH {HASH_SQL}, p AS (SELECT a.record_id AS a, b.record_id AS b FROM rec a JOIN rec b ON a.record_id <> b.record_id
+  WHERE bit_count(xor(a.phash, b.phash)) <= {WIDE} AND abs(a.aspect_ratio - b.aspect_ratio) / greatest(a.aspect_ratio, b.aspect_ratio) <= 0.10), n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT record_id, min(record_id) OVER (PARTITION BY phash, aspect_ratio) AS class_id, coalesce(n, 0)::BIGINT AS n_links FROM rec LEFT JOIN n ON a = record_id""",
     "candidate_counts": f"""WITH {HASH_SQL}, p AS (SELECT a.record_id AS a, b.record_id AS b FROM rec a JOIN rec b ON a.record_id < b.record_id WHERE {_bands6})
 SELECT record_id, count(*) AS raw_pairs FROM (SELECT a AS record_id FROM p UNION ALL SELECT b FROM p) GROUP BY record_id""",
     "dedup_summary": f"""WITH {CONTENT_SQL}, {HASH_SQL}, g AS (SELECT count(*) AS n, count(DISTINCT source_scope) AS s FROM file GROUP BY sha256 HAVING count(*) > 1),

@@ -226,3 +226,43 @@ def test_text_functions(spark):
 def test_cosine_softmax(spark):
     row = spark.createDataFrame([([1.0, 0.0],)], "v array<double>").select(T.cosine_softmax(F.col("v"), [[2.0, 0.0], [0.0, 1.0]], 1.0).alias("p")).first()
     assert row["p"] == pytest.approx([2.718281828 / 3.718281828, 1 / 3.718281828])
+
+
+def hash_frame(spark, seed, n=120):
+    """Records of few and of near hashes, in two scopes, with files that repeat."""
+    rng = random.Random(seed)
+    base = [rng.getrandbits(64) - (1 << 63) for _ in range(6)]
+    rows = []
+    for i in range(n):
+        h = rng.choice(base)
+        for _ in range(rng.choice([0, 0, 0, 1, 3, 5, 8])):
+            bit = rng.randrange(64)
+            h ^= (1 << bit) if bit < 63 else -(1 << 63)
+        rows.append((f"r{i:03d}", rng.choice(["internal", "external"]), h, rng.choice([1.0, 1.0, 1.05, 2.0, None]), f"{h}-{rng.randrange(3)}"))
+    return rows, spark.createDataFrame(rows, "record_id string, source_scope string, phash bigint, aspect_ratio double, sha256 string")
+
+
+def similar(a, b, distance, scopes):
+    return a[0] != b[0] and a[3] is not None and b[3] is not None and abs(a[3] - b[3]) / max(a[3], b[3]) <= 0.1 and ((a[2] ^ b[2]) & (1 << 64) - 1).bit_count() <= distance and a[4] != b[4] and {(a[1], b[1]), (b[1], a[1])} & scopes
+
+
+@pytest.mark.parametrize(("distance", "crowded", "scopes"), [(6, 2, S.ALL_SCOPES), (3, 1, {("internal", "external")}), (18, 2, S.ALL_SCOPES), (0, 1, {("external", "external")})])
+def test_crowded_bands_are_refined_to_the_same_pairs(spark, distance, crowded, scopes):
+    rows, records = hash_frame(spark, distance)
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and similar(a, b, distance, scopes)}
+    got = [(r["left_record_id"], r["right_record_id"]) for r in S.similar_pairs(records, distance, 0.1, scopes=scopes, crowded=crowded).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    links = {r["record_id"]: r["n_links"] for r in S.similar_links(records, distance, 0.1, scopes=scopes, crowded=crowded).collect()}
+    assert links == {a[0]: sum(bool(similar(a, b, distance, scopes)) for b in rows) for a in rows}
+    assert sum(r["n_pairs"] for r in S.class_pairs(records, distance, 0.1, scopes=scopes, crowded=crowded).collect()) == len(want)
+
+
+def test_equal_hashes_are_one_class_and_caps_come_before_pairs(spark):
+    many = spark.range(1_000_000).select(F.format_string("r%07d", "id").alias("record_id"), F.lit("external").alias("source_scope"), F.lit(7).cast("bigint").alias("phash"), F.lit(1.0).alias("aspect_ratio"))
+    n = 1_000_000
+    assert [tuple(r) for r in S.class_pairs(many, 6, 0.1).collect()] == [("r0000000", "r0000000", 0, 0.0, n * (n - 1) // 2)]
+    assert S.similar_links(many, 6, 0.1).where(F.col("n_links") == n - 1).count() == n
+    with pytest.raises(C.GateError, match="more than 500"):
+        S.similar_pairs(many, 6, 0.1, cap=500)
+    near = spark.range(20_000).select(F.format_string("r%07d", "id").alias("record_id"), F.lit("internal").alias("source_scope"), F.xxhash64("id").bitwiseAND(F.lit((1 << 54) - 1)).alias("phash"), F.lit(1.0).alias("aspect_ratio"))
+    assert S.hash_pairs(near.select("phash"), 6).count() == 0  # the first band of all is equal, all else at random

@@ -139,11 +139,6 @@ def positional_differences(before: DataFrame, after: DataFrame, position: str, c
     return both.select(position, F.explode(F.array_compact(F.array(*cells))).alias("d")).select(position, "d.column", "d.before", "d.after")
 
 
-def frame_equal(left: DataFrame, right: DataFrame) -> bool:
-    """Same columns in order, and same rows as often."""
-    return left.columns == right.columns and left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
-
-
 def gaps(events: DataFrame, id_col: str) -> DataFrame:
     """Ids that are not the one before plus 1, the first not 1; repeats too. No window over all rows.
 

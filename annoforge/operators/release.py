@@ -32,21 +32,25 @@ def completeness(rows: DataFrame, status: str = "review_status") -> DataFrame:
 
 
 def filled(source: DataFrame, stored: DataFrame, key: str, human: list[str]) -> DataFrame:
-    """source with its human columns taken from the stored reviews; all other columns as they are."""
+    """source with its human columns taken from the stored reviews; all other columns as they are.
+
+    Keys of the reviews must not repeat: export_errors is the gate before it."""
     new = stored.select(key, F.struct(*human).alias("_stored"))
     rows = source.join(new, key, "left")
     return rows.select(*[F.col(f"_stored.{c}").alias(c) if c in human else F.col(c) for c in source.columns])
 
 
 def export_errors(source: DataFrame, stored: DataFrame, key: str, status: str = "review_status") -> DataFrame:
-    """(code, n) of all that forbids an export: blank or repeated keys of the source, keys of one side only, reviews not final."""
+    """(code, n) of all that forbids an export: blank or repeated keys of the source, repeated keys of the reviews, keys of
+    one side only, reviews not final."""
     k = T.stripped(F.col(key))
     blank = source.agg(F.count_if(k == "").alias("n")).select(F.lit("blank_key").alias("code"), "n")
     twice = source.where(k != "").groupBy(key).count().where("count > 1").agg(F.count("*").alias("n")).select(F.lit("duplicate_key").alias("code"), "n")
+    again = stored.groupBy(key).count().where("count > 1").agg(F.count("*").alias("n")).select(F.lit("duplicate_review").alias("code"), "n")
     missing = source.where(k != "").select(key).distinct().join(stored, key, "left_anti").agg(F.count("*").alias("n")).select(F.lit("review_missing").alias("code"), "n")
     unknown = stored.select(key).distinct().join(source, key, "left_anti").agg(F.count("*").alias("n")).select(F.lit("case_unknown").alias("code"), "n")
     open_ = stored.agg(F.count_if(F.coalesce(F.col(status), F.lit("")) != "reviewed").alias("n")).select(F.lit("not_reviewed").alias("code"), "n")
-    return reduce(DataFrame.unionByName, [blank, twice, missing, unknown, open_]).where("n > 0")
+    return reduce(DataFrame.unionByName, [blank, twice, again, missing, unknown, open_]).where("n > 0")
 
 
 def pin_errors(found: DataFrame, pins: DataFrame, key: str = "path", digest: str = "sha256") -> DataFrame:

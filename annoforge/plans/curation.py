@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from annoforge.functions import text as T
 from annoforge.operators import checks as C
+from annoforge.operators import digests as D
 from annoforge.operators import events as E
 from annoforge.operators import findings as A
 from annoforge.operators import review as R
@@ -411,11 +412,29 @@ def row_fingerprint(spark, sf):
     return n.select("n_nationkey", T.row_fingerprint(F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey")).alias("fingerprint"))
 
 
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+def _placed_orders(spark, sf):
+    return R.positions(table(spark, sf, "orders").select(*_ORDER_COLUMNS), "o_orderkey")
+
+
 def frame_fingerprint(spark, sf):
-    """Digest of the rows' payloads in order; for tables that one value may hold."""
-    n = table(spark, sf, "nation").select("n_nationkey", T.row_payload(F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey")).alias("p"))
-    rows = F.array_sort(F.collect_list(F.struct("n_nationkey", "p")))["p"]
-    return n.agg(T.sha256_hex(F.array_join(rows, T.LINE)).alias("fingerprint"))
+    """Digests of ranges of orders, by order key."""
+    return D.range_digests(_placed_orders(spark, sf), "position", _ORDER_COLUMNS)
+
+
+def frame_total(spark, sf):
+    """Digest of orders as a whole, in order and not in order."""
+    o = _placed_orders(spark, sf)
+    return D.frame_digest(o, "position", _ORDER_COLUMNS).select(F.lit("ordered").alias("kind"), "*").unionByName(D.frame_digest(o, None, _ORDER_COLUMNS).select(F.lit("as a set").alias("kind"), "*"))
+
+
+def first_difference(spark, sf):
+    """The first of the orders that another frame has with another status."""
+    o = _placed_orders(spark, sf)
+    other = o.withColumn("o_orderstatus", F.when(F.col("position") % 700 == 0, "?").otherwise(F.col("o_orderstatus")))
+    return D.first_difference(o, other, "position").select("position", F.col("left_row.o_orderkey").alias("o_orderkey"), F.col("left_row.o_orderstatus").alias("before"), F.col("right_row.o_orderstatus").alias("after"))
 
 
 def evidence_phrases(spark, sf):
@@ -475,6 +494,10 @@ q AS (SELECT substr(sha1(concat_ws('|', image_id, source_bucket, original_path))
   concat('source_bucket=', source_bucket, CASE WHEN ok THEN '' ELSE '; unreadable' END) AS priority_reason, 'unknown' AS photo_type_review, 'pending' AS review_status FROM meta)"""
 
 
+_HASHED = """w AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS p, concat_ws(chr(31), o_orderkey, o_custkey, o_orderstatus, o_orderpriority) AS w FROM orders), h AS (SELECT p, w, md5(p || chr(31) || w) AS h FROM w)"""
+_DIGEST = "md5(count(*) || ':' || sum(('0x' || substr(h, 1, 16))::UBIGINT::HUGEINT) || ':' || sum(('0x' || substr(h, 17, 16))::UBIGINT::HUGEINT))"
+
+
 def _near(distance, more="", columns="*"):
     return f"""WITH {HASH_SQL}, p AS (SELECT 'perceptual-' || substr(sha256(a.record_id || chr(10) || b.record_id), 1, 16) AS candidate_id, a.record_id AS left_record_id, b.record_id AS right_record_id,
   a.source_scope AS left_source_scope, b.source_scope AS right_source_scope, bit_count(xor(a.phash, b.phash))::INT AS phash_distance,
@@ -649,7 +672,10 @@ SELECT *, CASE WHEN low_confidence_share > 0.2 THEN 'ADDITIONAL_REVIEW_REQUIRED'
     "expected_counts": """WITH n AS (SELECT r_name AS k, count(*) AS actual FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY 1)
 SELECT coalesce(w.k, n.k) AS k, coalesce(expected, 0)::BIGINT AS expected, coalesce(actual, 0)::BIGINT AS actual FROM (VALUES ('AFRICA', 5), ('ASIA', 4), ('ATLANTIS', 1)) w(k, expected) FULL JOIN n ON n.k = w.k WHERE coalesce(expected, 0) <> coalesce(actual, 0)""",
     "row_fingerprint": "SELECT n_nationkey, upper(sha256(concat_ws(chr(31), n_nationkey, n_name, n_regionkey))) AS fingerprint FROM nation",
-    "frame_fingerprint": "SELECT upper(sha256(string_agg(concat_ws(chr(31), n_nationkey, n_name, n_regionkey), chr(10) ORDER BY n_nationkey))) AS fingerprint FROM nation",
+    "frame_fingerprint": f"""WITH {_HASHED} SELECT (p - 1) // 1024 AS "range", count(*) AS n_rows, {_DIGEST} AS digest FROM h GROUP BY 1""",
+    "frame_total": f"""WITH {_HASHED} SELECT 'ordered' AS kind, count(*) AS n_rows, {_DIGEST} AS digest FROM h
+UNION ALL SELECT 'as a set', count(*), {_DIGEST} FROM (SELECT md5(chr(31) || w) AS h FROM h)""",
+    "first_difference": "SELECT p AS position, o_orderkey, o_orderstatus AS before, '?' AS after FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS p FROM orders) WHERE p % 700 = 0 AND o_orderstatus <> '?' ORDER BY p LIMIT 1",
     "evidence_phrases": "SELECT page_id, p AS missing_phrase FROM pages CROSS JOIN (VALUES ('<HTML'), ('cookie'), ('licence')) v(p) WHERE NOT contains(lower(coalesce(html, '')), lower(p))",
     "path_rules": """SELECT o_orderkey, o_orderkey % 5 = 4 AS safe, CASE o_orderkey % 5 WHEN 0 THEN 'x.png' WHEN 1 THEN 'b.png' WHEN 2 THEN 'b.PNG' WHEN 3 THEN 'y.tar.gz' ELSE 'é.jpeg' END AS base,
   CASE o_orderkey % 5 WHEN 3 THEN '.gz' WHEN 4 THEN '.jpeg' ELSE '.png' END AS suffix, o_orderkey > 0 AND o_orderkey % 25 = 0 AS due FROM orders""",

@@ -422,6 +422,7 @@ SELECT output_path, count(*) AS n FROM a GROUP BY output_path HAVING count(*) >
     "completed_export": """SELECT d.doc_id, lang, CASE WHEN l.doc_id IS NOT NULL THEN CASE WHEN quality = 1 THEN 'reviewed' ELSE 'needs_adjudication' END END AS review_status,
   CASE WHEN l.doc_id IS NOT NULL THEN CASE WHEN toxic = 1 THEN 'bob' ELSE 'ann' END END AS reviewer FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "export_errors": """SELECT * FROM (SELECT 'duplicate_key' AS code, (SELECT count(*) FROM (SELECT doc_id FROM documents GROUP BY doc_id HAVING count(*) > 1)) AS n
+UNION ALL SELECT 'duplicate_review', (SELECT count(*) FROM (SELECT doc_id FROM labels GROUP BY doc_id HAVING count(*) > 1))
 UNION ALL SELECT 'review_missing', (SELECT count(DISTINCT doc_id) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
 UNION ALL SELECT 'case_unknown', (SELECT count(DISTINCT doc_id) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))
 UNION ALL SELECT 'not_reviewed', (SELECT count(*) FROM labels WHERE quality IS DISTINCT FROM 1)) WHERE n > 0""",

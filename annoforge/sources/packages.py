@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoforge.operators import release as L
-from annoforge.operators.checks import GateError, frame_equal
+from annoforge.operators.checks import GateError
+from annoforge.operators.digests import frame_equal, in_file_order, in_order, written_in_order
 from annoforge.operators.store import history_errors
 from annoforge.sources.readers import SourceError, against_ledger, files, ledger, text_table, unsafe_member
-from annoforge.sources.sinks import Store, as_json, write_csv
+from annoforge.sources.sinks import Store, as_json, write_csv, written_and_equal
 
 #: Suffix of the file that holds an archive's digest.
 SIDECAR = ".sha256"
@@ -193,13 +194,15 @@ def replace_file(spark: SparkSession, path: str, raw: bytes, before: bytes | Non
             store.delete(staged)
 
 
-def checked_csv(rows: DataFrame, path: str, columns: list[str], bom: bool = False) -> DataFrame:
-    """CSV of texts that is read back and found equal, or deleted; returns what was read."""
+def checked_csv(rows: DataFrame, path: str, columns: list[str], bom: bool = False, order: list[str] | None = None) -> DataFrame:
+    """CSV of texts that is read back and found equal, or deleted; returns what was read. Rows are written by the order
+    columns (all columns, if none are given), and the order of the rows read back is checked too."""
     spark = rows.sparkSession
     texts = rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
-    write_csv(texts, path, columns, bom)
+    numbered = in_order(texts, order or columns)
+    written_in_order(numbered, "position", lambda df: write_csv(df, path, columns, bom))
     back = text_table(spark, path, columns, exact=True)
-    if not frame_equal(texts, back):
+    if not frame_equal(numbered, in_file_order(back), "position"):
         Store(spark).delete(path)
         raise SourceError("rows changed on their way through CSV")
     return back
@@ -226,9 +229,10 @@ def scaffold(spark: SparkSession, root: str, required: list[str], wanted: list[s
 
 def export_completed(
     spark: SparkSession, source: DataFrame, stored: DataFrame, key: str, human: list[str], target: str, pins: dict[str, str] | None = None, pinned: str = "",
-    history: DataFrame | None = None, check: Callable[[DataFrame], DataFrame] | None = None,
+    history: DataFrame | None = None, check: Callable[[DataFrame], DataFrame] | None = None, order: list[str] | None = None,
 ) -> DataFrame:
-    """Write the completed reviews of a source once, and return them as read back.
+    """Write the completed reviews of a source once, and return them as read back. Rows go by the order columns (the
+    key, if none are given).
 
     Gates: pinned files unchanged, before and after; the path new, in the store and in the history; keys of both
     sides the same; every review final; no fault by `check`; all other columns, and the rows read back, equal."""
@@ -248,8 +252,7 @@ def export_completed(
         refuse(check(out), "completed reviews")
     staged = f"{target}.staging-{uuid.uuid4().hex}"
     try:
-        out.write.parquet(staged)
-        if not frame_equal(out, spark.read.schema(out.schema).parquet(staged)):
+        if not written_and_equal(out, staged, order or [key]):
             raise SourceError("reviews changed on their way to the store")
         if pins:
             verify_pins(spark, pinned, pins)
@@ -264,12 +267,14 @@ def export_completed(
 
 
 def backup(spark: SparkSession, table: str, folder: str, name: str, keep: int) -> DataFrame:
-    """A checked copy of a table as folder/name, of which the newest `keep` by name stay; returns the copy."""
+    """A checked copy of a table, its rows in their order, as folder/name, of which the newest `keep` by name stay;
+    returns the copy."""
     store = Store(spark)
     rows = spark.read.parquet(table)
     staged = f"{folder}/.staging-{uuid.uuid4().hex}"
-    rows.write.parquet(staged)
-    if not frame_equal(rows, spark.read.schema(rows.schema).parquet(staged)):
+    numbered = in_file_order(rows)
+    written_in_order(numbered, "position", lambda df: df.write.parquet(staged))
+    if not frame_equal(numbered, in_file_order(spark.read.schema(rows.schema).parquet(staged)), "position"):
         store.delete(staged)
         raise SourceError("the copy differs from the table")
     store.rename(staged, f"{folder}/{name}")

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annoforge.operators.checks import frame_equal
+from annoforge.operators.digests import frame_equal, in_file_order, in_order, written_in_order
 from annoforge.sources.readers import Registry, SourceError, files
 
 
@@ -91,9 +91,22 @@ def promote(spark: SparkSession, staged: str, target: str, replace: bool = False
         store.rename(staged, target)
 
 
-def commit(spark: SparkSession, target: str, tables: dict[str, DataFrame], texts: dict[str, str] | None = None, check: Callable[[str], None] | None = None, replace: bool = False) -> None:
+def written_and_equal(rows: DataFrame, path: str, order: list[str] | None) -> bool:
+    """Write rows as Parquet, in order if one is given, and tell whether what is read back is the same."""
+    back = rows.sparkSession.read.schema(rows.schema)
+    if order is None:
+        rows.write.parquet(path)
+        return frame_equal(rows, back.parquet(path))
+    numbered = in_order(rows, order)
+    written_in_order(numbered, "position", lambda df: df.write.parquet(path))
+    return frame_equal(numbered, in_file_order(back.parquet(path)), "position")
+
+
+def commit(spark: SparkSession, target: str, tables: dict[str, DataFrame], texts: dict[str, str] | None = None, check: Callable[[str], None] | None = None, replace: bool = False, order: dict[str, list[str]] | None = None) -> None:
     """Write tables and texts to a staging folder, read them back, then rename the folder: all of it or nothing.
 
+    order: by table the columns that its rows are written in the order of; the order is checked as well.
+
     On failure the error goes to a row beside the target and the staging folder is removed."""
     store = Store(spark)
     staged = f"{target}.staging-{uuid.uuid4().hex}"
@@ -101,8 +114,7 @@ def commit(spark: SparkSession, target: str, tables: dict[str, DataFrame], texts
         if store.exists(target) and not replace:
             raise FileExistsError(target)
         for name, rows in tables.items():
-            rows.write.parquet(f"{staged}/{name}")
-            if not frame_equal(rows, spark.read.schema(rows.schema).parquet(f"{staged}/{name}")):
+            if not written_and_equal(rows, f"{staged}/{name}", (order or {}).get(name)):
                 raise SourceError(f"{name} changed on its way to the store")
         for name, text in (texts or {}).items():
             store.write_text(f"{staged}/{name}", text)

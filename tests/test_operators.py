@@ -9,6 +9,7 @@ from annoforge.functions import boxes as B
 from annoforge.functions import hashes as H
 from annoforge.functions import text as T
 from annoforge.operators import checks as C
+from annoforge.operators import digests as D
 from annoforge.operators import findings as A
 from annoforge.operators import matching as M
 from annoforge.operators import review as R
@@ -203,7 +204,7 @@ def test_domains_with_and_without_normalising(spark):
 def test_frames_and_positions_compare(spark):
     a = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
     b = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
-    assert C.frame_equal(a, a.repartition(3)) and not C.frame_equal(a, b)
+    assert D.frame_equal(a, a.repartition(3)) and not D.frame_equal(a, b)
     assert [tuple(r) for r in C.positional_differences(a, b, "k", ["v"]).collect()] == [(2, "v", None, "y")]
 
 

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from annoforge.functions.text import instant, lowered, stripped
 
@@ -148,12 +147,6 @@ def gaps(events: DataFrame, id_col: str) -> DataFrame:
     return ids.join(before, "id", "left").where((F.col("n") > 1) | (F.col("ok").isNull() & (F.col("id") != 1))).select("id", F.col("n").alias("occurrences"))
 
 
-def time_reversals(events: DataFrame, group: str, order: str, at: str) -> DataFrame:
-    """Rows whose time is before that of the row ahead of them."""
-    w = Window.partitionBy(group).orderBy(order)
-    return events.select(group, order, F.col(at).alias("at"), F.lag(at).over(w).alias("before")).where(F.col("at") < F.col("before"))
-
-
 def later_references(events: DataFrame, id_col: str, order: str, refers: str) -> DataFrame:
     """Rows that refer to an id that does not occur earlier."""
     known = events.groupBy(F.col(id_col).alias(refers)).agg(F.min(order).alias("_first"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from annoforge.functions.text import percent
+from annoforge.operators.quantiles import quantiles
 
 
 def distribution(rows: DataFrame, column: str) -> DataFrame:
@@ -103,14 +104,16 @@ def split_summary(images: DataFrame, boxes: DataFrame) -> DataFrame:
 
     images: family, split, included, n_boxes; boxes: split, area_ratio (of included images)."""
     keep = F.col("included")
+    families = images.where(F.col("family").isNotNull()).groupBy("split", "family").agg(F.lit(1).alias("_")).groupBy("split").agg(F.count("*").alias("source_family_count"))
     i = images.groupBy("split").agg(
-        F.count_distinct("family").alias("source_family_count"), F.count("*").alias("source_image_count"), F.count_if(keep).alias("model_included_image_count"),
+        F.count("*").alias("source_image_count"), F.count_if(keep).alias("model_included_image_count"),
         F.count_if(~keep).alias("excluded_variant_count"), F.count_if(keep & (F.col("n_boxes") > 0)).alias("positive_image_count"), F.count_if(keep & (F.col("n_boxes") == 0)).alias("negative_image_count"),
         F.sum(F.when(keep, F.col("n_boxes"))).alias("_boxes"),
     )
-    quantiles = [F.percentile("area_ratio", F.lit(p)).alias(f"bbox_area_ratio_p{int(p * 100):02d}") for p in (0.05, 0.5, 0.95)]
-    b = boxes.groupBy("split").agg(F.count("*").alias("bbox_count"), *quantiles, F.count_if(F.col("area_ratio") < 0.01).alias("small_bbox_count"), F.count_if(F.col("area_ratio") > 0.5).alias("large_bbox_count"))
-    out = i.join(b, "split", "left").na.fill(0)
+    areas = quantiles(boxes, "split", "area_ratio", {f"bbox_area_ratio_p{int(p * 100):02d}": p for p in (0.05, 0.5, 0.95)})
+    b = boxes.groupBy("split").agg(F.count("*").alias("bbox_count"), F.count_if(F.col("area_ratio") < 0.01).alias("small_bbox_count"), F.count_if(F.col("area_ratio") > 0.5).alias("large_bbox_count"))
+    order = ["split", "source_family_count", *[c for c in i.columns if c != "split"], "bbox_count", *[c for c in areas.columns if c != "split"], "small_bbox_count", "large_bbox_count"]
+    out = i.join(families, "split", "left").join(b, "split", "left").join(areas, "split", "left").na.fill(0).select(*order)
 
     def ratio(part: str, whole: str, name: str) -> Column:
         return F.coalesce(F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double")), F.lit(0.0)).alias(name)

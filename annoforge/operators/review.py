@@ -190,22 +190,21 @@ def concatenate(parts: list[DataFrame], key: str) -> tuple[DataFrame, DataFrame]
 RANGE_ROWS, RANGES, PER_BOUND = 500_000, 4096, 40
 
 
-def positions(rows: DataFrame, *order: str, name: str = "position", range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Rows numbered from 1 over the whole table by a total order of columns, without gathering it in one task.
+def ranged(rows: DataFrame, *order: str, range_rows: int = RANGE_ROWS, name: str = "_part") -> DataFrame:
+    """Rows with the number of their range by the order of columns: ranges of about `range_rows` rows, RANGES at most.
 
-    Ranges of the order are numbered in parallel and shifted by the counts of the ranges before. Their bounds are
-    constants, taken from a sample of bounded size, so that a task that runs again finds the same ranges."""
+    Bounds are constants, taken from a sample of bounded size, so that a task that runs again finds the same ranges."""
     n = rows.count()
     side = math.ceil(math.sqrt(min(RANGES, math.ceil(n / range_rows))))
     if side <= 1:
-        return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+        return rows.withColumn(name, F.lit(0))
     key = F.struct(*order)
     sample = sorted(tuple(r) for r in rows.dropna(subset=list(order)).select(*order).sample(min(1.0, PER_BOUND * side * side / n), 7).limit(2 * PER_BOUND * side * side).collect())
     cuts = [sample[len(sample) * i // (side * side)] for i in range(1, side * side)] if sample else []
     kinds = [rows.schema[c].dataType for c in order]
 
     def constant(values: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(values, kinds, order, strict=True)])
+        return F.struct(*[F.lit(v).cast(k).alias(c) for c, v, k in zip(order, values, kinds, strict=True)])
 
     def below(bounds: list[tuple]) -> Column:
         return F.size(F.filter(F.array(*map(constant, bounds)), lambda b: b <= key)) if bounds else F.lit(0)
@@ -215,10 +214,16 @@ def positions(rows: DataFrame, *order: str, name: str = "position", range_rows:
     inner = F.lit(0)
     for i in range(side):
         inner = F.when(F.col("_block") == i, below(cuts[i * side : i * side + side - 1])).otherwise(inner)
-    ranged = rows.withColumn("_block", block).withColumn("_part", F.col("_block") * side + inner).drop("_block")
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_m"))
+    return rows.withColumn("_block", block).withColumn(name, F.col("_block") * side + inner).drop("_block")
+
+
+def positions(rows: DataFrame, *order: str, name: str = "position", range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Rows numbered from 1 over the whole table by a total order of columns, without gathering it in one task: ranges
+    of the order are numbered in parallel and shifted by the counts of the ranges before."""
+    ranges = ranged(rows, *order, range_rows=range_rows)
+    sizes = ranges.groupBy("_part").agg(F.count("*").alias("_m"))
     shift = sizes.select("_part", F.coalesce(F.sum("_m").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    local = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    local = ranges.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     return local.join(F.broadcast(shift), "_part").withColumn(name, (F.col("_n") + F.col("_before")).cast("bigint")).drop("_part", "_n", "_before")
 
 
@@ -271,14 +276,6 @@ def view(rows: DataFrame, name: str) -> DataFrame:
     return rows.where(VIEWS[name])
 
 
-def neighbours(rows: DataFrame, group: str, *order) -> DataFrame:
-    """The index of the case before and after, staying at the ends."""
-    w = Window.partitionBy(group).orderBy(*order)
-    i = F.row_number().over(w)
-    last = F.count("*").over(Window.partitionBy(group))
-    return rows.select("*", i.cast("bigint").alias("case_index"), F.greatest(i - 1, F.lit(1)).cast("bigint").alias("previous_index"), F.least(i + 1, last).cast("bigint").alias("next_index"))
-
-
 def search(rows: DataFrame, query: str, columns: list[str]) -> DataFrame:
     """Rows that hold the text in any of the columns, whatever its case."""
     return rows.where(F.contains(F.lower(F.concat_ws(" ", *columns)), F.lit(query.lower())))

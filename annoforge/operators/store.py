@@ -6,11 +6,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from annoforge.functions import text as T
 from annoforge.operators.checks import error, rule_errors
 from annoforge.operators.review import positions
+from annoforge.operators.scans import Ranges
 
 #: Statuses that a saved review may have.
 SAVED = ("reviewed", "needs_adjudication")
@@ -57,8 +57,8 @@ def save(cases: DataFrame, saves: DataFrame, key: str, fields: list[str], review
         F.col("_last.saved_at").alias("saved_at"),
     )
     counted = positions(good.join(cases.select(key, F.col("revision").alias("_base")), key), "seq", name="successful_save_count")
-    nth = F.row_number().over(Window.partitionBy(key).orderBy("seq"))
-    audit = counted.select("seq", F.lit(SAVE_EVENT).alias("event_type"), key, (F.col("_base") + nth).alias("revision"), "successful_save_count", *fields)
+    counted = Ranges(counted, key, "seq").running(_nth=F.lit(1)).done()
+    audit = counted.select("seq", F.lit(SAVE_EVENT).alias("event_type"), key, (F.col("_base") + F.col("_nth")).alias("revision"), "successful_save_count", *fields)
     return state, audit, refused
 
 

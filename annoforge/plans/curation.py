@@ -157,7 +157,7 @@ def contiguity_gaps(spark, sf):
 
 def time_reversals(spark, sf):
     e = table(spark, sf, "events").withColumn("position", F.expr("event_id + 1 - 2 * (event_id % 2)"))
-    return C.time_reversals(e, "user_id", "position", "ts").select("user_id", "position")
+    return E.time_reversals(e, "user_id", "position", "ts").select("user_id", "position")
 
 
 def later_references(spark, sf):
@@ -236,7 +236,7 @@ def named_views(spark, sf):
 
 
 def adjacent_cases(spark, sf):
-    return R.neighbours(table(spark, sf, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
+    return E.neighbours(table(spark, sf, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
 
 
 def record_search(spark, sf):

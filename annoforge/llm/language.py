@@ -1,11 +1,15 @@
 """Language identification as multilingual mixture inference.
 
-A document is a bag of words, each drawn from one of the learned languages. Letter trigrams give every
-word its likelihood under each language; expectation-maximisation estimates the document's proportions;
-of the sets made of its most likely 1, 2, ... languages, the one of highest penalised likelihood stays.
+A document is a bag of words, each drawn from one of the learned languages. Trigrams of the words' UTF-8 bytes give
+every word its likelihood under each language; expectation-maximisation estimates the document's proportions, until
+the likelihood of a word changes by less than CLOSE on average. The languages in the order of their proportions make
+sets of the first 1, 2, ...; each set's own proportions are estimated the same way, and the set of highest likelihood
+less a penalty by its size stays. A set whose penalty takes more than the likelihood of all languages together has over
+the best set so far needs no estimate.
 
-Learning takes letter-trigram counts from at most about `sample` labelled rows, as many per language,
-chosen by a hash of the id: executors count, the driver sees one table of languages by BUCKETS counts.
+Learning takes trigram counts from at most about `sample` labelled rows, as many per language, chosen by a hash of
+the id: executors count, the driver sees one table of at most `most` languages, the most frequent labels (a dirty
+column of labels does not fill the driver), by BUCKETS counts.
 
 Results: `und` with score 0 for a null text, a text without a letter, and where no language was learned.
 Ids may be null or repeat; each input row gives one output row. Ties go to the language first by name.
@@ -26,7 +30,10 @@ from annoforge.llm.shared import bounded_batches, held_out, named, table, tidy
 BUCKETS = 1 << 15
 #: Documented bound of the sample of labelled rows that the trigram counts come from.
 SAMPLE = 8000
-ROUNDS, REFINE = 10, 4
+#: Documented bound of the languages learned.
+MOST = 256
+#: Estimates end where a word's log likelihood changes by less on average, or after so many rounds.
+CLOSE, ROUNDS = 1e-4, 500
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,40 +58,58 @@ def likelihoods(distinct: pa.Array, model: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def estimate(like: np.ndarray, bounds: np.ndarray, shares: np.ndarray, close: float = CLOSE, most: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions of each text by expectation-maximisation from `shares` on, and the log likelihood of its words.
+
+    like: likelihoods of the words, by rows; bounds: the words of each text. Texts that are done leave the rounds."""
+    shares, value = shares.astype(np.float64).copy(), np.full(len(shares), -np.inf)
+    at = np.flatnonzero(np.diff(bounds) > 0)
+    value[np.diff(bounds) == 0] = 0.0
+    own, sizes = like, np.diff(bounds)[at]
+    if len(at) < len(shares):
+        own = like[np.repeat(np.diff(bounds) > 0, np.diff(bounds))]
+    for step in range(most + 1):
+        if not len(at):
+            break
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        part = own * np.repeat(shares[at].astype(np.float32), sizes, axis=0)
+        seen = np.maximum(part.sum(axis=1), np.float32(1e-30))
+        now = np.add.reduceat(np.log(seen, dtype=np.float64), starts)
+        going = (now - value[at] >= close * sizes) & (step < most)
+        value[at] = now
+        if going.any():
+            after = np.add.reduceat((part / seen[:, None]).astype(np.float64), starts, axis=0) / sizes[:, None]
+            shares[at[going]] = after[going]
+        if not going.all():
+            own = own[np.repeat(going, sizes)]
+            at, sizes = at[going], sizes[going]
+    return shares, value
+
+
 def mixtures(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarray:
     """Proportions of the languages in each text, by rows; scores: log likelihoods of its words."""
     n_docs, n_langs = len(bounds) - 1, scores.shape[1]
     sizes = np.diff(bounds)
-    doc = np.repeat(np.arange(n_docs), sizes)
     like = np.exp(np.maximum(scores - scores.max(axis=1, keepdims=True), -60)).astype(np.float32)
-    some = np.maximum(sizes, 1)[:, None]
-
-    def add(values: np.ndarray) -> np.ndarray:
-        total = np.zeros((len(values) + 1, values.shape[1]))
-        np.cumsum(values, axis=0, dtype=np.float64, out=total[1:])
-        return total[bounds[1:]] - total[bounds[:-1]]
-
-    def rounds(shares: np.ndarray, n: int) -> np.ndarray:
-        for _ in range(n):
-            part = like * shares.astype(np.float32)[doc]
-            part /= np.maximum(part.sum(axis=1, keepdims=True), 1e-30)
-            shares = add(part) / some
-        return shares
-
-    full = rounds(np.full((n_docs, n_langs), 1 / n_langs), ROUNDS)
+    full, top = estimate(like, bounds, np.full((n_docs, n_langs), 1 / n_langs))
     order = np.argsort(-full, axis=1, kind="stable")
     rank = np.argsort(order, axis=1)
-    best = np.full(n_docs, -np.inf)
-    chosen = np.ones(n_docs, np.int64)
+    cost = penalty * np.log(np.maximum(sizes, 1) + 1)
+    best, out = np.full(n_docs, -np.inf), np.zeros((n_docs, n_langs))
+    slack = 2 * CLOSE * np.maximum(sizes, 1)  # what the estimate of all languages may lie below its end
     for k in range(1, n_langs + 1):
-        shares = np.where(rank < k, np.maximum(full, 1e-9), 0)
-        shares /= shares.sum(axis=1, keepdims=True)
-        seen = (like * shares.astype(np.float32)[doc]).sum(axis=1, keepdims=True)
-        value = add(np.log(np.maximum(seen, 1e-30)))[:, 0] - penalty * k * np.log(some[:, 0] + 1)
-        better = value > best
-        best[better], chosen[better] = value[better], k
-    shares = np.where(rank < chosen[:, None], np.maximum(full, 1e-9), 0)
-    return rounds(shares / shares.sum(axis=1, keepdims=True), REFINE)
+        asked = (sizes > 0) & (top + slack - k * cost > best)
+        if not asked.any():
+            break
+        begun = np.where(rank[asked] < k, np.maximum(full[asked], 1e-3), 0)
+        begun /= begun.sum(axis=1, keepdims=True)
+        within = np.concatenate([[0], np.cumsum(sizes[asked])])
+        shares, value = estimate(like[np.repeat(asked, sizes)], within, begun)
+        value = value - k * cost[asked]
+        better = value > best[asked]
+        at = np.flatnonzero(asked)[better]
+        best[at], out[at] = value[better], shares[better]
+    return out
 
 
 def _words(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -110,11 +135,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(counts[at].astype(np.int64))], ["lang", "bucket", "n"])
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
-    """Languages by name, and the log probability of each trigram bucket under each."""
+def learn(labelled: DataFrame, sample: int = SAMPLE, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
+    """Languages by name, and the log probability of each trigram bucket under each; of more than `most` labels, the
+    most frequent, then the first by name."""
     bounded_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(most).collect()}
     if not sizes:
         return [], np.zeros((BUCKETS, 0))
     each = max(1, sample // len(sizes))

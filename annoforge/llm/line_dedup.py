@@ -3,7 +3,7 @@
 A line takes part if it has at least `min_chars` code points and holds a word (or is long). An occurrence goes
 if an equal or similar line occurs earlier, in the order of document id, hash of the text and line number.
 Similar: the edit distance is at most what the shorter line's length allows, one for each CHARS_PER_EDIT code
-points up to MOST_EDITS, or `max_edits` where given. The first occurrence of each text stands for the text.
+points up to MOST_EDITS, or what `max_edits` says: a number for all lengths, or growing() with another end. The first occurrence of each text stands for the text.
 Lines that allow no edit take part by their hash alone. Texts of lines are told apart by 128-bit hashes.
 
 The join: lines of one class of lengths (CHARS_PER_EDIT wide) that allow k edits have k + 1 segments, so that a
@@ -58,10 +58,19 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def allowed(max_edits: int | None = None) -> Callable[[int], int]:
+def growing(most: int = MOST_EDITS) -> Callable[[int], int]:
+    """One edit for each CHARS_PER_EDIT code points, up to `most`: what fits in the words of bits is 30."""
+    if not 0 <= most <= 30:
+        raise ValueError("most edits must be from 0 to 30")
+    return lambda n: min(most, n // CHARS_PER_EDIT)
+
+
+def allowed(max_edits: int | Callable[[int], int] | None = None) -> Callable[[int], int]:
     """The edits that a length allows; a text has more characters than edits, so that no segment is empty."""
     if max_edits is None:
-        return lambda n: min(MOST_EDITS, n // CHARS_PER_EDIT)
+        return growing()
+    if callable(max_edits):
+        return max_edits
     return lambda n: max_edits if n > max_edits else 0
 
 
@@ -211,7 +220,7 @@ def bands(xs: list[np.ndarray], ys: list[np.ndarray], k: int) -> np.ndarray:
 class Lines:
     """The lines of an Arrow column of texts that take part, a slice of bytes at a time."""
 
-    def __init__(self, max_edits: int | None, min_chars: int):
+    def __init__(self, max_edits: int | Callable[[int], int] | None, min_chars: int):
         self.edits, self.min_chars = allowed(max_edits), min_chars
         self.tables: dict[int, np.ndarray] = {}
         self.powers = np.zeros((2, 0), np.uint64)
@@ -322,7 +331,7 @@ def hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(at[0].tolist(), at[1].tolist(), strict=True)]), np.int64).reshape(-1, 2)
 
 
-def occurrences(docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+def occurrences(docs: DataFrame, max_edits: int | Callable[[int], int] | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """(h, g, id, t, line, n, k, sig, s1, s2) of every line that takes part: its hash, place, length, edits, counts of kinds."""
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -350,7 +359,7 @@ def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(named(id_col).alias("id"), named(text_col).alias("text"), F.xxhash64(named(text_col)).alias("t"))
 
 
-def shared_keys(docs: DataFrame, max_edits: int | None, min_chars: int, lines: int, id_col: str, text_col: str) -> DataFrame:
+def shared_keys(docs: DataFrame, max_edits: int | Callable[[int], int] | None, min_chars: int, lines: int, id_col: str, text_col: str) -> DataFrame:
     """(key, h, own) of substrings that several lines have, one of them as its own segment."""
     bits = max(4, int(np.ceil(np.log2(max(1, lines * 20 * 16 / RANGE_BYTES)))))
     shift = np.uint64(64 - bits)
@@ -463,7 +472,7 @@ def texts_of(lines: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str,
     return cut(found.groupBy("h", "g").agg(F.first("text").alias("text")).select(F.struct("h", "g").alias("x"), "text"), "line-texts")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, max_edits: int | None) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, max_edits: int | Callable[[int], int] | None) -> DataFrame:
     """(x) of those pairs of lines (x, y: structs h, g) whose texts are within the edits they allow."""
     # a text that many others are held against is one row of the smaller side
     heads = cut(pairs.select("y").distinct().join(texts.select(F.col("x").alias("y"), F.col("text").alias("b")), "y"), "line-heads")
@@ -539,7 +548,7 @@ def blocks_found(rows: pa.Table, block: np.ndarray, edits: Callable[[int], int])
     return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int | Callable[[int], int] | None, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """(h, g) of lines with a similar line that first occurs earlier."""
     lines = firsts.where("k > 0").count()
     keys = cut(shared_keys(docs, max_edits, min_chars, lines, id_col, text_col), "line-keys")
@@ -583,7 +592,7 @@ def similar_earlier(firsts: DataFrame, docs: DataFrame, max_edits: int | None, m
     return cut(found.select("x.h", "x.g").unionByName(more).distinct(), "line-late")
 
 
-def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removals(docs: DataFrame, max_edits: int | Callable[[int], int] | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, t, lines): numbers of the lines that go from each document that loses any; t: xxhash64 of its text."""
     bounded_batches(docs.sparkSession)
     with scope() as held:
@@ -597,7 +606,7 @@ def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN
         return held.keep(cut(copies.unionByName(similar).groupBy("id", "t").agg(F.sort_array(F.collect_set("line")).alias("lines")), "line-removals"))
 
 
-def dedup_lines(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = True, count: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int | Callable[[int], int] | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = True, count: str | None = None) -> DataFrame:
     """docs with all their columns, texts without the lines that go; `count` names a column for how many went."""
     gone = removals(docs, max_edits, min_chars, id_col, text_col)
     key, text_hash, numbers, every = fresh(docs.columns, "line_id", "line_text", "line_numbers", "line_all")

@@ -19,6 +19,7 @@ before it where docs has such a column already.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,16 +30,20 @@ from annoforge.llm.shared import cut, fresh, named, scope, small, table
 DIGITS = 4
 #: Production targets: share of the largest possible entropy, and passes over a source at most.
 ENTROPY, MAX_EPOCHS, SEED = 0.97, 1.5, "mix"
-#: Sources whose totals the bisection takes; more are refused before any are collected.
-MAX_SOURCES = 100_000
 
 
 def weights(totals: dict[str, int], alpha: float) -> dict[str, float]:
     """Normalised powers of the shares of tokens."""
-    whole = sum(totals.values())
-    powers = {s: (n / whole) ** alpha if n else 0.0 for s, n in totals.items()}
-    norm = sum(powers.values())
-    return {s: p / norm for s, p in powers.items()}
+    by_total = powers(Counter(totals.values()), alpha)
+    return {s: by_total[n] for s, n in totals.items()}
+
+
+def powers(sources: Counter[int], alpha: float) -> dict[int, float]:
+    """weights() by total of tokens; sources: how many sources have each total."""
+    whole = sum(n * k for n, k in sources.items())
+    raised = {n: (n / whole) ** alpha if n else 0.0 for n in sorted(sources)}
+    norm = sum(p * sources[n] for n, p in raised.items())
+    return {n: p / norm for n, p in raised.items()}
 
 
 def bisect(good, lo: float, hi: float, steps: int = 60) -> float:
@@ -54,15 +59,20 @@ def bisect(good, lo: float, hi: float, steps: int = 60) -> float:
 
 def exponent(totals: dict[str, int], budget: int, entropy: float = ENTROPY, max_epochs: float = MAX_EPOCHS) -> float:
     """The exponent for these totals of tokens; 1 keeps the shares, 0 makes all weights equal."""
-    some = {s: n for s, n in sorted(totals.items()) if n}
+    return exponent_of(Counter(totals.values()), budget, entropy, max_epochs)
+
+
+def exponent_of(sources: Counter[int], budget: int, entropy: float, max_epochs: float) -> float:
+    """exponent() from how many sources have each total."""
+    some = Counter({n: k for n, k in sources.items() if n})
 
     def spread(alpha: float) -> float:
-        return -sum(w * math.log(w) for w in weights(some, alpha).values() if w > 0)
+        return -sum(some[n] * w * math.log(w) for n, w in powers(some, alpha).items() if w > 0)
 
     def fits(alpha: float) -> bool:
-        return all(budget * w <= max_epochs * some[s] for s, w in weights(some, alpha).items())
+        return all(budget * w <= max_epochs * n for n, w in powers(some, alpha).items())
 
-    target = entropy * math.log(max(len(some), 1))
+    target = entropy * math.log(max(sum(some.values()), 1))
     alpha = 1.0
     if spread(1.0) < target:
         alpha = -bisect(lambda a: spread(-a) >= target, -1.0, 0.0)
@@ -73,16 +83,18 @@ def exponent(totals: dict[str, int], budget: int, entropy: float = ENTROPY, max_
 
 def plan(totals: dict[str, int], budget: int | None = None, entropy: float = ENTROPY, max_epochs: float = MAX_EPOCHS) -> dict[str, tuple[int, int]]:
     """Per source its whole passes and the tokens of the pass beyond; budget: tokens in all, else as many as there are."""
-    whole = sum(totals.values())
+    by_total = plan_of(Counter(totals.values()), budget, entropy, max_epochs)
+    return {s: by_total[n] for s, n in totals.items()}
+
+
+def plan_of(sources: Counter[int], budget: int | None = None, entropy: float = ENTROPY, max_epochs: float = MAX_EPOCHS) -> dict[int, tuple[int, int]]:
+    """plan() by total: sources with as many tokens get as many passes."""
+    whole = sum(n * k for n, k in sources.items())
     budget = whole if budget is None else budget
     if not whole:
-        return dict.fromkeys(totals, (1, 0))
-    shares = weights(totals, exponent(totals, budget, entropy, max_epochs))
-    out = {}
-    for s, n in totals.items():
-        target = math.floor(budget * shares[s] + 0.5)
-        out[s] = divmod(target, n) if n else (1, 0)
-    return out
+        return dict.fromkeys(sources, (1, 0))
+    shares = powers(sources, exponent_of(sources, budget, entropy, max_epochs))
+    return {n: divmod(math.floor(budget * shares[n] + 0.5), n) if n else (1, 0) for n in sources}
 
 
 def place(id_col: str, passes: Column, seed: str) -> Column:
@@ -98,12 +110,15 @@ def word_count(text_col: str) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(named(text_col), F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
-def cuts(sizes: DataFrame, passes: dict[str, tuple[int, int]], seed: str) -> DataFrame:
-    """Per source key: whole passes, and the last place taken in the pass beyond (null: none)."""
+def cuts(sizes: DataFrame, sums: DataFrame, passes: dict[int, tuple[int, int]], seed: str) -> DataFrame:
+    """Per source key: whole passes, and the last place taken in the pass beyond (null: none). sums: tokens of each
+    source; passes: what a source of so many tokens gets."""
     spark = sizes.sparkSession
     # where no token is left there is no pass beyond, whatever the documents' places
-    targets = spark.createDataFrame([(s, e, r or -1) for s, (e, r) in sorted(passes.items())], "_source string, _passes bigint, _rest bigint")
-    rows = sizes.join(F.broadcast(targets), "_source").select("_source", "_rest", "n_tokens", place("_id", F.col("_passes"), seed).alias("_place"))
+    by_total = spark.createDataFrame([(n, e, r or -1) for n, (e, r) in sorted(passes.items())], "n bigint, _passes bigint, _rest bigint")
+    targets = cut(sums.join(small(by_total, F.lit(24)), "n").drop("n"), "mix-targets")
+    key_bytes = F.lit(24) + F.octet_length("_source")
+    rows = sizes.join(small(targets, key_bytes), "_source").select("_source", "_rest", "n_tokens", place("_id", F.col("_passes"), seed).alias("_place"))
     blocks = rows.groupBy("_source", "_rest", F.substring("_place", 1, DIGITS).alias("_block")).agg(F.sum("n_tokens").alias("_n"))
     run = blocks.withColumn("_to", F.sum("_n").over(Window.partitionBy("_source").orderBy("_block")))
     # blocks that fit whole, and the first that does not
@@ -111,7 +126,7 @@ def cuts(sizes: DataFrame, passes: dict[str, tuple[int, int]], seed: str) -> Dat
     open_ = run.where("_to > _rest").groupBy("_source").agg(F.min("_block").alias("_block"))
     edge = targets.join(whole, "_source", "left").join(open_, "_source", "left").select("_source", "_passes", "_whole", "_block", F.coalesce("_spent", F.lit(0)).alias("_spent"))
     edge = cut(edge, "mix-edge")
-    inside = rows.join(F.broadcast(edge.select("_source", F.col("_block").alias("_edge"), "_spent")), "_source").where(F.substring("_place", 1, DIGITS) == F.col("_edge"))
+    inside = rows.join(small(edge.select("_source", F.col("_block").alias("_edge"), "_spent"), key_bytes), "_source").where(F.substring("_place", 1, DIGITS) == F.col("_edge"))
     upto = F.col("_spent") + F.sum("n_tokens").over(Window.partitionBy("_source").orderBy("_place"))
     last = inside.withColumn("_upto", upto).where("_upto <= _rest").groupBy("_source").agg(F.max("_place").alias("_last"))
     ended = F.coalesce(F.col("_last"), F.concat("_whole", F.lit("~")))  # ~ sorts after every hex digit
@@ -124,10 +139,9 @@ def mix(docs: DataFrame, budget: int | None = None, entropy: float = ENTROPY, ma
     with scope() as held:
         sizes = cut(docs.select(named(id_col).alias("_id"), source_key(source_col).alias("_source"), word_count(text_col).alias("n_tokens")), "mix-sizes")
         sums = cut(sizes.groupBy("_source").agg(F.sum("n_tokens").alias("n")), "mix-sums")
-        if sums.count() > MAX_SOURCES:
-            raise ValueError(f"more than {MAX_SOURCES} sources")
-        totals = {r[0]: int(r[1]) for r in sums.collect()}
-        ends = held.keep(cuts(sizes, plan(totals, budget, entropy, max_epochs), seed))
+        # sources of one total are alike: the driver holds different totals, whose number grows with the root of the tokens
+        sources = Counter({int(n): k for n, k in sums.groupBy("n").count().collect()})
+        ends = held.keep(cuts(sizes, sums, plan_of(sources, budget, entropy, max_epochs), seed))
     ends = ends.select(F.col("_source").alias(source), F.col("_passes").alias(passes), F.col("_last").alias(last))
     rows = docs.withColumn(source, source_key(source_col)).join(small(ends, F.lit(64) + F.octet_length(source)), source)
     more = F.when(F.col(last).isNotNull() & (place(id_col, F.col(passes), seed) <= F.col(last)), 1).otherwise(0)

@@ -11,8 +11,8 @@ change: the result is that of the sequential passes, without a loop over positio
 
 A document's score comes from its marginals (expected toxic tokens, the largest marginal, its length) by a
 logistic model fitted on the same rows. Learning uses a bounded sample: at most `sample` labelled rows (half
-toxic, half not, as far as there are) chosen by a hash of the id, and of a text beyond WINDOW characters one
-window of that many, at a place drawn by the text's hash. Scores read whole texts.
+toxic, half not, as far as there are) chosen by a hash of the id, and of a text beyond `window` characters one
+window of that many, at a place drawn by the text's hash (None: whole texts). Scores read whole texts.
 
 Results: null and empty texts have no token and get the score of no toxic token, 0 spans. Without any
 toxic or any clean labelled row every score is the toxic share (0 without labels). Ids may be of any type,
@@ -206,7 +206,7 @@ def fit_field(texts: list[str | None], toxic: np.ndarray, share: float) -> Field
     return field
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Field:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, window: int | None = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """Fit to documents joined with (id, toxic); rows without a label or with a null one are left out.
 
     A document with several labels is toxic if one of them says so."""
@@ -219,9 +219,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
         part = known.where((F.col("toxic") > 0) == bool(value)).orderBy(F.xxhash64("id", F.lit(3)), "id").limit(sample // 2).select("id", F.lit(value).alias("toxic"))
         picked = part if picked is None else picked.unionByName(part)
     texts = docs.select(named(id_col).cast("string").alias("id"), named(text_col).alias("text")).where(F.col("text").isNotNull())
-    hash_, beyond = F.xxhash64("text"), F.char_length("text") - WINDOW
-    window = F.when(beyond > 0, F.substring(F.col("text"), (F.pmod(hash_, beyond) + 1).cast("int"), F.lit(WINDOW))).otherwise(F.col("text"))
-    rows = texts.join(F.broadcast(picked), "id").groupBy("id", "toxic").agg(F.min(F.struct(hash_.alias("h"), window.alias("text"))).alias("t")).select("t.text", "toxic")
+    hash_, read = F.xxhash64("text"), F.col("text")
+    if window is not None:
+        beyond = F.char_length("text") - window
+        read = F.when(beyond > 0, F.substring(read, (F.pmod(hash_, beyond) + 1).cast("int"), F.lit(window))).otherwise(read)
+    rows = texts.join(F.broadcast(picked), "id").groupBy("id", "toxic").agg(F.min(F.struct(hash_.alias("h"), read.alias("text"))).alias("t")).select("t.text", "toxic")
     share = counts.get(1, 0) / n if n else 0.0
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,11 +291,11 @@ def op3_toxicity(spark, sf_dir: str, sample: int = SAMPLE, threshold: float = 0.
     )
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE, window: int | None = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, whose text scores below the threshold."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    sent = spark.sparkContext.broadcast(learn(docs, labels, sample, id_col, text_col))
+    sent = spark.sparkContext.broadcast(learn(docs, labels, sample, window, id_col, text_col))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

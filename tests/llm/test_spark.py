@@ -108,6 +108,37 @@ def test_sources_without_a_token_get_one_pass(spark):
     assert Counter(r["doc_id"] for r in mixing.mix(docs).collect()) == {1: 1, 2: 1, 3: 1, 4: 1}
 
 
+def test_the_window_of_learning_can_be_lifted(spark):
+    rng = random.Random(30)
+    rows = [(i, " ".join(rng.choices(["calm", "river", "stone", "hill"], k=3000) + (["vile", "rotten", "filth"] if i % 2 else ["green", "field", "early"])), i % 2) for i in range(60)]
+    docs, labels = frame(spark, [r[:2] for r in rows]), frame(spark, [(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    ends = [(1, "stone vile rotten"), (2, "stone green field")]
+    whole = {r["doc_id"]: r["score"] for r in toxicity.tag(frame(spark, ends), toxicity.learn(docs, labels, window=None)).collect()}
+    cut = {r["doc_id"]: r["score"] for r in toxicity.tag(frame(spark, ends), toxicity.learn(docs, labels, window=200)).collect()}
+    assert whole[1] - whole[2] > 0.3 > abs(cut[1] - cut[2])
+
+
+def test_the_end_of_growing_edits_can_be_lifted(spark):
+    rng = random.Random(31)
+    base = ["".join(rng.choices("abcdefghij klmnop", k=n)) for n in (300, 420, 500, 700)]
+    docs = [(i, line) for i, line in enumerate(base)]
+    for i, (line, edits) in enumerate([(base[0], 12), (base[1], 8), (base[1], 19), (base[2], 20), (base[2], 24), (base[3], 25), (base[3], 5)], 10):
+        chars = list(line)
+        for at in rng.sample(range(0, len(chars), 7), edits):
+            chars[at] = "X"
+        docs.append((i, "".join(chars)))
+    for most in (6, 20):
+        edits = line_dedup.growing(most)
+        got = {r["doc_id"] for r in line_dedup.dedup_lines(frame(spark, docs), max_edits=edits).collect()}
+        kept = []
+        for d, t in docs:
+            if not any(sum(a != b for a, b in zip(t, u)) <= edits(len(t)) for _, u in docs[: docs.index((d, t))] if len(u) == len(t)):
+                kept.append(d)
+        assert got == set(kept)
+    with pytest.raises(ValueError, match="30"):
+        line_dedup.growing(31)
+
+
 def test_neighbouring_toxic_tokens_are_one_span(spark):
     rng = random.Random(22)
     calm = ["calm", "river", "stone", "green", "field", "early"]
@@ -514,6 +545,17 @@ def test_mixture_equals_windows_over_whole_sources(spark):
     assert Counter(r["doc_id"] for r in mixing.mix(docs).collect()) == +want
 
 
+def test_many_sources_are_mixed_by_their_totals(spark, monkeypatch):
+    """More sources than any table that is broadcast here; sources of one total get the same passes."""
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), (F.col("id") % 20_000).cast("string")).alias("source"), F.repeat(F.lit("w "), (F.col("id") % 5).cast("int")).alias("text"))
+    totals = Counter({f"={r[0]}": r[1] for r in docs.groupBy("source").agg(F.sum(F.size(F.array_remove(F.split("text", " "), "")))).collect()})
+    plan = mixing.plan(dict(totals))
+    monkeypatch.setattr(shared, "BROADCAST_BYTES", 1 << 10)
+    got = Counter({f"={r[0]}": r[1] for r in mixing.mix(docs).groupBy("source").agg(F.sum(F.size(F.array_remove(F.split("text", " "), "")))).collect()})
+    for s, (passes, rest) in plan.items():
+        assert passes * totals[s] <= got[s] <= passes * totals[s] + max(rest, 0)
+
+
 def test_exponent_meets_the_entropy_and_the_limit():
     totals = {"a": 900, "b": 50, "c": 50}
     alpha = mixing.exponent(totals, 1000, entropy=0.9, max_epochs=100)

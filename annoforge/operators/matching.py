@@ -3,7 +3,7 @@
 Predictions: image_id, prediction_id, class_id, confidence, box. Ground truth: image_id, gt_id, class_id,
 box. Boxes are structs of corners.
 
-Both sides meet in one shuffle by image. Predictions go by falling confidence, and a box once taken stays
+Both sides meet in one shuffle by image, and in an image by a grid (see overlap). Predictions go by falling confidence, and a box once taken stays
 taken, so that the outcome of a prediction does not depend on those after it: one fold at the least threshold
 gives the outcomes at all thresholds, which come in afterwards, and a sweep is sums over those outcomes. A
 prediction whose confidence is null or not a number is active at no threshold.
@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from annoforge.functions.boxes import iou
+from annoforge.operators import overlap
 
 MATCH_IOU, LOCAL_IOU = 0.5, 0.1
 #: What an operating point and a priority are taken from.
@@ -36,37 +38,16 @@ def folded(predictions: DataFrame, truth: DataFrame, least: float, match_iou: fl
     ps: predictions with `best` (overlap n, box g) and, if active at `least`, `got` (n, g) of the box they take.
     gs: boxes with `raw` (n, c, p: best prediction of any confidence) and `hit` (n, c, p: that which takes it)."""
 
-    def meets(p: Column) -> Column:
-        same = F.filter("gs", lambda g: g["class_id"] == p["class_id"])
-        return F.transform(same, lambda g: F.struct((-iou(p["box"], g["box"])).alias("n"), g["gt_id"].alias("g")))
+    rows = gathered(predictions, truth)
+    key, pid, kind, gid = (f.dataType.simpleString() for f in (rows.schema["image_id"], predictions.schema["prediction_id"], predictions.schema["class_id"], truth.schema["gt_id"]))
+    near, hit = f"struct<n:double,g:{gid}>", f"struct<n:double,c:double,p:{pid}>"
+    schema = f"image_id {key}, ps array<struct<prediction_id:{pid},class_id:{kind},confidence:double,best:{near},got:{near}>>, gs array<struct<gt_id:{gid},class_id:{kind},raw:{hit},hit:{hit}>>"
 
-    def ranked(p: Column, all_: Column) -> Column:
-        hits = F.array_sort(F.filter(all_, lambda x: x["n"] <= -match_iou))
-        return F.struct((-p["confidence"]).alias("c"), p["prediction_id"].alias("p"), p["class_id"].alias("k"), F.array_min(all_).alias("best"), hits.alias("h"))
+    def run(r: dict) -> dict:
+        ps, gs = overlap.matched(r["ps"], r["gs"], least, match_iou)
+        return {"image_id": r["image_id"], "ps": ps, "gs": gs}
 
-    met = gathered(predictions, truth).withColumn("met", F.transform("ps", meets))
-    queue = F.array_sort(F.zip_with("ps", "met", ranked))
-    rows = met.select("image_id", "ps", "gs", queue.alias("queue"))
-    nothing = F.lit(None).cast("struct<n:double,g:string>")
-
-    def take(got: Column, one: Column) -> Column:
-        free = F.get(F.filter(one["h"], lambda h: ~F.exists(got, lambda w: w["g"].eqNullSafe(h["g"]))), F.lit(0))
-        return F.array_append(got, F.when((one["c"] <= -least) & ~F.isnan(one["c"]), free).otherwise(nothing))
-
-    rows = rows.withColumn("got", F.aggregate("queue", F.array().cast("array<struct<n:double,g:string>>"), take))
-
-    def outcome(one: Column, got: Column) -> Column:
-        return F.struct(one["p"].alias("prediction_id"), one["k"].alias("class_id"), (-one["c"]).alias("confidence"), one["best"].alias("best"), got.alias("got"))
-
-    def box(g: Column) -> Column:
-        same = F.filter("ps", lambda p: p["class_id"] == g["class_id"])
-        raw = F.array_min(F.transform(same, lambda p: F.struct((-iou(p["box"], g["box"])).alias("n"), (-p["confidence"]).alias("c"), p["prediction_id"].alias("p"))))
-        own = F.get(F.filter("done", lambda o: o["got"]["g"] == g["gt_id"]), F.lit(0))
-        hit = F.when(own.isNotNull(), F.struct(own["got"]["n"].alias("n"), own["confidence"].alias("c"), own["prediction_id"].alias("p")))
-        return F.struct(g["gt_id"].alias("gt_id"), g["class_id"].alias("class_id"), raw.alias("raw"), hit.alias("hit"))
-
-    done = rows.select("image_id", "ps", "gs", F.zip_with("queue", "got", outcome).alias("done"))
-    return done.select("image_id", "done", F.transform("gs", box).alias("boxes")).toDF("image_id", "ps", "gs")
+    return overlap.each_image(rows, schema, run, to_arrow_schema(StructType.fromDDL(schema)))
 
 
 def levels(df: DataFrame, thresholds: list[float]) -> DataFrame:
@@ -258,15 +239,21 @@ def priorities(rows: DataFrame) -> DataFrame:
     )
 
 
-def largest(ps: Column | str) -> Column:
-    """Largest overlap of any of these predictions with any box of `gs`, whatever their classes; 0 where one side is empty."""
-    each = F.transform(ps, lambda p: F.array_max(F.transform("gs", lambda g: iou(p["box"], g["box"]))))
-    return F.coalesce(F.array_max(each), F.lit(0.0))
+def largest(rows: DataFrame, least: float | None = None) -> DataFrame:
+    """(image_id, max_iou) of gathered rows: the largest overlap of any prediction, of the least confidence on if one is
+    given, with any box, whatever their classes; 0 where one side is empty."""
+    schema = f"image_id {rows.schema['image_id'].dataType.simpleString()}, max_iou double"
+
+    def run(r: dict) -> dict:
+        ps = [p for p in r["ps"] if least is None or (p["confidence"] is not None and (p["confidence"] >= least or p["confidence"] != p["confidence"]))]
+        return {"image_id": r["image_id"], "max_iou": overlap.largest(ps, r["gs"])}
+
+    return overlap.each_image(rows, schema, run, to_arrow_schema(StructType.fromDDL(schema)))
 
 
 def max_overlap(predictions: DataFrame, truth: DataFrame) -> DataFrame:
     """Largest overlap of any prediction and box in each image; 0 where one side is empty."""
-    return gathered(predictions, truth).select("image_id", largest("ps").alias("max_iou"))
+    return largest(gathered(predictions, truth))
 
 
 def case_assembly(worklist: DataFrame, predictions: DataFrame, truth: DataFrame, threshold: float) -> DataFrame:
@@ -274,13 +261,13 @@ def case_assembly(worklist: DataFrame, predictions: DataFrame, truth: DataFrame,
     from annoforge.functions.text import fixed, row_payload, sha256_hex
 
     active = F.filter("ps", lambda p: p["confidence"] >= threshold)
-    facts = gathered(predictions, truth).select(
+    every = gathered(predictions, truth)
+    facts = every.select(
         "image_id",
         F.size("gs").cast("bigint").alias("gt_count"),
         F.size(active).cast("bigint").alias("prediction_count"),
         F.array_max(F.transform("ps", lambda p: p["confidence"])).alias("max_confidence"),
-        largest(active).alias("max_iou"),
-    )
+    ).join(largest(every, threshold), "image_id")
     rows = worklist.select("image_id").distinct().join(facts, "image_id", "left")
     rows = rows.na.fill(0, ["gt_count", "prediction_count"]).na.fill(0.0, ["max_confidence", "max_iou"])
     shown = [F.col("image_id"), F.col("gt_count"), F.col("prediction_count"), fixed(F.col("max_confidence")), fixed(F.col("max_iou")), F.lit("pending")]

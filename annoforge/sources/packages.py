@@ -18,8 +18,9 @@ from annoforge.operators import release as L
 from annoforge.operators.checks import GateError
 from annoforge.operators.digests import frame_equal, in_file_order, in_order, written_in_order
 from annoforge.operators.store import history_errors
-from annoforge.sources.readers import SourceError, against_ledger, files, ledger, text_table, unsafe_member
+from annoforge.sources.readers import SourceError, against_ledger, files, ledger, text_table
 from annoforge.sources.sinks import Store, as_json, write_csv, written_and_equal
+from annoforge.sources.zips import unsafe_member
 
 #: Suffix of the file that holds an archive's digest.
 SIDECAR = ".sha256"

@@ -8,11 +8,8 @@ import csv
 import hashlib
 import io
 import re
-import zipfile
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -164,34 +161,6 @@ def bucket_name(name: str, folder: str) -> str:
     return BUCKET_NAMES.get(parent, parent)
 
 
-_MEMBER = "archive string, member string, size_bytes bigint, crc32 string, safe boolean, content binary"
-
-
-def unsafe_member(name: str, mode: int) -> bool:
-    """Whether an archive member is absolute, climbs, names a drive, or is a link."""
-    parts = name.replace("\\", "/").rstrip("/").split("/")
-    return name.startswith(("/", "\\")) or any(p in ("", "..") for p in parts) or ":" in parts[0] or (mode & 0o170000) == 0o120000
-
-
-def archives(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
-    """Members of ZIP files; unsafe ones are marked and never unpacked. A broken archive fails the read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path)
-
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, raw in zip(batch["path"], batch["content"], strict=True):
-                rows = []
-                with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                    for info in z.infolist():
-                        if info.is_dir():
-                            continue
-                        safe = not unsafe_member(info.filename, info.external_attr >> 16)
-                        rows.append((name, info.filename, info.file_size, f"{info.CRC:08X}", safe, z.read(info) if safe and content else None))
-                yield pd.DataFrame(rows, columns=[f.split()[0] for f in _MEMBER.split(", ")])
-
-    return found.select("path", "content").mapInPandas(members, _MEMBER)
-
-
 def archive_member(members: DataFrame, suffix: str, sha256: str | None = None) -> DataFrame:
     """The one member that ends with the suffix, with a pin of its content's digest if given.
 

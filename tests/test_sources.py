@@ -1,4 +1,5 @@
 import json
+import random
 import zipfile
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annoforge.functions import boxes as B
 from annoforge.sources import readers as R
+from annoforge.sources import zips as Z
 from annoforge.sources import sinks as K
 
 
@@ -51,13 +53,47 @@ def test_archives_mark_unsafe_members(spark, tmp_path):
         z.writestr("ok/a.txt", "x")
         z.writestr("../up.txt", "x")
         z.writestr("/abs.txt", "x")
-    got = R.archives(spark, str(tmp_path), content=True)
+    got = Z.archives(spark, str(tmp_path), content=True)
     assert {r["member"]: r["safe"] for r in got.collect()} == {"ok/a.txt": True, "../up.txt": False, "/abs.txt": False}
     assert bytes(R.archive_member(got, "a.txt").first()["content"]) == b"x"
     with pytest.raises(R.SourceError):
         R.archive_member(got, "none")
 
 
+def test_large_archives_are_read_in_runs_of_members(spark, tmp_path):
+    rng = random.Random(1)
+    want = {}
+    for name, kind in (("a.zip", zipfile.ZIP_DEFLATED), ("sub/b.ZIP", zipfile.ZIP_STORED)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        with zipfile.ZipFile(tmp_path / name, "w", kind) as z:
+            z.comment = b"a comment after the directory"
+            z.mkdir("folder")
+            for i in range(40):
+                raw = rng.randbytes(rng.choice([0, 10, 5000])) * rng.choice([1, 3])
+                with z.open(f"folder/\u00e9{i}.bin", "w", force_zip64=i % 2 == 0) as f:
+                    f.write(raw)
+                want[name, f"folder/\u00e9{i}.bin"] = raw
+    got = Z.archives(spark, str(tmp_path), content=True, run_bytes=20_000)
+    assert got.rdd.getNumPartitions() > 8
+    assert {(r["archive"].removeprefix(f"{tmp_path}/"), r["member"]): bytes(r["content"]) for r in got.collect()} == want
+    assert Z.archives(spark, str(tmp_path / "a.zip")).where("content is null").count() == 40
+    (tmp_path / "none").mkdir()
+    assert Z.archives(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_damaged_members_fail_the_read(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x.txt", "hello there")
+    raw = (tmp_path / "a.zip").read_bytes()
+    (tmp_path / "a.zip").write_bytes(raw.replace(b"hello", b"jello"))
+    assert Z.archives(spark, str(tmp_path)).count() == 1
+    with pytest.raises(Exception, match="bad checksum"):
+        Z.archives(spark, str(tmp_path), content=True).collect()
+    (tmp_path / "b.zip").write_bytes(b"not an archive")
+    with pytest.raises(Exception, match="not a zip file"):
+        Z.archives(spark, str(tmp_path)).collect()
+
+
 def test_ledger_and_files_are_compared(spark, tmp_path):
     data = tmp_path / "data"
     data.mkdir()

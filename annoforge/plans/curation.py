@@ -10,6 +10,7 @@ from annoforge.operators import digests as D
 from annoforge.operators import events as E
 from annoforge.operators import findings as A
 from annoforge.operators import review as R
+from annoforge.operators import schemas as V
 from annoforge.operators import similarity as S
 from annoforge.plans.bindings import CONTENT_SQL, HASH_SQL, content, hash_records, table
 
@@ -437,6 +438,15 @@ def first_difference(spark, sf):
     return D.first_difference(o, other, "position").select("position", F.col("left_row.o_orderkey").alias("o_orderkey"), F.col("left_row.o_orderstatus").alias("before"), F.col("right_row.o_orderstatus").alias("after"))
 
 
+#: What properties of events may be.
+_PROPS = {"type": "object", "required": ["k"], "additionalProperties": False, "properties": {"k": {"type": "integer", "minimum": 5, "exclusiveMaximum": 95, "not": {"const": 50}}}}
+
+
+def schema_violations(spark, sf):
+    """Properties of events that break their schema."""
+    return V.violations(table(spark, sf, "events"), "props", _PROPS, "event_id")
+
+
 def evidence_phrases(spark, sf):
     return C.phrase_errors(table(spark, sf, "pages"), "page_id", "html", ["<HTML", "cookie", "licence"])
 
@@ -676,6 +686,8 @@ SELECT coalesce(w.k, n.k) AS k, coalesce(expected, 0)::BIGINT AS expected, coale
     "frame_total": f"""WITH {_HASHED} SELECT 'ordered' AS kind, count(*) AS n_rows, {_DIGEST} AS digest FROM h
 UNION ALL SELECT 'as a set', count(*), {_DIGEST} FROM (SELECT md5(chr(31) || w) AS h FROM h)""",
     "first_difference": "SELECT p AS position, o_orderkey, o_orderstatus AS before, '?' AS after FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS p FROM orders) WHERE p % 700 = 0 AND o_orderstatus <> '?' ORDER BY p LIMIT 1",
+    "schema_violations": """WITH e AS (SELECT event_id, (props->>'k')::INT AS k FROM events) SELECT event_id, '$.k' AS path, 'minimum' AS rule FROM e WHERE k < 5
+UNION ALL SELECT event_id, '$.k', 'exclusiveMaximum' FROM e WHERE k >= 95 UNION ALL SELECT event_id, '$.k', 'not' FROM e WHERE k = 50""",
     "evidence_phrases": "SELECT page_id, p AS missing_phrase FROM pages CROSS JOIN (VALUES ('<HTML'), ('cookie'), ('licence')) v(p) WHERE NOT contains(lower(coalesce(html, '')), lower(p))",
     "path_rules": """SELECT o_orderkey, o_orderkey % 5 = 4 AS safe, CASE o_orderkey % 5 WHEN 0 THEN 'x.png' WHEN 1 THEN 'b.png' WHEN 2 THEN 'b.PNG' WHEN 3 THEN 'y.tar.gz' ELSE 'é.jpeg' END AS base,
   CASE o_orderkey % 5 WHEN 3 THEN '.gz' WHEN 4 THEN '.jpeg' ELSE '.png' END AS suffix, o_orderkey > 0 AND o_orderkey % 25 = 0 AS due FROM orders""",

@@ -280,13 +280,16 @@ RECOMMENDATIONS = {"sha256_dedup_recommendation": "complete", "perceptual_hash_r
 
 
 def deduplication_report(dataset: str, records: DataFrame, groups: DataFrame, pairs: DataFrame, external: bool = True, cross: bool = True) -> DataFrame:
-    """The sixteen published fields of a deduplication; groups: external_count, member_count, cross_source; scopes not looked at are 0."""
+    """The sixteen published fields of a deduplication; groups: external_count, member_count, cross_source; scopes not looked at are 0.
+    Records may tell by `hash_status` which of them are hashed; without it all are."""
 
     def both(side: str) -> Column:
         return (F.col("left_source_scope") == side) & (F.col("right_source_scope") == side)
 
     r = records.agg(F.count_if(F.col("source_scope") == "internal").alias("internal_image_count"), F.count_if(F.col("source_scope") == "external").alias("external_image_count"), F.count("*").alias("total_image_count"))
-    r = r.select(F.lit(dataset).alias("dataset_id"), "*", F.col("total_image_count").alias("hash_success_count"), F.lit(0).cast("bigint").alias("hash_error_count"))
+    failed = F.count_if(F.coalesce(F.col("hash_status") != "hashed", F.lit(True))) if "hash_status" in records.columns else F.lit(0).cast("bigint")
+    r = r.crossJoin(records.agg(failed.alias("hash_error_count")))
+    r = r.select(F.lit(dataset).alias("dataset_id"), *[c for c in r.columns if c != "hash_error_count"], (F.col("total_image_count") - F.col("hash_error_count")).alias("hash_success_count"), "hash_error_count")
     own, mixed = F.lit(external) & (F.col("external_count") >= 2), F.lit(cross) & F.col("cross_source")
     g = groups.agg(
         F.count_if(own).alias("external_external_exact_group_count"), F.coalesce(F.sum(F.when(own, F.col("external_count"))), F.lit(0)).alias("external_external_exact_image_count"),

@@ -135,15 +135,24 @@ def files(spark: SparkSession, path: str, suffixes: list[str] | None = None, con
     return found.select("path", F.col("length").alias("size_bytes"), digest.alias("sha256"), F.col("modificationTime").alias("modified"), *(["content"] if content else []))
 
 
+#: First bytes of image formats.
+MAGIC = {"png": "89504E47", "jpeg": "FFD8FF", "gif": "474946", "bmp": "424D"}
+
+
 def images(spark: SparkSession, path: str, suffixes: list[str]) -> DataFrame:
-    """Images with size, aspect and readability; an unreadable file is a row with a note, never a failure."""
-    found = files(spark, path, suffixes).select("path", "size_bytes")
+    """Images with size, aspect and readability; an unreadable file is a row with a note why, never a failure."""
+    head = F.hex(F.substring("content", 1, 4))
+    kind = F.lit(None)
+    for name, mark in MAGIC.items():
+        kind = F.when(head.startswith(mark), name).otherwise(kind)
+    why = F.when(F.col("size_bytes") == 0, "empty file").when(kind.isNotNull(), F.concat(F.lit("damaged "), kind)).otherwise("unknown format")
+    found = files(spark, path, suffixes, content=True).select("path", "size_bytes", why.alias("_why"))
     seen = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path).select("image.origin", "image.width", "image.height")
     # the two readers spell a local path with one and with three slashes
     spelled = lambda c: F.regexp_replace(c, "^([a-z]+):/+", "$1:/")
     rows = found.join(seen.withColumn("_at", spelled("origin")), spelled("path") == F.col("_at"), "left")
     ok = F.coalesce(F.col("width") > 0, F.lit(False))
-    return rows.select("path", "size_bytes", F.when(ok, F.col("width")).alias("width"), F.when(ok, F.col("height")).alias("height"), F.when(ok, F.bround(F.col("width") / F.col("height"), 6)).alias("aspect_ratio"), ok.alias("is_readable"), F.when(ok, "").otherwise("unreadable").alias("notes"))
+    return rows.select("path", "size_bytes", F.when(ok, F.col("width")).alias("width"), F.when(ok, F.col("height")).alias("height"), F.when(ok, F.bround(F.col("width") / F.col("height"), 6)).alias("aspect_ratio"), ok.alias("is_readable"), F.when(ok, "").otherwise(F.concat(F.lit("unreadable: "), "_why")).alias("notes"))
 
 
 #: Other names of the source buckets.

@@ -73,39 +73,49 @@ def protect(path: str, roots: list[str]) -> None:
             raise SourceError(f"output {path} is under protected {root}")
 
 
-def promote(spark: SparkSession, staged: str, target: str, replace: bool = False) -> None:
-    """Rename a staged folder into place; with replace, the old one comes back if that fails."""
-    store = Store(spark)
+def promote(spark: SparkSession, staged: str, target: str, replace: bool = False, verify: Callable[[str], None] | None = None) -> None:
+    """Rename a staged folder into place and look at it there; if either fails, what was there before comes back."""
+    store, backup = Store(spark), None
     if store.exists(target):
         if not replace:
             raise FileExistsError(target)
         backup = f"{target}.backup-{uuid.uuid4().hex}"
         store.rename(target, backup)
-        try:
-            store.rename(staged, target)
-        except Exception:
+    try:
+        store.rename(staged, target)
+        if verify:
+            verify(target)
+    except Exception:
+        if store.exists(target):
+            store.delete(target)
+        if backup:
             store.rename(backup, target)
-            raise
+        raise
+    if backup:
         store.delete(backup)
-    else:
-        store.rename(staged, target)
 
 
 def written_and_equal(rows: DataFrame, path: str, order: list[str] | None) -> bool:
     """Write rows as Parquet, in order if one is given, and tell whether what is read back is the same."""
-    back = rows.sparkSession.read.schema(rows.schema)
     if order is None:
         rows.write.parquet(path)
-        return frame_equal(rows, back.parquet(path))
-    numbered = in_order(rows, order)
-    written_in_order(numbered, "position", lambda df: df.write.parquet(path))
-    return frame_equal(numbered, in_file_order(back.parquet(path)), "position")
+    else:
+        written_in_order(in_order(rows, order), "position", lambda df: df.write.parquet(path))
+    return stored_equal(rows, path, order)
+
 
+def stored_equal(rows: DataFrame, path: str, order: list[str] | None) -> bool:
+    """Whether stored rows are these, in order if one is given."""
+    back = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return frame_equal(rows, back) if order is None else frame_equal(in_order(rows, order), in_file_order(back), "position")
 
-def commit(spark: SparkSession, target: str, tables: dict[str, DataFrame], texts: dict[str, str] | None = None, check: Callable[[str], None] | None = None, replace: bool = False, order: dict[str, list[str]] | None = None) -> None:
+
+def commit(spark: SparkSession, target: str, tables: dict[str, DataFrame], texts: dict[str, str] | None = None, check: Callable[[str], None] | None = None, replace: bool = False, order: dict[str, list[str]] | None = None, after: Callable[[str], None] | None = None) -> None:
     """Write tables and texts to a staging folder, read them back, then rename the folder: all of it or nothing.
 
-    order: by table the columns that its rows are written in the order of; the order is checked as well.
+    order: by table the columns that its rows are written in the order of; the order is checked as well. check looks at
+    the staging folder. After the rename tables and texts are read again, and `after` looks at them: if something is
+    wrong, what was there before comes back.
 
     On failure the error goes to a row beside the target and the staging folder is removed."""
     store = Store(spark)
@@ -120,7 +130,18 @@ def commit(spark: SparkSession, target: str, tables: dict[str, DataFrame], texts
             store.write_text(f"{staged}/{name}", text)
         if check:
             check(staged)
-        promote(spark, staged, target, replace)
+
+        def verify(where: str) -> None:
+            for name, rows in tables.items():
+                if not stored_equal(rows, f"{where}/{name}", (order or {}).get(name)):
+                    raise SourceError(f"{name} changed after it was put in place")
+            for name, text in (texts or {}).items():
+                if store.read_text(f"{where}/{name}") != text:
+                    raise SourceError(f"{name} changed after it was put in place")
+            if after:
+                after(where)
+
+        promote(spark, staged, target, replace, verify)
     except Exception as bad:
         store.delete(staged)
         evidence = f"{target}.failure.json"

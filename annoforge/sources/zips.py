@@ -34,8 +34,8 @@ def opened(path: str):
     return found, at
 
 
-def archives_below(path: str) -> list[str]:
-    """ZIP files at a path or anywhere below it, as paths that opened() takes, in order."""
+def archives_below(path: str, suffix: str = ".zip") -> list[str]:
+    """Archives at a path or anywhere below it, as paths that opened() takes, in order."""
     from pyarrow import fs
 
     store, at = opened(path)
@@ -44,7 +44,7 @@ def archives_below(path: str) -> list[str]:
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)
     found = [info] if info.type == fs.FileType.File else store.get_file_info(fs.FileSelector(at, recursive=True))
-    return sorted(prefix + f.path for f in found if f.type == fs.FileType.File and f.path.lower().endswith(".zip"))
+    return sorted(prefix + f.path for f in found if f.type == fs.FileType.File and f.path.lower().endswith(suffix))
 
 
 class Run(InputPartition):
@@ -55,14 +55,14 @@ class Run(InputPartition):
 
 
 class Members(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.path = options["path"]
+    def __init__(self, options: dict[str, str], suffix: str = ".zip"):
+        self.path, self.suffix = options["path"], suffix
         self.content = options.get("content", "false").lower() == "true"
         self.most = int(options.get("runbytes", options.get("runBytes", RUN_BYTES)))
 
     def partitions(self) -> list[Run]:
         out = []
-        for archive in archives_below(self.path):
+        for archive in archives_below(self.path, self.suffix):
             store, at = opened(archive)
             with store.open_input_file(at) as raw, zipfile.ZipFile(raw) as z:
                 run, held = [], 0

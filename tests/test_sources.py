@@ -157,6 +157,33 @@ def test_commit_is_all_or_nothing(spark, tmp_path):
     assert not [p for p in tmp_path.iterdir() if "staging" in p.name]
 
 
+def test_a_commit_found_wrong_in_place_is_undone(spark, tmp_path):
+    target = str(tmp_path / "out")
+    K.commit(spark, target, {"rows": spark.range(3)}, {"a.txt": "one"})
+
+    def spoils(where):
+        (tmp_path / "out" / "a.txt").write_text("spoilt")
+        raise RuntimeError("wrong in place")
+
+    with pytest.raises(RuntimeError, match="in place"):
+        K.commit(spark, target, {"rows": spark.range(5)}, {"a.txt": "two"}, replace=True, after=spoils)
+    assert spark.read.parquet(f"{target}/rows").count() == 3 and (tmp_path / "out" / "a.txt").read_text() == "one"
+    with pytest.raises(RuntimeError, match="in place"):
+        K.commit(spark, str(tmp_path / "new"), {"rows": spark.range(5)}, after=lambda _: (_ for _ in ()).throw(RuntimeError("wrong in place")))
+    assert not (tmp_path / "new").exists() and not [p for p in tmp_path.iterdir() if "backup" in p.name or "staging" in p.name]
+    K.commit(spark, target, {"rows": spark.range(5)}, replace=True, order={"rows": ["id"]})
+    assert spark.read.parquet(f"{target}/rows").count() == 5
+
+
+def test_split_layout_has_a_folder_per_split(spark, tmp_path):
+    rows = spark.createDataFrame([("a.png", "train"), ("b.png", "val"), ("c.png", "train")], "path string, split string")
+    K.split_layout(rows, str(tmp_path / "layout"))
+    assert {p.name for p in (tmp_path / "layout").iterdir() if p.is_dir()} == {"split=train", "split=val"}
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "layout")).select("path", "split").collect())) == [("a.png", "train"), ("b.png", "val"), ("c.png", "train")]
+    with pytest.raises(Exception, match="already exists"):
+        K.split_layout(rows, str(tmp_path / "layout"))
+
+
 def test_write_only_if_valid(spark, tmp_path):
     rows, errors = spark.range(2).toDF("id"), spark.createDataFrame([(2, "x")], "row_number bigint, code string")
     assert not K.write_if_valid(spark, str(tmp_path / "a"), rows, errors, rows)
@@ -192,4 +219,4 @@ def test_broken_images_are_rows_with_a_note(spark, tmp_path):
     (tmp_path / "b.png").write_bytes(b"no image")
     got = {r["path"].split("/")[-1]: r for r in R.images(spark, str(tmp_path), [".png"]).collect()}
     assert (got["a.png"]["width"], got["a.png"]["height"], got["a.png"]["aspect_ratio"], got["a.png"]["notes"]) == (1, 1, 1.0, "")
-    assert not got["b.png"]["is_readable"] and got["b.png"]["width"] is None and got["b.png"]["notes"] == "unreadable"
+    assert not got["b.png"]["is_readable"] and got["b.png"]["width"] is None and got["b.png"]["notes"] == "unreadable: unknown format"

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annoforge.llm.shared import bounded_batches, components, cut, named, scope, table
+from annoforge.llm.shared import bounded_batches, components, cut, named, small, scope, table
 
 #: Production parameters; tests measure their recall at the threshold itself, at 64, 384 and 768 dimensions.
 TABLES, PROBES, BLOCK, CELL = 12, 6, 4096, 512
@@ -159,28 +159,39 @@ def stars(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rest, low[rest]
 
 
-def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, hashes: int | None = None, probes: int = PROBES, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """One row per row of embeddings: the id, n_links, component_id, kept."""
+def similar(embeddings: DataFrame, least: float = 0.9, tables: int = TABLES, hashes: int | None = None, probes: int = PROBES, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding", bits: int = 63) -> DataFrame:
+    """One row per row of embeddings: the id, n_links, component_id, kept. Vectors are told apart by 128 bits, of which
+    the first `bits` name them; where two vectors share those, the other half names them."""
     spark = embeddings.sparkSession
     bounded_batches(spark)
     kind = embeddings.schema[id_col].dataType.simpleString()
     single = embeddings.schema[vector_col].dataType.elementType.simpleString() == "float"
     given = np.dtype(np.float32 if single else np.float64)
     with scope() as tables_:
-        return _similar(tables_, embeddings.select(named(id_col), named(vector_col)), kind, given, least, tables, hashes, probes, block).withColumnsRenamed({"id": id_col})
+        return _similar(tables_, embeddings.select(named(id_col), named(vector_col)), kind, given, least, tables, hashes, probes, block, bits).withColumnsRenamed({"id": id_col})
 
 
-def _similar(tables_, embeddings: DataFrame, kind: str, given: np.dtype, least: float, tables: int, hashes: int | None, probes: int, block: int) -> DataFrame:
+def _similar(tables_, embeddings: DataFrame, kind: str, given: np.dtype, least: float, tables: int, hashes: int | None, probes: int, block: int, bits: int) -> DataFrame:
     def valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
             raw = [None if v is None else (v + 0.0).astype(given).tobytes() for v in vectors(batch.column(1))]
-            node = [None if r is None else int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little") >> 1 for r in raw]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(raw, pa.binary())], ["id", "node", "v"])
-
-    rows = cut(embeddings.mapInArrow(valid, f"id {kind}, node bigint, v binary"), "vec-rows")
-    reps = cut(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("m"), F.min("id").alias("low"), F.first("v").alias("v")), "vec-reps")
+            digests = [None if r is None else hashlib.blake2b(r, digest_size=16).digest() for r in raw]
+            halves = [pa.array([None if d is None else int.from_bytes(d[at : at + 8], "little") >> 64 - b for d in digests], pa.int64()) for at, b in ((0, bits), (8, 63))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *halves, pa.array(raw, pa.binary())], ["id", "node", "other", "v"])
+
+    def one_per_node(rows: DataFrame) -> DataFrame:
+        ends = F.min("other").alias("first"), F.max("other").alias("last")
+        return cut(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("m"), F.min("id").alias("low"), F.first("v").alias("v"), *ends), "vec-reps")
+
+    rows = cut(embeddings.mapInArrow(valid, f"id {kind}, node bigint, other bigint, v binary"), "vec-rows")
+    reps = one_per_node(rows)
+    shared = reps.where("first < last").select("node")
+    if not shared.isEmpty():
+        named_ = rows.join(small(shared.withColumn("shared", F.lit(True)), F.lit(16)), "node", "left")
+        rows = cut(named_.withColumn("node", F.when(F.col("shared"), F.col("other")).otherwise(F.col("node"))), "vec-rows")
+        reps = one_per_node(rows)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

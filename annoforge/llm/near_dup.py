@@ -79,8 +79,11 @@ def shingle_sets(column: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.int64)
 
 
-def _node(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little") >> 1
+def _nodes(sets: list[np.ndarray], bits: int) -> list[pa.Array]:
+    """Two halves of each set's 128-bit digest as whole numbers of `bits` and 63 bits; null for an empty set."""
+    digests = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
+    halves = ([None if d is None else int.from_bytes(d[at : at + 8], "little") >> 64 - b for d in digests] for at, b in ((0, bits), (8, 63)))
+    return [pa.array(h, pa.int64()) for h in halves]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -88,27 +91,28 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
 
 
-def sketches(docs: DataFrame, k: int, full: int, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, node, sketch) of every row; without shingles node is null."""
+def sketches(docs: DataFrame, k: int, full: int, size: int, id_col: str, text_col: str, bits: int = 63) -> DataFrame:
+    """(id, n, node, other, sketch) of every row; node and other are the halves of its set's digest, null without one."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n, nodes, least = [], [], []
+            n, halves, least = [], [], []
             for own in shingle_sets(batch.column(1), size):
                 n.append(len(own))
-                nodes.append(_node(own) if len(own) else None)
+                halves.append(_nodes([own], bits))
                 least.append(own if len(own) <= full else own[:k])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), _lists(least)], ["id", "n", "node", "sketch"])
+            nodes = [pa.concat_arrays([h[i] for h in halves]) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *nodes, _lists(least)], ["id", "n", "node", "other", "sketch"])
             del least
             tidy()
 
-    return docs.select(named(id_col), named(text_col)).mapInArrow(run, f"id {kind}, n bigint, node bigint, sketch array<bigint>")
+    return docs.select(named(id_col), named(text_col)).mapInArrow(run, f"id {kind}, n bigint, node bigint, other bigint, sketch array<bigint>")
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+def full_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str, bits: int = 63) -> DataFrame:
     """(node, set) of the wanted nodes, from the text of the row that stands for each."""
     wanted = cut(reps.join(nodes, "node").select("id", "node"), "dup-wanted")
     rows = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
@@ -117,13 +121,14 @@ def full_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int, id_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = list(shingle_sets(batch.column(1), size))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_node(x) if len(x) else None for x in own], pa.int64()), _lists(own)], ["id", "node", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_nodes(own, bits), _lists(own)], ["id", "half", "other", "set"])
             del own
             tidy()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    made = rows.select("id", "text").mapInArrow(run, f"id {kind}, node bigint, set array<bigint>")
-    return made.join(wanted, ["id", "node"], "left_semi").select("node", "set")
+    made = rows.select("id", "text").mapInArrow(run, f"id {kind}, half bigint, other bigint, set array<bigint>")
+    # a node is the first half of the digest, or the second where first halves were equal
+    return made.join(wanted, "id").where("node = half or node = other").select("node", "set")
 
 
 def id_bytes(name: str):
@@ -134,8 +139,8 @@ def id_bytes(name: str):
 class Linker:
     """The rounds over one set of nodes; reps: (node, id, n, sketch), one row per node."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, percent: int, k: int, overlap: int, full: int, size: int, id_col: str, text_col: str):
-        self.docs, self.reps, self.percent, self.k, self.overlap, self.full, self.size, self.id_col, self.text_col = docs, reps, percent, k, overlap, full, size, id_col, text_col
+    def __init__(self, docs: DataFrame, reps: DataFrame, percent: int, k: int, overlap: int, full: int, size: int, id_col: str, text_col: str, bits: int = 63):
+        self.docs, self.reps, self.percent, self.k, self.overlap, self.full, self.size, self.id_col, self.text_col, self.bits = docs, reps, percent, k, overlap, full, size, id_col, text_col, bits
         self.links: list[DataFrame] = []
         self.tested: list[DataFrame] = []
         # lists of long documents are told from those of short ones by the sign of the value
@@ -170,7 +175,7 @@ class Linker:
         similar = F.lit(100) * F.col("i") >= F.lit(self.percent) * (F.col("na") + F.col("nb") - F.col("i"))
         likely = cut(both.where(F.when(F.col("whole"), similar).otherwise(maybe)).select("a", "b", "na", "nb", "whole"), "dup-likely")
         open_ = likely.where("not whole")
-        sets = cut(full_sets(self.docs, open_.select(F.explode(F.array("a", "b")).alias("node")).distinct(), self.reps, self.size, self.id_col, self.text_col), "dup-sets")
+        sets = cut(full_sets(self.docs, open_.select(F.explode(F.array("a", "b")).alias("node")).distinct(), self.reps, self.size, self.id_col, self.text_col, self.bits), "dup-sets")
         met = open_.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
         met = met.select("a", "b", "na", "nb", F.size(F.array_intersect("x", "y")).cast("long").alias("i")).where(similar)
         out = cut(met.select("a", "b").unionByName(likely.where("whole").select("a", "b")).distinct(), "dup-links")
@@ -253,24 +258,35 @@ class Linker:
         return linked
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, k: int = K, overlap: int = OVERLAP, full: int = FULL, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: the id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, percent: int = 75, k: int = K, overlap: int = OVERLAP, full: int = FULL, size: int = 5, id_col: str = "doc_id", text_col: str = "text", bits: int = 63) -> DataFrame:
+    """One row per row of docs: the id, n_shingles, component_id, kept. Sets are told apart by 128 bits, of which the
+    first `bits` name them; where two sets share those, the other half names them."""
     bounded_batches(docs.sparkSession)
     with scope() as held:
-        rows, named_ = _components(docs, percent, k, overlap, full, size, id_col, text_col)
+        rows, named_ = _components(docs, percent, k, overlap, full, size, id_col, text_col, bits)
         held.keep(rows)
         held.keep(named_)
     out = rows.join(named_, "node", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
-def _components(docs: DataFrame, percent: int, k: int, overlap: int, full: int, size: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def one_per_node(made: DataFrame) -> DataFrame:
+    """The row of least id of each node, and the ends of the other halves of its digests."""
+    held = made.where("node is not null and id is not null").groupBy("node")
+    return cut(held.agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("other").alias("least"), F.max("other").alias("most")), "dup-reps")
+
+
+def _components(docs: DataFrame, percent: int, k: int, overlap: int, full: int, size: int, id_col: str, text_col: str, bits: int) -> tuple[DataFrame, DataFrame]:
     """(id, n, node) of every row, and (node, component_id)."""
-    made = cut(sketches(docs, k, full, size, id_col, text_col), "dup-sketches")
+    made = first = cut(sketches(docs, k, full, size, id_col, text_col, bits), "dup-sketches")
+    reps = one_per_node(made)
+    shared = reps.where("least < most").select("node")
+    if not shared.isEmpty():
+        made = made.join(small(shared.withColumn("shared", F.lit(True)), F.lit(16)), "node", "left").withColumn("node", F.when(F.col("shared"), F.col("other")).otherwise(F.col("node")))
+        reps = one_per_node(made)
     rows = cut(made.select("id", "n", "node"), "dup-rows")
-    reps = cut(made.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "dup-reps")
-    forget(made)
-    linker = Linker(docs, reps, percent, k, overlap, full, size, id_col, text_col)
+    forget(first)
+    linker = Linker(docs, reps.drop("least", "most"), percent, k, overlap, full, size, id_col, text_col, bits)
     linker.first_round()
     if linker.links:
         linker.star_round()

@@ -585,3 +585,20 @@ def test_pipeline_stages(spark, sf_dir):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert len(last) == docs.count() and all(r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest() for r in last)
+
+
+@pytest.mark.parametrize("bits", [4, 63])
+def test_sets_and_vectors_that_share_half_a_digest_stay_apart(spark, bits):
+    """Names of four bits make nearly all names shared: the other half tells them apart."""
+    rng = random.Random(bits)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(words, k=40)) for _ in range(40)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[i] + " more") for i in range(10)] + [(200 + i, texts[i]) for i in range(5)] + [(300, " ".join(rng.choices(words, k=900)))]
+    docs.append((301, docs[-1][1] + " and more"))
+    want = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(frame(spark, docs)).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(frame(spark, docs), bits=bits).collect()}
+    assert got == want and want[300] == want[301] == 300 and all(want[200 + i] == want[100 + i] == i for i in range(5)) and len(set(want.values())) == 41
+    vecs = [(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(60)]
+    vecs += [(100 + i, vecs[i][1]) for i in range(10)] + [(200 + i, [2 * x for x in vecs[i][1]]) for i in range(10)]
+    links = {r["vec_id"]: (r["component_id"], r["n_links"]) for r in embedding_dup.similar(frame(spark, vecs, "vec_id bigint, embedding array<double>"), bits=bits).collect()}
+    assert all(links[200 + i][0] == links[100 + i][0] == i and links[i][1] == 2 for i in range(10)) and len({c for c, _ in links.values()}) == 60

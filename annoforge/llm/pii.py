@@ -101,14 +101,20 @@ DIGIT_WORDS = {
     for w in ws.split()
 }
 AT_WORDS, DOT_WORDS, PLUS_WORDS = "at arroba arobase ät", "dot punkt punto point", "plus más mas"
-#: Last labels that let bare words stand for at and dot, wherever they stand.
+#: Last labels that speak for an address. Any other of two letters does as well.
 LAST_LABELS = "com org net edu gov io info biz co uk us de fr es eu ch at test example"
+#: Words around an address, words that stand before a common `at`, and words that stand after it.
+CUES = "mail email e-mail mails emails address contact contacts reach write ask ping send sent user account me via"
+BEFORE_AT = "meet met meeting look looks looked looking arrive arrived stay stayed work works worked live lives lived be been is was were are am us it up here there start starts started end ends ended begin began open opens opened close closes closed eat ate sit sat stand stood laugh laughed aim aimed good bad best not or and"
+AFTER_AT = "noon midnight night home work least most once all first last the a an this that these those any one two three four five six seven eight nine ten our my your his her their its school lunch dinner present large random times sea war ease risk hand"
+#: What an address with a bare `at` must score.
+ENOUGH = 3
 #: Fixed value: a domain name has at most so many labels.
 MOST_LABELS = 127
 
 _words = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _at, _dot, _plus = ("|".join(x.split()) for x in (AT_WORDS, DOT_WORDS, PLUS_WORDS))
-LAST = frozenset(LAST_LABELS.split())
+LAST, CUE, BEFORE, AFTER, DOTS = (frozenset(x.split()) for x in (LAST_LABELS, CUES, BEFORE_AT, AFTER_AT, DOT_WORDS))
 BRACKETED = re.compile(rf"[\[({{<]\s*(?:(?P<at>{_at}|@)|(?P<dot>{_dot}|\.)|(?P<dash>dash|minus))\s*[\])}}>]", re.I)
 #: Digits, spelled or not, and the words that may stand before or between them.
 DIGIT_TOKEN = re.compile(rf"\b(?:(?P<word>{_words})|(?P<dot>{_dot})|(?P<plus>{_plus}))\b|(?P<digits>[0-9]+)|(?P<sign>\+)", re.I)
@@ -119,7 +125,6 @@ BETWEEN = re.compile(r"[\s(),.-]*")
 AT_TOKEN = re.compile(rf"(?<=\s)(?P<word>{_at})(?=\s)|@", re.I)
 LABEL = re.compile(r"[\w-]+")
 NEXT_LABEL = re.compile(rf"(?P<word>\s+(?:{_dot})\s+)(?P<a>[\w-]+)|\s*\.\s*(?P<b>[\w-]+)", re.I)
-ENDS = re.compile(r"(?!\w)(?![^\S\n]*\w)")
 _LOCAL_END = re.compile(r"[\w.%+-]")
 
 
@@ -215,21 +220,70 @@ def spelled_digits(r: Rewritten) -> bool:
     return bool(edits)
 
 
-def address(text: str, m: re.Match, least: int) -> list[tuple[int, int, str]]:
-    """The edits that make an address of what stands around an at word or sign; none if it is no address."""
+def token_before(text: str, at: int, least: int) -> int:
+    """Where the run of characters of a local part that ends at `at` begins, from `least` on."""
+    while at > least and _LOCAL_END.match(text[at - 1]):
+        at -= 1
+    return at
+
+
+def local_part(text: str, at: int, least: int) -> tuple[int, list[tuple[int, int, str]]]:
+    """Where the local part that ends at `at` begins, spelled dots in it included, and the edits that write those."""
+    edits, begin = [], token_before(text, at, least)
+    while True:
+        gap = begin
+        while gap > least and text[gap - 1].isspace():
+            gap -= 1
+        dot = token_before(text, gap, least)
+        end = dot
+        while end > least and text[end - 1].isspace():
+            end -= 1
+        first = token_before(text, end, least)
+        if not (gap < begin and end < dot and first < end and text[dot:gap].lower() in DOTS):
+            return begin, edits[::-1]
+        edits.append((end, begin, "."))
+        begin = first
+
+
+def evidence(text: str, begin: int, at: int, least: int, first_label: str, dotted: bool) -> int:
+    """What speaks for an address whose sign is the bare word `at`; besides, a spelled dot in its domain counts 2, and a
+    last label that speaks for it 1."""
+    local, score = text[begin:at].lower(), 0
+    if dotted or any(c in "._+-" or c.isdigit() for c in local):
+        score += 2
+    where, words = begin, []
+    for _ in range(3):
+        while where > least and not _LOCAL_END.match(text[where - 1]) and text[where - 1] != "\n":
+            where -= 1
+        start = token_before(text, where, least)
+        words.append(text[start:where].lower())
+        where = start
+    score += 2 * any(w in CUE for w in words)
+    return score - 2 * (local in BEFORE) - 2 * (first_label in AFTER)
+
+
+def address(text: str, m: re.Match, least: int, written: bool = False) -> list[tuple[int, int, str]]:
+    """The edits that make an address of what stands around an at word or sign; none if it is no address. written: the
+    sign is one that an earlier step wrote."""
     a, b = around(text, m.start(), m.end(), least)
     if not a or not _LOCAL_END.match(text[a - 1]) or not (label := LABEL.match(text, b)):
         return []
-    edits = [(a, b, "@")] if (a, b) != (m.start(), m.end()) or m["word"] else []
-    plain = not m["word"] or m["word"].lower() != "at"  # a word with no other use
-    at, good = label.end(), None
+    bare = bool(m["word"]) and m["word"].lower() == "at"  # other words for it have no other use
+    begin, before = local_part(text, a, least) if m["word"] or written else (token_before(text, a, least), [])
+    edits = [*before, *([(a, b, "@")] if (a, b) != (m.start(), m.end()) or m["word"] else [])]
+    at, good, spelled_dot, score = label.end(), None, False, None
     for _ in range(MOST_LABELS):
         if not (more := NEXT_LABEL.match(text, at)):
             break
         at, name = more.end(), (more["a"] or more["b"]).lower()
         if more["word"]:
             edits.append((*more.span("word"), "."))
-        if name in LAST or (plain and len(name) > 1 and name.isalpha()) or (len(name) == 2 and name.isalpha() and ENDS.match(text, at)):
+            spelled_dot = True
+        if bare:
+            if name in LAST or (len(name) == 2 and name.isalpha()):
+                score = evidence(text, begin, a, least, label[0].lower(), bool(before)) if score is None else score
+                good = len(edits) if score + 1 + 2 * spelled_dot >= ENOUGH else good
+        elif name in LAST or (len(name) > 1 and name.isalpha()):
             good = len(edits)
     return edits[:good] if good is not None else []
 
@@ -237,7 +291,7 @@ def address(text: str, m: re.Match, least: int) -> list[tuple[int, int, str]]:
 def spelled_mail(r: Rewritten) -> None:
     edits, done = [], 0
     for m in AT_TOKEN.finditer(r.text):
-        if m.start() >= done and (own := address(r.text, m, done)):
+        if m.start() >= done and (own := address(r.text, m, done, bool(r.new[m.start()]))):
             edits += own
             done = own[-1][1]
     r.replace(edits)
@@ -257,7 +311,7 @@ def disguised(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, i
     if SPELLED_WORD.search(now) and next(number_runs(now), None):
         spelled_digits(r := r or Rewritten(text))
         now = r.text
-    if any(address(now, m, 0) for m in AT_TOKEN.finditer(now)):
+    if any(address(now, m, 0, bool(r and r.new[m.start()])) for m in AT_TOKEN.finditer(now)):
         spelled_mail(r := r or Rewritten(text))
     if r is None:
         return []

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one Arrow batch brings to a Python worker, a single longer text aside.
 BATCH_BYTES = 2 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Used only in local mode where the session names no spark.checkpoint.dir, as in tests.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
@@ -19,9 +20,12 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 def bounded_batches(spark: SparkSession) -> None:
     """Make the session fit for Python workers.
 
-    Arrow batches end at BATCH_BYTES, so that a worker's memory follows bytes and not rows. Workers look for
-    this package where the driver found it; a cluster that lacks that path gets it by --py-files, as usual."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    Arrow batches end at BATCH_BYTES, or at less where the session says so, so that a worker's memory follows bytes and
+    not rows; the setting stays for the session. Workers look for this package where the driver found it; a cluster
+    that lacks that path gets it by --py-files, as usual."""
+    given = int(spark.conf.get(BATCH_SETTING, "0"))
+    if not 0 < given <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     workers = spark.sparkContext.environment
     if home not in workers.get("PYTHONPATH", "").split(os.pathsep):

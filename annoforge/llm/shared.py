@@ -162,6 +162,22 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
+#: Edges of a node beyond which they are not joined with its least neighbour by a shuffle on the node.
+HUB = 1024
+
+
+def with_least(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """rows (u, v) with m, the least node that u has: nodes has (u, m, n), n the rows that u counts.
+
+    The rows of a hub stay where they are: hubs, of which there are as many as rows / HUB at most, are sent to them."""
+    hubs = nodes.where(F.col("n") > HUB).select("u", "m")
+    if hubs.isEmpty():
+        return rows.join(nodes.drop("n"), "u")
+    hubs = small(hubs, F.lit(16))
+    calm = rows.join(hubs.select("u"), "u", "left_anti").join(nodes.where(F.col("n") <= HUB).drop("n"), "u")
+    return rows.join(hubs, "u").unionByName(calm)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of long pairs: (node, component), component the smallest node reachable.
 
@@ -179,19 +195,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     size = None
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (
-            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(low2, "u")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
+        large = with_least(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low2 = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        stars = (
+            with_least(large, low2)
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u != v")
             .distinct()
         )
-        after = cut(small, "edges")
+        after = cut(stars, "edges")
         state = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         forget(now)
         now = after

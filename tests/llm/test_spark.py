@@ -602,3 +602,22 @@ def test_sets_and_vectors_that_share_half_a_digest_stay_apart(spark, bits):
     vecs += [(100 + i, vecs[i][1]) for i in range(10)] + [(200 + i, [2 * x for x in vecs[i][1]]) for i in range(10)]
     links = {r["vec_id"]: (r["component_id"], r["n_links"]) for r in embedding_dup.similar(frame(spark, vecs, "vec_id bigint, embedding array<double>"), bits=bits).collect()}
     assert all(links[200 + i][0] == links[100 + i][0] == i and links[i][1] == 2 for i in range(10)) and len({c for c, _ in links.values()}) == 60
+
+
+@pytest.mark.parametrize("hub", [2, 1024])
+def test_components_with_hubs(spark, monkeypatch, hub):
+    monkeypatch.setattr(shared, "HUB", hub)
+    rng = random.Random(hub)
+    edges = [(0, i) for i in range(1, 60)] + [(70, i) for i in range(71, 120, 2)] + [(i, i + 1) for i in range(200, 240)] + [(rng.randrange(300, 340), rng.randrange(300, 340)) for _ in range(30)] + [(59, 240), (5, 5)]
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+    got = {r["node"]: r["component"] for r in shared.components(frame(spark, edges, "a bigint, b bigint")).collect()}
+    assert got == {x: root(x) for x in list(up)}

@@ -11,10 +11,9 @@ prediction whose confidence is null or not a number is active at no threshold.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from annoforge.operators import overlap
@@ -43,11 +42,8 @@ def folded(predictions: DataFrame, truth: DataFrame, least: float, match_iou: fl
     near, hit = f"struct<n:double,g:{gid}>", f"struct<n:double,c:double,p:{pid}>"
     schema = f"image_id {key}, ps array<struct<prediction_id:{pid},class_id:{kind},confidence:double,best:{near},got:{near}>>, gs array<struct<gt_id:{gid},class_id:{kind},raw:{hit},hit:{hit}>>"
 
-    def run(r: dict) -> dict:
-        ps, gs = overlap.matched(r["ps"], r["gs"], least, match_iou)
-        return {"image_id": r["image_id"], "ps": ps, "gs": gs}
-
-    return overlap.each_image(rows, schema, run, to_arrow_schema(StructType.fromDDL(schema)))
+    matched = overlap.matched
+    return overlap.each_batch(rows, schema, lambda ps, gs: list(matched(ps, gs, least, match_iou)))
 
 
 def levels(df: DataFrame, thresholds: list[float]) -> DataFrame:
@@ -244,11 +240,8 @@ def largest(rows: DataFrame, least: float | None = None) -> DataFrame:
     given, with any box, whatever their classes; 0 where one side is empty."""
     schema = f"image_id {rows.schema['image_id'].dataType.simpleString()}, max_iou double"
 
-    def run(r: dict) -> dict:
-        ps = [p for p in r["ps"] if least is None or (p["confidence"] is not None and (p["confidence"] >= least or p["confidence"] != p["confidence"]))]
-        return {"image_id": r["image_id"], "max_iou": overlap.largest(ps, r["gs"])}
-
-    return overlap.each_image(rows, schema, run, to_arrow_schema(StructType.fromDDL(schema)))
+    found = overlap.largest
+    return overlap.each_batch(rows, schema, lambda ps, gs: [pa.array(found(ps, gs, least))])
 
 
 def max_overlap(predictions: DataFrame, truth: DataFrame) -> DataFrame:

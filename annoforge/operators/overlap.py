@@ -7,21 +7,23 @@ they share. Only pairs that overlap are ever held, in place of all predictions t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from math import isnan
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from annoforge.functions.workers import reachable
 
 #: Sizes that a grid tells apart; smaller boxes go with the smallest.
 LEVELS = 24
 
 
-def corners(boxes: list[dict | None]) -> np.ndarray:
-    """Rows x1, y1, x2, y2; a missing box or corner is not a number and overlaps with nothing."""
-    none = (np.nan,) * 4
-    return np.array([none if b is None else [np.nan if b[c] is None else b[c] for c in ("x1", "y1", "x2", "y2")] for b in boxes], np.float64).reshape(-1, 4)
+#: Products of boxes up to which all pairs of an image are looked at.
+FEW = 1 << 12
 
 
 def pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -30,7 +32,7 @@ def pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ia, ib = (np.flatnonzero((x[:, 2] > x[:, 0]) & (x[:, 3] > x[:, 1]) & np.isfinite(x).all(axis=1)) for x in (a, b))
     if not len(ia) or not len(ib):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(ia) * len(ib) <= 1 << 12:  # so few that all of them are looked at
+    if len(ia) * len(ib) <= FEW:
         i, j = np.repeat(ia, len(ib)), np.tile(ib, len(ia))
         return keep_sharing(a, b, i, j)
     sizes = [np.maximum(x[:, 2] - x[:, 0], x[:, 3] - x[:, 1]) for x in (a[ia], b[ib])]
@@ -93,72 +95,153 @@ def iou(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarra
     return inner / (area[0] + area[1] - inner)
 
 
-def falling(confidence: float | None) -> tuple:
-    """Order of negated confidences: null first, not a number last."""
-    return (0, 0.0) if confidence is None else (2, 0.0) if isnan(confidence) else (1, -confidence)
-
-
-def lowered(confidence: float | None) -> float | None:
-    return None if confidence is None else -confidence
+class Side:
+    """The boxes of one side of a batch of images: corners, the image of each, where each image's begin."""
+
+    def __init__(self, column: pa.ListArray):
+        self.rows = column.flatten()
+        self.at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        self.image = np.repeat(np.arange(len(column)), np.diff(self.at))
+        values = [self.get("box", c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x1", "y1", "x2", "y2")]
+        self.box = np.stack(values, axis=1) if len(self.rows) else np.zeros((0, 4))  # a missing corner is not a number
+
+    def get(self, *path: str) -> pa.Array:
+        return pc.struct_field(self.rows, list(path))
+
+    def ranks(self, name: str) -> np.ndarray:
+        """Places of a column's values in their order, equal for equal ones."""
+        coded = self.get(name).dictionary_encode()
+        place = np.zeros(len(coded.dictionary) + 1, np.int64)
+        place[pc.sort_indices(coded.dictionary).to_numpy()] = np.arange(len(coded.dictionary))
+        return place[pc.fill_null(coded.indices, len(coded.dictionary)).to_numpy(zero_copy_only=False)]
+
+
+def batch_pairs(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of all overlapping boxes of the same image: all pairs of images with few, by the grid for others."""
+    n, m = np.diff(a.at), np.diff(b.at)
+    few = np.flatnonzero((n > 0) & (m > 0) & (n * m <= FEW))
+    own = (n * m)[few]
+    place = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+    width = np.repeat(m[few], own)
+    found = [keep_sharing_valid(a.box, b.box, np.repeat(a.at[few], own) + place // np.maximum(width, 1), np.repeat(b.at[few], own) + place % np.maximum(width, 1))]
+    for k in np.flatnonzero(n * m > FEW).tolist():
+        i, j = pairs(a.box[a.at[k] : a.at[k + 1]], b.box[b.at[k] : b.at[k + 1]])
+        found.append((i + a.at[k], j + b.at[k]))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    return i, j
 
 
-def matched(ps: list[dict], gs: list[dict], least: float, match_iou: float) -> tuple[list[dict], list[dict]]:
-    """Outcomes of one image's predictions and boxes; see matching.folded."""
-    a, b = corners([p["box"] for p in ps]), corners([g["box"] for g in gs])
-    i, j = pairs(a, b)
-    same = np.array([ps[x]["class_id"] is not None and ps[x]["class_id"] == gs[y]["class_id"] for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
+def keep_sharing_valid(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """keep_sharing() of pairs of which some may be no boxes."""
+    with np.errstate(invalid="ignore"):
+        good = [(x[:, 2] > x[:, 0]) & (x[:, 3] > x[:, 1]) & np.isfinite(x).all(axis=1) for x in (a, b)]
+    both = good[0][i] & good[1][j]
+    return keep_sharing(a, b, i[both], j[both])
+
+
+def first_of(groups: np.ndarray, n: int, *order: np.ndarray) -> np.ndarray:
+    """For each of n groups the index of its first row by the order keys (the most important last), -1 without rows."""
+    by = np.lexsort((*order, groups))
+    out = np.full(n, -1, np.int64)
+    sorted_ = groups[by]
+    head = np.ones(len(by), bool)
+    head[1:] = sorted_[1:] != sorted_[:-1]
+    out[sorted_[head]] = by[head]
+    return out
+
+
+def picked(values: pa.Array, index: np.ndarray) -> pa.Array:
+    """Values at the indexes, null where one is -1."""
+    return values.take(pa.array(np.maximum(index, 0), mask=index < 0)) if len(values) else pa.nulls(len(index), values.type)
+
+
+def struct_of(parts: dict[str, pa.Array], there: np.ndarray) -> pa.Array:
+    return pa.StructArray.from_arrays(list(parts.values()), list(parts), mask=pa.array(~there))
+
+
+def matched(ps: pa.ListArray, gs: pa.ListArray, least: float, match_iou: float) -> tuple[pa.Array, pa.Array]:
+    """Outcomes of the predictions and boxes of a batch of images; see matching.folded. Only pairs of one class that
+    reach match_iou are looked at one by one."""
+    a, b = Side(ps), Side(gs)
+    confidence = a.get("confidence").cast(pa.float64())
+    c = confidence.to_numpy(zero_copy_only=False) if len(a.rows) else np.zeros(0)
+    null = confidence.is_null().to_numpy(zero_copy_only=False)
+    kind, fall = np.where(null, 0, np.where(np.isnan(c), 2, 1)), np.where(np.isnan(c), 0.0, -c)  # null first, not a number last
+    rank_p, rank_g = a.ranks("prediction_id"), b.ranks("gt_id")
+    classes = pa.concat_arrays([a.get("class_id"), b.get("class_id")]).dictionary_encode()
+    code = pc.fill_null(classes.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    ca, cb = code[: len(a.rows)], code[len(a.rows) :]
+    i, j = batch_pairs(a, b)
+    same = (ca[i] == cb[j]) & (ca[i] >= 0)
     i, j = i[same], j[same]
-    over = (-iou(a, b, i, j)).tolist()
-    of_p: list[list] = [[] for _ in ps]
-    best_p: list[tuple | None] = [None] * len(gs)
-    for x, y, n in zip(i.tolist(), j.tolist(), over, strict=True):
-        of_p[x].append((n, gs[y]["gt_id"]))
-        p = ps[x]
-        rank = (n, falling(p["confidence"]), p["prediction_id"])
-        if best_p[y] is None or rank < best_p[y][0]:
-            best_p[y] = (rank, {"n": n, "c": lowered(p["confidence"]), "p": p["prediction_id"]})
-    # what stands where nothing overlaps: the first box and prediction of the class
-    first_g, first_p = {}, {}
-    for g in gs:
-        k = g["class_id"]
-        if k is not None and (k not in first_g or g["gt_id"] < first_g[k]):
-            first_g[k] = g["gt_id"]
-    for p in ps:
-        k, rank = p["class_id"], (falling(p["confidence"]), p["prediction_id"])
-        if k is not None and (k not in first_p or rank < first_p[k][0]):
-            first_p[k] = (rank, {"n": -0.0, "c": lowered(p["confidence"]), "p": p["prediction_id"]})
-    taken, hits, done = set(), {}, []
-    for x in sorted(range(len(ps)), key=lambda x: (falling(ps[x]["confidence"]), ps[x]["prediction_id"])):
-        p, own, c = ps[x], sorted(of_p[x]), ps[x]["confidence"]
-        best = own[0] if own else (-0.0, first_g[p["class_id"]]) if p["class_id"] in first_g else None
-        got = None
-        if c is not None and not isnan(c) and c >= least:
-            got = next((h for h in own if h[0] <= -match_iou and h[1] not in taken), None)
-        if got:
-            taken.add(got[1])
-            hits[got[1]] = {"n": got[0], "c": c, "p": p["prediction_id"]}
-        done.append({"prediction_id": p["prediction_id"], "class_id": p["class_id"], "confidence": c, "best": named(best), "got": named(got)})
-    boxes = [{"gt_id": g["gt_id"], "class_id": g["class_id"], "raw": best_p[y][1] if best_p[y] else first_p.get(g["class_id"], (0, None))[1], "hit": hits.get(g["gt_id"])} for y, g in enumerate(gs)]
-    return done, boxes
-
-
-def named(pair: tuple | None) -> dict | None:
-    return pair and {"n": pair[0], "g": pair[1]}
-
-
-def each_image(rows: DataFrame, schema: str, run, arrow: pa.Schema) -> DataFrame:
-    """One row of the schema from each image's row (image_id, ps, gs)."""
+    n = -iou(a.box, b.box, i, j)
+    # the first box and prediction of each image and class stand where nothing overlaps
+    width = len(classes.dictionary) + 1
+    ga, gb = a.image * width + ca + 1, b.image * width + cb + 1
+    kinds, inverse = np.unique(np.concatenate([ga, gb]), return_inverse=True)
+    ia, ib = inverse[: len(ga)], inverse[len(ga) :]
+    lone_g, lone_p = first_of(ib, len(kinds), rank_g), first_of(ia, len(kinds), rank_p, fall, kind)
+    best, raw = first_of(i, len(a.rows), rank_g[j], n), first_of(j, len(b.rows), rank_p[i], fall[i], kind[i], n)
+    best_g = np.where(best >= 0, j[best] if len(j) else -1, np.where(ca >= 0, lone_g[ia] if len(kinds) else -1, -1))
+    raw_p = np.where(raw >= 0, i[raw] if len(i) else -1, np.where(cb >= 0, lone_p[ib] if len(kinds) else -1, -1))
+    best_n, raw_n = (np.where(x >= 0, n[x] if len(n) else 0.0, -0.0) for x in (best, raw))
+    # predictions by falling confidence take the free box of highest overlap
+    order = np.lexsort((rank_p, fall, kind, a.image))
+    turn = np.empty(len(order), np.int64)
+    turn[order] = np.arange(len(order))
+    hits = np.flatnonzero((n <= -match_iou) & (kind[i] == 1) & (c[i] >= least))
+    hits = hits[np.lexsort((rank_g[j[hits]], n[hits], turn[i[hits]]))]
+    got, owner = np.full(len(a.rows), -1, np.int64), {}
+    key = b.image * (int(rank_g.max(initial=0)) + 1) + rank_g
+    for h, p, k in zip(hits.tolist(), i[hits].tolist(), key[j[hits]].tolist(), strict=True):
+        if got[p] < 0 and k not in owner:
+            got[p], owner[k] = h, h
+    hit = np.array([owner.get(k, -1) for k in key.tolist()], np.int64)
+    got_g, got_n = np.where(got >= 0, j[got] if len(j) else -1, -1), np.where(got >= 0, n[got] if len(n) else 0.0, 0.0)
+    hit_p, hit_n = np.where(hit >= 0, i[hit] if len(i) else -1, -1), np.where(hit >= 0, n[hit] if len(n) else 0.0, 0.0)
+    gt, pid, lowered = b.get("gt_id"), a.get("prediction_id"), pc.negate(confidence)
+    done = pa.StructArray.from_arrays(
+        [
+            pid.take(pa.array(order)), a.get("class_id").take(pa.array(order)), confidence.take(pa.array(order)),
+            struct_of({"n": pa.array(best_n[order]), "g": picked(gt, best_g[order])}, best_g[order] >= 0),
+            struct_of({"n": pa.array(got_n[order]), "g": picked(gt, got_g[order])}, got[order] >= 0),
+        ],
+        ["prediction_id", "class_id", "confidence", "best", "got"],
+    )
+    boxes = pa.StructArray.from_arrays(
+        [
+            gt, b.get("class_id"),
+            struct_of({"n": pa.array(raw_n), "c": picked(lowered, raw_p), "p": picked(pid, raw_p)}, raw_p >= 0),
+            struct_of({"n": pa.array(hit_n), "c": picked(confidence, hit_p), "p": picked(pid, hit_p)}, hit >= 0),
+        ],
+        ["gt_id", "class_id", "raw", "hit"],
+    )
+    return pa.ListArray.from_arrays(pa.array(a.at, pa.int32()), done), pa.ListArray.from_arrays(pa.array(b.at, pa.int32()), boxes)
+
+
+def largest(ps: pa.ListArray, gs: pa.ListArray, least: float | None = None) -> np.ndarray:
+    """By image the largest overlap of any prediction, of the least confidence on if one is given, with any box, whatever
+    their classes; a confidence that is not a number is above all."""
+    a, b = Side(ps), Side(gs)
+    if least is not None and len(a.rows):
+        confidence = a.get("confidence").cast(pa.float64())
+        c = confidence.to_numpy(zero_copy_only=False)
+        a.box[confidence.is_null().to_numpy(zero_copy_only=False) | (c < least)] = np.nan
+    i, j = batch_pairs(a, b)
+    out = np.zeros(len(ps))
+    np.maximum.at(out, a.image[i], iou(a.box, b.box, i, j))
+    return out
+
+
+def each_batch(rows: DataFrame, schema: str, run: Callable[[pa.ListArray, pa.ListArray], list[pa.Array]]) -> DataFrame:
+    """(image_id, ...) of the schema from rows (image_id, ps, gs): run gives the other columns of a batch."""
+    reachable(rows.sparkSession)
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                yield pa.RecordBatch.from_pylist([run(r) for r in batch.slice(at, 256).to_pylist()], arrow)
-
-    return rows.mapInArrow(go, schema)
-
+            if batch.num_rows:
+                found = run(batch.column(1), batch.column(2))
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([batch.column(0), *found], kinds, strict=True)], schema=kinds)
 
-def largest(ps: list[dict], gs: list[dict]) -> float:
-    """The largest overlap of any of these predictions with any of these boxes, whatever their classes."""
-    a, b = corners([p["box"] for p in ps]), corners([g["box"] for g in gs])
-    i, j = pairs(a, b)
-    return float(iou(a, b, i, j).max(initial=0.0))
+    return rows.select("image_id", "ps", "gs").mapInArrow(go, schema)

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annoforge.functions.workers import reachable
+
 #: Half width of the window, fraction bits of a weight, and luma of red, green and blue in 1/65536.
 LOBES, BITS, RED, GREEN, BLUE = 3, 22, 19595, 38470, 7471
 SIDE = 8
@@ -90,6 +92,7 @@ def perceptual_hash(grey: np.ndarray, side: int = SIDE) -> str:
 
 def image_hashes(spark: SparkSession, path: str, side: int = SIDE) -> DataFrame:
     """(path, width, height, dhash, phash) of all images below a folder; hashes are null where a file is no image."""
+    reachable(spark)
     read = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path)
     rows = read.select("image.origin", "image.width", "image.height", "image.nChannels", "image.data")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from annoforge.functions.workers import reachable
 from annoforge.sources.readers import SourceError
 from annoforge.sources.zips import Members, ZipSource
 
@@ -35,6 +36,7 @@ class Workbooks(ZipSource):
 
 def parts(spark: SparkSession, path: str) -> DataFrame:
     """(archive, member, xml) of workbooks at or below a path."""
+    reachable(spark)
     spark.dataSource.register(Workbooks)
     rows = spark.read.format("annoforge_workbook").load(path)
     return rows.where(F.col("member").rlike(r"\.(xml|rels)$")).select("archive", "member", F.decode("content", "UTF-8").alias("xml"))

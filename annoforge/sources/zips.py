@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from annoforge.functions.workers import reachable
+
 MEMBERS = "archive string, member string, size_bytes bigint, crc32 string, safe boolean, content binary"
 #: Compressed bytes of the members that one task reads, a single larger one aside, and the most members of a task.
 RUN_BYTES, RUN_MEMBERS = 64 << 20, 10_000
@@ -120,5 +122,6 @@ class ZipSource(DataSource):
 def archives(spark: SparkSession, path: str, content: bool = False, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Members of the ZIP files at or below a path; unsafe ones are marked and never unpacked. A broken archive or a
     wrong checksum fails the read."""
+    reachable(spark)
     spark.dataSource.register(ZipSource)
     return spark.read.format("annoforge_zip").option("content", str(content).lower()).option("runBytes", str(run_bytes)).load(path)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructType
 
+from annoforge.functions.workers import reachable
+
 #: The state store that timers need.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _OPEN = StructType().add("started", LongType()).add("ended", LongType()).add("n_events", LongType()).add("day", LongType())
@@ -81,6 +83,7 @@ def gap_sessions(events: DataFrame, key: str, at: str, gap_seconds: int, split_d
     """(key, started, ended, n_events, closed) of a stream of events, for update mode; the session must have PROVIDER
     as its state store. Events later than the watermark, `late` behind the newest, are left out. Days are those of the
     session's time zone."""
+    reachable(events.sparkSession)
     timed = events.select(F.col(key), F.col(at).cast("timestamp").alias("at")).withWatermark("at", late)
     marked = timed.select(key, "at", F.unix_micros("at").alias("micros"), F.unix_date(F.to_date("at")).cast("bigint").alias("day"))
     schema = StructType().add(events.schema[key]).add("started", LongType()).add("ended", LongType()).add("n_events", LongType()).add("closed", "boolean")

@@ -23,8 +23,8 @@ def bounded_batches(spark: SparkSession) -> None:
     Arrow batches end at BATCH_BYTES, or at less where the session says so, so that a worker's memory follows bytes and
     not rows; the setting stays for the session. Workers look for this package where the driver found it; a cluster
     that lacks that path gets it by --py-files, as usual."""
-    given = int(spark.conf.get(BATCH_SETTING, "0"))
-    if not 0 < given <= BATCH_BYTES:
+    given = spark.conf.get(BATCH_SETTING, None) or ""
+    if not given.isdigit() or not 0 < int(given) <= BATCH_BYTES:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     workers = spark.sparkContext.environment

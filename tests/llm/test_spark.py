@@ -621,3 +621,16 @@ def test_components_with_hubs(spark, monkeypatch, hub):
             up[max(root(a), root(b))] = min(root(a), root(b))
     got = {r["node"]: r["component"] for r in shared.components(frame(spark, edges, "a bigint, b bigint")).collect()}
     assert got == {x: root(x) for x in list(up)}
+
+
+def test_smaller_batches_of_a_session_stay(spark):
+    before = spark.conf.get(shared.BATCH_SETTING, None)
+    try:
+        for given, kept in ((None, shared.BATCH_BYTES), ("1024", 1024), ("64m", shared.BATCH_BYTES), (str(1 << 30), shared.BATCH_BYTES)):
+            spark.conf.unset(shared.BATCH_SETTING)
+            if given:
+                spark.conf.set(shared.BATCH_SETTING, given)
+            shared.bounded_batches(spark)
+            assert int(spark.conf.get(shared.BATCH_SETTING)) == kept
+    finally:
+        spark.conf.set(shared.BATCH_SETTING, before or str(shared.BATCH_BYTES))

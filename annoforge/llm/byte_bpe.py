@@ -337,6 +337,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays(out, [id_col, "n_tokens", "ids", "decoded"][: len(out)])
             del ids, out
             tidy()
+        bpe.new, bpe.old = {}, {}  # the worker lives on, idle or with another operator's work
+        tidy()
 
     return docs.select(named(id_col), named(text_col)).mapInArrow(run, schema)
 

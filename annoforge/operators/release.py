@@ -280,7 +280,8 @@ RECOMMENDATIONS = {"sha256_dedup_recommendation": "complete", "perceptual_hash_r
 
 
 def deduplication_report(dataset: str, records: DataFrame, groups: DataFrame, pairs: DataFrame, external: bool = True, cross: bool = True) -> DataFrame:
-    """The sixteen published fields of a deduplication; groups: external_count, member_count, cross_source; scopes not looked at are 0.
+    """The sixteen published fields of a deduplication; groups: external_count, member_count, cross_source; pairs: similar
+    pairs, or their counts by scope with n_pairs; scopes not looked at are 0.
     Records may tell by `hash_status` which of them are hashed; without it all are."""
 
     def both(side: str) -> Column:
@@ -295,5 +296,7 @@ def deduplication_report(dataset: str, records: DataFrame, groups: DataFrame, pa
         F.count_if(own).alias("external_external_exact_group_count"), F.coalesce(F.sum(F.when(own, F.col("external_count"))), F.lit(0)).alias("external_external_exact_image_count"),
         F.count_if(mixed).alias("internal_external_exact_group_count"), F.coalesce(F.sum(F.when(mixed, F.col("member_count"))), F.lit(0)).alias("internal_external_exact_image_count"),
     )
-    p = pairs.agg(F.count_if(both("external")).alias("external_external_perceptual_candidate_count"), F.count_if(F.col("left_source_scope") != F.col("right_source_scope")).alias("internal_external_perceptual_candidate_count"))
+    n = F.col("n_pairs") if "n_pairs" in pairs.columns else F.lit(1)
+    total = lambda asked, name: F.coalesce(F.sum(F.when(asked, n)), F.lit(0)).cast("bigint").alias(name)
+    p = pairs.agg(total(both("external"), "external_external_perceptual_candidate_count"), total(F.col("left_source_scope") != F.col("right_source_scope"), "internal_external_perceptual_candidate_count"))
     return r.crossJoin(g).crossJoin(p).select("*", *[F.lit(v).alias(n) for n, v in RECOMMENDATIONS.items()])

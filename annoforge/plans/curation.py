@@ -60,7 +60,7 @@ def candidate_counts(spark, sf):
 
 
 def dedup_summary(spark, sf):
-    return S.dedup_summary(content(spark, sf), S.similar_pairs(hash_records(spark, sf), WIDE, 0.10))
+    return S.dedup_summary(content(spark, sf), S.pair_counts(hash_records(spark, sf), WIDE, 0.10))
 
 
 # --- review

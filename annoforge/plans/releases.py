@@ -284,7 +284,7 @@ def deduplication_report(spark, sf):
     files = content(spark, sf)
     groups = files.groupBy("sha256").agg(F.count("*").alias("member_count"), F.count_if(F.col("source_scope") == "external").alias("external_count")).where("member_count > 1")
     groups = groups.withColumn("cross_source", (F.col("external_count") > 0) & (F.col("external_count") < F.col("member_count")))
-    return L.deduplication_report("d", files, groups, S.similar_pairs(hash_records(spark, sf), 18, 0.10, scopes=CROSS | {("external", "external")}))
+    return L.deduplication_report("d", files, groups, S.pair_counts(hash_records(spark, sf), 18, 0.10, scopes=CROSS | {("external", "external")}))
 
 
 # --- intake

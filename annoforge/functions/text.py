@@ -80,8 +80,30 @@ def number_or_zero(c: Column) -> Column:
 
 
 def fixed(c: Column, digits: int = 6) -> Column:
-    """Fixed digits, ties to even; format_string alone rounds them up."""
-    return F.format_string(f"%.{digits}f", F.bround(number_or_zero(c), digits))
+    """Fixed digits of the exact binary value, ties to even, as printf gives them: 0.0015625 as a double is above that
+    tie and becomes 0.001563. Rounding of the shortest digits, as bround and format_string do it, takes it for the tie.
+
+    Twice the scaled value is a product with its rounding error (Dekker), so that its place beside an odd whole number,
+    a tie, is known exactly. From 2^53 of that on the shortest digits are rounded."""
+    x, scale = number_or_zero(c), 10**digits
+    a, twice = F.abs(x), F.lit(float(2 * scale))
+    split = 134217729.0  # 2^27 + 1
+    high = lambda v: v * split - (v * split - v)
+    q = float(2 * scale)
+    q1 = q * split - (q * split - q)
+    q2 = q - q1
+    product = a * twice
+    a1 = high(a)
+    a2 = a - a1
+    error = ((a1 * q1 - product) + a1 * q2 + a2 * q1) + a2 * q2
+    whole = F.round(product).try_cast("bigint")
+    beside = (product - whole) + error
+    half = F.shiftright(whole, 1)
+    up = (whole % 2 == 1) & ((beside > 0) | ((beside == 0) & (half % 2 == 1)))
+    units = half + up.cast("bigint")
+    places = F.lpad((units % scale).cast("string"), digits, "0")
+    text = F.concat(F.when(x < 0, "-").otherwise(""), ((units - units % scale) / scale).cast("bigint").cast("string"), *([F.lit("."), places] if digits else []))
+    return F.when(product < float(1 << 53), text).otherwise(F.format_string(f"%.{digits}f", F.bround(x, digits)))
 
 
 def instant(c: Column, offset: str = "optional") -> Column:

@@ -290,3 +290,13 @@ def test_pairs_are_counted_by_scope_without_making_them(spark):
     assert {tuple(sorted(k)): n for k, n in counts.items()} == {k: found[k] for k in (("internal", "internal"), ("external", "internal"), ("external", "external"))}
     files = records.select("record_id", "source_scope", "sha256")
     assert S.dedup_summary(files, S.pair_counts(records, 18, 0.1)).collect() == S.dedup_summary(files, S.similar_pairs(records, 18, 0.1)).collect()
+
+
+def test_fixed_digits_round_the_exact_value(spark):
+    rng = random.Random(3)
+    values = [0.0015625, 0.0203125, 0.0765625, 0.0078125, 0.5, 1.5, 2.5, 0.0, 1e-7, 1e300, 0.9999995, 1.0000005, 123456.0000005, 7.9999999, 4e9 + 0.125]
+    values += [k / 640 for k in range(1, 2000, 2)] + [k / 2_000_000 for k in range(1, 400, 2)] + [rng.random() * 10 ** rng.randrange(-6, 7) for _ in range(2000)]
+    values += [-v for v in values if v > 1e-3]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", *[T.fixed(F.col("v"), d).alias(f"f{d}") for d in (0, 3, 6)]).collect()
+    wrong = [(r["v"], r[f"f{d}"]) for r in rows for d in (0, 3, 6) if abs(r["v"]) < 1e9 and r[f"f{d}"] != f"{r['v']:.{d}f}"]
+    assert not wrong and len(rows) == len(values)

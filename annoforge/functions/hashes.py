@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,20 +51,26 @@ def sign_hash(vector: Column) -> Column:
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once for the row, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def bits_hex(bits: Column) -> Column:
     """Upper-case hex of an array of 0 and 1, the first the highest; four of them to a digit."""
-    digits = F.transform(
-        F.sequence(F.lit(0), (F.size(bits) / 4).cast("int") - 1),
-        lambda i: F.conv(F.array_join(F.slice(bits, i * 4 + 1, 4).cast("array<string>"), ""), 2, 16),
-    )
-    return F.array_join(digits, "")
+
+    def digits(held: Column) -> Column:
+        each = lambda i: F.conv(F.array_join(F.slice(held, i * 4 + 1, 4).cast("array<string>"), ""), 2, 16)
+        return F.array_join(F.transform(F.sequence(F.lit(0), (F.size(held) / 4).cast("int") - 1), each), "")
+
+    return once(bits, digits)
 
 
 def dhash(luma: Column, side: int = 8) -> Column:
     """Difference hash of side rows of side + 1 luma values, already resampled: each value against the next in its row."""
     at = F.sequence(F.lit(0), F.lit(side * side - 1))
     place = lambda i: F.floor(i / side).cast("int") * (side + 1) + i % side
-    return bits_hex(F.transform(at, lambda i: (F.get(luma, place(i)) > F.get(luma, place(i) + 1)).cast("int")))
+    return once(luma, lambda held: bits_hex(F.transform(at, lambda i: (F.get(held, place(i)) > F.get(held, place(i) + 1)).cast("int"))))
 
 
 def phash(luma: Column, side: int = 8) -> Column:
@@ -76,9 +83,11 @@ def phash(luma: Column, side: int = 8) -> Column:
     def dot(a: Column, b: Column) -> Column:
         return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
 
-    rows = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda r: F.slice(luma, r * n + 1, n))
-    across = F.transform(waves, lambda w: F.transform(rows, lambda row: dot(row, w)))  # [frequency across][row]
-    low = F.flatten(F.transform(waves, lambda w: F.transform(across, lambda column: dot(column, w))))
-    ranked = F.array_sort(F.slice(low, 2, side * side - 1))
-    median = F.get(ranked, F.lit((side * side - 1) // 2))
-    return bits_hex(F.transform(F.zip_with(low, F.array_repeat(median, side * side), lambda v, m: v >= m), lambda b: b.cast("int")))
+    def against(low: Column) -> Column:
+        median = F.get(F.array_sort(F.slice(low, 2, side * side - 1)), F.lit((side * side - 1) // 2))
+        return bits_hex(once(median, lambda m: F.transform(low, lambda v: (v >= m).cast("int"))))
+
+    lines = lambda held: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda r: F.slice(held, r * n + 1, n))
+    across = lambda rows: F.transform(waves, lambda w: F.transform(rows, lambda row: dot(row, w)))  # noqa: E731  # [frequency across][row]
+    down = lambda columns: F.flatten(F.transform(waves, lambda w: F.transform(columns, lambda column: dot(column, w))))
+    return once(once(once(once(luma, lines), across), down), against)

@@ -300,3 +300,17 @@ def test_fixed_digits_round_the_exact_value(spark):
     rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", *[T.fixed(F.col("v"), d).alias(f"f{d}") for d in (0, 3, 6)]).collect()
     wrong = [(r["v"], r[f"f{d}"]) for r in rows for d in (0, 3, 6) if abs(r["v"]) < 1e9 and r[f"f{d}"] != f"{r['v']:.{d}f}"]
     assert not wrong and len(rows) == len(values)
+
+
+def test_differences_of_ids_are_grouped_and_not_joined(spark):
+    left, right = (spark.createDataFrame([(v,) for v in vs], "id int") for vs in ([1, 1, 2, None, 5], [2, 2, 3, None, None, 3]))
+    found = R.id_differences(left, right, "id")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([("missing", 1), ("missing", 5), ("missing", None), ("unknown", 3), ("unknown", None)], key=str)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pixel_hashes_compute_their_luma_once(spark):
+    for made, size in ((H.dhash, 72), (H.phash, 1024)):
+        luma = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.pmod(i * 7919 + F.col("id"), F.lit(251)))
+        rows = spark.range(3).select(made(luma).alias("h"))
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("7919") == 1

@@ -168,9 +168,14 @@ def fill_by_key(rows: DataFrame, values: DataFrame, key: str, columns: list[str]
 
 
 def id_differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Keys of one side only: missing (left only) and unknown (right only)."""
-    a = left.select(key).distinct().join(right, key, "left_anti").select(F.lit("missing").alias("side"), key)
-    return a.unionByName(right.select(key).distinct().join(left, key, "left_anti").select(F.lit("unknown").alias("side"), key))
+    """Keys of one side only: missing (left only) and unknown (right only). A null is the key of no row of the other side.
+
+    Both sides are read once and each key is grouped once, before and after one shuffle; no rows are sorted and joined."""
+    both = left.select(key, F.lit(1).alias("_side")).unionByName(right.select(key, F.lit(2).alias("_side")))
+    sides = both.groupBy(key).agg(F.bit_or("_side").alias("_sides"))
+    alone = F.when((F.col("_sides") == 1) | F.col(key).isNull(), F.col("_sides").bitwiseAND(F.lit(1)) == 1), F.when((F.col("_sides") == 2) | F.col(key).isNull(), F.col("_sides").bitwiseAND(F.lit(2)) == 2)
+    names = F.array_compact(F.array(F.when(alone[0], "missing"), F.when(alone[1], "unknown")))
+    return sides.where((F.col("_sides") != 3) | F.col(key).isNull()).select(F.explode(names).alias("side"), key)
 
 
 def same_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

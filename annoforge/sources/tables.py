@@ -160,8 +160,6 @@ class Tables:
             return [{"path": folder, "bucket": None, "rows": n}] if n else []
         bucketed = rows.withColumn(BUCKET, bucket_of(key, buckets))
         bucketed.repartition(BUCKET).sortWithinPartitions(BUCKET, key).write.partitionBy(BUCKET).parquet(where)
-        if rows.isEmpty():
-            return []
         counted = self.spark.read.schema(bucketed.schema).parquet(where).groupBy(BUCKET).count().collect()
         return [{"path": f"{folder}/{BUCKET}={r[0]}", "bucket": r[0], "rows": r[1]} for r in sorted(counted)]
 
@@ -273,13 +271,17 @@ class Reviews:
         """save() from a version that the caller has read; Conflict if it is not the newest any more."""
         touched = [r[0] for r in saves.select(bucket_of(self.key, self.buckets)).distinct().collect()]
         cases = self.tables.read("cases", base["version"], touched)
-        state, audit, refused = P.save(cases.drop("saved_at"), saves, self.key, self.fields, base["values"]["identity"]["reviewer"])
-        before = cases.select(self.key, F.col("saved_at").alias("_before"))
-        state = state.join(before, self.key).select(self.key, *self.fields, F.col("revision").cast("bigint").alias("revision"), F.coalesce("saved_at", "_before").alias("saved_at"))
+        spark = self.tables.spark
+        # judged once: state, events, refusals and their counts all start from here
+        kept = scratch(spark, "saves")
+        P.judged(cases, saves, self.key, base["values"]["identity"]["reviewer"]).write.parquet(kept)
+        rows = spark.read.parquet(kept)
+        state, audit, refused = P.applied(cases, rows, self.key, self.fields)
+        state = state.withColumn("revision", F.col("revision").cast("bigint"))
         done = base["values"]["saves"]
         nth = F.col("successful_save_count") + done
         events = audit.select(nth.cast("bigint").alias("event_id"), "event_type", self.key, F.col("revision").cast("bigint").alias("revision"), "seq", *self.fields)
-        saved = events.count()
+        saved = rows.where("_code is null").count()
         return self.tables.commit(base, "save", appended={"events": events, "refused": refused}, replaced={"cases": (state, self.key, self.buckets, touched)}, values={"saves": done + saved})
 
     def state(self, version: int | None = None, name: str = "all") -> DataFrame:

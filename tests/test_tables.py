@@ -149,3 +149,15 @@ def test_files_are_put_once(spark, tmp_path):
     assert T.put_new(spark, path, "one") and not T.put_new(spark, path, "two")
     assert (tmp_path / "x.json").read_text() == "one" and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["x.json"]
     assert T.put_new(spark, f"{tmp_path}/sub/y.json", "three")
+
+
+def test_cases_do_not_go_through_the_driver(spark):
+    from annoforge.operators import store as P
+
+    cases = spark.createDataFrame([(1, 0, "low"), (2, 4, "low")], "k int, revision int, priority string")
+    saves = spark.createDataFrame([(1, 2, "reviewed", "high", "ann", "2024-01-02T03:04:05+00:00"), (2, 9, "reviewed", "high", "ann", "2024-01-02T03:04:05+00:00")], "seq int, k int, review_status string, priority string, reviewer string, reviewed_at_utc string")
+    state, audit, refused = P.save(cases, saves, "k", ["priority"], "ann")
+    assert sorted(map(tuple, state.collect())) == [(1, "low", 0, None), (2, "high", 5, "2024-01-02T03:04:05+00:00")]
+    assert [r["revision"] for r in audit.collect()] == [5] and [tuple(r) for r in refused.collect()] == [(2, "unknown_case")]
+    for part in (state, refused):
+        assert "Broadcast" not in part._jdf.queryExecution().executedPlan().toString()

@@ -54,6 +54,8 @@ WORD = re.compile(r"\w")
 SLICE_BYTES, PACK, RANGE_BYTES, RANGE_MOST, LIST_BLOCK, LIST_BYTES = 512 << 10, 1 << 19, 24 << 20, 1 << 22, 2048, 4 << 20
 #: Lines that make a substring of a crowded range frequent: its entries pass on as they come.
 FREQUENT = 4096
+#: Characters of a pair up to which its distance is found by a table, and cells of a table for many pairs.
+TABLE_CHARS, TABLE_CELLS = 1 << 15, 1 << 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -148,10 +150,12 @@ def within(a: str, b: str, k: int) -> bool:
 
 
 def gray(cells: np.ndarray, n: int, kinds: int) -> np.ndarray:
-    """Counts by row and kind of cells row * kinds + kind, modulo 4: two bits each of which neighbouring counts share one; longs by row."""
-    counts = np.bincount(cells, minlength=kinds * n) & 3
+    """Counts by row and kind of cells row * kinds + kind, modulo 4: two bits each of which neighbouring counts share one; longs by row.
+
+    Cells beyond the n rows do not count."""
+    counts = np.bincount(cells, minlength=kinds * n)[: kinds * n].astype(np.uint8) & 3
     high = counts >> 1
-    bits = np.stack([high, high ^ (counts & 1)], axis=1).astype(np.uint8)
+    bits = np.stack([high, high ^ (counts & 1)], axis=1)
     return np.packbits(bits.reshape(n, 2 * kinds), axis=1).view(np.int64)
 
 
@@ -182,15 +186,53 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], edits: list[int]) -> np.
         rows.sort(key=lambda r: r[0])
         lo = 0
         while lo < len(rows):
-            hi = lo + 1  # about as many cells at a time, whatever the lengths
-            while hi < len(rows) and hi - lo < 2048 and (hi - lo) * rows[hi][0] < 1 << 20:
-                hi += 1
+            hi, size = lo + 1, rows[lo][0]  # about as many cells at a time, whatever the lengths
+            if size > TABLE_CHARS:
+                while hi < len(rows) and hi - lo < 2048 and (hi - lo) * rows[hi][0] < 1 << 20:
+                    hi += 1
+            else:
+                while hi < len(rows) and rows[hi][0] <= TABLE_CHARS and (size + rows[hi][0]) * (2 * k + 1) < TABLE_CELLS:
+                    size += rows[hi][0]
+                    hi += 1
             part = rows[lo:hi]
-            out[[r[1] for r in part]] = bands([r[2] for r in part], [r[3] for r in part], k)
+            out[[r[1] for r in part]] = (bands if rows[lo][0] > TABLE_CHARS else reaches)([r[2] for r in part], [r[3] for r in part], k)
             lo = hi
     return out
 
 
+def reaches(xs: list[np.ndarray], ys: list[np.ndarray], k: int) -> np.ndarray:
+    """within() by the furthest place of x that each diagonal has with 0, 1, ... k edits; xs are no longer than ys.
+
+    A table says for every place and diagonal where the next unequal characters are, so that the steps are as many
+    as the edits, whatever the lengths. It holds 2k + 1 numbers for a character."""
+    m, n = (np.array([len(v) for v in side]) for side in (xs, ys))
+    room = n + k + 1
+    begin = k + np.cumsum(room) - room
+    size = k + int(room.sum()) + k
+    # what fills the room between texts is unequal to all
+    a, b = np.zeros(size, np.uint32), np.ones(size, np.uint32)
+    for side, length, to in ((xs, m, a), (ys, n, b)):
+        to[np.arange(length.sum()) + np.repeat(begin - (np.cumsum(length) - length), length)] = np.concatenate(side) + np.uint32(2)
+    places = np.arange(size, dtype=np.int32)
+    unequal = np.full((2 * k + 1, size), size, np.int32)
+    for d in range(-k, k + 1):
+        own = unequal[d + k]
+        np.copyto(own[k : size - k], places[k : size - k], where=a[k : size - k] != b[k + d : size - k + d])
+        np.minimum.accumulate(own[::-1], out=own[::-1])
+    diagonal = np.arange(-k, k + 1)
+    last = np.minimum(m[:, None], n[:, None] - diagonal)
+    at, end = begin[:, None], (np.arange(len(m)), n - m + k + 1)
+    reach = np.full((len(m), 2 * k + 3), -size, np.int64)
+    reach[:, k + 1] = unequal[k][begin] - begin
+    out = reach[end] >= m
+    for _ in range(k):
+        # x's character replaced, x's character left out, a character of y put in
+        now = np.minimum(np.maximum(np.maximum(reach[:, 1:-1], reach[:, 2:]) + 1, reach[:, :-2]), last)
+        reach[:, 1:-1] = np.where(now < 0, -size, unequal[diagonal + k, at + np.maximum(now, 0)] - at)
+        out |= reach[end] >= m
+    return out
+
+
 def bands(xs: list[np.ndarray], ys: list[np.ndarray], k: int) -> np.ndarray:
     """The columns of within(), a word for each pair; xs are no longer than ys."""
     m, n = (np.array([len(v) for v in side]) for side in (xs, ys))
@@ -266,12 +308,15 @@ class Lines:
 
     def kinds(self, points: np.ndarray, at: np.ndarray) -> np.ndarray:
         """By line, three words of bits: counts of characters by 32 kinds, of pairs of neighbours by 64, in Gray code."""
-        n = at.shape[1]
-        line = np.repeat(np.arange(n), at[1] - at[0])
+        n, sizes = at.shape[1], at[1] - at[0]
+        line = np.repeat(np.arange(0, n * 64, 64), sizes)
         own = points[points != 10]
-        pair = ((own[:-1] * np.uint32(0x85EBCA77) ^ own[1:]) * np.uint32(0xC2B2AE3D) >> np.uint32(26)).astype(np.int64)
-        inner = line[1:] == line[:-1] if len(line) else np.zeros(0, bool)
-        return np.concatenate([gray(line * 32 + (own & 31), n, 32), gray((line[:-1] * 64 + pair)[inner], n, 64)], axis=1)
+        pair = line[:-1] + ((own[:-1] * np.uint32(0x85EBCA77) ^ own[1:]) * np.uint32(0xC2B2AE3D) >> np.uint32(26))
+        ends = np.cumsum(sizes) - 1
+        pair[ends[(ends >= 0) & (ends < len(pair))]] = n * 64  # the next character is another line's
+        line >>= 1
+        line += own & 31
+        return np.concatenate([gray(line, n, 32), gray(pair, n, 64)], axis=1)
 
     def keys(self, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Line and key (lowest bit: own segment) of every substring that the lines have or ask for."""
@@ -282,7 +327,8 @@ class Lines:
             self.powers = np.cumprod(ones, axis=1)
         with np.errstate(over="ignore"):
             total = np.zeros(size, np.uint64)
-            np.cumsum((points.astype(np.uint64) + np.uint64(0x1F3)) * self.powers[0, : size - 1], out=total[1:])
+            np.multiply(points + np.uint32(0x1F3), self.powers[0, : size - 1], out=total[1:])
+            np.cumsum(total, out=total)
             # the place of the least hash among STARTS places from each on
             wide = np.zeros(len(points) + GRAM + STARTS, np.uint32)
             wide[: len(points)] = points
@@ -290,10 +336,10 @@ class Lines:
             for g in range(1, GRAM):
                 least = (least ^ (least >> np.uint32(15))) * np.uint32(0x85EBCA77) + wide[g : g + len(least)]
             least = (least ^ (least >> np.uint32(13))) * np.uint32(0xC2B2AE3D)
-            best, value = np.arange(len(points), dtype=np.int64), least[: len(points)].copy()
+            ahead, value = np.zeros(len(points), np.uint8), least[: len(points)].copy()
             for d in range(1, STARTS):
                 lower = least[d : d + len(points)] < value
-                best[lower] = np.flatnonzero(lower) + d
+                np.maximum(ahead, lower.view(np.uint8) * np.uint8(d), out=ahead)
                 np.minimum(value, least[d : d + len(points)], out=value)
             sizes, back = np.unique(at[1] - at[0], return_inverse=True)
             if len(self.tables) > 4096:
@@ -312,8 +358,9 @@ class Lines:
             first = at[0][line]
             chosen = starts > 1
             place = first + start
-            place = np.where(chosen, best[np.minimum(place, len(points) - 1)], place)
-            is_own = (mine >= 0) & (place == np.where(chosen, best[np.minimum(first + np.maximum(mine, 0), len(points) - 1)], first + mine))
+            place += ahead[np.minimum(place, len(points) - 1)] * chosen
+            own_place = first + np.maximum(mine, 0)
+            is_own = (mine >= 0) & (place == own_place + ahead[np.minimum(own_place, len(points) - 1)] * chosen)
             new = np.ones(len(line), bool)
             new[1:] = (place[1:] != place[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1]) | (line[1:] != line[:-1])
             line, place, b, i, is_own, end = line[new], place[new], b[new], i[new], is_own[new], (place + size_ - starts + 1)[new]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -312,6 +313,37 @@ def test_many_distances_at_once_equal_single_ones():
     assert got.tolist() == [line_dedup.within(a, b, k) for a, b, k in pairs] and 500 < got.sum() < 2800
 
 
+@pytest.mark.parametrize(("chars", "cells"), [(1 << 15, 1 << 18), (1 << 15, 1), (40, 3000), (-1, 1)])
+def test_distances_by_table_and_by_columns_equal_single_ones(monkeypatch, chars, cells):
+    monkeypatch.setattr(line_dedup, "TABLE_CHARS", chars)
+    monkeypatch.setattr(line_dedup, "TABLE_CELLS", cells)
+    rng, pairs = random.Random(23), []
+    for _ in range(1500):
+        a, k = "".join(rng.choices(rng.choice(["ab", "abcé😀 "]), k=rng.randint(0, rng.choice([5, 90])))), rng.choice([0, 1, 2, 3, 6, 13, 30])
+        pairs.append((a, edited(rng, a, "abé", k + 3) if rng.random() < 0.8 else "".join(rng.choices("ab", k=rng.randint(0, 90))), k))
+    got = line_dedup.similar([(line_dedup.points_of(a), line_dedup.points_of(b)) for a, b, _ in pairs], [k for _, _, k in pairs])
+    assert got.tolist() == [line_dedup.within(a, b, k) for a, b, k in pairs] and 300 < got.sum() < 1400
+
+
+def test_steps_of_distances_do_not_grow_with_the_longest_line():
+    rng, pairs = random.Random(29), []
+    for n in [*range(30, 500, 2), 1500, 3000]:
+        a = "".join(rng.choices("abcdefghij ", k=n))
+        b = "z" + a[1 : n // 3] + "other words" + a[n // 3 : -1] + "z"
+        pairs.append((line_dedup.points_of(a), line_dedup.points_of(b[:n])))
+
+    def seconds(run):
+        best = 1e9
+        for _ in range(3):
+            began = time.process_time()
+            run()
+            best = min(best, time.process_time() - began)
+        return best
+
+    columns = seconds(lambda: line_dedup.bands(*map(list, zip(*pairs)), 6))
+    assert seconds(lambda: line_dedup.similar(pairs, [6] * len(pairs))) < 0.5 * columns
+
+
 def test_banded_distance_and_segments():
     rng = random.Random(3)
     readers = {k: line_dedup.Lines(k, 1) for k in range(1, 5)}
